@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bayesmill.plans import bytes as bytes_jobs
 from bayesmill.plans import text
 
 
 def _modules():
-    return [text]
+    return [text, bytes_jobs]
 
 
 def queries() -> dict:

@@ -57,3 +57,35 @@ def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_sets(spark: SparkSession, sf_dir: str, allowed=CLASSES) -> DataFrame:
     """``(doc_id, classes array<string>)`` parsed from the label lines."""
     return label_lines(spark, sf_dir).select("doc_id", label_set("line", allowed).alias("classes"))
+
+
+# ---------------------------------------------------------------- byte dumps
+
+# Fixed values of the byte-dump fixture: 16 codes per line after an
+# 8-character address, CRLF line ends, the line-feed byte shown as "??".
+BYTE_ADDRESS = "00401000"
+BYTES_PER_LINE = 16
+BYTE_PATH_PREFIX = "/data/bytes/"
+
+
+def byte_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, path, content)``: ``hex(text)`` laid out as a byte dump, one file per document."""
+    d = corpus(spark, sf_dir)
+    spaced = F.regexp_replace(F.hex("text"), "(..)", "$1 ")
+    unknown = F.replace(spaced, F.lit("0A "), F.lit("?? "))
+    lines = F.regexp_replace(unknown, "((?:\\S\\S ){%d})" % BYTES_PER_LINE, "$1\r\n" + BYTE_ADDRESS + " ")
+    content = F.concat(F.lit(BYTE_ADDRESS + " "), lines)
+    path = F.concat(F.lit(BYTE_PATH_PREFIX), F.md5(F.col("doc_id").cast("string")), F.lit(".bytes"))
+    return d.select("doc_id", path.alias("path"), content.alias("content"))
+
+
+def byte_id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The id file: ``(doc_id, id)`` for labelled documents, in doc_id order."""
+    lab = read_table(spark, sf_dir, "labels")
+    return lab.select("doc_id", F.substring(F.md5(F.col("doc_id").cast("string")), 13, 20).alias("id"))
+
+
+def byte_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label file: ``(doc_id, label)``, class 1..4 = 1 + 2*quality + toxic, in doc_id order."""
+    lab = read_table(spark, sf_dir, "labels")
+    return lab.select("doc_id", (F.lit(1) + F.col("quality") * 2 + F.col("toxic")).cast("string").alias("label"))
