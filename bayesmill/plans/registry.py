@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bayesmill.plans import bytes as bytes_jobs
+from bayesmill.plans import evaluate
 from bayesmill.plans import text
 
 
 def _modules():
-    return [text, bytes_jobs]
+    return [text, bytes_jobs, evaluate]
 
 
 def queries() -> dict:

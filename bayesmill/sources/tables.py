@@ -89,3 +89,66 @@ def byte_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The label file: ``(doc_id, label)``, class 1..4 = 1 + 2*quality + toxic, in doc_id order."""
     lab = read_table(spark, sf_dir, "labels")
     return lab.select("doc_id", (F.lit(1) + F.col("quality") * 2 + F.col("toxic")).cast("string").alias("label"))
+
+
+# ---------------------------------------------------------------- images and scores
+
+# Fixed values of the image fixture: the first 48 embedding values form a
+# 3 x 4 x 4 colour image, all 64 values a 1 x 8 x 8 grey image; values are
+# mapped to 0..255 by round((x + 0.6) * 212) clipped.
+RGB_SHAPE = (3, 4, 4)
+GREY_SHAPE = (1, 8, 8)
+PIXEL_OFFSET = 0.6
+PIXEL_SCALE = 212.0
+
+
+def _to_pixel(x: Column) -> Column:
+    v = F.round((x.cast("double") + F.lit(PIXEL_OFFSET)) * F.lit(PIXEL_SCALE), 0)
+    return F.least(F.lit(255.0), F.greatest(F.lit(0.0), v)).cast("int")
+
+
+def rgb_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(image_id, label, pixels array<int>)``, shape ``RGB_SHAPE``."""
+    e = read_table(spark, sf_dir, "embeddings")
+    n = RGB_SHAPE[0] * RGB_SHAPE[1] * RGB_SHAPE[2]
+    return e.select(F.col("vec_id").alias("image_id"), "label",
+                    F.transform(F.slice("embedding", 1, n), _to_pixel).alias("pixels"))
+
+
+def grey_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(image_id, label, pixels array<int>)``, shape ``GREY_SHAPE``."""
+    e = read_table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("image_id"), "label", F.transform("embedding", _to_pixel).alias("pixels"))
+
+
+def class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, target, scores array<double>)``: dot products of each embedding
+    with every label centroid (centroid = mean embedding of the label).
+
+    The centroid table has one row per label (a closed, small set); it is
+    folded into a single scalar array, so scoring is a per-row expression with
+    no join and no shuffle of the embeddings.
+    """
+    e = read_table(spark, sf_dir, "embeddings")
+    dim = e.select(F.posexplode("embedding").alias("i", "x"), "label")
+    cent = dim.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    per_label = cent.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "m"))).alias("v"))
+    table = per_label.agg(F.array_sort(F.collect_list(F.struct("label", F.col("v.m").alias("m")))).alias("c")).scalar()
+    # the scalar is bound to a column first: subqueries cannot sit inside lambdas
+    bound = e.select("vec_id", "label", "embedding", table.alias("_cent"))
+    scores = F.transform("_cent", lambda cen: F.aggregate(
+        F.zip_with(F.col("embedding"), cen["m"], lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x))
+    return bound.select(F.col("vec_id").alias("id"), F.col("label").alias("target"), scores.alias("scores"))
+
+
+N_CROPS = 10
+
+
+def crop_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, crop, target, scores)``: ten slightly perturbed score vectors per image,
+    ``s_k + 0.001 * (((id * 7 + crop * 13 + k * 31) % 17) - 8)``."""
+    s = class_scores(spark, sf_dir)
+    e = s.select("id", "target", "scores", F.explode(F.sequence(F.lit(0), F.lit(N_CROPS - 1))).alias("crop"))
+    pert = F.transform("scores", lambda v, k: v + F.lit(0.001) * (
+        ((F.col("id") * 7 + F.col("crop") * 13 + k * 31) % 17) - 8).cast("double"))
+    return e.select("id", "crop", "target", pert.alias("scores"))
