@@ -135,34 +135,45 @@ def color_normalize(df: DataFrame, shape: tuple[int, int, int], mean: Sequence[f
         lambda v, ms: (v.cast("double") - ms["m"]) / ms["s"]))
 
 
-def _grey_channel(px: Column, h: int, w: int) -> Column:
-    hw = h * w
+def _grey_at(px: Column, k: Column, hw: int) -> Column:
+    """Grey value of pixel ``k`` (0-based within a channel), read straight from the RGB planes."""
     r, g, b = GREY_WEIGHTS
-    return F.transform(F.sequence(F.lit(1), F.lit(hw)), lambda k: (
-        F.lit(r) * F.element_at(px, k).cast("double") + F.lit(g) * F.element_at(px, k + hw).cast("double")
-        + F.lit(b) * F.element_at(px, k + 2 * hw).cast("double")))
+    return (F.lit(r) * F.element_at(px, k + 1).cast("double") + F.lit(g) * F.element_at(px, k + 1 + hw).cast("double")
+            + F.lit(b) * F.element_at(px, k + 1 + 2 * hw).cast("double"))
+
+
+def _grey_mean(px: Column, hw: int) -> Column:
+    """Mean grey value of an image (one reduction per row)."""
+    grey = F.transform(F.sequence(F.lit(0), F.lit(hw - 1)), lambda k: _grey_at(px, k, hw))
+    return F.aggregate(grey, F.lit(0.0), lambda a, x: a + x) / F.lit(float(hw))
 
 
-def _mean(arr: Column, n: int) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / F.lit(float(n))
+def _pinned(name: str, expr: Column) -> Column:
+    """Use column ``name`` (a per-row value computed in an earlier projection) in ``expr``.
+
+    The extra null test references the column a second time, which keeps the
+    optimizer from inlining its (costly) defining expression into a lambda,
+    where it would be re-evaluated for every element. The value is never null.
+    """
+    return F.when(F.col(name).isNull(), F.lit(None)).otherwise(expr)
 
 
 def grayscale(df: DataFrame, shape: tuple[int, int, int], col: str = "pixels") -> DataFrame:
     """Grey value in all three channels."""
     c, h, w = shape
     hw = h * w
-    staged = df.withColumn("_grey", _grey_channel(F.col(col), h, w))
-    return staged.withColumn(col, _gather(F.col("_grey"), [i % hw for i in range(3 * hw)])).drop("_grey")
-
-
-def _blend(px: Column, ref_per_index: Column | None, ref_scalar: Column | None, alpha: Column,
-           hw: int, n: int) -> Column:
-    """``alpha * img + (1 - alpha) * ref`` with ref a grey image (indexed by i mod hw), a scalar, or 0."""
-    if ref_per_index is not None:
-        idx = _lit_int_array([i % hw for i in range(n)])
-        return F.zip_with(px, idx, lambda v, j: alpha * v.cast("double")
-                          + (F.lit(1.0) - alpha) * F.element_at(ref_per_index, j + 1))
-    ref = ref_scalar if ref_scalar is not None else F.lit(0.0)
+    return df.withColumn(col, F.transform(_lit_int_array([i % hw for i in range(3 * hw)]),
+                                          lambda k: _grey_at(F.col(col), k, hw)))
+
+
+def _blend_grey(px: Column, alpha: Column, hw: int, n: int) -> Column:
+    """``alpha * img + (1 - alpha) * grey`` (the grey image at index ``i mod hw``)."""
+    idx = _lit_int_array([i % hw for i in range(n)])
+    return F.zip_with(px, idx, lambda v, k: alpha * v.cast("double") + (F.lit(1.0) - alpha) * _grey_at(px, k, hw))
+
+
+def _blend_scalar(px: Column, alpha: Column, ref: Column) -> Column:
+    """``alpha * img + (1 - alpha) * ref`` for a per-image scalar ``ref`` (0 for brightness)."""
     return F.transform(px, lambda v: alpha * v.cast("double") + (F.lit(1.0) - alpha) * ref)
 
 
@@ -172,22 +183,23 @@ def _alpha(var: float, seed, epoch, id_col, step) -> Column:
 
 def saturation(df, shape, var, seed=0, epoch=1, id_col="image_id", col="pixels"):
     c, h, w = shape
-    staged = df.withColumn("_grey", _grey_channel(F.col(col), h, w))
-    a = _alpha(var, seed, epoch, id_col, STEP_SAT)
-    return staged.withColumn(col, _blend(F.col(col), F.col("_grey"), None, a, h * w, c * h * w)).drop("_grey")
+    staged = df.withColumn("_a", _alpha(var, seed, epoch, id_col, STEP_SAT))
+    out = _pinned("_a", _blend_grey(F.col(col), F.col("_a"), h * w, c * h * w))
+    return staged.withColumn(col, out).drop("_a")
 
 
 def brightness(df, shape, var, seed=0, epoch=1, id_col="image_id", col="pixels"):
-    c, h, w = shape
-    a = _alpha(var, seed, epoch, id_col, STEP_BRIGHT)
-    return df.withColumn(col, _blend(F.col(col), None, None, a, h * w, c * h * w))
+    staged = df.withColumn("_a", _alpha(var, seed, epoch, id_col, STEP_BRIGHT))
+    out = _pinned("_a", _blend_scalar(F.col(col), F.col("_a"), F.lit(0.0)))
+    return staged.withColumn(col, out).drop("_a")
 
 
 def contrast(df, shape, var, seed=0, epoch=1, id_col="image_id", col="pixels"):
     c, h, w = shape
-    staged = df.withColumn("_gmean", _mean(_grey_channel(F.col(col), h, w), h * w))
-    a = _alpha(var, seed, epoch, id_col, STEP_CONTRAST)
-    return staged.withColumn(col, _blend(F.col(col), None, F.col("_gmean"), a, h * w, c * h * w)).drop("_gmean")
+    staged = (df.withColumn("_gmean", _grey_mean(F.col(col), h * w))
+              .withColumn("_a", _alpha(var, seed, epoch, id_col, STEP_CONTRAST)))
+    out = _pinned("_gmean", _pinned("_a", _blend_scalar(F.col(col), F.col("_a"), F.col("_gmean"))))
+    return staged.withColumn(col, out).drop("_gmean", "_a")
 
 
 def color_jitter(df: DataFrame, shape: tuple[int, int, int], brightness_var: float = 0.0,
@@ -203,25 +215,24 @@ def color_jitter(df: DataFrame, shape: tuple[int, int, int], brightness_var: flo
     perms = list(itertools.permutations(range(len(steps))))
     u = D.uniform(seed, epoch, F.col(id_col), STEP_ORDER)
     out = df.withColumn("_perm", F.floor(u * len(perms)).cast("int")).withColumn(col, F.col(col).cast("array<double>"))
-    alphas = {"b": _alpha(brightness_var, seed, epoch, id_col, STEP_BRIGHT),
-              "c": _alpha(contrast_var, seed, epoch, id_col, STEP_CONTRAST),
-              "s": _alpha(saturation_var, seed, epoch, id_col, STEP_SAT)}
+    out = (out.withColumn("_ab", _alpha(brightness_var, seed, epoch, id_col, STEP_BRIGHT))
+           .withColumn("_ac", _alpha(contrast_var, seed, epoch, id_col, STEP_CONTRAST))
+           .withColumn("_as", _alpha(saturation_var, seed, epoch, id_col, STEP_SAT)))
     for stage in range(len(steps)):
         which = F.element_at(F.array(*[F.lit(p[stage]) for p in perms]), F.col("_perm") + 1)
-        out = out.withColumn("_grey", _grey_channel(F.col(col), h, w))
-        out = out.withColumn("_gmean", _mean(F.col("_grey"), hw))
+        out = out.withColumn("_gmean", _grey_mean(F.col(col), hw))
         branch = None
         for si, (kind, _) in enumerate(steps):
-            a = alphas[kind]
             if kind == "b":
-                e = _blend(F.col(col), None, None, a, hw, n)
+                e = _blend_scalar(F.col(col), F.col("_ab"), F.lit(0.0))
             elif kind == "c":
-                e = _blend(F.col(col), None, F.col("_gmean"), a, hw, n)
+                e = _blend_scalar(F.col(col), F.col("_ac"), F.col("_gmean"))
             else:
-                e = _blend(F.col(col), F.col("_grey"), None, a, hw, n)
+                e = _blend_grey(F.col(col), F.col("_as"), hw, n)
             branch = F.when(which == si, e) if branch is None else branch.when(which == si, e)
-        out = out.withColumn(col, branch).drop("_grey", "_gmean")
-    return out.drop("_perm")
+        pinned = _pinned("_gmean", _pinned("_ab", _pinned("_ac", _pinned("_as", branch))))
+        out = out.withColumn(col, pinned).drop("_gmean")
+    return out.drop("_perm", "_ab", "_ac", "_as")
 
 
 def lighting(df: DataFrame, shape: tuple[int, int, int], alphastd: float, eigval: Sequence[float],
@@ -241,7 +252,7 @@ def lighting(df: DataFrame, shape: tuple[int, int, int], alphastd: float, eigval
     idx = _lit_int_array([min(i // hw, 2) if i // hw < 3 else -1 for i in range(c * hw)])
     out = F.zip_with(F.col(col), idx, lambda v, ch: F.when(ch >= 0, v.cast("double") + F.element_at(F.col("_rgb"), ch + 1))
                      .otherwise(v.cast("double")))
-    return staged.withColumn(col, out).drop("_a0", "_a1", "_a2", "_rgb")
+    return staged.withColumn(col, _pinned("_rgb", out)).drop("_a0", "_a1", "_a2", "_rgb")
 
 
 def preprocess(df: DataFrame, shape: tuple[int, int, int], split: str, crop_size: int | None = None,

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bayesmill.plans import bytes as bytes_jobs
 from bayesmill.plans import evaluate
+from bayesmill.plans import images
 from bayesmill.plans import text
 
 
 def _modules():
-    return [text, bytes_jobs, evaluate]
+    return [text, bytes_jobs, evaluate, images]
 
 
 def queries() -> dict:
