@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions.draws import sql_normal, sql_uniform
 from bayesmill.operators import images as IM
+from bayesmill.session import scratch_path
+from bayesmill.sources import pixels as PX
 from bayesmill.sources import tables as T
 
 R = 6
@@ -91,7 +93,52 @@ def channel_stats(spark, sf):
     return s.select("channel", F.round("mean", R).alias("mean"), F.round("std", R).alias("std"))
 
 
+def _px_text(df: DataFrame) -> DataFrame:
+    return df.select("image_id", "label", F.array_join(F.col("pixels").cast("array<string>"), ",").alias("pixels"))
+
+
+def pixel_text_write(spark, sf):
+    path = scratch_path(spark, "pixel-text")
+    PX.write_text(PX.to_pixel_text(T.rgb_images(spark, sf)), path)
+    return spark.read.text(path).select("value")
+
+
+def pixel_text_parse(spark, sf):
+    path = scratch_path(spark, "pixel-text")
+    PX.write_text(PX.to_pixel_text(T.rgb_images(spark, sf)), path)
+    p = PX.parse_pixel_text(spark.read.text(path))
+    return p.select(F.col("label").cast("long").alias("label"), F.size("pixels").cast("long").alias("n_pixels"),
+                    F.array_join(F.col("pixels").cast("array<string>"), ",").alias("pixels"))
+
+
+def pixel_text_clean(spark, sf):
+    path = scratch_path(spark, "pixel-dump")
+    img = T.rgb_images(spark, sf)
+    PX.write_text(img.select(PX.list_dump(F.col("label"), F.col("pixels")).alias("value")), path)
+    return spark.read.text(path).select(PX.clean_list_text("value").alias("value"))
+
+
+def materialize_once(spark, sf):
+    path = scratch_path(spark, "materialized")
+    PX.materialize_once(T.rgb_images(spark, sf), path)
+    again = PX.materialize_once(T.rgb_images(spark, sf), path)  # found: read back, not rewritten
+    return _px_text(again)
+
+
+def image_rows(spark, sf):
+    path = scratch_path(spark, "png")
+    img = T.rgb_images(spark, sf)
+    PX.write_pngs(img, path, RGB).count()
+    labels = img.select("image_id", "label")
+    return _px_text(PX.read_image_rows(spark, path, RGB, labels))
+
+
 QUERIES = {
+    "pixel_text_write": pixel_text_write,
+    "pixel_text_parse": pixel_text_parse,
+    "pixel_text_clean": pixel_text_clean,
+    "materialize_once": materialize_once,
+    "image_rows": image_rows,
     "img_normalize": img_normalize,
     "img_hflip": img_hflip,
     "img_random_crop": img_random_crop,
@@ -292,4 +339,29 @@ def _sql() -> dict[str, str]:
     }
 
 
-SQL = _sql()
+def _sq(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _clean_sql(v: str) -> str:
+    for pattern, repl in PX.CLEAN_STEPS:
+        v = f"regexp_replace({v}, {_sq(pattern)}, {_sq(repl)}, 'g')"
+    return v
+
+
+def _pixel_sql() -> dict[str, str]:
+    px = f"(SELECT vec_id AS image_id, label, {_pix(48)} AS px FROM embeddings)"
+    txt = f"SELECT image_id, label, array_to_string(px, ',') AS pixels FROM {px}"
+    vals = f"array_to_string(list_concat([CAST(label AS VARCHAR)], list_transform(px, lambda v: CAST(v AS VARCHAR))), {_sq(PX.DUMP_SEP)})"
+    dump = f"{_sq(PX.DUMP_OPEN)} || {vals} || {_sq(PX.DUMP_CLOSE)}"
+    return {
+        "pixel_text_write": f"SELECT CAST(label AS VARCHAR) || ',' || array_to_string(px, ',') AS value FROM {px}",
+        "pixel_text_parse": f"SELECT CAST(label AS BIGINT) AS label, CAST(len(px) AS BIGINT) AS n_pixels, "
+                            f"array_to_string(px, ',') AS pixels FROM {px}",
+        "pixel_text_clean": f"SELECT {_clean_sql('d')} AS value FROM (SELECT {dump} AS d FROM {px})",
+        "materialize_once": txt,
+        "image_rows": txt,
+    }
+
+
+SQL = {**_pixel_sql(), **_sql()}
