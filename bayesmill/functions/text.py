@@ -82,9 +82,9 @@ def term_bag(tokens: Column | str, grams: Sequence[int] = (1, 2), sep: str = "")
 
 def with_terms(df: DataFrame, text_col: str = "text", out_col: str = "terms",
                stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
-               sep: str = "", drop_text: bool = True) -> DataFrame:
+               sep: str = "", drop_text: bool = True, stem: bool = False) -> DataFrame:
     """Full text front end as staged projections: clean -> split -> lower ->
-    stop words -> n-gram bag in ``out_col``.
+    stop words -> (optional Porter stem) -> n-gram bag in ``out_col``.
 
     The token array is materialised in its own projection first. The n-gram
     lambdas then read a column reference; composing the tokenizer expression
@@ -94,4 +94,9 @@ def with_terms(df: DataFrame, text_col: str = "text", out_col: str = "terms",
     tok = "_tokens"
     keep = [c for c in df.columns if not (drop_text and c == text_col)]
     staged = df.select(*keep, remove_stop_words(tokenize(text_col), stop_words).alias(tok))
+    if stem:
+        # Porter stem after the stop-word test, before the n-grams (Arrow-batched UDF)
+        from bayesmill.functions.stem import stem_tokens
+
+        staged = staged.select(*keep, stem_tokens(F.col(tok)).alias(tok))
     return staged.select(*keep, term_bag(F.col(tok), grams, sep).alias(out_col))

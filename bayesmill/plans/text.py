@@ -154,7 +154,16 @@ def multilabel_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return a.select("n", "correct", F.round("accuracy", R).alias("accuracy"))
 
 
+def term_normalize(spark: SparkSession, sf: str) -> DataFrame:
+    """Lemma + Porter stem of every distinct (stop-filtered) word of the corpus."""
+    from bayesmill.functions.stem import normalize_terms
+
+    t = _filtered_tokens(spark, sf).select(F.explode_outer("t").alias("term")).where(F.col("term").isNotNull())
+    return normalize_terms(t)
+
+
 QUERIES = {
+    "term_normalize": term_normalize,
     "clean_tokens": clean_tokens,
     "stopword_filter": stopword_filter,
     "bigrams": bigrams,
