@@ -20,11 +20,13 @@ Plan: the whole fit is one shuffle. Training documents are hash-partitioned by
 id once, labels are attached by an id join that keeps that partitioning, the
 per-(doc, term) count runs without an exchange, and a single partial + final
 aggregate by term yields df and, per class, tf_c and the class document
-count. W_c, V, N and the priors are scalar subqueries over tiny results.
+count. That per-term table is checkpointed; W_c, V, N and the priors are
+then single aggregate rows (C + 2 numbers) read like ``count()``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -32,35 +34,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.operators.tfidf import term_freq
+from bayesmill.session import ensure_checkpoint_dir
 
 
 @dataclass
 class NaiveBayesModel:
     classes: tuple[str, ...]
-    terms: DataFrame        # (term, df, idf, tf_by_class array<long>, docs_by_class array<long>, logp array<double>)
-    class_stats: DataFrame  # one row: n_docs, vocab_size, class_docs array, pair_counts array, prior array
+    terms: DataFrame   # (term, df, idf, tf_by_class array<long>, docs_by_class array<long>, logp array<double>)
+    n_docs: int
+    vocab_size: int
+    class_docs: tuple[int, ...]
+    pair_counts: tuple[int, ...]
     stop_words: tuple[str, ...] | None
     grams: tuple[int, ...]
     sep: str
+    stem: bool = False
+
+    @property
+    def prior(self) -> tuple[float | None, ...]:
+        total = sum(self.class_docs)
+        return tuple(math.log(n / total) if n > 0 and total > 0 else None for n in self.class_docs)
+
+    def denom(self, i: int) -> float:
+        return float(self.pair_counts[i] + self.vocab_size)
 
     def class_table(self) -> DataFrame:
         """``(class, class_docs, prior, pair_count, vocab_size, n_docs, missing, default_logp)``, one row per class."""
-        s = self.class_stats
-        cls = F.array(*[F.lit(c) for c in self.classes])
-        z = F.arrays_zip(cls.alias("class"), F.col("class_docs"), F.col("prior"), F.col("pair_counts"))
-        t = s.select(F.explode(z).alias("z"), "vocab_size", "n_docs")
-        denom = (F.col("z.pair_counts") + F.col("vocab_size")).cast("double")
-        missing = F.lit(1.0) / denom
-        return t.select(
-            F.col("z.class").alias("class"),
-            F.col("z.class_docs").alias("class_docs"),
-            F.col("z.prior").alias("prior"),
-            F.col("z.pair_counts").alias("pair_count"),
-            F.col("vocab_size"),
-            F.col("n_docs"),
-            missing.alias("missing"),
-            F.ln((missing + 1.0) / denom).alias("default_logp"),
-        )
+        rows = []
+        for i, c in enumerate(self.classes):
+            d = self.denom(i)
+            missing = 1.0 / d if d > 0 else None
+            rows.append((c, self.class_docs[i], self.prior[i], self.pair_counts[i], self.vocab_size, self.n_docs,
+                         missing, math.log((missing + 1.0) / d) if missing is not None else None))
+        schema = ("class string, class_docs long, prior double, pair_count long, vocab_size long, n_docs long, "
+                  "missing double, default_logp double")
+        return self.terms.sparkSession.createDataFrame(rows, schema)
 
     def long_form(self) -> DataFrame:
         """``(term, class, logp)`` for every vocabulary term and class (the dense V x C model)."""
@@ -79,21 +87,24 @@ def class_flags(classes_col: Column, classes: Sequence[str]) -> list[Column]:
 def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "classes",
         stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
-        sep: str = "") -> NaiveBayesModel:
+        sep: str = "", stem: bool = False, checkpoint: bool = True) -> NaiveBayesModel:
     """Fit on documents ``(id, text)`` and label sets ``(id, classes array<string>)``.
 
     Unlabelled documents (no row, or an empty set) still count in N, df and V.
+    The per-term statistics are checkpointed (reliable storage under
+    ``spark.checkpoint.dir``) so the class scalars and every later scoring
+    job read them instead of re-tokenising the corpus.
     """
     classes = tuple(sorted(set(classes)))
     C = len(classes)
     sw = None if stop_words is None else tuple(stop_words)
-    docs = docs.select(id_col, text_col).repartition(id_col)
     lab = labels.select(id_col, label_col).where(F.size(label_col) > 0)
-    joined = docs.join(lab, id_col, "left").select(
-        id_col, text_col, *class_flags(F.col(label_col), classes))
     flag_cols = [f"_f{i}" for i in range(C)]
 
-    tf = term_freq(joined, id_col, text_col, sw, grams, sep, keep=flag_cols, prepartitioned=True)
+    # one shuffle of the raw text by id; labels joined on id keep that partitioning
+    texts = docs.select(id_col, text_col).repartition(id_col)
+    joined = texts.join(lab, id_col, "left").select(id_col, text_col, *class_flags(F.col(label_col), classes))
+    tf = term_freq(joined, id_col, text_col, sw, grams, sep, keep=flag_cols, prepartitioned=True, stem=stem)
     agg = tf.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"),
         *[F.sum(F.col("tf") * F.col(f)).alias(f"_tf{i}") for i, f in enumerate(flag_cols)],
@@ -101,30 +112,29 @@ def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str
     ).select("term", "df",
              F.array(*[F.col(f"_tf{i}") for i in range(C)]).alias("tf_by_class"),
              F.array(*[F.col(f"_dc{i}") for i in range(C)]).alias("docs_by_class"))
-
-    # Scalars: N and label occurrences from the documents (id + flags only),
-    # V and W_c from the per-term table.
-    doc_stats = joined.agg(F.count(F.lit(1)).alias("n_docs"),
-                           F.array(*[F.sum(f).cast("long") for f in flag_cols]).alias("class_docs"))
-    term_stats = agg.agg(F.count(F.lit(1)).alias("vocab_size"),
-                         F.array(*[F.coalesce(F.sum(F.col("docs_by_class")[i]), F.lit(0)).cast("long")
-                                   for i in range(C)]).alias("pair_counts"))
-    n_docs = doc_stats.select("n_docs").scalar()
-    vocab = term_stats.select("vocab_size").scalar()
-    pairs = term_stats.select("pair_counts").scalar()
-    total = F.aggregate("class_docs", F.lit(0).cast("long"), lambda a, x: a + x)
-    class_stats = doc_stats.select(
-        "n_docs", vocab.alias("vocab_size"), "class_docs", pairs.alias("pair_counts"),
-        F.transform("class_docs", lambda n: F.ln(n.cast("double") / total.cast("double"))).alias("prior"))
-    idf_col = F.ln((n_docs.cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
+    if checkpoint:
+        ensure_checkpoint_dir(docs.sparkSession)
+        agg = agg.checkpoint(eager=True)
+
+    # Class scalars: one aggregate row each (like count()); no data rows leave the executors.
+    ids = docs.select(id_col).join(lab, id_col, "left").select(*class_flags(F.col(label_col), classes))
+    d = ids.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f).alias(f) for f in flag_cols]).first()
+    t = agg.agg(F.count(F.lit(1)).alias("v"),
+                *[F.sum(F.col("docs_by_class")[i]).alias(f"w{i}") for i in range(C)]).first()
+    n_docs = int(d["n"])
+    class_docs = tuple(int(d[f] or 0) for f in flag_cols)
+    vocab = int(t["v"])
+    pairs = tuple(int(t[f"w{i}"] or 0) for i in range(C))
+
+    idf_col = F.ln(F.lit(float(n_docs + 1)) / (F.col("df").cast("double") + 1.0))
     terms = agg.select("term", "df", idf_col.alias("idf"), "tf_by_class", "docs_by_class")
     logps = []
     for i in range(C):
-        denom = (pairs[i] + vocab).cast("double")
+        denom = float(pairs[i] + vocab)
         x = F.when(F.col("docs_by_class")[i] > 0, F.col("tf_by_class")[i] * F.col("idf")).otherwise(1.0 / denom)
         logps.append(F.ln((x + 1.0) / denom))
     terms = terms.withColumn("logp", F.array(*logps))
-    return NaiveBayesModel(classes, terms, class_stats, sw, tuple(grams), sep)
+    return NaiveBayesModel(classes, terms, n_docs, vocab, class_docs, pairs, sw, tuple(grams), sep, stem)
 
 
 def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id",
@@ -137,14 +147,15 @@ def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id"
     ``'prior'`` gives it the prior scores.
     """
     C = len(model.classes)
-    tf = term_freq(docs.select(id_col, text_col), id_col, text_col, model.stop_words, model.grams, model.sep)
+    tf = term_freq(docs.select(id_col, text_col), id_col, text_col, model.stop_words, model.grams, model.sep,
+                   stem=model.stem)
     j = tf.join(model.terms.select("term", "logp"), "term")
     sums = j.groupBy(id_col).agg(*[F.sum(F.col("tf") * F.col("logp")[i]).alias(f"_s{i}") for i in range(C)])
     if on_unknown == "prior":
         sums = docs.select(id_col).join(sums, id_col, "left").fillna(0.0, subset=[f"_s{i}" for i in range(C)])
     elif on_unknown != "drop":
         raise ValueError("on_unknown must be 'drop' or 'prior'")
-    prior = model.class_stats.select("prior").scalar()
+    prior = [F.lit(p).cast("double") for p in model.prior]
     return sums.select(id_col, F.array(*[F.col(f"_s{i}") + prior[i] for i in range(C)]).alias("scores"))
 
 
