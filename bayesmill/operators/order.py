@@ -67,9 +67,10 @@ def reorder_predictions(pred: DataFrame, request: DataFrame, id_col: str = "id",
     """
     last = pred.groupBy(id_col).agg(F.max_by(pred_col, pos_col).alias(pred_col))
     j = request.select(pos_col, id_col).join(last, id_col, "left")
-    checked = j.withColumn(
-        "_ok", F.assert_true(F.col(pred_col).isNotNull(), F.lit("requested id without a prediction")))
-    return checked.select(pos_col, id_col, pred_col).orderBy(pos_col)
+    # the check is part of the output value, so column pruning cannot drop it
+    ok = F.assert_true(F.col(pred_col).isNotNull(), F.lit("requested id without a prediction"))
+    checked = j.select(pos_col, id_col, F.when(ok.isNull(), F.col(pred_col)).alias(pred_col))
+    return checked.orderBy(pos_col)
 
 
 def manifest(ids: DataFrame, id_col: str, prefix: str, suffix: str = ".png",
