@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 # Fixed values of the byte tokenizer: CRLF becomes a space, tokens are split
 # on whitespace and only tokens of exactly two characters are kept (this drops
 # the 8-character addresses and keeps the unknown-byte code "??").
-CRLF = "\r\n"
-WHITESPACE = "\\s+"
 TOKEN_LENGTH = 2
 ID_LENGTH = 20
 
@@ -18,9 +16,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# a whitespace-delimited token of exactly two characters
+TWO_CHAR_TOKEN = "(?<!\\S)(\\S\\S)(?!\\S)"
+
+
 def byte_tokens(content: Column | str) -> Column:
-    parts = F.split(F.replace(_col(content), F.lit(CRLF), F.lit(" ")), WHITESPACE)
-    return F.filter(parts, lambda x: F.length(x) == TOKEN_LENGTH)
+    """Whitespace tokens of exactly two characters (CRLF counts as whitespace).
+
+    One regex pass in the JVM; the same result as splitting on whitespace and
+    keeping the tokens of length two.
+    """
+    return F.regexp_extract_all(_col(content), F.lit(TWO_CHAR_TOKEN), 1)
+
+
+def byte_string(content: Column | str) -> Column:
+    """The two-character tokens concatenated: token i is ``substring(s, 2i+1, 2)``."""
+    return F.array_join(byte_tokens(content), "")
 
 
 def file_id(path: Column | str) -> Column:

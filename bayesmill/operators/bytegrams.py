@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayesmill.functions.bytes import byte_tokens, file_id
+from bayesmill.functions.bytes import TOKEN_LENGTH, byte_string, byte_tokens, file_id
 from bayesmill.functions.text import ngrams
 from bayesmill.operators import tfidf as TF
 
@@ -36,15 +36,34 @@ def tokenized(files: DataFrame, path_col: str = "path", content_col: str = "cont
     return f.select("file_id", byte_tokens("_content").alias("tokens"))
 
 
+def _grams_regex(k: int) -> str:
+    """All overlapping k-grams of the joined two-character codes: a lookahead
+    captures 2k characters and the match consumes one code, so consecutive
+    matches start at consecutive codes."""
+    return f"(?=(.{{{k * TOKEN_LENGTH}}})).{{{TOKEN_LENGTH}}}"
+
+
 def gram_rows(files: DataFrame, grams: Sequence[int] = (1, 2), sep: str = "",
               path_col: str = "path", content_col: str = "content") -> DataFrame:
-    """One row per gram occurrence ``(file_id, n, gram)``."""
-    t = tokenized(files, path_col, content_col, partition=True)
-    parts = F.array(*[F.struct(F.lit(n).alias("n"), ngrams(F.col("tokens"), n, sep).alias("g"))
-                      for n in sorted(set(grams))])
-    per_n = t.select("file_id", F.explode_outer(parts).alias("p")).select("file_id", "p.n", "p.g")
-    return (per_n.select("file_id", "n", F.explode_outer("g").alias("gram"))
-            .where(F.col("gram").isNotNull()))
+    """One row per gram occurrence ``(file_id, gram)``.
+
+    Codes are fixed width, so the file's codes are joined into one string and
+    each gram size is a single ``regexp_extract_all`` over it (JVM regex, no
+    per-element lambda). Only the gram arrays feed the explode; the file's
+    string is not carried into the exploded rows.
+    """
+    f = files.select(file_id(path_col).alias("file_id"), F.col(content_col).alias("_content"))
+    f = f.repartition("file_id")   # raw text shuffled once; per-file counts then need no exchange
+    s = f.select("file_id", byte_string("_content").alias("_s"))
+    parts = []
+    for k in sorted(set(grams)):
+        g = F.regexp_extract_all(F.col("_s"), F.lit(_grams_regex(k)), 1)
+        if sep and k > 1:
+            g = F.transform(g, lambda x: F.regexp_replace(x, "(..)(?!$)", "$1" + sep.replace("$", "\\$")))
+        parts.append(g)
+    bag = parts[0] if len(parts) == 1 else F.concat(*parts)
+    staged = s.select("file_id", bag.alias("_g"))
+    return staged.select("file_id", F.explode_outer("_g").alias("gram")).where(F.col("gram").isNotNull())
 
 
 def ngram_freq(files: DataFrame, grams: Sequence[int] = (1, 2), min_freq: int = 200, sep: str = "",
