@@ -51,6 +51,16 @@ def remove_stop_words(tokens: Column | str, stop_words: Iterable[str] | None = N
     return F.filter(_col(tokens), lambda x: ~x.isin(*words))
 
 
+def filtered_tokens(text: Column | str, stop_words: Iterable[str] | None = None) -> Column:
+    """``remove_stop_words(tokenize(text))`` with both tests in one filter lambda."""
+    words = default_stop_words() if stop_words is None else tuple(stop_words)
+    words = tuple(w for w in words if w)
+    parts = F.split(clean_text(text), SPACES)
+    if not words:
+        return F.filter(parts, lambda x: x != "")
+    return F.filter(parts, lambda x: (x != "") & ~x.isin(*words))
+
+
 def ngrams(tokens: Column | str, n: int, sep: str = "") -> Column:
     """Adjacent n-grams of a token array, joined with ``sep`` (default: no separator).
 
@@ -62,6 +72,12 @@ def ngrams(tokens: Column | str, n: int, sep: str = "") -> Column:
         raise ValueError("n must be >= 1")
     if n == 1:
         return t
+    if n == 2:
+        # pairs of neighbours: the array against itself shifted by one
+        size = F.size(t)
+        pairs = F.zip_with(F.slice(t, 1, size - 1), F.slice(t, 2, size - 1),
+                           (lambda a, b: F.concat(a, b)) if sep == "" else (lambda a, b: F.concat_ws(sep, a, b)))
+        return F.when(size < 2, F.array().cast("array<string>")).otherwise(pairs)
     # element_at is 1-based; each gram is the concatenation of n neighbours
     grams = F.transform(
         F.sequence(F.lit(1), F.size(t) - n + 1),
@@ -93,7 +109,7 @@ def with_terms(df: DataFrame, text_col: str = "text", out_col: str = "terms",
     """
     tok = "_tokens"
     keep = [c for c in df.columns if not (drop_text and c == text_col)]
-    staged = df.select(*keep, remove_stop_words(tokenize(text_col), stop_words).alias(tok))
+    staged = df.select(*keep, filtered_tokens(text_col, stop_words).alias(tok))
     if stem:
         # Porter stem after the stop-word test, before the n-grams (Arrow-batched UDF)
         from bayesmill.functions.stem import stem_tokens
