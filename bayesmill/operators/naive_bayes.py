@@ -33,6 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bayesmill.operators.skew import salted_lookup_join
 from bayesmill.operators.tfidf import term_freq
 from bayesmill.session import ensure_checkpoint_dir
 
@@ -138,7 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str
 
 
 def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id",
-                 text_col: str = "text", on_unknown: str = "drop") -> DataFrame:
+                 text_col: str = "text", on_unknown: str = "drop", hot_terms: int = 1000,
+                 hot_buckets: int = 16) -> DataFrame:
     """``(id, scores array<double>)`` aligned with ``model.classes``.
 
     Test terms are counted per document first (repeats count each time), then
@@ -149,7 +151,9 @@ def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id"
     C = len(model.classes)
     tf = term_freq(docs.select(id_col, text_col), id_col, text_col, model.stop_words, model.grams, model.sep,
                    stem=model.stem)
-    j = tf.join(model.terms.select("term", "logp"), "term")
+    # the heaviest terms are salted so a term in most documents cannot pile onto one task
+    j = salted_lookup_join(tf, model.terms.select("term", "df", "logp"), "term", "df", id_col,
+                           top=hot_terms, buckets=hot_buckets)
     sums = j.groupBy(id_col).agg(*[F.sum(F.col("tf") * F.col("logp")[i]).alias(f"_s{i}") for i in range(C)])
     if on_unknown == "prior":
         sums = docs.select(id_col).join(sums, id_col, "left").fillna(0.0, subset=[f"_s{i}" for i in range(C)])

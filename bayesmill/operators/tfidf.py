@@ -7,9 +7,10 @@ Plan shape (documents ``(doc_id, text)``):
   then runs inside that partitioning with no further exchange,
 * document frequency is a partial + final aggregate by ``term`` (hot terms are
   pre-combined map side, so a term in every document costs one row per task),
-* TF-IDF joins TF with IDF on ``term``; the join strategy is Spark's: the IDF
+* TF-IDF joins TF with IDF on ``term``; the heaviest terms are salted over
+  several tasks (``operators/skew.py``); the join strategy is Spark's: the IDF
   side is broadcast only when its measured size is under the threshold,
-  otherwise sort-merge, with AQE splitting partitions of hot terms.
+  otherwise sort-merge, with AQE splitting what stays skewed.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.functions.text import with_terms
+from bayesmill.operators.skew import salted_lookup_join
 
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -68,9 +70,15 @@ def count_docs(docs: DataFrame):
     return docs.select(F.count(F.lit(1))).scalar()
 
 
-def tfidf(tf: DataFrame, idf_table: DataFrame, id_col: str = "doc_id", sqrt: bool = False) -> DataFrame:
-    """``(id, term, tf, idf, tfidf)``; ``sqrt=True`` gives the square-root damped variant."""
-    j = tf.join(idf_table.select("term", "idf"), "term")
+def tfidf(tf: DataFrame, idf_table: DataFrame, id_col: str = "doc_id", sqrt: bool = False,
+          hot_terms: int = 1000, hot_buckets: int = 16) -> DataFrame:
+    """``(id, term, tf, idf, tfidf)``; ``sqrt=True`` gives the square-root damped variant.
+
+    The most frequent terms are salted (``salted_lookup_join``) so the rows of
+    a term found in most documents are spread over ``hot_buckets`` tasks.
+    """
+    j = salted_lookup_join(tf, idf_table.select("term", "df", "idf"), "term", "df", id_col,
+                           top=hot_terms, buckets=hot_buckets).drop("df")
     w = F.col("tf") * F.col("idf")
     if sqrt:
         w = F.pow(w, 0.5)
