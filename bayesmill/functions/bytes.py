@@ -16,17 +16,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# a whitespace-delimited token of exactly two characters
-TWO_CHAR_TOKEN = "(?<!\\S)(\\S\\S)(?!\\S)"
+WHITESPACE = "\\s+"
 
 
 def byte_tokens(content: Column | str) -> Column:
     """Whitespace tokens of exactly two characters (CRLF counts as whitespace).
 
-    One regex pass in the JVM; the same result as splitting on whitespace and
-    keeping the tokens of length two.
+    Split on whitespace runs, keep length-two tokens (measured faster than a
+    single lookaround regex over the text).
     """
-    return F.regexp_extract_all(_col(content), F.lit(TWO_CHAR_TOKEN), 1)
+    return F.filter(F.split(_col(content), WHITESPACE), lambda x: F.length(x) == TOKEN_LENGTH)
 
 
 def byte_string(content: Column | str) -> Column:
