@@ -90,10 +90,12 @@ def as_map(features: DataFrame) -> DataFrame:
 
 
 def byte_tfidf(files: DataFrame, grams: Sequence[int] = (1, 2, 3), sep: str = "",
-               sqrt: bool = False) -> DataFrame:
+               sqrt: bool = False, checkpoint: bool = True) -> DataFrame:
     """``(file_id, gram, tf, idf, tfidf)`` over all files, N = number of files."""
     rows = gram_rows(files, grams, sep)
     tf = rows.groupBy("file_id", F.col("gram").alias("term")).agg(F.count(F.lit(1)).alias("tf"))
+    if checkpoint:
+        tf = TF.materialize(tf)   # tokenised once for both the DF aggregate and the join
     n = files.select(F.count(F.lit(1))).scalar()
     t = TF.tfidf(tf, TF.idf(TF.doc_freq(tf), n), "file_id", sqrt)
     return t.withColumnRenamed("term", "gram")

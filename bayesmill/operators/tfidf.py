@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions.text import with_terms
 from bayesmill.operators.skew import salted_lookup_join
+from bayesmill.session import ensure_checkpoint_dir
 
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -85,9 +86,21 @@ def tfidf(tf: DataFrame, idf_table: DataFrame, id_col: str = "doc_id", sqrt: boo
     return j.select(id_col, "term", "tf", "idf", w.alias("tfidf"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint under ``spark.checkpoint.dir``: computed once, lineage cut.
+
+    Used for tables read by several branches of a plan (TF feeds both the DF
+    aggregate and the TF-IDF join), so the tokenizer runs once.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def tfidf_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
-                sep: str = "", sqrt: bool = False) -> DataFrame:
+                sep: str = "", sqrt: bool = False, checkpoint: bool = True) -> DataFrame:
     """Whole chain: documents -> TF -> DF -> IDF -> TF-IDF."""
     tf = term_freq(docs, id_col, text_col, stop_words, grams, sep)
+    if checkpoint:
+        tf = materialize(tf)
     return tfidf(tf, idf(doc_freq(tf), count_docs(docs)), id_col, sqrt)
