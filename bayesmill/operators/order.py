@@ -3,16 +3,16 @@ putting predictions back in request order, URL manifests.
 
 ``with_row_index`` is a DataFrame form of ``zipWithIndex``: rows are range
 partitioned and sorted on the order key, each partition's size is counted
-(one small row per partition), offsets are the running sum over those few rows
-and are broadcast back. No window ever runs over the data itself, so no single
-task sees all rows.
+(one small row per partition), offsets are running sums over those few rows
+(folded by one global aggregate) and are broadcast back. No window or sort
+ever runs over the data in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.functions.draws import uniform
@@ -26,9 +26,18 @@ def with_row_index(df: DataFrame, order_by: Sequence[str | Column], name: str =
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    # running sum over one row per partition (bounded by the partition count)
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # One global aggregate folds the per-partition sizes (one row per
+    # partition, bounded by the partition count) into a sorted array; the
+    # running offsets are computed on that array and broadcast back.
+    folded = sizes.agg(F.array_sort(F.collect_list(F.struct("_pid", "_n", "_first"))).alias("_p"))
+    runs = folded.select(F.explode(F.zip_with(
+        "_p",
+        F.aggregate(F.col("_p"), F.array().cast("array<long>"),
+                    lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long"))
+                                                         + x["_n"]))),
+        lambda part, end: F.struct(part["_pid"].alias("_pid"), part["_first"].alias("_first"),
+                                   (end - part["_n"]).alias("_off")))).alias("o"))
+    offsets = runs.select("o._pid", "o._first", "o._off")
     out = tagged.join(F.broadcast(offsets), "_pid")
     idx = F.col("_off") + (F.col("_mid") - F.col("_first"))
     return out.withColumn(name, idx).drop("_pid", "_mid", "_first", "_off")
