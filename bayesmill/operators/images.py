@@ -27,8 +27,8 @@ from bayesmill.functions import draws as D
 
 # Per-channel mean and standard deviation of the training set
 # (0..255 scale) used by the colour normalisation, and the grey weights.
-CIFAR_MEAN = (125.3, 123.0, 113.9)
-CIFAR_STD = (63.0, 62.1, 66.7)
+CHANNEL_MEAN = (125.3, 123.0, 113.9)
+CHANNEL_STD = (63.0, 62.1, 66.7)
 GREY_WEIGHTS = (0.299, 0.587, 0.114)
 
 # draw step numbers per operator (keep draws of different operators apart)
@@ -122,8 +122,8 @@ def ten_crop(df: DataFrame, shape: tuple[int, int, int], size: int, col: str = "
 
 # ---------------------------------------------------------------- colour
 
-def color_normalize(df: DataFrame, shape: tuple[int, int, int], mean: Sequence[float] = CIFAR_MEAN,
-                    std: Sequence[float] = CIFAR_STD, col: str = "pixels") -> DataFrame:
+def color_normalize(df: DataFrame, shape: tuple[int, int, int], mean: Sequence[float] = CHANNEL_MEAN,
+                    std: Sequence[float] = CHANNEL_STD, col: str = "pixels") -> DataFrame:
     """``(v - mean[ch]) / std[ch]`` for the first ``len(mean)`` channels; others unchanged."""
     c, h, w = shape
     hw = h * w
@@ -256,7 +256,7 @@ def lighting(df: DataFrame, shape: tuple[int, int, int], alphastd: float, eigval
 
 
 def preprocess(df: DataFrame, shape: tuple[int, int, int], split: str, crop_size: int | None = None,
-               padding: int = 4, mean=CIFAR_MEAN, std=CIFAR_STD, seed: int = 0, epoch: int = 1,
+               padding: int = 4, mean=CHANNEL_MEAN, std=CHANNEL_STD, seed: int = 0, epoch: int = 1,
                id_col: str = "image_id", col: str = "pixels") -> DataFrame:
     """Train: normalise -> mirror (p=0.5) -> padded random crop. Validation: normalise."""
     c, h, w = shape

@@ -222,8 +222,8 @@ def _blend_scalar(px, ref, a):
 def _normalize(px: str, shape) -> str:
     c, h, w = shape
     hw = h * w
-    m = [IM.CIFAR_MEAN[ch] if ch < 3 else 0.0 for ch in range(c) for _ in range(hw)]
-    s = [IM.CIFAR_STD[ch] if ch < 3 else 1.0 for ch in range(c) for _ in range(hw)]
+    m = [IM.CHANNEL_MEAN[ch] if ch < 3 else 0.0 for ch in range(c) for _ in range(hw)]
+    s = [IM.CHANNEL_STD[ch] if ch < 3 else 1.0 for ch in range(c) for _ in range(hw)]
     return (f"list_transform(range(0, {c * hw}), lambda i: (CAST({px}[i + 1] AS DOUBLE) - {_dlist(m)}[i + 1]) "
             f"/ {_dlist(s)}[i + 1])")
 

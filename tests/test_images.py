@@ -61,7 +61,7 @@ def test_normalize_and_grayscale(spark, imgs):
     df, rows = imgs
     a = np.array(rows[0][2], dtype=float).reshape(SHAPE)
     n = np.array(IM.color_normalize(df.where("image_id = 0"), SHAPE).first()["pixels"]).reshape(SHAPE)
-    want = (a - np.array(IM.CIFAR_MEAN)[:, None, None]) / np.array(IM.CIFAR_STD)[:, None, None]
+    want = (a - np.array(IM.CHANNEL_MEAN)[:, None, None]) / np.array(IM.CHANNEL_STD)[:, None, None]
     assert np.allclose(n, want)
     g = np.array(IM.grayscale(df.where("image_id = 0"), SHAPE).first()["pixels"]).reshape(SHAPE)
     grey = 0.299 * a[0] + 0.587 * a[1] + 0.114 * a[2]
