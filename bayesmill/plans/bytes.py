@@ -13,6 +13,7 @@ from bayesmill.operators import bytegrams as BG
 from bayesmill.operators import order as O
 from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
+from bayesmill.sources.lines import read_csv_first_column, read_lines_indexed, write_lines
 
 R = 6
 GRAMS = (1, 2)
@@ -36,9 +37,14 @@ def ngram_freq(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _zipped_labels(spark, sf):
-    ids = T.byte_id_lines(spark, sf)
-    labs = T.byte_label_lines(spark, sf).withColumnRenamed("doc_id", "doc_id_r")
-    z = O.positional_zip(ids, labs, ["doc_id"], ["doc_id_r"])
+    """The id file and the label file written as CSV (rows in doc_id order),
+    read back with file-order line numbers and zipped by position."""
+    base = scratch_path(spark, "labels")
+    write_lines(T.byte_id_lines(spark, sf).select(F.col("id").alias("v"), "doc_id"), f"{base}/ids", "doc_id")
+    write_lines(T.byte_label_lines(spark, sf).select(F.col("label").alias("v"), "doc_id"), f"{base}/labels", "doc_id")
+    ids = read_csv_first_column(spark, f"{base}/ids", "pos", "id")
+    labs = read_csv_first_column(spark, f"{base}/labels", "pos", "label")
+    z = ids.join(labs, "pos")
     return z.select("pos", F.col("id").alias("file_id"), "label")
 
 
@@ -61,11 +67,12 @@ def row_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line source: the corpus written one document per line, read back as lines."""
+    """Line source: the corpus written one document per line (in doc_id order),
+    read back with dense line numbers in file order."""
     path = scratch_path(spark, "lines")
-    d = T.corpus(spark, sf).select(F.regexp_replace("text", "[\r\n]", " ").alias("value"))
-    d.write.mode("overwrite").text(path)
-    return spark.read.text(path).select("value")
+    d = T.corpus(spark, sf).select(F.regexp_replace("text", "[\r\n]", " ").alias("value"), "doc_id")
+    write_lines(d.select("value", "doc_id"), path, "doc_id")
+    return read_lines_indexed(spark, path)
 
 
 def src_whole_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,5 +152,6 @@ SQL = {
                   "SELECT tf.file_id, tf.gram, tf.tf, round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
                   "FROM tf JOIN dfq ON tf.gram = dfq.gram CROSS JOIN n",
     "row_index": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents",
-    "src_lines": "SELECT regexp_replace(text, '[\\r\\n]', ' ', 'g') AS value FROM documents",
+    "src_lines": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no, "
+                 "regexp_replace(text, '[\\r\\n]', ' ', 'g') AS value FROM documents",
 }

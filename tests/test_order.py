@@ -45,3 +45,19 @@ def test_manifest(spark):
     ids = spark.createDataFrame([(983,), (23061,)], "image_id long")
     got = [r["url"] for r in O.manifest(ids, "image_id", "https://h/images/").collect()]
     assert got == ["https://h/images/00983.png", "https://h/images/23061.png"]
+
+
+def test_lines_numbered_in_file_order_across_files(spark):
+    import os
+    import tempfile
+
+    from bayesmill.sources.lines import read_csv_first_column, read_lines_indexed, write_lines
+
+    base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rows = spark.range(0, 5000).select(F.format_string("line-%05d", "id").alias("v"), F.col("id"))
+    write_lines(rows.repartition(7), os.path.join(base, "t"), "id")   # several part files
+    got = read_lines_indexed(spark, os.path.join(base, "t")).collect()
+    assert sorted((r["line_no"], r["value"]) for r in got) == [(i, f"line-{i:05d}") for i in range(5000)]
+    write_lines(rows.select(F.concat_ws(",", "v", F.lit("x")).alias("c"), "id"), os.path.join(base, "c"), "id")
+    got = read_csv_first_column(spark, os.path.join(base, "c")).collect()
+    assert sorted((r["pos"], r["value"]) for r in got) == [(i, f"line-{i:05d}") for i in range(5000)]
