@@ -2,10 +2,10 @@
 putting predictions back in request order, URL manifests.
 
 ``with_row_index`` is a DataFrame form of ``zipWithIndex``: rows are range
-partitioned and sorted on the order key, each partition's size is counted
-(one small row per partition), offsets are running sums over those few rows
-(folded by one global aggregate) and are broadcast back. No window or sort
-ever runs over the data in one task.
+partitioned and sorted on the order key and checkpointed, each partition's
+size is counted (one small row per partition), offsets are running sums over
+those few rows (folded by one global aggregate) and are broadcast back. No
+window or sort ever runs over the data in one task.
 """
 
 from __future__ import annotations
@@ -16,28 +16,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.functions.draws import uniform
+from bayesmill.session import ensure_checkpoint_dir
+
+
+def running_offsets(sizes: DataFrame, key: str, count_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``(key, *carry, _off)``: for a small table with one row per unit (partition,
+    file split), the number of rows in all units ordered before it.
+
+    One global aggregate folds the rows (bounded by the number of units) into a
+    sorted array; running sums are computed on it and the rows exploded back.
+    """
+    fields = [key, count_col, *carry]
+    folded = sizes.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_p"))
+    ends = F.aggregate(F.col("_p"), F.array().cast("array<long>"),
+                       lambda acc, x: F.concat(acc, F.array(
+                           F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long")) + x[count_col])))
+    rows = folded.select(F.explode(F.zip_with(
+        "_p", ends, lambda u, end: F.struct(*[u[f].alias(f) for f in [key, *carry]],
+                                            (end - u[count_col]).alias("_off")))).alias("o"))
+    return rows.select(*[F.col(f"o.{f}") for f in [key, *carry]], F.col("o._off"))
 
 
 def with_row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index",
                    num_partitions: int | None = None) -> DataFrame:
-    """Add a dense 0-based index following ``order_by`` (which should be unique)."""
+    """Add a dense 0-based index following ``order_by`` (which should be unique).
+
+    The range-partitioned, sorted and tagged rows are checkpointed (reliable,
+    under ``spark.checkpoint.dir``) before they are counted: range boundaries
+    come from sampling, so two computations of the same shuffle may place rows
+    differently; counting and numbering the one materialised copy cannot disagree.
+    """
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    # One global aggregate folds the per-partition sizes (one row per
-    # partition, bounded by the partition count) into a sorted array; the
-    # running offsets are computed on that array and broadcast back.
-    folded = sizes.agg(F.array_sort(F.collect_list(F.struct("_pid", "_n", "_first"))).alias("_p"))
-    runs = folded.select(F.explode(F.zip_with(
-        "_p",
-        F.aggregate(F.col("_p"), F.array().cast("array<long>"),
-                    lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long"))
-                                                         + x["_n"]))),
-        lambda part, end: F.struct(part["_pid"].alias("_pid"), part["_first"].alias("_first"),
-                                   (end - part["_n"]).alias("_off")))).alias("o"))
-    offsets = runs.select("o._pid", "o._first", "o._off")
+    offsets = running_offsets(sizes, "_pid", "_n", ["_first"])   # one row per partition: bounded
     out = tagged.join(F.broadcast(offsets), "_pid")
     idx = F.col("_off") + (F.col("_mid") - F.col("_first"))
     return out.withColumn(name, idx).drop("_pid", "_mid", "_first", "_off")
