@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.functions.bytes import TOKEN_LENGTH, byte_string, byte_tokens, file_id
-from bayesmill.functions.text import ngrams
 from bayesmill.operators import tfidf as TF
 
 

@@ -1,6 +1,5 @@
 """Every registered key with an oracle statement against DuckDB on sf0.001."""
 
-import math
 import os
 import sys
 
