@@ -112,3 +112,13 @@ def test_multilabel_accuracy(spark):
     truth = spark.createDataFrame([(1, ["A", "B"]), (2, ["A"]), (3, ["C"])], "doc_id long, classes array<string>")
     r = NB.multilabel_accuracy(pred, truth).first()
     assert (r["n"], r["correct"]) == (3, 2)
+
+
+def test_stemming_option_merges_word_forms(spark):
+    docs = spark.createDataFrame([(1, "running runs"), (2, "cats cat")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, ["R"]), (2, ["C"])], "doc_id long, classes array<string>")
+    m = NB.fit(docs, labels, ["C", "R"], stop_words=(), stem=True)
+    terms = sorted(r["term"] for r in m.terms.collect())
+    assert terms == sorted(["run", "runrun", "cat", "catcat"])
+    test = spark.createDataFrame([(9, "runner running")], "doc_id long, text string")
+    assert NB.predict(m, test).first()["label"] == "R"
