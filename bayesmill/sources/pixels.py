@@ -168,7 +168,7 @@ def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int],
                     labels: DataFrame | None = None, id_col: str = "image_id") -> DataFrame:
     """``(image_id, label, pixels array<int>)`` from a PNG folder, channel order R, G, B.
 
-    The id is the file name before the first dot, as an integer. With
+    The id is the file name before the first dot, as a long integer. With
     ``labels`` (``image_id, label``) every image must find its label (the job
     fails otherwise).
     """
@@ -176,7 +176,7 @@ def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int],
     img = (spark.read.format("image").option("pathGlobFilter", "*.png").option("recursiveFileLookup", "true")
            .load(path))
     name = F.element_at(F.split("image.origin", "/"), -1)
-    rid = F.split_part(name, F.lit("."), F.lit(1)).cast("int")
+    rid = F.split_part(name, F.lit("."), F.lit(1)).cast("long")
     # image.data: row-major, channels B, G, R (grey or 4-channel modes mapped to three)
     src = []
     for ch in range(3):
