@@ -52,3 +52,10 @@ def write_lines(df: DataFrame, path: str, order_by: str | None = None) -> None:
     first = df.columns[0]
     out = df.orderBy(order_by) if order_by else df
     out.select(first).write.mode("overwrite").text(path)
+
+
+def read_int_lines(spark: SparkSession, path: str, name: str = "pos", col: str = "value") -> DataFrame:
+    """``(pos, value long)``: one integer per line in file order; leading zeros
+    drop (``00983`` -> 983); a line that is not a number gives null."""
+    lines = read_lines_indexed(spark, path, name)
+    return lines.select(name, F.trim("value").try_cast("long").alias(col))

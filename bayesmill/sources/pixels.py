@@ -57,6 +57,18 @@ def parse_pixel_text(lines: DataFrame, value_col: str = "value") -> DataFrame:
                          F.slice("_v", 2, F.greatest(F.size("_v") - 1, F.lit(0))).alias("pixels"))
 
 
+def records_from_flat(df: DataFrame, col: str, record_len: int, out_col: str = "record") -> DataFrame:
+    """Cut a flat array into consecutive records of ``record_len`` values
+    (``record_no``, ``record``); a short tail is kept as a shorter record."""
+    n = F.size(col)
+    count = F.ceil(n / F.lit(record_len)).cast("int")
+    starts = F.when(n > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    recs = F.transform(starts, lambda i: F.struct(i.alias("record_no"),
+                                                  F.slice(F.col(col), i * record_len + 1, record_len).alias(out_col)))
+    keep = [c for c in df.columns if c != col]
+    return df.select(*keep, F.explode(recs).alias("_r")).select(*keep, "_r.record_no", f"_r.{out_col}")
+
+
 def clean_list_text(value: Column | str) -> Column:
     c = F.col(value) if isinstance(value, str) else value
     for pattern, repl in CLEAN_STEPS:

@@ -61,3 +61,24 @@ def test_lines_numbered_in_file_order_across_files(spark):
     write_lines(rows.select(F.concat_ws(",", "v", F.lit("x")).alias("c"), "id"), os.path.join(base, "c"), "id")
     got = read_csv_first_column(spark, os.path.join(base, "c")).collect()
     assert sorted((r["pos"], r["value"]) for r in got) == [(i, f"line-{i:05d}") for i in range(5000)]
+
+
+def test_int_lines_drop_leading_zeros(spark):
+    import os
+    import tempfile
+
+    from bayesmill.sources.lines import read_int_lines
+
+    base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    with open(os.path.join(base, "ids.txt"), "w") as f:
+        f.write("23061\n00983\n04470\n")
+    got = [(r["pos"], r["value"]) for r in read_int_lines(spark, base).orderBy("pos").collect()]
+    assert got == [(0, 23061), (1, 983), (2, 4470)]
+
+
+def test_records_from_flat(spark):
+    from bayesmill.sources.pixels import records_from_flat
+
+    df = spark.createDataFrame([(1, list(range(7)))], "id long, flat array<int>")
+    got = [(r["record_no"], r["record"]) for r in records_from_flat(df, "flat", 3).orderBy("record_no").collect()]
+    assert got == [(0, [0, 1, 2]), (1, [3, 4, 5]), (2, [6])]
