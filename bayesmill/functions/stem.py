@@ -146,6 +146,22 @@ def stem_tokens(tokens: pd.Series) -> pd.Series:
     return tokens.map(lambda arr: None if arr is None else [porter_stem(t) for t in arr])
 
 
+def lemma_stem_tokens(spark, lemmas: dict[str, str]):
+    """A token-array UDF applying ``lemmas`` (form -> lemma) then the stemmer.
+
+    The lemma dictionary is language data of fixed size (not growing with the
+    corpus); it is shipped once per executor as a broadcast variable.
+    """
+    bc = spark.sparkContext.broadcast(dict(lemmas))
+
+    @pandas_udf(ArrayType(StringType()))
+    def apply(tokens: pd.Series) -> pd.Series:
+        table = bc.value
+        return tokens.map(lambda arr: None if arr is None else [porter_stem(table.get(t, t)) for t in arr])
+
+    return apply
+
+
 def normalize_terms(terms: DataFrame, term_col: str = "term", lemmas: DataFrame | None = None) -> DataFrame:
     """``(term, norm)`` for the distinct terms: lemma (user table ``(form, lemma)``,
     unchanged when absent) then Porter stem. The stemmer sees each distinct

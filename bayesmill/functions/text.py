@@ -98,7 +98,8 @@ def term_bag(tokens: Column | str, grams: Sequence[int] = (1, 2), sep: str = "")
 
 def with_terms(df: DataFrame, text_col: str = "text", out_col: str = "terms",
                stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
-               sep: str = "", drop_text: bool = True, stem: bool = False) -> DataFrame:
+               sep: str = "", drop_text: bool = True, stem: bool = False,
+               lemmas: dict[str, str] | None = None) -> DataFrame:
     """Full text front end as staged projections: clean -> split -> lower ->
     stop words -> (optional Porter stem) -> n-gram bag in ``out_col``.
 
@@ -111,8 +112,10 @@ def with_terms(df: DataFrame, text_col: str = "text", out_col: str = "terms",
     keep = [c for c in df.columns if not (drop_text and c == text_col)]
     staged = df.select(*keep, filtered_tokens(text_col, stop_words).alias(tok))
     if stem:
-        # Porter stem after the stop-word test, before the n-grams (Arrow-batched UDF)
-        from bayesmill.functions.stem import stem_tokens
+        # lemma (optional dictionary) then Porter stem, after the stop-word test
+        # and before the n-grams (Arrow-batched UDF)
+        from bayesmill.functions.stem import lemma_stem_tokens, stem_tokens
 
-        staged = staged.select(*keep, stem_tokens(F.col(tok)).alias(tok))
+        udf = lemma_stem_tokens(df.sparkSession, lemmas) if lemmas else stem_tokens
+        staged = staged.select(*keep, udf(F.col(tok)).alias(tok))
     return staged.select(*keep, term_bag(F.col(tok), grams, sep).alias(out_col))

@@ -50,6 +50,7 @@ class NaiveBayesModel:
     grams: tuple[int, ...]
     sep: str
     stem: bool = False
+    lemmas: dict[str, str] | None = None
 
     @property
     def prior(self) -> tuple[float | None, ...]:
@@ -88,7 +89,8 @@ def class_flags(classes_col: Column, classes: Sequence[str]) -> list[Column]:
 def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "classes",
         stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
-        sep: str = "", stem: bool = False, checkpoint: bool = True) -> NaiveBayesModel:
+        sep: str = "", stem: bool = False, lemmas: dict[str, str] | None = None,
+        checkpoint: bool = True) -> NaiveBayesModel:
     """Fit on documents ``(id, text)`` and label sets ``(id, classes array<string>)``.
 
     Unlabelled documents (no row, or an empty set) still count in N, df and V.
@@ -105,7 +107,8 @@ def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str
     # one shuffle of the raw text by id; labels joined on id keep that partitioning
     texts = docs.select(id_col, text_col).repartition(id_col)
     joined = texts.join(lab, id_col, "left").select(id_col, text_col, *class_flags(F.col(label_col), classes))
-    tf = term_freq(joined, id_col, text_col, sw, grams, sep, keep=flag_cols, prepartitioned=True, stem=stem)
+    tf = term_freq(joined, id_col, text_col, sw, grams, sep, keep=flag_cols, prepartitioned=True, stem=stem,
+                   lemmas=lemmas)
     agg = tf.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"),
         *[F.sum(F.col("tf") * F.col(f)).alias(f"_tf{i}") for i, f in enumerate(flag_cols)],
@@ -135,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str
         x = F.when(F.col("docs_by_class")[i] > 0, F.col("tf_by_class")[i] * F.col("idf")).otherwise(1.0 / denom)
         logps.append(F.ln((x + 1.0) / denom))
     terms = terms.withColumn("logp", F.array(*logps))
-    return NaiveBayesModel(classes, terms, n_docs, vocab, class_docs, pairs, sw, tuple(grams), sep, stem)
+    return NaiveBayesModel(classes, terms, n_docs, vocab, class_docs, pairs, sw, tuple(grams), sep, stem, lemmas)
 
 
 def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id",
@@ -150,7 +153,7 @@ def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id"
     """
     C = len(model.classes)
     tf = term_freq(docs.select(id_col, text_col), id_col, text_col, model.stop_words, model.grams, model.sep,
-                   stem=model.stem)
+                   stem=model.stem, lemmas=model.lemmas)
     # the heaviest terms are salted so a term in most documents cannot pile onto one task
     j = salted_lookup_join(tf, model.terms.select("term", "df", "logp"), "term", "df", id_col,
                            top=hot_terms, buckets=hot_buckets)

@@ -27,14 +27,16 @@ from bayesmill.session import ensure_checkpoint_dir
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
-                  sep: str = "", keep: Sequence[str] = (), stem: bool = False) -> DataFrame:
+                  sep: str = "", keep: Sequence[str] = (), stem: bool = False,
+                  lemmas: dict[str, str] | None = None) -> DataFrame:
     """One row per term occurrence: ``(id, *keep, term)``.
 
     ``explode_outer`` on the computed bag, then a null filter: a plain
     ``explode`` of a computed array lets the optimizer infer a ``size(bag) > 0``
     filter and push a second copy of the whole tokenizer below it.
     """
-    bags = with_terms(docs.select(id_col, *keep, text_col), text_col, "_bag", stop_words, grams, sep, stem=stem)
+    bags = with_terms(docs.select(id_col, *keep, text_col), text_col, "_bag", stop_words, grams, sep, stem=stem,
+                      lemmas=lemmas)
     return (bags.select(F.col(id_col), *[F.col(k) for k in keep], F.explode_outer("_bag").alias("term"))
             .where(F.col("term").isNotNull()))
 
@@ -42,13 +44,13 @@ def explode_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
               sep: str = "", keep: Sequence[str] = (), prepartitioned: bool = False,
-              stem: bool = False) -> DataFrame:
+              stem: bool = False, lemmas: dict[str, str] | None = None) -> DataFrame:
     """Raw count per (document, term): ``(id, *keep, term, tf long)``.
 
     ``keep`` columns must be functionally dependent on the id (e.g. its labels).
     """
     src = docs if prepartitioned else docs.repartition(id_col)
-    rows = explode_terms(src, id_col, text_col, stop_words, grams, sep, keep, stem)
+    rows = explode_terms(src, id_col, text_col, stop_words, grams, sep, keep, stem, lemmas)
     return rows.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

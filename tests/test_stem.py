@@ -20,3 +20,12 @@ def test_normalize_terms_with_lemmas(spark):
     lemmas = spark.createDataFrame([("geese", "goose")], "form string, lemma string")
     got = {r["term"]: r["norm"] for r in normalize_terms(terms, lemmas=lemmas).collect()}
     assert got == {"geese": "goos", "running": "run"}
+
+
+def test_front_end_lemma_then_stem(spark):
+    from bayesmill.functions.text import with_terms
+
+    df = spark.createDataFrame([(1, "Geese were running")], "doc_id long, text string")
+    bag = with_terms(df, "text", "bag", stop_words=(), grams=(1,), stem=True,
+                     lemmas={"geese": "goose", "were": "be"}).first()["bag"]
+    assert bag == ["goos", "be", "run"]
