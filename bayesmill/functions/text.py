@@ -36,7 +36,7 @@ def clean_text(text: Column | str) -> Column:
 def tokenize(text: Column | str) -> Column:
     """Clean, split on runs of spaces, drop empty tokens -> ``array<string>``."""
     parts = F.split(clean_text(text), SPACES)
-    return F.filter(parts, lambda x: x != "")
+    return F.array_remove(parts, "")
 
 
 def remove_stop_words(tokens: Column | str, stop_words: Iterable[str] | None = None) -> Column:
@@ -57,7 +57,7 @@ def filtered_tokens(text: Column | str, stop_words: Iterable[str] | None = None)
     words = tuple(w for w in words if w)
     parts = F.split(clean_text(text), SPACES)
     if not words:
-        return F.filter(parts, lambda x: x != "")
+        return F.array_remove(parts, "")
     return F.filter(parts, lambda x: (x != "") & ~x.isin(*words))
 
 
