@@ -34,6 +34,7 @@ def byte_string(content: Column | str) -> Column:
 
 
 def file_id(path: Column | str) -> Column:
-    """Last 20 characters of the path before its first dot."""
-    stem = F.substring_index(_col(path), ".", 1)
+    """Last 20 characters of the base name before its first dot (dots in host or folder names don't count)."""
+    base = F.substring_index(_col(path), "/", -1)
+    stem = F.substring_index(base, ".", 1)
     return F.substring(stem, -ID_LENGTH, ID_LENGTH)

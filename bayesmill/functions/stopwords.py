@@ -1,38 +1,24 @@
 """Stop-word list.
 
-The list is a parameter of every text job. The default is Spark ML's own
-English list (the resource shipped in the spark-mllib jar, the same words
-``StopWordsRemover.loadDefaultStopWords('english')`` returns), read straight
-from the jar so no JVM is needed and the list is never re-typed here.
-Apostrophes are removed from each word because the cleaner deletes them from
-the text before the test (``don't`` -> ``dont``).
+The list is a parameter of every text job. The default is Spark ML's English
+list, shipped as a plain text file beside this module (see ``data/README.md``)
+and read on first use. Apostrophes are removed from each word because the
+cleaner deletes them from the text before the test (``don't`` -> ``dont``).
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
+from pathlib import Path
 
-_RESOURCE = "org/apache/spark/ml/feature/stopwords/{lang}.txt"
+DATA = Path(__file__).with_name("data")
+
+
+def raw_stop_words(lang: str = "english") -> tuple[str, ...]:
+    """The words of ``data/stopwords_<lang>.txt`` as they stand in the file."""
+    return tuple((DATA / f"stopwords_{lang}.txt").read_text(encoding="utf-8").split())
 
 
 @functools.lru_cache(maxsize=8)
 def default_stop_words(lang: str = "english") -> tuple[str, ...]:
-    import pyspark
-
-    pattern = os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")
-    jars = sorted(glob.glob(pattern))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found; pass stop_words explicitly")
-    with zipfile.ZipFile(jars[0]) as z:
-        words = z.read(_RESOURCE.format(lang=lang)).decode("utf-8").split()
-    out: list[str] = []
-    seen: set[str] = set()
-    for w in words:
-        w = w.replace("'", "")
-        if w and w not in seen:
-            seen.add(w)
-            out.append(w)
-    return tuple(out)
+    return tuple(dict.fromkeys(w for w in (x.replace("'", "") for x in raw_stop_words(lang)) if w))

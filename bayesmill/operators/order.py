@@ -100,8 +100,8 @@ def reorder_predictions(pred: DataFrame, request: DataFrame, id_col: str = "id",
 
 def manifest(ids: DataFrame, id_col: str, prefix: str, suffix: str = ".png",
              width: int | None = 5) -> DataFrame:
-    """``prefix + id + suffix`` per id; ``width`` left-pads numeric ids with zeros."""
+    """``prefix + id + suffix`` per id; ``width`` left-pads shorter ids with zeros (longer ids stay whole)."""
     c = F.col(id_col).cast("string")
     if width:
-        c = F.lpad(c, width, "0")
+        c = F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
     return ids.withColumn("url", F.concat(F.lit(prefix), c, F.lit(suffix)))

@@ -126,6 +126,6 @@ SQL = {
                            f"{_perm_sql(REQUEST_SEED, 'ids')} "
                            "SELECT p.perm_index AS pos, p.id, CAST(l.pred AS BIGINT) AS pred FROM perm p "
                            "LEFT JOIN last l ON p.id = l.id",
-    "manifest": f"SELECT vec_id AS image_id, '{MANIFEST_PREFIX}' || lpad(CAST(vec_id AS VARCHAR), 5, '0') || '.png' "
+    "manifest": f"SELECT vec_id AS image_id, '{MANIFEST_PREFIX}' || CASE WHEN length(CAST(vec_id AS VARCHAR)) < 5 THEN lpad(CAST(vec_id AS VARCHAR), 5, '0') ELSE CAST(vec_id AS VARCHAR) END || '.png' "
                 "AS url FROM embeddings",
 }

@@ -24,7 +24,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for m in _modules():
-        out.update(m.SQL)
+        out.update(m.sql() if hasattr(m, "sql") else m.SQL)
     return out
 
 

@@ -190,51 +190,51 @@ QUERIES = {
 
 # ---------------------------------------------------------------- oracle SQL
 
-_TOK = S.tokens("text")
-_FT = S.stop_filtered(_TOK)
-_TRAIN = "WITH " + S.text_ctes(S.TRAIN_WHERE)
-_NB = S.nb_ctes()
-
-
-def _ngram_sql() -> str:
+def _ngram_sql(filtered: str) -> str:
     arms = []
     for n in (1, 2, 3):
         g = S.ngrams("t", n, " ")
         arms.append(f"SELECT doc_id, {n}::BIGINT AS n, array_to_string({g}, '|') AS grams, "
                     f"len({g})::BIGINT AS n_grams FROM ft")
-    return f"WITH ft AS (SELECT doc_id, {_FT} AS t FROM documents) " + " UNION ALL ".join(arms)
-
-
-SQL = {
-    "clean_tokens": f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens "
-                    f"FROM (SELECT doc_id, {_TOK} AS t FROM documents)",
-    "stopword_filter": f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens "
-                       f"FROM (SELECT doc_id, {_FT} AS t FROM documents)",
-    "bigrams": f"SELECT doc_id, array_to_string(g, ' ') AS bigrams, len(g)::BIGINT AS n_bigrams FROM "
-               f"(SELECT doc_id, {S.ngrams('t', 2)} AS g FROM (SELECT doc_id, {_FT} AS t FROM documents))",
-    "ngrams": _ngram_sql(),
-    "term_bag": f"SELECT doc_id, array_to_string(b, ' ') AS terms, len(b)::BIGINT AS n_terms FROM "
-                f"(SELECT doc_id, {S.bag('t')} AS b FROM (SELECT doc_id, {_FT} AS t FROM documents))",
-    "label_sets": f"SELECT doc_id, array_to_string(classes, ',') AS classes, len(classes)::BIGINT AS n_classes "
-                  f"FROM ({S.LABEL_SETS})",
-    "label_explode": f"SELECT doc_id, unnest(classes) AS class FROM ({S.LABEL_SETS})",
-    "term_freq": _TRAIN + " SELECT doc_id, term, tf FROM tf",
-    "doc_freq": _TRAIN + " SELECT term, count(*) AS df FROM tf GROUP BY term",
-    "idf": _TRAIN + ", n AS (SELECT count(*) AS n FROM docs) SELECT term, count(*) AS df, "
-                    "round(ln((min(n.n) + 1.0) / (count(*) + 1.0)), 6) AS idf FROM tf CROSS JOIN n GROUP BY term",
-    "vocabulary": _TRAIN + " SELECT count(DISTINCT term) AS vocab_size FROM tf",
-    "tfidf": _TRAIN + ", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term) "
-                      "SELECT tf.doc_id, tf.term, tf.tf, round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
-                      "FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n",
-    "tfidf_labeled": _NB + "SELECT res.doc_id, res.term, res.class, round(res.w, 6) AS tfidf FROM res",
-    "class_counts": _NB + "SELECT class, class_docs::BIGINT AS class_docs FROM cstat",
-    "class_prior": _NB + "SELECT class, round(prior, 6) AS prior FROM cstat",
-    "class_pair_counts": _NB + "SELECT class, pair_count::BIGINT AS pair_count FROM wq",
-    "class_term_sums": _NB + "SELECT class, term, round(x, 6) AS tfidf_sum FROM cts",
-    "nb_model": _NB + "SELECT term, class, round(logp, 6) AS logp FROM model",
-    "nb_scores": _NB + "SELECT doc_id, class, round(score, 6) AS score FROM scores",
-    "nb_predict": _NB + "SELECT doc_id, label FROM pred",
-    "multilabel_accuracy": _NB + ", hits AS (SELECT p.doc_id, CASE WHEN list_contains(l.classes, p.label) "
-                           "THEN 1 ELSE 0 END AS hit FROM pred p JOIN labsets l ON p.doc_id = l.doc_id) "
-                           "SELECT count(*) AS n, sum(hit)::BIGINT AS correct, round(avg(hit), 6) AS accuracy FROM hits",
-}
+    return f"WITH ft AS (SELECT doc_id, {filtered} AS t FROM documents) " + " UNION ALL ".join(arms)
+
+
+def sql() -> dict[str, str]:
+    """The oracle statements, built on request (they embed the stop-word list)."""
+    tok = S.tokens("text")
+    filtered = S.stop_filtered(tok)
+    train = "WITH " + S.text_ctes(S.TRAIN_WHERE)
+    nb = S.nb_ctes()
+    return {
+        "clean_tokens": f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens "
+                        f"FROM (SELECT doc_id, {tok} AS t FROM documents)",
+        "stopword_filter": f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens "
+                           f"FROM (SELECT doc_id, {filtered} AS t FROM documents)",
+        "bigrams": f"SELECT doc_id, array_to_string(g, ' ') AS bigrams, len(g)::BIGINT AS n_bigrams FROM "
+                   f"(SELECT doc_id, {S.ngrams('t', 2)} AS g FROM (SELECT doc_id, {filtered} AS t FROM documents))",
+        "ngrams": _ngram_sql(filtered),
+        "term_bag": f"SELECT doc_id, array_to_string(b, ' ') AS terms, len(b)::BIGINT AS n_terms FROM "
+                    f"(SELECT doc_id, {S.bag('t')} AS b FROM (SELECT doc_id, {filtered} AS t FROM documents))",
+        "label_sets": f"SELECT doc_id, array_to_string(classes, ',') AS classes, len(classes)::BIGINT AS n_classes "
+                      f"FROM ({S.LABEL_SETS})",
+        "label_explode": f"SELECT doc_id, unnest(classes) AS class FROM ({S.LABEL_SETS})",
+        "term_freq": train + " SELECT doc_id, term, tf FROM tf",
+        "doc_freq": train + " SELECT term, count(*) AS df FROM tf GROUP BY term",
+        "idf": train + ", n AS (SELECT count(*) AS n FROM docs) SELECT term, count(*) AS df, "
+                        "round(ln((min(n.n) + 1.0) / (count(*) + 1.0)), 6) AS idf FROM tf CROSS JOIN n GROUP BY term",
+        "vocabulary": train + " SELECT count(DISTINCT term) AS vocab_size FROM tf",
+        "tfidf": train + ", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term) "
+                          "SELECT tf.doc_id, tf.term, tf.tf, round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
+                          "FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n",
+        "tfidf_labeled": nb + "SELECT res.doc_id, res.term, res.class, round(res.w, 6) AS tfidf FROM res",
+        "class_counts": nb + "SELECT class, class_docs::BIGINT AS class_docs FROM cstat",
+        "class_prior": nb + "SELECT class, round(prior, 6) AS prior FROM cstat",
+        "class_pair_counts": nb + "SELECT class, pair_count::BIGINT AS pair_count FROM wq",
+        "class_term_sums": nb + "SELECT class, term, round(x, 6) AS tfidf_sum FROM cts",
+        "nb_model": nb + "SELECT term, class, round(logp, 6) AS logp FROM model",
+        "nb_scores": nb + "SELECT doc_id, class, round(score, 6) AS score FROM scores",
+        "nb_predict": nb + "SELECT doc_id, label FROM pred",
+        "multilabel_accuracy": nb + ", hits AS (SELECT p.doc_id, CASE WHEN list_contains(l.classes, p.label) "
+                               "THEN 1 ELSE 0 END AS hit FROM pred p JOIN labsets l ON p.doc_id = l.doc_id) "
+                               "SELECT count(*) AS n, sum(hit)::BIGINT AS correct, round(avg(hit), 6) AS accuracy FROM hits",
+    }

@@ -11,7 +11,7 @@ def test_tokens_keep_unknown_and_drop_address(spark):
 
 def test_file_id_last_20_before_first_dot(spark):
     df = spark.createDataFrame([("s3://b/binaries/0A32eTdBKayjCWhZqDOQ.bytes",), ("/x/short.bytes",)], "path string")
-    assert [r[0] for r in df.select(file_id("path")).collect()] == ["0A32eTdBKayjCWhZqDOQ", "/x/short"]
+    assert [r[0] for r in df.select(file_id("path")).collect()] == ["0A32eTdBKayjCWhZqDOQ", "short"]
 
 
 def test_threshold_is_inclusive(spark):
@@ -30,8 +30,13 @@ def test_each_gram_size_counted_once(spark):
 def test_features_join_labels(spark):
     files = spark.createDataFrame([("/d/f1.bytes", "00401000 AA AA"), ("/d/f2.bytes", "00401000 BB")],
                                   "path string, content string")
-    labels = spark.createDataFrame([("/d/f1", "3")], "file_id string, label string")
+    labels = spark.createDataFrame([("f1", "3")], "file_id string, label string")
     rows = BG.byte_features(files, labels, grams=(1,), min_freq=1).collect()
-    assert [(r["file_id"], r["gram"], r["freq"], r["label"]) for r in rows] == [("/d/f1", "AA", 2, "3")]
+    assert [(r["file_id"], r["gram"], r["freq"], r["label"]) for r in rows] == [("f1", "AA", 2, "3")]
     m = BG.as_map(BG.byte_features(files, labels, grams=(1,), min_freq=1)).first()
     assert m["grams"] == {"AA": 2}
+
+
+def test_file_id_ignores_dots_of_host_and_folder(spark):
+    df = spark.createDataFrame([("hdfs://nn1.example.org/b.d/one.bytes",), ("hdfs://nn1.example.org/b.d/two.bytes",)], "path string")
+    assert [r[0] for r in df.select(file_id("path")).collect()] == ["one", "two"]

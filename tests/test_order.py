@@ -82,3 +82,11 @@ def test_records_from_flat(spark):
     df = spark.createDataFrame([(1, list(range(7)))], "id long, flat array<int>")
     got = [(r["record_no"], r["record"]) for r in records_from_flat(df, "flat", 3).orderBy("record_no").collect()]
     assert got == [(0, [0, 1, 2]), (1, [3, 4, 5]), (2, [6])]
+
+
+def test_manifest_keeps_long_ids_whole(spark):
+    from bayesmill.operators.order import manifest
+
+    df = spark.createDataFrame([(7,), (99999,), (100000,), (100001,)], "id long")
+    got = [r["url"] for r in manifest(df, "id", "u/").orderBy("id").collect()]
+    assert got == ["u/00007.png", "u/99999.png", "u/100000.png", "u/100001.png"]
