@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.llm import chat_format, decontaminate, host_quality, lpt_shards, secret_ledger
+from bayesmill.llm import chat_format, decontaminate, host_quality, lpt_shards, ngram_join, secret_ledger
 from bayesmill.sources.tables import read_table
 
 
@@ -19,6 +19,10 @@ def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
 
 
+def op6_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.ngram_components(read_table(spark, sf, "documents"))
+
+
 def op7_lpt_shards(spark: SparkSession, sf: str) -> DataFrame:
     out = lpt_shards.shard_documents(read_table(spark, sf, "documents"), 40)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -44,6 +48,7 @@ def op9_secret_ledger(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_host_quality": op1_host_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_ngram_join": op6_ngram_join,
     "op7_lpt_shards": op7_lpt_shards,
     "op8_chat_format": op8_chat_format,
     "op9_secret_ledger": op9_secret_ledger,
