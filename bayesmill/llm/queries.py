@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.llm import chat_format, decontaminate, host_quality, lpt_shards, ngram_join, secret_ledger
+from bayesmill.llm import chat_format, decontaminate, host_quality, lpt_shards, ngram_join, secret_ledger, toxicity
 from bayesmill.sources.tables import read_table
 
 
@@ -45,6 +45,13 @@ def op9_secret_ledger(spark: SparkSession, sf: str) -> DataFrame:
     return secret_ledger.digest(found)
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         (F.size("spans") / 2).cast("long").alias("n_spans"))
+
+
 QUERIES = {
     "op1_host_quality": op1_host_quality,
     "op5_decontaminate": op5_decontaminate,
@@ -52,6 +59,7 @@ QUERIES = {
     "op7_lpt_shards": op7_lpt_shards,
     "op8_chat_format": op8_chat_format,
     "op9_secret_ledger": op9_secret_ledger,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
