@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.llm import chat_format, decontaminate, host_quality, lpt_shards, ngram_join, secret_ledger, toxicity
+from bayesmill.llm import chat_format, decontaminate, host_quality, lpt_shards, ngram_join, packing, secret_ledger, toxicity
 from bayesmill.sources.tables import read_table
 
 
@@ -15,6 +15,17 @@ def op1_host_quality(spark: SparkSession, sf: str) -> DataFrame:
                       F.round("host_rate", 9).alias("host_rate"))
 
 
+def word_tokenizer() -> str:
+    """Place of the public word tokenizer's file (on the driver)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf, "documents"), word_tokenizer())
+
+
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
 
@@ -54,6 +65,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_host_quality": op1_host_quality,
+    "op3_packing": op3_packing,
     "op5_decontaminate": op5_decontaminate,
     "op6_ngram_join": op6_ngram_join,
     "op7_lpt_shards": op7_lpt_shards,
