@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.llm import chat_format, decontaminate, host_quality, lpt_shards, ngram_join, packing, secret_ledger, toxicity
+from bayesmill.llm import chat_format, chunk_dedup, decontaminate, host_quality, lpt_shards, ngram_join, packing, secret_ledger, toxicity
 from bayesmill.sources.tables import read_table
 
 
@@ -26,6 +26,10 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf, "documents"), word_tokenizer())
 
 
+def op4_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return chunk_dedup.shared_spans(read_table(spark, sf, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark")))
 
@@ -66,6 +70,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_host_quality": op1_host_quality,
     "op3_packing": op3_packing,
+    "op4_chunk_dedup": op4_chunk_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_ngram_join": op6_ngram_join,
     "op7_lpt_shards": op7_lpt_shards,
