@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.llm import chat_format, chunk_dedup, decontaminate, host_quality, lpt_shards, ngram_join, packing, secret_ledger, toxicity
+from bayesmill.llm import chat_format, chunk_dedup, decontaminate, host_quality, lpt_shards, ngram_join, packing, pii_boost, secret_ledger, toxicity
 from bayesmill.sources.tables import read_table
 
 
@@ -15,6 +15,10 @@ def op1_host_quality(spark: SparkSession, sf: str) -> DataFrame:
                       F.round("host_rate", 9).alias("host_rate"))
 
 
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_boost.digest(pii_boost.personal_data(read_table(spark, sf, "documents")))
+
+
 def word_tokenizer() -> str:
     """Place of the public word tokenizer's file (on the driver)."""
     import public_tokenizers
@@ -69,6 +73,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_host_quality": op1_host_quality,
+    "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op4_chunk_dedup": op4_chunk_dedup,
     "op5_decontaminate": op5_decontaminate,
