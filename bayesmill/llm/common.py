@@ -24,6 +24,19 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def schema_of(df: DataFrame) -> str:
+    """The columns of ``df`` as DDL."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder: its lineage is cut and any executor can read it."""
     spark = df.sparkSession

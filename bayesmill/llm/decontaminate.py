@@ -11,7 +11,7 @@ a bound and no window is left out.
 
 Defined results: null or wordless texts have no words and hit nothing, wordless items have no windows, repeated items
 and documents each count, empty tables give no hits or no rows, other columns of the documents are dropped by
-``contamination``.
+``contamination`` and returned by ``without_benchmark``.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayesmill.llm.common import saved
+from bayesmill.llm.common import saved, schema_of
 
 WINDOW = 10
 BLOCK_WINDOWS = 500_000
@@ -96,44 +96,61 @@ def _counter(vocabulary: frozenset[bytes]):
     return run
 
 
-def _joiner(index: PrefixIndex, last: bool):
+def _joiner(index: PrefixIndex, last: bool, carried: list[str], state: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, spans_out, items_out = [], [], []
-            for t, spans, found in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("spans").to_pylist(), b.column("items").to_pylist(), strict=True):
+            for t, spans, found in zip(b.column("text").cast(pa.binary()).to_pylist(), *(b.column(c).to_pylist() for c in state), strict=True):
                 words = words_of(t)
                 s, f = index.find(words)
                 n_words.append(len(words))
                 spans_out.append([*spans, *s] if spans else s)
                 items_out.append(sorted({*found, *f}) if found else sorted(f))
-            cols = [b.column("doc_id"), pa.array(n_words, pa.int64())]
-            cols += [pa.array(map(covered, spans_out), pa.int64())] if last else [b.column("text"), pa.array(spans_out, pa.list_(pa.int32()))]
-            names = ["doc_id", "n_words", "n_hit"] if last else ["doc_id", "n_words", "text", "spans"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(items_out, pa.list_(pa.string()))], names=[*names, "items"])
+            cols = [b.column(c) for c in carried]
+            cols.append(pa.array(spans_out, pa.list_(pa.int32())))
+            cols.append(pa.array(items_out, pa.list_(pa.string())))
+            names = [*carried, *state]
+            if last:
+                cols += [pa.array(n_words, pa.int64()), pa.array(map(covered, spans_out), pa.int64())]
+                names += ["n_words", "n_hit"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """``doc_id, n_words, n_hit, items array<string>`` (sorted ids of the items with windows in the document)."""
-    texts = docs.select("doc_id", "text")
-    kind = texts.schema["doc_id"].dataType.simpleString()
+def _joined(docs: DataFrame, benchmark: DataFrame, carry: DataFrame, state: tuple[str, str], window: int, block_windows: int) -> DataFrame:
+    """The columns of ``carry`` (a selection of ``docs``) with the two state columns (spans, items), ``n_words, n_hit``."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     size = items.agg(F.sum(F.size(F.split(F.col("text"), "[^0-9A-Za-z\\x{80}-\\x{10FFFF}]+")))).first()[0] or 0
     blocks = max(1, -(-size // block_windows))
-    state = texts.withColumns({"spans": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
+    kept = docs.withColumns({state[0]: F.array().cast("array<int>"), state[1]: F.array().cast("array<string>")})
     for block in range(blocks):
         mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         listed = [(r["item_id"] or "", words_of(r["text"])) for r in mine.toLocalIterator()]  # about block_windows words
         vocabulary = frozenset(w for _, words in listed for w in words)
-        counted = texts.select("text").mapInArrow(_counter(vocabulary), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        counted = docs.select("text").mapInArrow(_counter(vocabulary), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
         counts = {bytes(r["word"]): r["n"] for r in counted.toLocalIterator()}  # the block's own words at most
         last = block == blocks - 1
-        middle = "n_hit long" if last else "text string, spans array<int>"
-        state = state.mapInArrow(_joiner(PrefixIndex(listed, counts, window), last), f"doc_id {kind}, n_words long, {middle}, items array<string>")
+        out = carry if last else docs
+        schema = f"{schema_of(out)}, `{state[0]}` array<int>, `{state[1]}` array<string>" + ", n_words long, n_hit long" * last
+        kept = kept.mapInArrow(_joiner(PrefixIndex(listed, counts, window), last, out.columns, state), schema)
         if not last:
-            state = saved(state.drop("n_words"), "contamination")
-    return state
+            kept = saved(kept, "contamination")
+    return kept
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """``doc_id, spans, items array<string>, n_words, n_hit``: word spans of the hits (start, end, ...), and the sorted
+    ids of the items with windows in the document."""
+    texts = docs.select("doc_id", "text")
+    return _joined(texts, benchmark, texts.select("doc_id"), ("spans", "items"), window, block_windows)
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` that no window hits, with their columns."""
+    clear = docs.toDF(*[f"c{i}_{c}" if c != "text" else c for i, c in enumerate(docs.columns)])  # no clash with added names
+    found = _joined(clear, benchmark, clear, ("spans", "items"), window, BLOCK_WINDOWS)
+    return found.where(F.col("n_hit") == 0).select(*clear.columns).toDF(*docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:

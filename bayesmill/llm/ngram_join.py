@@ -269,3 +269,10 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, n: int = N, tile:
     named = classes.join(found, F.col("rep") == F.col("node"), "left").select("digest", "copies", F.coalesce("component", "rep").alias("component_id"))
     out = join_counted(sets, saved(named, "ngram_named"), "digest", "copies")
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the least of its component (rows of one doc_id are one document)."""
+    found = ngram_components(docs, percent, n)
+    gone = saved(found.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct(), "ngram_gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

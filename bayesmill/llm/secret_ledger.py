@@ -7,7 +7,7 @@ are left out before any scan. Findings of old and new blobs are then joined back
 very many paths is kept apart in that join.
 
 Defined results: null texts count as empty, repeated rows each get their findings, empty tables give no rows, other
-columns are not returned by ``scan_paths`` and pass unchanged through ``redact``.
+columns are not returned by ``scan_paths`` and pass unchanged through ``without_secrets``.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bayesmill.llm.common import join_counted, saved
+from bayesmill.llm.common import free_name, join_counted, saved
 
 RULE_VERSION = "2"
 REMEMBERED_BLOBS = 200_000  # of a scan task; a blob forgotten is only scanned again
@@ -75,29 +75,40 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(blobs, pa.binary()), pa.array(spans, pa.string())], names=["path", "blob", "spans"])
 
 
-def scan_paths(versions: DataFrame, ledger: DataFrame | None = None, path: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(path, spans)`` of every row of ``versions``, and the new ledger rows ``(blob, rule_version, spans)``.
+def _known(ledger: DataFrame) -> DataFrame:
+    return ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "spans")
 
-    ``ledger``: rows of earlier scans. Only blobs that it lacks for RULE_VERSION are scanned; append the new rows to it.
-    """
-    rows = versions.select(F.col(path).alias("path"), F.col(text).alias("text"))
+
+def _scanned(rows: DataFrame, ledger: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """All rows as ``path, blob``, and the newly scanned ``blob, spans``; ``rows`` has ``path, text``."""
     kind = rows.schema["path"].dataType.simpleString()
-    known = None
+    old = None
     if ledger is not None:
-        known = ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "spans")
+        known = _known(ledger).select("blob")
         rows = rows.withColumn("blob", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-        old = saved(rows.join(known.select("blob"), "blob", "left_semi").select("path", "blob"), "known_paths")
-        rows = rows.join(known.select("blob"), "blob", "left_anti").select("path", "text")
+        old = rows.join(known, "blob", "left_semi").select("path", "blob")
+        rows = rows.join(known, "blob", "left_anti").select("path", "text")
     scanned = saved(rows.mapInArrow(_scan, f"path {kind}, blob binary, spans string"), "scanned")
     fresh = scanned.where(F.col("spans").isNotNull()).groupBy("blob").agg(F.min("spans").alias("spans"))
-    new = fresh.select("blob", F.lit(RULE_VERSION).alias("rule_version"), "spans")
     paths = scanned.select("path", "blob")
-    findings = fresh
-    if known is not None:
-        paths, findings = saved(paths.unionByName(old), "paths"), fresh.unionByName(known)
+    return paths if old is None else saved(paths.unionByName(old), "paths"), fresh
+
+
+def _findings(fresh: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """``blob, spans`` of all blobs with findings, newly scanned or known."""
+    return (fresh if ledger is None else fresh.unionByName(_known(ledger))).where(F.col("spans") != "")
+
+
+def scan_paths(versions: DataFrame, ledger: DataFrame | None = None, path: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``(path, spans)`` of every row of ``versions``, and the new ledger rows ``(blob, rule_version, spans)``.
+
+    ``ledger``: rows of earlier scans. Only blobs that it lacks for RULE_VERSION are scanned; append the new rows to it.
+    """
+    paths, fresh = _scanned(versions.select(F.col(path).alias("path"), F.col(text).alias("text")), ledger)
     used = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
-    told = saved(findings.where(F.col("spans") != "").join(used, "blob"), "findings")
+    told = saved(_findings(fresh, ledger).join(used, "blob"), "findings")
     out = join_counted(paths, told, "blob", "n")
+    new = fresh.select("blob", F.lit(RULE_VERSION).alias("rule_version"), "spans")
     return out.select(F.col("path").alias(path), F.coalesce("spans", F.lit("")).alias("spans")), new
 
 
@@ -111,24 +122,31 @@ def digest(found: DataFrame) -> DataFrame:
     return out.withColumns(counts).select("doc_id", *counts, F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), "spans")
 
 
-def _redact(mark: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for t in b.column("text").to_pylist():
-                at, parts = 0, []
-                for s, e, kind in find_secrets(t or ""):
-                    if e <= at:
-                        continue
-                    parts += [t[at:max(at, s)], mark.format(kind)] if s >= at else []
-                    at = e
-                out.append(None if t is None else "".join([*parts, t[at:]]) if at else t)
-            i = b.schema.get_field_index("text")
-            yield b.set_column(i, b.schema.field(i), pa.array(out, b.schema.field(i).type))
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with each span replaced by its kind in brackets; what overlaps an earlier span only lengthens it."""
+    parts = F.transform(F.split(spans, ","), lambda x: F.split(x, ":"))
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, p: Column) -> Column:
+        start, end = F.get(p, F.lit(1)).cast("int"), F.get(p, F.lit(2)).cast("int")
+        more = F.concat(F.substr(text, acc["at"] + 1, start - acc["at"]), F.lit("["), F.get(p, F.lit(0)), F.lit("]"))
+        return F.struct(F.greatest(acc["at"], end).alias("at"), F.when(start >= acc["at"], F.concat(acc["out"], more)).otherwise(acc["out"]).alias("out"))
 
-    return run
+    return F.aggregate(parts, zero, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
 
 
-def redact(docs: DataFrame, mark: str = "[{}]") -> DataFrame:
-    """``docs`` with each secret of ``text`` replaced by its kind in brackets; overlapping spans are replaced together."""
-    return docs.mapInArrow(_redact(mark), docs.schema)
+def without_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """``docs`` with every finding masked in ``text`` and, if there is one, ``n_chars`` counted anew for these rows.
+
+    The scan's findings come back to the texts by blob, so that all copies of a content are masked alike.
+    """
+    blob, spans = free_name(docs, "blob"), free_name(docs, "spans")
+    _, fresh = _scanned(docs.select(F.lit(None).cast("long").alias("path"), "text"), ledger)
+    named = _findings(fresh, ledger).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
+    out = docs.withColumn(blob, F.unhex(F.sha2("text", 256))).join(named, blob, "left")
+    hit = F.col(spans).isNotNull()
+    out = out.withColumn("text", F.when(hit, _masked(F.col("text"), F.col(spans))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)

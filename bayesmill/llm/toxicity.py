@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bayesmill.llm.common import free_name, schema_of
+
 # Bounds of the training sample: toxic documents (and twice as many clean ones), and bytes of a text that is taken.
 # The sample's copies count once; the field itself is fitted on so many of the toxic ones and twice as many clean ones.
 SAMPLE_DOCS = 3000
@@ -243,7 +245,7 @@ def toxic_spans(text: str, tags: np.ndarray) -> list[tuple[int, int]]:
     return spans
 
 
-def _scorer(field: Field | None):
+def _scorer(field: Field | None, added: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         potentials = Potentials(field.weights) if field else None
         for b in batches:
@@ -267,12 +269,18 @@ def _scorer(field: Field | None):
                 scores, expected, spans = [0.0] * len(raw), [0.0] * len(raw), [[]] * len(raw)
             cols = [pa.array(scores, pa.float64()), pa.array(expected, pa.float64()), pa.array(spans, pa.list_(pa.int32()))]
             kept = [b.column(c) for c in b.schema.names]
-            yield pa.RecordBatch.from_arrays([*kept, *cols], names=[*b.schema.names, "score", "expected", "spans"])
+            yield pa.RecordBatch.from_arrays([*kept, *cols], names=[*b.schema.names, *added])
 
     return run
 
 
-def score(docs: DataFrame, field: Field | None) -> DataFrame:
-    """``docs`` (which has ``text``) with ``score``, ``expected`` toxic tokens and ``spans`` (start, end, ...; code points)."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scorer(field), f"{schema}, score double, expected double, spans array<int>")
+def score(docs: DataFrame, field: Field | None, added: tuple[str, str, str] = ("score", "expected", "spans")) -> DataFrame:
+    """``docs`` (which has ``text``) with three more columns: score, expected toxic tokens, and spans (start, end, ...; code points)."""
+    score, expected, spans = added
+    return docs.mapInArrow(_scorer(field, added), f"{schema_of(docs)}, `{score}` double, `{expected}` double, `{spans}` array<int>")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``, with their columns."""
+    added = tuple(free_name(docs, n) for n in ("toxic_score", "toxic_tokens", "toxic_spans"))
+    return score(docs, train(docs, labels), added).where(F.col(added[0]) < limit).select(*docs.columns)
