@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 import uuid
 from collections.abc import Callable
 
@@ -24,6 +26,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def worker_memory(name: str, make: Callable):
+    """``make()``, kept under ``name`` for the life of this Python worker: its later tasks start with it."""
+    kept = sys.modules.setdefault("bayesmill_worker_memory", types.ModuleType("bayesmill_worker_memory")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from bayesmill.llm.common import saved
+from bayesmill.llm.common import saved, worker_memory
 
 WINDOW = 4096
 END = 2
@@ -32,11 +32,12 @@ K1, B = 1.2, 0.75
 QUERY_TERMS = 32
 NEIGHBOURS = 24  # of a retrieval; a window that needs more retrieves again
 SHARD_TOKENS = 1_500_000
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 1_000_000
 PIECES = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 # Bytes of Latin-1 for which parting at white space and lower-casing agree everywhere: no control characters but tab
 # and line breaks, no non-breaking space.
+_STOPS = ".,;:!?"
 _PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 
 
@@ -48,9 +49,13 @@ class WordIds(dict):
         self.tokenizer = tokenizer
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        v = self[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+        stem = word.rstrip(_STOPS)
+        if stem != word and stem and stem[-1].isalnum():  # the tokenizer parts a word from the marks after it
+            v = self[stem] + self[word[len(stem):]]
+        else:
+            v = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+        if len(self) < REMEMBERED_WORDS:  # frequent words come early, so what is kept stays
+            self[word] = v
         return v
 
     def of(self, text: str) -> bytes:
@@ -68,7 +73,7 @@ def _tokenizer(model: str, by_word: bool, end: int):
     tail = np.array([end], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(Tokenizer.from_str(model))
+        words = worker_memory(f"word ids {zlib.crc32(model.encode())}", lambda: WordIds(Tokenizer.from_str(model)))
         whole = lambda t: np.array(words.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
         one = words.of if by_word else whole
         for b in batches:
