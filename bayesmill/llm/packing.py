@@ -15,6 +15,7 @@ rows, documents longer than a window are cut, documents that share no token with
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from bayesmill.llm.common import saved, worker_memory
 
@@ -42,18 +44,28 @@ _PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 
 
 class WordIds(dict):
-    """Lower-case word -> its ids as little-endian bytes."""
+    """Lower-case word -> its ids as bytes."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        # characters as the byte-level model has them; a word of letters alone goes to the model without further steps
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x100)}
+        self.direct = all(self._letters(w) == self._any(w) for w in ("the", "internationalizing", "straße", "naïvetéñ"))
+
+    def _letters(self, word: str) -> bytes:
+        return array("H", [t.id for t in self.model.tokenize(word.translate(self.letters))]).tobytes()
+
+    def _any(self, word: str) -> bytes:
+        return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         stem = word.rstrip(_STOPS)
         if stem != word and stem and stem[-1].isalnum():  # the tokenizer parts a word from the marks after it
             v = self[stem] + self[word[len(stem):]]
         else:
-            v = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+            v = self._letters(word) if self.direct and word.isalpha() else self._any(word)
         if len(self) < REMEMBERED_WORDS:  # frequent words come early, so what is kept stays
             self[word] = v
         return v
@@ -66,16 +78,15 @@ class WordIds(dict):
             plain = False
         if plain:
             return b"".join(map(self.__getitem__, text.lower().split()))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        return self._any(text)
 
 
 def _tokenizer(model: str, by_word: bool, end: int):
-    tail = np.array([end], "<u2").tobytes()
+    tail = array("H", [end]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_memory(f"word ids {zlib.crc32(model.encode())}", lambda: WordIds(Tokenizer.from_str(model)))
-        whole = lambda t: np.array(words.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes()
-        one = words.of if by_word else whole
+        one = words.of if by_word else words._any
         for b in batches:
             ids = [one(t or "") + tail for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
@@ -84,7 +95,7 @@ def _tokenizer(model: str, by_word: bool, end: int):
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, by_word: bool = True, end: int = END) -> DataFrame:
-    """``doc_id, ids`` (little-endian 16-bit ids, the end id last), saved. ``by_word``: for tokenizers that lower-case and
+    """``doc_id, ids`` (16-bit ids in the executors' byte order, the end id last), saved. ``by_word``: for tokenizers that lower-case and
     part every text at white space, as word_bpe_49k does."""
     with open(tokenizer_path, encoding="utf-8") as f:
         model = f.read()  # travels to the tasks: executors need no copy of the file
@@ -95,7 +106,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, by_word: bool = True, end: i
 
 
 def _ids(b: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<u2") for x in b.column("ids").to_pylist()]
+    return [np.frombuffer(x, np.uint16) for x in b.column("ids").to_pylist()]
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
