@@ -14,6 +14,7 @@ rows, documents longer than a window are cut, documents that share no token with
 
 from __future__ import annotations
 
+import gc
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -88,7 +89,11 @@ def _tokenizer(model: str, by_word: bool, end: int):
         words = worker_memory(f"word ids {zlib.crc32(model.encode())}", lambda: WordIds(Tokenizer.from_str(model)))
         one = words.of if by_word else words._any
         for b in batches:
-            ids = [one(t or "") + tail for t in b.column("text").to_pylist()]
+            gc.disable()  # the collector would walk the kept words again and again; nothing here is cyclic
+            try:
+                ids = [one(t or "") + tail for t in b.column("text").to_pylist()]
+            finally:
+                gc.enable()
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return run
