@@ -4,12 +4,14 @@ Blocks come first. Two sets that reach the threshold differ in at most K = 30/18
 threshold), so if the range of n-gram hashes is cut in more than K parts, the two agree wholly on some part. Each
 document signs its parts (level by level of the number of parts, which follows its size); documents that share a
 signature are chained, and chains make candidate blocks. No pair is missed, and a passage that thousands of documents
-share does not glue them, because whole parts have to agree. Repeats inside a batch meet before the shuffle.
+share does not glue them, because whole parts have to agree, and parts of hot n-grams alone are left out where others
+must agree as well. Repeats inside a batch meet before the shuffle.
 
 Then each block's incidence rows are multiplied: overlap counts accumulate over the posting lists, pairs below the
-bound that their sizes give are dropped, and what remains are links. A block of more than TILE documents is cut in
-tiles by size class and hash; a task sees two tiles that sizes allow to link. Copies with the same set are one class
-from the start. The result is each document's component, so a task returns a spanning forest of its links.
+bound that their sizes give are dropped, and what remains are links. A block of more than TILE documents is first cut
+in parts that share a few leaders, which joins a group of near copies with work in proportion to it; then only what is
+outside the largest group meets the rest, tile by tile, as far as sizes allow. Copies with the same set are one class
+from the start.  The result is each document's component, so a task returns a spanning forest of its links.
 
 Defined results: null and wordless texts have an empty set and link with nothing, a null doc_id stays alone (component
 null), repeated rows link as copies, an empty table gives no rows, other columns are not returned.
@@ -33,9 +35,12 @@ from bayesmill.llm.components import components
 N = 4
 PERCENT = 85
 TILE = 256
-SLACK = 1.1  # parts above the least number, so that empty parts are rarely needed
+SLACK = 1.2  # parts above the least number, so that weak parts are rarely needed
 GROWTH = 1.6  # from one number of parts to the next
 REMEMBERED_WORDS = 300_000
+HOT_SHARE = 2000  # an n-gram is hot that more than one in HOT_SHARE documents of some batch have (and HOT_LEAST or more)
+HOT_LEAST = 8
+LEADERS = 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -88,20 +93,26 @@ class Signer:
             self.most.append(max(self.most[-1] + 1, int(p / SLACK) - 1))
         return next(j for j, most in enumerate(self.most) if most >= k)
 
-    def sign(self, u: np.ndarray) -> np.ndarray:
-        """One signature a part that is not empty, at each level that a partner could have; where a set has so many
-        empty parts that they alone could agree, its empty parts are signed as well."""
+    def sign(self, u: np.ndarray, hot: np.ndarray) -> np.ndarray:
+        """One signature a part, at each level that a partner could have.
+
+        A part is weak that has no n-gram, or hot ones alone (``hot`` says which are). Of P parts, P - K agree at
+        least; so where fewer than that are weak, some agreeing part is not weak, and weak parts are left out. Only
+        sets with more weak parts sign these as well: a partner that does not has an agreeing part that is not weak.
+        """
         out, spread = [], mix(u + np.uint64(0x9E3779B97F4A7C15))
         for j in range(self.level(len(u)), self.level(100 * len(u) // self.percent) + 1):
             p = self.parts[j]
             part = ((u >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
             held = part[first]
-            salt = mix((np.uint64(j + 1) << np.uint64(40)) + held)
-            out.append(mix(np.add.reduceat(spread, first) ^ salt))
-            if p - len(held) > p - 1 - self.most[j]:
+            strong = np.add.reduceat(~hot, first) > 0
+            signs = mix(np.add.reduceat(spread, first) ^ mix((np.uint64(j + 1) << np.uint64(40)) + held))
+            if p - strong.sum() > p - 1 - self.most[j]:
                 none = np.setdiff1d(np.arange(p, dtype=np.uint64), held)
-                out.append(mix(mix((np.uint64(j + 1) << np.uint64(40)) + none) + np.uint64(1)))
+                out += [signs, mix(mix((np.uint64(j + 1) << np.uint64(40)) + none) + np.uint64(1))]
+            else:
+                out.append(signs[strong])
         return np.concatenate(out)
 
 
@@ -116,7 +127,40 @@ def _batch(kind: int, a, b, digest=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["kind", "a", "b", "digest"])
 
 
-def _signer(percent: int, n: int):
+def _hot_finder(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            sets = [shingles(t, hashes, n) for t in b.column("text").cast(pa.binary()).to_pylist()]
+            if not sets:
+                continue
+            grams, counts = np.unique(np.concatenate(sets), return_counts=True)
+            often = counts >= max(HOT_LEAST, len(sets) / HOT_SHARE)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[often].view(np.int64)), pa.array(counts[often].astype(np.int64)), pa.array(np.full(int(often.sum()), len(sets), np.int64))], names=["gram", "n", "docs"])
+
+    return run
+
+
+def hot_grams(texts: DataFrame, n: int = N) -> np.ndarray:
+    """The n-grams that more than one in HOT_SHARE of all documents have, sorted.
+
+    Such an n-gram is as frequent in some batch, so each batch tells those alone; their sums are least counts. It is
+    used for the choice of signatures only, never for results. At most HOT_SHARE times a document's mean number of
+    n-grams can qualify, at any size of the table.
+    """
+    told = texts.select("text").mapInArrow(_hot_finder(n), "gram long, n long, docs long")
+    total = texts.count()
+    sums = told.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") * HOT_SHARE > F.lit(total)).select("gram")
+    return np.sort(np.array([r["gram"] for r in sums.toLocalIterator()], np.int64).view(np.uint64))
+
+
+def _among(u: np.ndarray, table: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(table, u)
+    at[at == len(table)] = 0
+    return table[at] == u if len(table) else np.zeros(len(u), bool)
+
+
+def _signer(percent: int, n: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = WordHashes(), Signer(percent)
         for b in batches:
@@ -132,7 +176,7 @@ def _signer(percent: int, n: int):
                 if first != i:
                     edges.add((i, first))
                     continue
-                s = signer.sign(u)
+                s = signer.sign(u, _among(u, hot))
                 signs.append(s)
                 owners.append(np.full(len(s), i, np.int64))
             yield _batch(SET, b.column("doc_id").cast(pa.int64()), sizes, digests)
@@ -219,37 +263,55 @@ def _product(percent: int, n: int):
     return run
 
 
-def blocks(candidates: DataFrame, percent: int = PERCENT, tile: int = TILE) -> DataFrame:
-    """``doc_id, block, side`` from ``doc_id, component, size``: small components whole, large ones as pairs of tiles."""
+def _with_members(candidates: DataFrame) -> DataFrame:
     many = candidates.groupBy("component").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
-    sized = candidates.join(many, "component")
-    small = sized.where(F.col("members") <= tile).select("doc_id", F.concat_ws(":", "component").alias("block"), F.lit(0).alias("side"))
-    step = math.log(100 / percent) * 1.0001  # sizes that can link lie in one class or in two neighbouring ones
-    large = sized.where(F.col("members") > tile).select("doc_id", "component", F.floor(F.log("size") / step).alias("c"))
-    tiles = large.groupBy("component", "c").agg(F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("t"))
-    up = tiles.select("component", (F.col("c") - 1).alias("c"), F.col("t").alias("above"))
-    down = tiles.select("component", (F.col("c") + 1).alias("c"), F.col("t").alias("below"))
-    shape = tiles.join(up, ["component", "c"], "left").join(down, ["component", "c"], "left")
-    put = large.join(shape, ["component", "c"]).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("t")))
-
-    def keys(count: str, key) -> F.Column:
-        n = F.coalesce(F.col(count), F.lit(0).cast("long"))
-        return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n, F.lit(1)) - 1), key)).otherwise(F.array().cast("array<struct<block:string,side:int>>"))
-
-    def named(low_c, low, high_c, high, side) -> F.Column:
-        return F.struct(F.concat_ws(":", "component", low_c, low, high_c, high).alias("block"), side.alias("side"))
-
-    c, mine = F.col("c"), F.col("mine")
-    own = keys("t", lambda j: named(c, F.least(mine, j), c, F.greatest(mine, j), F.when(j < mine, 1).otherwise(0)))
-    above = keys("above", lambda j: named(c, mine, c + 1, j, F.lit(0)))
-    below = keys("below", lambda j: named(c - 1, j, c, mine, F.lit(1)))
-    return small.unionByName(put.select("doc_id", F.inline(F.concat(own, above, below))))
+    return candidates.join(many, "component")
+
+
+def small_blocks(sized: DataFrame, tile: int) -> DataFrame:
+    """Components of at most ``tile`` documents, whole."""
+    return sized.where(F.col("members") <= tile).select("doc_id", F.concat_ws(":", "component").alias("block"), F.lit(0).alias("side"))
+
+
+def leader_blocks(large: DataFrame, tile: int) -> DataFrame:
+    """Large components in blocks of about ``tile`` documents, each with the component's LEADERS added."""
+    parts = F.ceil(F.col("members") / tile)
+    put = large.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    leads = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("members")) < LEADERS
+    every = F.when(leads, F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("mine"))
+    return put.select("doc_id", "component", F.explode(every).alias("part")).select(
+        "doc_id", F.concat_ws(":", "component", F.lit("part"), "part").alias("block"), F.lit(0).alias("side"))
+
+
+def rest_blocks(large: DataFrame, found: DataFrame, percent: int, tile: int) -> DataFrame:
+    """What leader blocks leave open: documents outside the largest linked group of their component, in tiles, against
+    each other and against that group. Tiles meet if their sizes can link: in one size class or neighbouring ones."""
+    step = math.log(100 / percent) * 1.0001
+    named = large.join(found.withColumnRenamed("component", "group"), F.col("doc_id") == F.col("node"), "left")
+    placed = named.select("doc_id", "component", F.floor(F.log("size") / step).alias("c"), F.coalesce("group", "doc_id").alias("group"))
+    groups = placed.groupBy("component", "group").agg(F.count(F.lit(1)).alias("n"))
+    largest = groups.groupBy("component").agg(F.max_by("group", F.struct("n", "group")).alias("largest"), F.count(F.lit(1)).alias("groups"))
+    open_ = placed.join(largest.where(F.col("groups") > 1), "component").withColumn("out", F.col("group") != F.col("largest"))
+    tiles = open_.groupBy("component", "c", "out").agg(F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("t"))
+    put = saved(open_.join(tiles, ["component", "c", "out"]).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("t")))
+                .select("doc_id", "component", "c", "out", "mine"), "ngram_open")
+    met = tiles.select("component", F.col("c").alias("c2"), F.col("out").alias("out2"), "t")
+    near = put.withColumn("c2", F.explode(F.array(F.col("c") - 1, F.col("c"), F.col("c") + 1)))
+    # each document of one population, once for every tile of the other population that its sizes can link to
+    seen = near.join(met, ["component", "c2"]).where(F.col("out") | F.col("out2"))
+    seen = seen.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("t") - 1)))
+    own = F.struct(F.col("out").alias("o"), F.col("c").alias("c"), F.col("mine").alias("i"))
+    its = F.struct(F.col("out2").alias("o"), F.col("c2").alias("c"), F.col("other").alias("i"))
+    low, high = F.least(own, its), F.greatest(own, its)
+    key = F.concat_ws(":", "component", F.lit("rest"), *[x[f].cast("string") for x in (low, high) for f in ("o", "c", "i")])
+    return seen.select("doc_id", key.alias("block"), F.when(own > low, 1).otherwise(0).alias("side"))
 
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT, n: int = N, tile: int = TILE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: the least doc_id reachable by links."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = texts.mapInArrow(_signer(percent, n), _ROWS).repartition("a").sortWithinPartitions("kind", "a", "b")
+    hot = hot_grams(texts, n)
+    signed = texts.mapInArrow(_signer(percent, n, hot), _ROWS).repartition("a").sortWithinPartitions("kind", "a", "b")
     stream = saved(signed.mapInArrow(_chain, _ROWS), "ngram_stream")
     sets = stream.where(F.col("kind") == SET).select(F.col("a").alias("doc_id"), F.col("b").alias("size"), "digest")
     edges = stream.where(F.col("kind") == EDGE).select("a", "b")
@@ -262,9 +324,16 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, n: int = N, tile:
     near = components(edges.unionByName(same))
 
     # the products, on one document a class
-    candidates = saved(classes.select(F.col("rep").alias("doc_id"), "size").join(near, F.col("doc_id") == F.col("node")).select("doc_id", "size", "component"), "ngram_candidates")
-    put = saved(blocks(candidates, percent, tile), "ngram_blocks")
-    held = texts.join(put, "doc_id").groupBy("block").applyInArrow(_product(percent, n), "a long, b long")
+    candidates = classes.select(F.col("rep").alias("doc_id"), "size").join(near, F.col("doc_id") == F.col("node")).select("doc_id", "size", "component")
+    sized = saved(_with_members(candidates), "ngram_candidates")
+    large = sized.where(F.col("members") > tile)
+
+    def links(put: DataFrame) -> DataFrame:
+        return saved(texts.join(saved(put, "ngram_blocks"), "doc_id").groupBy("block").applyInArrow(_product(percent, n), "a long, b long"), "ngram_links")
+
+    held = links(small_blocks(sized, tile).unionByName(leader_blocks(large, tile)))
+    if large.limit(1).count():
+        held = held.unionByName(links(rest_blocks(large, components(held), percent, tile)))
     found = components(held.unionByName(same))
     named = classes.join(found, F.col("rep") == F.col("node"), "left").select("digest", "copies", F.coalesce("component", "rep").alias("component_id"))
     out = join_counted(sets, saved(named, "ngram_named"), "digest", "copies")
