@@ -2,30 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.llm.common import saved
 
+FOREST_NODES = 200_000  # of a task that contracts edges
+
+
+class Forest:
+    """Union-find over nodes met so far; the least node of a tree is its root."""
+
+    def __init__(self):
+        self.root: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        root = self.root
+        while (r := root.setdefault(x, x)) != x:
+            root[x] = root[r]
+            x = r
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.top(x), self.top(y)
+        if x != y:
+            self.root[max(x, y)] = min(x, y)
+
+    def stars(self) -> tuple[list[int], list[int]]:
+        """Every node but the roots, and its root; the forest is empty afterwards."""
+        pairs = [(x, self.top(x)) for x in list(self.root)]
+        pairs = [(x, r) for x, r in pairs if x != r]
+        self.root = {}
+        return [x for x, _ in pairs], [r for _, r in pairs]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of a task as stars on their least nodes, told whenever FOREST_NODES nodes are held."""
+    forest = Forest()
+    for b in batches:
+        for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True):
+            forest.join(x, y)
+        if len(forest.root) >= FOREST_NODES:
+            yield _stars(forest)
+    yield _stars(forest)
+
+
+def _stars(forest: Forest) -> pa.RecordBatch:
+    low, high = forest.stars()
+    return pa.RecordBatch.from_arrays([pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["u", "v"])
+
+
+def _stars_only(at: DataFrame) -> bool:
+    """Whether each node hangs on one other node, which hangs on none."""
+    ends = at.select(F.col("u").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("high")).unionByName(
+        at.select(F.col("v").alias("node"), F.lit(0).alias("low"), F.lit(1).alias("high")))
+    odd = ends.groupBy("node").agg(F.sum("low").alias("low"), F.max("high").alias("high")).where((F.col("low") > 1) | ((F.col("low") > 0) & (F.col("high") > 0)))
+    return odd.limit(1).count() == 0
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges (a, b)``; self loops alone give no row.
 
-    Each round hangs every node's larger neighbours, then its smaller ones, on its least neighbour, until nothing
-    changes; the rounds grow with the logarithm of the longest path. Only counts and checksums come to the driver.
+    Tasks contract their own edges first. Then each round hangs every node's larger neighbours, and its smaller
+    ones, on its least neighbour, until only stars are left; the rounds grow with the logarithm of the longest path.
+    Nothing but the answer to "only stars?" comes to the driver.
     """
-    up = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    at, state = saved(up.distinct(), "edges"), None
-    while True:
+    up = edges.where(F.col("a") != F.col("b")).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    at = saved(up.mapInArrow(_contract, "u long, v long").distinct(), "edges")
+    while not _stars_only(at):
         both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         at = saved(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
-        now = at.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     tops = at.select(F.col("v").alias("node")).distinct()
     return at.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops.withColumn("component", F.col("node")))

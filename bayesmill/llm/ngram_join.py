@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.llm.common import join_counted, saved
-from bayesmill.llm.components import components
+from bayesmill.llm.components import FOREST_NODES, Forest, components
 
 N = 4
 PERCENT = 85
 TILE = 256
 SLACK = 1.2  # parts above the least number, so that weak parts are rarely needed
 GROWTH = 1.6  # from one number of parts to the next
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 200_000
 HOT_SHARE = 2000  # an n-gram is hot that more than one in HOT_SHARE documents of some batch have (and HOT_LEAST or more)
 HOT_LEAST = 8
 LEADERS = 16
@@ -127,10 +127,17 @@ def _batch(kind: int, a, b, digest=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["kind", "a", "b", "digest"])
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Batches in parts, which bounds what a task holds of its n-grams."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _hot_finder(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
+        for b in _parts(batches):
             sets = [shingles(t, hashes, n) for t in b.column("text").cast(pa.binary()).to_pylist()]
             if not sets:
                 continue
@@ -144,8 +151,8 @@ def _hot_finder(n: int):
 def hot_grams(texts: DataFrame, n: int = N) -> np.ndarray:
     """The n-grams that more than one in HOT_SHARE of all documents have, sorted.
 
-    Such an n-gram is as frequent in some batch, so each batch tells those alone; their sums are least counts. It is
-    used for the choice of signatures only, never for results. At most HOT_SHARE times a document's mean number of
+    Such an n-gram is as frequent in some batch, so each batch tells those alone that reach the share and HOT_LEAST;
+    their sums are least counts. The table chooses signatures, never results: one that is missed costs time alone. At most HOT_SHARE times a document's mean number of
     n-grams can qualify, at any size of the table.
     """
     told = texts.select("text").mapInArrow(_hot_finder(n), "gram long, n long, docs long")
@@ -163,7 +170,7 @@ def _among(u: np.ndarray, table: np.ndarray) -> np.ndarray:
 def _signer(percent: int, n: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = WordHashes(), Signer(percent)
-        for b in batches:
+        for b in _parts(batches):
             ids = b.column("doc_id").to_pylist()
             sizes, digests, edges, signs, owners, met = [], [], set(), [], [], {}
             for i, t in zip(ids, b.column("text").cast(pa.binary()).to_pylist(), strict=True):
@@ -193,13 +200,19 @@ def _signer(percent: int, n: int, hot: np.ndarray):
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours in the order of signatures become edges; edges and sets pass."""
+    """Neighbours in the order of signatures become edges; sets pass."""
     last_sign = last_owner = None
+    forest = Forest()  # a task's edges leave as stars, so parallel edges of many signatures are told once
     for b in batches:
+        if len(forest.root) >= FOREST_NODES:
+            yield _batch(EDGE, *forest.stars())
         kind = b.column("kind").to_numpy()
-        other = np.flatnonzero(kind != SIGNATURE)
+        other = np.flatnonzero(kind == SET)
         if len(other):
             yield b.take(pa.array(other))
+        told = b.filter(pa.array(kind == EDGE))
+        for x, y in zip(told.column("a").to_pylist(), told.column("b").to_pylist(), strict=True):
+            forest.join(x, y)
         mine = np.flatnonzero(kind == SIGNATURE)
         if not len(mine):
             continue
@@ -209,8 +222,9 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_sign, last_owner = sign[-1], owner[-1]
         same = np.flatnonzero((sign[1:] == sign[:-1]) & (owner[1:] != owner[:-1]))
         if len(same):
-            pairs = np.unique(np.stack([owner[same], owner[same + 1]]), axis=1)
-            yield _batch(EDGE, pairs[0], pairs[1])
+            for x, y in zip(owner[same].tolist(), owner[same + 1].tolist(), strict=True):
+                forest.join(x, y)
+    yield _batch(EDGE, *forest.stars())
 
 
 def linked(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
