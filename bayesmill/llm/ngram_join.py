@@ -4,8 +4,8 @@ Blocks come first. Two sets that reach the threshold differ in at most K = 30/18
 threshold), so if the range of n-gram hashes is cut in more than K parts, the two agree wholly on some part. Each
 document signs its parts (level by level of the number of parts, which follows its size); documents that share a
 signature are chained, and chains make candidate blocks. No pair is missed, and a passage that thousands of documents
-share does not glue them, because whole parts have to agree, and parts of hot n-grams alone are left out where others
-must agree as well. Repeats inside a batch meet before the shuffle.
+share hardly glues them, because whole parts have to agree, and a document leaves out its weakest parts (few n-grams, or
+hot ones) as long as stronger ones must agree as well. Repeats inside a batch meet before the shuffle.
 
 Then each block's incidence rows are multiplied: overlap counts accumulate over the posting lists, pairs below the
 bound that their sizes give are dropped, and what remains are links. A block of more than TILE documents is first cut
@@ -94,25 +94,25 @@ class Signer:
         return next(j for j, most in enumerate(self.most) if most >= k)
 
     def sign(self, u: np.ndarray, hot: np.ndarray) -> np.ndarray:
-        """One signature a part, at each level that a partner could have.
+        """The signatures of the strongest parts, at each level that a partner could have.
 
-        A part is weak that has no n-gram, or hot ones alone (``hot`` says which are). Of P parts, P - K agree at
-        least; so where fewer than that are weak, some agreeing part is not weak, and weak parts are left out. Only
-        sets with more weak parts sign these as well: a partner that does not has an agreeing part that is not weak.
+        A part's strength is its number of n-grams that are not hot (``hot`` says which are), ties go by signature;
+        so it follows from the part's content alone. Of P parts, P - K agree at least. Each set leaves out its
+        P - K - 1 weakest: some agreeing part is then above the bounds of both sets, and both sign it.
         """
-        out, spread = [], mix(u + np.uint64(0x9E3779B97F4A7C15))
-        for j in range(self.level(len(u)), self.level(100 * len(u) // self.percent) + 1):
-            p = self.parts[j]
+        out, spread, partner = [], mix(u + np.uint64(0x9E3779B97F4A7C15)), 100 * len(u) // self.percent
+        differ = (100 - self.percent) * (len(u) + partner) // (100 + self.percent)
+        for j in range(self.level(len(u)), self.level(partner) + 1):
+            p, tag = self.parts[j], np.uint64(j + 1) << np.uint64(40)
             part = ((u >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
             held = part[first]
-            strong = np.add.reduceat(~hot, first) > 0
-            signs = mix(np.add.reduceat(spread, first) ^ mix((np.uint64(j + 1) << np.uint64(40)) + held))
-            if p - strong.sum() > p - 1 - self.most[j]:
-                none = np.setdiff1d(np.arange(p, dtype=np.uint64), held)
-                out += [signs, mix(mix((np.uint64(j + 1) << np.uint64(40)) + none) + np.uint64(1))]
-            else:
-                out.append(signs[strong])
+            signs, strength = mix(mix(tag + np.arange(p, dtype=np.uint64)) + np.uint64(1)), np.zeros(p, np.uint64)
+            signs[held] = mix(np.add.reduceat(spread, first) ^ mix(tag + held))
+            strength[held] = np.minimum(np.add.reduceat((~hot).astype(np.int64), first), 255).astype(np.uint64)
+            rank = (strength << np.uint64(56)) | (signs >> np.uint64(8))
+            left_out = p - min(self.most[j], differ) - 1
+            out.append(signs[rank >= np.partition(rank, left_out)[left_out]])
         return np.concatenate(out)
 
 
