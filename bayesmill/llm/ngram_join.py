@@ -341,9 +341,11 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, n: int = N, tile:
     candidates = classes.select(F.col("rep").alias("doc_id"), "size").join(near, F.col("doc_id") == F.col("node")).select("doc_id", "size", "component")
     sized = saved(_with_members(candidates), "ngram_candidates")
     large = sized.where(F.col("members") > tile)
+    # candidates grow with the input, so they are shuffled and not broadcast, at any size; all texts are shuffled once
+    theirs = saved(texts.join(sized.select("doc_id").hint("merge"), "doc_id", "left_semi"), "ngram_texts")
 
     def links(put: DataFrame) -> DataFrame:
-        return saved(texts.join(saved(put, "ngram_blocks"), "doc_id").groupBy("block").applyInArrow(_product(percent, n), "a long, b long"), "ngram_links")
+        return saved(theirs.join(saved(put, "ngram_blocks").hint("merge"), "doc_id").groupBy("block").applyInArrow(_product(percent, n), "a long, b long"), "ngram_links")
 
     held = links(small_blocks(sized, tile).unionByName(leader_blocks(large, tile)))
     if large.limit(1).count():
