@@ -2,8 +2,8 @@
 
 ``CountVectorizer`` (unigrams + bigrams of the 2-char codes) -> ``IDF`` ->
 ``LogisticRegression`` or ``DecisionTreeClassifier``, fitted on the training
-files and applied to the rest. Vectors are sparse; the vocabulary size is a
-parameter (Spark keeps the most frequent grams, counted distributedly).
+files and applied to the rest. Vectors are sparse; the vocabulary holds every
+gram there can be (256 byte codes and ``??``, alone and in pairs).
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from bayesmill.functions.bytes import byte_tokens, file_id
 from bayesmill.functions.text import ngrams
 
+CODES = 256 + 1
+ALL_GRAMS = CODES + CODES ** 2
+
 
 def feature_frame(files: DataFrame, labels: DataFrame) -> DataFrame:
     f = files.select("doc_id", file_id("path").alias("file_id"), byte_tokens("content").alias("t"))
@@ -25,7 +28,7 @@ def feature_frame(files: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit_predict(files: DataFrame, labels: DataFrame, train_where: Column, model: str = "logistic",
-                vocab_size: int = 1 << 16, max_iter: int = 20) -> DataFrame:
+                vocab_size: int = ALL_GRAMS, max_iter: int = 20) -> DataFrame:
     data = feature_frame(files, labels)
     train = data.where(train_where)
     test = data.where(~train_where)

@@ -3,7 +3,8 @@ in channel-major order (``c x h x w``: all of channel 0 row by row, then
 channel 1, ...). The shape is a parameter of each call.
 
 Geometric operators are index maps: the source index of every output pixel is
-computed in Python from the shape (a literal array built from a rule), and the
+computed in Python from the shape (one constant array, cast from a string and
+folded by the optimizer, so the plan has as many nodes for any shape), and the
 row's work is one ``transform`` over it, so no division runs per element.
 Per-image random choices (flip, crop offsets, jitter strengths and order,
 lighting noise) are seeded draws of ``(seed, epoch, image id, step)``: a
@@ -37,13 +38,17 @@ STEP_BRIGHT, STEP_CONTRAST, STEP_SAT, STEP_ORDER = 4, 5, 6, 7
 STEP_LIGHT = 8
 
 
-def _lit_int_array(values: Sequence[int]) -> Column:
-    return F.array(*[F.lit(int(v)) for v in values])
+def literal_array(values: Sequence[float], element: str) -> Column:
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{element}>")
+
+
+def int_array(values: Sequence[int]) -> Column:
+    return literal_array([int(v) for v in values], "int")
 
 
 def _gather(px: Column, src: Sequence[int]) -> Column:
     """``out[i] = px[src[i]]`` (0-based source indexes)."""
-    return F.transform(_lit_int_array(src), lambda j: F.element_at(px, j + 1))
+    return F.transform(int_array(src), lambda j: F.element_at(px, j + 1))
 
 
 def _coords(c: int, h: int, w: int):
@@ -71,7 +76,7 @@ def hflip(df: DataFrame, shape: tuple[int, int, int], prob: float = 0.5, seed: i
 def center_crop(df: DataFrame, shape: tuple[int, int, int], size: int, col: str = "pixels") -> DataFrame:
     c, h, w = shape
     x1, y1 = math.ceil((w - size) / 2), math.ceil((h - size) / 2)
-    return df.withColumn(col, crop_expr(F.col(col), c, h, w, x1, y1, size))
+    return df.withColumn(col, _pinned(col, crop_expr(F.col(col), c, h, w, x1, y1, size)))
 
 
 def random_crop(df: DataFrame, shape: tuple[int, int, int], size: int, padding: int = 0, seed: int = 0,
@@ -87,8 +92,8 @@ def random_crop(df: DataFrame, shape: tuple[int, int, int], size: int, padding:
     x1 = D.randint(0, wp - size, seed, epoch, F.col(id_col), STEP_CROP_X)
     y1 = D.randint(0, hp - size, seed, epoch, F.col(id_col), STEP_CROP_Y)
     staged = df.withColumn("_x1", x1).withColumn("_y1", y1)
-    coords = F.array(*[F.struct(F.lit(ch).alias("c"), F.lit(y).alias("y"), F.lit(x).alias("x"))
-                       for ch, y, x in _coords(c, size, size)])
+    axes = zip(("c", "y", "x"), zip(*_coords(c, size, size), strict=True), strict=True)
+    coords = F.arrays_zip(*[int_array(v).alias(name) for name, v in axes])
     zero = F.lit(0).cast(staged.schema[col].dataType.elementType)
 
     def pick(s):
@@ -97,7 +102,8 @@ def random_crop(df: DataFrame, shape: tuple[int, int, int], size: int, padding:
         inside = (sy >= 0) & (sy < h) & (sx >= 0) & (sx < w)
         return F.when(inside, F.element_at(F.col(col), s["c"] * (h * w) + sy * w + sx + 1)).otherwise(zero)
 
-    return staged.withColumn(col, F.transform(coords, pick)).drop("_x1", "_y1")
+    out = _pinned(col, _pinned("_x1", _pinned("_y1", F.transform(coords, pick))))
+    return staged.withColumn(col, out).drop("_x1", "_y1")
 
 
 def ten_crop(df: DataFrame, shape: tuple[int, int, int], size: int, col: str = "pixels") -> DataFrame:
@@ -113,11 +119,11 @@ def ten_crop(df: DataFrame, shape: tuple[int, int, int], size: int, col: str = "
                 sx = x + x1
                 src.append(ch * h * w + (y + y1) * w + ((w - 1 - sx) if flip else sx))
             maps.append(src)
-    crops = F.array(*[F.struct(F.lit(k).alias("crop_no"), _lit_int_array(m).alias("src"))
+    crops = F.array(*[F.struct(F.lit(k).alias("crop_no"), int_array(m).alias("src"))
                       for k, m in enumerate(maps)])
     e = df.withColumn("_crop", F.explode(crops))
     px = F.transform(F.col("_crop.src"), lambda j: F.element_at(F.col(col), j + 1))
-    return e.withColumn("crop_no", F.col("_crop.crop_no")).withColumn(col, px).drop("_crop")
+    return e.withColumn("crop_no", F.col("_crop.crop_no")).withColumn(col, _pinned(col, px)).drop("_crop")
 
 
 # ---------------------------------------------------------------- colour
@@ -130,8 +136,8 @@ def color_normalize(df: DataFrame, shape: tuple[int, int, int], mean: Sequence[f
     m = [mean[ch] if ch < len(mean) else 0.0 for ch in range(c) for _ in range(hw)]
     s = [std[ch] if ch < len(std) else 1.0 for ch in range(c) for _ in range(hw)]
     return df.withColumn(col, F.zip_with(
-        F.col(col), F.arrays_zip(F.array(*[F.lit(float(v)) for v in m]).alias("m"),
-                                 F.array(*[F.lit(float(v)) for v in s]).alias("s")),
+        F.col(col), F.arrays_zip(literal_array([float(v) for v in m], "double").alias("m"),
+                                 literal_array([float(v) for v in s], "double").alias("s")),
         lambda v, ms: (v.cast("double") - ms["m"]) / ms["s"]))
 
 
@@ -159,16 +165,18 @@ def _pinned(name: str, expr: Column) -> Column:
 
 
 def grayscale(df: DataFrame, shape: tuple[int, int, int], col: str = "pixels") -> DataFrame:
-    """Grey value in all three channels."""
+    """Grey value in the first three channels; further channels are unchanged."""
     c, h, w = shape
     hw = h * w
-    return df.withColumn(col, F.transform(_lit_int_array([i % hw for i in range(3 * hw)]),
-                                          lambda k: _grey_at(F.col(col), k, hw)))
+    out = F.transform(int_array([i % hw for i in range(3 * hw)]), lambda k: _grey_at(F.col(col), k, hw))
+    if c > 3:
+        out = F.concat(out, F.slice(F.col(col), 3 * hw + 1, (c - 3) * hw).cast("array<double>"))
+    return df.withColumn(col, out)
 
 
 def _blend_grey(px: Column, alpha: Column, hw: int, n: int) -> Column:
     """``alpha * img + (1 - alpha) * grey`` (the grey image at index ``i mod hw``)."""
-    idx = _lit_int_array([i % hw for i in range(n)])
+    idx = int_array([i % hw for i in range(n)])
     return F.zip_with(px, idx, lambda v, k: alpha * v.cast("double") + (F.lit(1.0) - alpha) * _grey_at(px, k, hw))
 
 
@@ -249,7 +257,7 @@ def lighting(df: DataFrame, shape: tuple[int, int, int], alphastd: float, eigval
         staged = staged.withColumn(f"_a{j}", alphas[j])
     shift = [sum(F.lit(float(eigvec[i][j] * eigval[j])) * F.col(f"_a{j}") for j in range(3)) for i in range(3)]
     staged = staged.withColumn("_rgb", F.array(*shift))
-    idx = _lit_int_array([min(i // hw, 2) if i // hw < 3 else -1 for i in range(c * hw)])
+    idx = int_array([min(i // hw, 2) if i // hw < 3 else -1 for i in range(c * hw)])
     out = F.zip_with(F.col(col), idx, lambda v, ch: F.when(ch >= 0, v.cast("double") + F.element_at(F.col("_rgb"), ch + 1))
                      .otherwise(v.cast("double")))
     return staged.withColumn(col, _pinned("_rgb", out)).drop("_a0", "_a1", "_a2", "_rgb")

@@ -4,15 +4,15 @@ putting predictions back in request order, URL manifests.
 ``with_row_index`` is a DataFrame form of ``zipWithIndex``: rows are range
 partitioned and sorted on the order key and checkpointed, each partition's
 size is counted (one small row per partition), offsets are running sums over
-those few rows (folded by one global aggregate) and are broadcast back. No
-window or sort ever runs over the data in one task.
+those few rows and are broadcast back. No window or sort ever runs over the
+data in one task; the partition count is the session's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bayesmill.functions.draws import uniform
@@ -20,21 +20,22 @@ from bayesmill.session import ensure_checkpoint_dir
 
 
 def running_offsets(sizes: DataFrame, key: str, count_col: str, carry: Sequence[str] = ()) -> DataFrame:
-    """``(key, *carry, _off)``: for a small table with one row per unit (partition,
-    file split), the number of rows in all units ordered before it.
+    """``(key, *carry, _off)``: for a table with one row per unit (partition, file
+    split), the number of rows in all units ordered before it.
 
-    One global aggregate folds the rows (bounded by the number of units) into a
-    sorted array; running sums are computed on it and the rows exploded back.
+    Prefix sums on two levels: the units are range-partitioned by key and
+    checkpointed, each part sums up its own units, and one row per part (at most
+    the number of shuffle partitions) gives what comes before the part.
     """
-    fields = [key, count_col, *carry]
-    folded = sizes.agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_p"))
-    ends = F.aggregate(F.col("_p"), F.array().cast("array<long>"),
-                       lambda acc, x: F.concat(acc, F.array(
-                           F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long")) + x[count_col])))
-    rows = folded.select(F.explode(F.zip_with(
-        "_p", ends, lambda u, end: F.struct(*[u[f].alias(f) for f in [key, *carry]],
-                                            (end - u[count_col]).alias("_off")))).alias("o"))
-    return rows.select(*[F.col(f"o.{f}") for f in [key, *carry]], F.col("o._off"))
+    ensure_checkpoint_dir(sizes.sparkSession)
+    placed = sizes.repartitionByRange(key).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_part").agg(F.sum(count_col).alias("_rows"))
+    starts = parts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.withColumn("_in", F.coalesce(F.sum(count_col).over(inside), F.lit(0)))
+    out = out.join(F.broadcast(starts), "_part")                # one row per shuffle partition: bounded
+    return out.select(key, *carry, (F.col("_start") + F.col("_in")).alias("_off"))
 
 
 def with_row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index",
@@ -47,8 +48,7 @@ def with_row_index(df: DataFrame, order_by: Sequence[str | Column], name: str =
     differently; counting and numbering the one materialised copy cannot disagree.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys).sortWithinPartitions(*keys)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     ensure_checkpoint_dir(df.sparkSession)
     tagged = tagged.checkpoint(eager=True)

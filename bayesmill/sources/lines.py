@@ -4,7 +4,7 @@ A line's position is ordered by (file path, start offset of its split, its
 position inside the split). The position comes from
 ``monotonically_increasing_id`` evaluated in the scan stage, where a task reads
 a split front to back; each split's running offset comes from one small row
-per split, so no task sees all lines and the lines are never shuffled. Files are numbered in path order, which for Spark's own output
+per split, so no task sees all lines. Files are numbered in path order, which for Spark's own output
 (``part-00000``, ``part-00001``, ...) is the order the rows were written in.
 """
 
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayesmill.operators.order import running_offsets
+from bayesmill.session import ensure_checkpoint_dir
 
 
 def _indexed(df: DataFrame, name: str) -> DataFrame:
@@ -21,16 +22,18 @@ def _indexed(df: DataFrame, name: str) -> DataFrame:
 
     A split is read front to back by one task, so ``monotonically_increasing_id``
     is consecutive inside it. Each split's size and first id (one small row per
-    split) give its running offset; no shuffle of the lines is needed and the
-    numbering is the same on every recomputation (splits are deterministic).
+    split) give its running offset. Split bounds depend on the cores that are
+    there, so the tagged lines are checkpointed first: counting and numbering
+    read the one materialised copy, whatever executors join or leave.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     keyed = df.select("*", F.col("_metadata.file_path").alias("_f"),
                       F.col("_metadata.file_block_start").alias("_b"),
-                      F.monotonically_increasing_id().alias("_m"))
+                      F.monotonically_increasing_id().alias("_m")).checkpoint(eager=True)
     splits = keyed.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
     splits = splits.select(F.struct("_f", "_b").alias("_split"), "_n", "_first")
-    offsets = running_offsets(splits, "_split", "_n", ["_first"])      # one row per split: bounded
-    out = keyed.withColumn("_split", F.struct("_f", "_b")).join(F.broadcast(offsets), "_split")
+    offsets = running_offsets(splits, "_split", "_n", ["_first"])      # grows with the files: no forced broadcast
+    out = keyed.withColumn("_split", F.struct("_f", "_b")).join(offsets, "_split")
     return (out.withColumn(name, F.col("_off") + (F.col("_m") - F.col("_first")))
             .drop("_f", "_b", "_m", "_split", "_first", "_off"))
 

@@ -21,6 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bayesmill.operators.images import int_array
+
 # The PNG writer runs in Python workers; ship this module's code with the
 # task instead of requiring the package to be installed on every executor.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -176,11 +178,13 @@ def write_pngs(df: DataFrame, path: str, shape: tuple[int, int, int], id_col: st
     return df.select(id_col, col).mapInPandas(encode, "file string, bytes long")
 
 
-def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int],
-                    labels: DataFrame | None = None, id_col: str = "image_id") -> DataFrame:
+def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int], labels: DataFrame | None = None,
+                    id_col: str = "image_id", order: str = "yx") -> DataFrame:
     """``(image_id, label, pixels array<int>)`` from a PNG folder, channel order R, G, B.
 
-    The id is the file name before the first dot, as a long integer. With
+    Pixels go row by row, or column by column with ``order='xy'``. An image of
+    another height or width than ``shape`` fails the job. The id is the file
+    name before the first dot, as a long integer. With
     ``labels`` (``image_id, label``) every image must find its label (the job
     fails otherwise).
     """
@@ -190,13 +194,15 @@ def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int],
     name = F.element_at(F.split("image.origin", "/"), -1)
     rid = F.split_part(name, F.lit("."), F.lit(1)).cast("long")
     # image.data: row-major, channels B, G, R (grey or 4-channel modes mapped to three)
-    src = []
-    for ch in range(3):
-        for y in range(h):
-            for x in range(w):
-                src.append((y, x, ch))
+    if order not in ("yx", "xy"):
+        raise ValueError(f"invalid pixel order: {order}")
+    if order == "yx":
+        spots = [(ch, y, x) for ch in range(3) for y in range(h) for x in range(w)]
+    else:
+        spots = [(ch, y, x) for ch in range(3) for x in range(w) for y in range(h)]
+    axes = zip(("c", "y", "x"), zip(*spots, strict=True), strict=True)
     nch = F.col("image.nChannels")
-    coords = F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x"), F.lit(ch).alias("c")) for y, x, ch in src])
+    coords = F.arrays_zip(*[int_array(v).alias(a) for a, v in axes])
 
     def pick(s):
         bgr = F.when(nch == 1, F.lit(0)).otherwise(F.lit(2) - s["c"])
@@ -204,7 +210,8 @@ def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int],
         byte = F.substring(F.col("image.data"), off + 1, 1)
         return F.conv(F.hex(byte), 16, 10).cast("int")
 
-    rows = img.select(rid.alias(id_col), F.transform(coords, pick).alias("pixels"))
+    fits = F.assert_true((F.col("image.height") == h) & (F.col("image.width") == w), F.lit("image of another size than the shape"))
+    rows = img.select(rid.alias(id_col), F.when(fits.isNull(), F.transform(coords, pick)).alias("pixels"))
     if labels is None:
         return rows
     lab = labels.select(id_col, "label")

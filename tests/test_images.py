@@ -1,5 +1,6 @@
 import os
 import tempfile
+import time
 
 import numpy as np
 import pytest
@@ -118,3 +119,51 @@ def test_crop_sum(spark):
     df = spark.createDataFrame([(1, 0, 0, [1.0, 2.0]), (1, 1, 0, [3.0, 1.0])],
                                "id long, crop int, target int, scores array<double>")
     assert EV.crop_sum(df).first()["scores"] == [4.0, 3.0]
+
+
+@pytest.fixture(scope="module")
+def real_size(spark):
+    rng = np.random.default_rng(11)
+    a = rng.integers(0, 256, (400, 3 * 32 * 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(a)], "image_id long, pixels array<int>")
+    return df.repartition(4).checkpoint(), a.reshape(400, 3, 32, 32)
+
+
+@pytest.mark.parametrize("name", ["preprocess", "random_crop", "ten_crop", "center_crop"])
+def test_real_shape_builds_and_runs_fast(spark, real_size, name):
+    df, a = real_size
+    shape = (3, 32, 32)
+    t = time.time()
+    out = {
+        "preprocess": lambda: IM.preprocess(df, shape, "train"),
+        "random_crop": lambda: IM.random_crop(df, shape, 32, 4),
+        "ten_crop": lambda: IM.ten_crop(df, shape, 28),
+        "center_crop": lambda: IM.center_crop(IM.color_normalize(df, shape), shape, 28),
+    }[name]()
+    built = time.time() - t
+    t = time.time()
+    rows = out.select("image_id", "pixels").collect()
+    ran = time.time() - t
+    assert built < 1 and ran < 10, (built, ran)
+    assert len(rows) == (4000 if name == "ten_crop" else 400)
+    if name == "center_crop":
+        r = rows[17]
+        mean, std = (np.array(x)[:, None, None] for x in (IM.CHANNEL_MEAN, IM.CHANNEL_STD))
+        assert np.allclose(r["pixels"], (((a[r["image_id"]] - mean) / std)[:, 2:30, 2:30]).reshape(-1))
+
+
+def test_grayscale_leaves_the_fourth_channel(spark):
+    df = spark.createDataFrame([(1, list(range(16)))], "image_id long, pixels array<int>")
+    px = IM.grayscale(df, (4, 2, 2)).first()["pixels"]
+    assert len(px) == 16 and px[12:] == [12.0, 13.0, 14.0, 15.0] and px[:4] == px[4:8] == px[8:12]
+
+
+def test_png_size_and_pixel_order(spark, imgs):
+    df, rows = imgs
+    path = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "png")
+    PX.write_pngs(df, path, SHAPE).count()
+    turned = {r["image_id"]: r["pixels"] for r in PX.read_image_rows(spark, path, SHAPE, order="xy").collect()}
+    for i, _, v in rows:
+        assert turned[i] == np.array(v).reshape(SHAPE).transpose(0, 2, 1).reshape(-1).tolist()
+    with pytest.raises(Exception, match="another size"):
+        PX.read_image_rows(spark, path, (3, 3, 4)).collect()

@@ -90,3 +90,11 @@ def test_manifest_keeps_long_ids_whole(spark):
     df = spark.createDataFrame([(7,), (99999,), (100000,), (100001,)], "id long")
     got = [r["url"] for r in manifest(df, "id", "u/").orderBy("id").collect()]
     assert got == ["u/00007.png", "u/99999.png", "u/100000.png", "u/100001.png"]
+
+
+def test_running_offsets_of_a_million_units(spark):
+    units = spark.range(1_000_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("n"))
+    off = O.running_offsets(units, "k", "n")
+    week, day = F.floor(F.col("k") / 7), F.col("k") % 7
+    wrong = off.where(F.col("_off") != 21 * week + day * (day - 1) / 2)
+    assert off.count() == 1_000_000 and wrong.count() == 0
