@@ -86,6 +86,18 @@ def class_flags(classes_col: Column, classes: Sequence[str]) -> list[Column]:
             for i, c in enumerate(classes)]
 
 
+def class_statistics(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str = "doc_id",
+                     label_col: str = "classes") -> DataFrame:
+    """``(class, class_docs, prior)`` from the ids and labels alone; no text is read."""
+    classes = tuple(sorted(set(classes)))
+    flags = labels.join(docs.select(id_col), id_col).select(*class_flags(F.col(label_col), classes))
+    counts = flags.agg(*[F.coalesce(F.sum(f"_f{i}"), F.lit(0)).cast("long").alias(f"_f{i}") for i in range(len(classes))])
+    total = sum((F.col(f"_f{i}") for i in range(len(classes))), F.lit(0))
+    rows = F.array(*[F.struct(F.lit(c).alias("class"), F.col(f"_f{i}").alias("class_docs")) for i, c in enumerate(classes)])
+    e = counts.select(total.alias("total"), F.inline(rows))
+    return e.select("class", "class_docs", F.when(F.col("class_docs") > 0, F.ln(F.col("class_docs") / F.col("total"))).alias("prior"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "classes",
         stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),

@@ -59,6 +59,15 @@ def doc_freq(tf: DataFrame) -> DataFrame:
     return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+def corpus_doc_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2), sep: str = "") -> DataFrame:
+    """``(term, df long)`` straight from the documents (one row each): a document's distinct terms are found in its
+    own row, so no text is shuffled and no (document, term) count is made."""
+    bags = with_terms(docs.select(id_col, text_col), text_col, "_bag", stop_words, grams, sep)
+    rows = bags.select(F.explode_outer(F.array_distinct("_bag")).alias("term")).where(F.col("term").isNotNull())
+    return doc_freq(rows)
+
+
 def idf(df_table: DataFrame, n_docs) -> DataFrame:
     """``idf = ln((N + 1) / (df + 1))`` with N the number of documents (a scalar column or int)."""
     n = n_docs if not isinstance(n_docs, int) else F.lit(n_docs)
@@ -74,8 +83,8 @@ def count_docs(docs: DataFrame):
 
 
 def tfidf(tf: DataFrame, idf_table: DataFrame, id_col: str = "doc_id", sqrt: bool = False,
-          hot_terms: int = 1000, hot_buckets: int = 16) -> DataFrame:
-    """``(id, term, tf, idf, tfidf)``; ``sqrt=True`` gives the square-root damped variant.
+          hot_terms: int = 1000, hot_buckets: int = 16, keep: Sequence[str] = ()) -> DataFrame:
+    """``(id, *keep, term, tf, idf, tfidf)``; ``sqrt=True`` gives the square-root damped variant.
 
     The most frequent terms are salted (``salted_lookup_join``) so the rows of
     a term found in most documents are spread over ``hot_buckets`` tasks.
@@ -85,7 +94,7 @@ def tfidf(tf: DataFrame, idf_table: DataFrame, id_col: str = "doc_id", sqrt: boo
     w = F.col("tf") * F.col("idf")
     if sqrt:
         w = F.pow(w, 0.5)
-    return j.select(id_col, "term", "tf", "idf", w.alias("tfidf"))
+    return j.select(id_col, *keep, "term", "tf", "idf", w.alias("tfidf"))
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -73,37 +73,35 @@ def label_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- tf-idf
 
-def _train_tf(spark, sf):
-    return TF.term_freq(T.train_docs(spark, sf))
-
-
 def term_freq(spark: SparkSession, sf: str) -> DataFrame:
-    return _train_tf(spark, sf)
+    return TF.term_freq(T.corpus(spark, sf))
 
 
 def doc_freq(spark: SparkSession, sf: str) -> DataFrame:
-    return TF.doc_freq(_train_tf(spark, sf))
+    return TF.corpus_doc_freq(T.corpus(spark, sf))
 
 
 def idf(spark: SparkSession, sf: str) -> DataFrame:
-    docs = T.train_docs(spark, sf)
-    t = TF.idf(TF.doc_freq(TF.term_freq(docs)), TF.count_docs(docs))
+    docs = T.corpus(spark, sf)
+    t = TF.idf(TF.corpus_doc_freq(docs), TF.count_docs(docs))
     return t.select("term", "df", F.round("idf", R).alias("idf"))
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return TF.doc_freq(_train_tf(spark, sf)).agg(F.count(F.lit(1)).alias("vocab_size"))
+    return TF.corpus_doc_freq(T.corpus(spark, sf)).agg(F.count(F.lit(1)).alias("vocab_size"))
 
 
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    t = TF.tfidf_table(T.train_docs(spark, sf))
+    t = TF.tfidf_table(T.corpus(spark, sf))
     return t.select("doc_id", "term", "tf", F.round("tfidf", R).alias("tfidf"))
 
 
 def tfidf_labeled(spark: SparkSession, sf: str) -> DataFrame:
-    t = TF.tfidf_table(T.train_docs(spark, sf))
+    """Only labelled documents' terms meet the IDF table; N and df are of all documents."""
+    docs = T.corpus(spark, sf)
     lab = T.label_sets(spark, sf).where(F.size("classes") > 0)
-    j = t.join(lab, "doc_id")
+    weights = TF.idf(TF.corpus_doc_freq(docs), TF.count_docs(docs))
+    j = TF.tfidf(TF.term_freq(docs.join(lab, "doc_id"), keep=["classes"]), weights, keep=["classes"])
     return j.select("doc_id", "term", F.explode("classes").alias("class"), F.round("tfidf", R).alias("tfidf"))
 
 
@@ -113,12 +111,16 @@ def fit_model(spark: SparkSession, sf: str) -> NB.NaiveBayesModel:
     return NB.fit(T.train_docs(spark, sf), T.label_sets(spark, sf), T.CLASSES)
 
 
+def _class_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    return NB.class_statistics(T.train_docs(spark, sf), T.label_sets(spark, sf), T.CLASSES)
+
+
 def class_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return fit_model(spark, sf).class_table().select("class", F.col("class_docs").cast("long").alias("class_docs"))
+    return _class_statistics(spark, sf).select("class", "class_docs")
 
 
 def class_prior(spark: SparkSession, sf: str) -> DataFrame:
-    return fit_model(spark, sf).class_table().select("class", F.round("prior", R).alias("prior"))
+    return _class_statistics(spark, sf).select("class", F.round("prior", R).alias("prior"))
 
 
 def class_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,7 +205,7 @@ def sql() -> dict[str, str]:
     """The oracle statements, built on request (they embed the stop-word list)."""
     tok = S.tokens("text")
     filtered = S.stop_filtered(tok)
-    train = "WITH " + S.text_ctes(S.TRAIN_WHERE)
+    whole = "WITH " + S.text_ctes("TRUE")
     nb = S.nb_ctes()
     return {
         "clean_tokens": f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens "
@@ -218,15 +220,18 @@ def sql() -> dict[str, str]:
         "label_sets": f"SELECT doc_id, array_to_string(classes, ',') AS classes, len(classes)::BIGINT AS n_classes "
                       f"FROM ({S.LABEL_SETS})",
         "label_explode": f"SELECT doc_id, unnest(classes) AS class FROM ({S.LABEL_SETS})",
-        "term_freq": train + " SELECT doc_id, term, tf FROM tf",
-        "doc_freq": train + " SELECT term, count(*) AS df FROM tf GROUP BY term",
-        "idf": train + ", n AS (SELECT count(*) AS n FROM docs) SELECT term, count(*) AS df, "
+        "term_freq": whole + " SELECT doc_id, term, tf FROM tf",
+        "doc_freq": whole + " SELECT term, count(*) AS df FROM tf GROUP BY term",
+        "idf": whole + ", n AS (SELECT count(*) AS n FROM docs) SELECT term, count(*) AS df, "
                         "round(ln((min(n.n) + 1.0) / (count(*) + 1.0)), 6) AS idf FROM tf CROSS JOIN n GROUP BY term",
-        "vocabulary": train + " SELECT count(DISTINCT term) AS vocab_size FROM tf",
-        "tfidf": train + ", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term) "
+        "vocabulary": whole + " SELECT count(DISTINCT term) AS vocab_size FROM tf",
+        "tfidf": whole + ", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term) "
                           "SELECT tf.doc_id, tf.term, tf.tf, round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
                           "FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n",
-        "tfidf_labeled": nb + "SELECT res.doc_id, res.term, res.class, round(res.w, 6) AS tfidf FROM res",
+        "tfidf_labeled": whole + f", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term), "
+                         f"labs AS ({S.LABEL_SETS}) SELECT tf.doc_id, tf.term, unnest(labs.classes) AS class, "
+                         "round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
+                         "FROM tf JOIN labs ON tf.doc_id = labs.doc_id JOIN dfq ON tf.term = dfq.term CROSS JOIN n",
         "class_counts": nb + "SELECT class, class_docs::BIGINT AS class_docs FROM cstat",
         "class_prior": nb + "SELECT class, round(prior, 6) AS prior FROM cstat",
         "class_pair_counts": nb + "SELECT class, pair_count::BIGINT AS pair_count FROM wq",

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from bayesmill.functions import text as TX
@@ -61,3 +62,12 @@ def test_label_set_intersects_and_dedupes(spark):
     df = spark.createDataFrame([("E11,ECAT,M11,MCAT,ECAT",), (None,), ("X,Y",)], "line string")
     got = [r["c"] for r in df.select(label_set("line", ["CCAT", "ECAT", "GCAT", "MCAT"]).alias("c")).collect()]
     assert got == [["ECAT", "MCAT"], [], []]
+
+
+@pytest.mark.parametrize("key", ["doc_freq", "idf", "vocabulary"])
+def test_document_frequencies_shuffle_no_text(spark, key):
+    from bayesmill.plans import text as P
+
+    plan = P.QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" not in plan and "hashpartitioning(doc_id" not in plan
+    assert "hashpartitioning(term" in plan
