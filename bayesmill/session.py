@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a fresh scratch folder is made and registered.
+    (local tests) a fresh scratch folder is made and registered. On a cluster
+    each executor would see another machine's folder, so the setting must be there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
