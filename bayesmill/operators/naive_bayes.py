@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str
     terms = agg.select("term", "df", idf_col.alias("idf"), "tf_by_class", "docs_by_class")
     logps = []
     for i in range(C):
-        denom = float(pairs[i] + vocab)
+        denom = float(pairs[i] + vocab) or 1.0      # no terms at all: no row uses it
         x = F.when(F.col("docs_by_class")[i] > 0, F.col("tf_by_class")[i] * F.col("idf")).otherwise(1.0 / denom)
         logps.append(F.ln((x + 1.0) / denom))
     terms = terms.withColumn("logp", F.array(*logps))

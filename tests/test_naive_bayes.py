@@ -122,3 +122,12 @@ def test_stemming_option_merges_word_forms(spark):
     assert terms == sorted(["run", "runrun", "cat", "catcat"])
     test = spark.createDataFrame([(9, "runner running")], "doc_id long, text string")
     assert NB.predict(m, test).first()["label"] == "R"
+
+
+def test_fit_on_an_empty_corpus(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, classes array<string>")
+    model = NB.fit(docs, labels, ["A", "B"])
+    assert model.n_docs == 0 and model.terms.count() == 0
+    got = {r["class"]: (r["class_docs"], r["prior"]) for r in NB.class_statistics(docs, labels, ["A", "B"]).collect()}
+    assert got == {"A": (0, None), "B": (0, None)}
