@@ -1,9 +1,8 @@
 """Porter stemming (M. F. Porter, "An algorithm for suffix stripping", 1980)
 and the lemma + stem term normalisation job.
 
-The stemmer is a small per-word helper. Spark applies it to the *distinct*
-terms only (``normalize_terms``), or to token arrays in Arrow batches
-(``stem_tokens``); both are vectorised pandas UDFs.
+The stemmer is a small per-word helper, run as a vectorised pandas UDF on the
+*distinct* terms only (``normalize_terms``).
 """
 
 from __future__ import annotations
@@ -13,10 +12,10 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import StringType
 
 # ship this module with the UDFs (no install needed on executors)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -141,40 +140,19 @@ def stem(words: pd.Series) -> pd.Series:
     return words.map(lambda x: None if x is None else porter_stem(x))
 
 
-@pandas_udf(ArrayType(StringType()))
-def stem_tokens(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda arr: None if arr is None else [porter_stem(t) for t in arr])
-
-
-def lemma_stem_tokens(spark, lemmas: dict[str, str]):
-    """A token-array UDF applying ``lemmas`` (form -> lemma) then the stemmer.
-
-    The lemma dictionary is language data of fixed size (not growing with the
-    corpus); it is shipped once per executor as a broadcast variable.
-    """
-    bc = spark.sparkContext.broadcast(dict(lemmas))
-
-    @pandas_udf(ArrayType(StringType()))
-    def apply(tokens: pd.Series) -> pd.Series:
-        table = bc.value
-        return tokens.map(lambda arr: None if arr is None else [porter_stem(table.get(t, t)) for t in arr])
-
-    return apply
-
-
-def normalize_terms(terms: DataFrame, term_col: str = "term", lemmas: DataFrame | None = None) -> DataFrame:
-    """``(term, norm)`` for the distinct terms: lemma (user table ``(form, lemma)``,
-    unchanged when absent) then Porter stem. The stemmer sees each distinct
-    term once; callers join the result back on ``term``.
+def normalize_terms(terms: DataFrame, term_col: str = "term",
+                    lemmas: DataFrame | dict[str, str] | None = None) -> DataFrame:
+    """``(term, norm, n long)`` for the distinct terms, with the rows each has: lemma (user
+    table ``(form, lemma)`` or a dictionary, unchanged when absent; of several lemmas the
+    smallest) then Porter stem. The stemmer sees each distinct term once; callers
+    join the result back on ``term``.
     """
-    d = terms.select(F.col(term_col).alias("term")).distinct()
+    d = terms.groupBy(F.col(term_col).alias("term")).agg(F.count(F.lit(1)).alias("n"))
+    base = F.col("term")
     if lemmas is not None:
-        lem = lemmas.select(F.col("form").alias("term"), F.col("lemma"))
-        d = d.join(lem, "term", "left").select("term", F.coalesce("lemma", "term").alias("_base"))
-    else:
-        d = d.select("term", F.col("term").alias("_base"))
-    return d.select("term", stem(F.col("_base")).alias("norm"))
-
-
-def stemmed(tokens: Column) -> Column:
-    return stem_tokens(tokens)
+        if isinstance(lemmas, dict):
+            lemmas = terms.sparkSession.createDataFrame(list(lemmas.items()), "form string, lemma string")
+        lem = lemmas.groupBy(F.col("form").alias("term")).agg(F.min("lemma").alias("lemma"))
+        d = d.join(lem, "term", "left")
+        base = F.coalesce("lemma", "term")
+    return d.select("term", stem(base).alias("norm"), "n")

@@ -50,7 +50,7 @@ class NaiveBayesModel:
     grams: tuple[int, ...]
     sep: str
     stem: bool = False
-    lemmas: dict[str, str] | None = None
+    lemmas: DataFrame | dict[str, str] | None = None
 
     @property
     def prior(self) -> tuple[float | None, ...]:
@@ -101,14 +101,16 @@ def class_statistics(docs: DataFrame, labels: DataFrame, classes: Sequence[str],
 def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "classes",
         stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
-        sep: str = "", stem: bool = False, lemmas: dict[str, str] | None = None,
+        sep: str = "", stem: bool = False, lemmas: DataFrame | dict[str, str] | None = None,
         checkpoint: bool = True) -> NaiveBayesModel:
     """Fit on documents ``(id, text)`` and label sets ``(id, classes array<string>)``.
 
     Unlabelled documents (no row, or an empty set) still count in N, df and V.
     The per-term statistics are checkpointed (reliable storage under
     ``spark.checkpoint.dir``) so the class scalars and every later scoring
-    job read them instead of re-tokenising the corpus.
+    job read them instead of re-tokenising the corpus. ``stem=True`` puts every
+    word's lemma (table or dictionary ``form -> lemma``) and Porter stem in its
+    place after the stop-word test; each distinct word is stemmed once.
     """
     classes = tuple(sorted(set(classes)))
     C = len(classes)
@@ -154,8 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str
 
 
 def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id",
-                 text_col: str = "text", on_unknown: str = "drop", hot_terms: int = 1000,
-                 hot_buckets: int = 16) -> DataFrame:
+                 text_col: str = "text", on_unknown: str = "drop") -> DataFrame:
     """``(id, scores array<double>)`` aligned with ``model.classes``.
 
     Test terms are counted per document first (repeats count each time), then
@@ -167,8 +168,7 @@ def score_arrays(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id"
     tf = term_freq(docs.select(id_col, text_col), id_col, text_col, model.stop_words, model.grams, model.sep,
                    stem=model.stem, lemmas=model.lemmas)
     # the heaviest terms are salted so a term in most documents cannot pile onto one task
-    j = salted_lookup_join(tf, model.terms.select("term", "df", "logp"), "term", "df", id_col,
-                           top=hot_terms, buckets=hot_buckets)
+    j = salted_lookup_join(tf, model.terms.select("term", "df", "logp"), "term", "df", id_col)
     sums = j.groupBy(id_col).agg(*[F.sum(F.col("tf") * F.col("logp")[i]).alias(f"_s{i}") for i in range(C)])
     if on_unknown == "prior":
         sums = docs.select(id_col).join(sums, id_col, "left").fillna(0.0, subset=[f"_s{i}" for i in range(C)])

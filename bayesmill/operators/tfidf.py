@@ -17,10 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bayesmill.functions.text import with_terms
+from bayesmill.functions.stem import normalize_terms
+from bayesmill.functions.text import filtered_tokens, with_terms
 from bayesmill.operators.skew import salted_lookup_join
 from bayesmill.session import ensure_checkpoint_dir
 
@@ -28,23 +29,45 @@ from bayesmill.session import ensure_checkpoint_dir
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
                   sep: str = "", keep: Sequence[str] = (), stem: bool = False,
-                  lemmas: dict[str, str] | None = None) -> DataFrame:
+                  lemmas: DataFrame | dict[str, str] | None = None) -> DataFrame:
     """One row per term occurrence: ``(id, *keep, term)``.
 
     ``explode_outer`` on the computed bag, then a null filter: a plain
     ``explode`` of a computed array lets the optimizer infer a ``size(bag) > 0``
     filter and push a second copy of the whole tokenizer below it.
     """
-    bags = with_terms(docs.select(id_col, *keep, text_col), text_col, "_bag", stop_words, grams, sep, stem=stem,
-                      lemmas=lemmas)
+    if stem:
+        return stemmed_terms(docs, id_col, text_col, stop_words, grams, sep, keep, lemmas)
+    bags = with_terms(docs.select(id_col, *keep, text_col), text_col, "_bag", stop_words, grams, sep)
     return (bags.select(F.col(id_col), *[F.col(k) for k in keep], F.explode_outer("_bag").alias("term"))
             .where(F.col("term").isNotNull()))
 
 
+def stemmed_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2), sep: str = "",
+                  keep: Sequence[str] = (), lemmas: DataFrame | dict[str, str] | None = None) -> DataFrame:
+    """``explode_terms`` over lemmas and stems (ids must be unique: a document is one row).
+
+    Words are normalised as a table: the distinct words are stemmed, each once,
+    and joined back to the word occurrences (frequent words salted). N-grams
+    are a word and its followers in the document, read by position.
+    """
+    words = docs.select(id_col, *keep, filtered_tokens(text_col, stop_words).alias("_tokens"))
+    rows = (words.select(id_col, *keep, F.posexplode_outer("_tokens").alias("_pos", "term"))
+            .where(F.col("term").isNotNull()))
+    stems = salted_lookup_join(rows, normalize_terms(rows, lemmas=lemmas), "term", "n", "_pos")
+    sizes = sorted(set(grams))
+    place = Window.partitionBy(id_col).orderBy("_pos")
+    run = [F.col("norm"), *[F.lead("norm", k).over(place) for k in range(1, sizes[-1])]]
+    runs = stems.select(id_col, *keep, *[w.alias(f"_w{k}") for k, w in enumerate(run)])
+    terms = [F.when(F.col(f"_w{n - 1}").isNotNull(), F.concat_ws(sep, *[f"_w{k}" for k in range(n)])) for n in sizes]
+    return runs.select(id_col, *keep, F.explode(F.array(*terms)).alias("term")).where(F.col("term").isNotNull())
+
+
 def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
               sep: str = "", keep: Sequence[str] = (), prepartitioned: bool = False,
-              stem: bool = False, lemmas: dict[str, str] | None = None) -> DataFrame:
+              stem: bool = False, lemmas: DataFrame | dict[str, str] | None = None) -> DataFrame:
     """Raw count per (document, term): ``(id, *keep, term, tf long)``.
 
     ``keep`` columns must be functionally dependent on the id (e.g. its labels).
@@ -83,14 +106,13 @@ def count_docs(docs: DataFrame):
 
 
 def tfidf(tf: DataFrame, idf_table: DataFrame, id_col: str = "doc_id", sqrt: bool = False,
-          hot_terms: int = 1000, hot_buckets: int = 16, keep: Sequence[str] = ()) -> DataFrame:
+          keep: Sequence[str] = ()) -> DataFrame:
     """``(id, *keep, term, tf, idf, tfidf)``; ``sqrt=True`` gives the square-root damped variant.
 
-    The most frequent terms are salted (``salted_lookup_join``) so the rows of
-    a term found in most documents are spread over ``hot_buckets`` tasks.
+    Frequent terms are salted (``salted_lookup_join``), so the rows of a term
+    found in most documents are spread over tasks by its share of all rows.
     """
-    j = salted_lookup_join(tf, idf_table.select("term", "df", "idf"), "term", "df", id_col,
-                           top=hot_terms, buckets=hot_buckets).drop("df")
+    j = salted_lookup_join(tf, idf_table.select("term", "df", "idf"), "term", "df", id_col).drop("df")
     w = F.col("tf") * F.col("idf")
     if sqrt:
         w = F.pow(w, 0.5)

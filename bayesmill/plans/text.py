@@ -13,7 +13,9 @@ from bayesmill.functions import text as TX
 from bayesmill.operators import naive_bayes as NB
 from bayesmill.operators import tfidf as TF
 from bayesmill.plans import sqlfrag as S
+from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
+from bayesmill.sources.lines import read_lines_indexed, write_lines
 
 R = 6  # rounding of doubles for comparison
 
@@ -161,7 +163,20 @@ def term_normalize(spark: SparkSession, sf: str) -> DataFrame:
     from bayesmill.functions.stem import normalize_terms
 
     t = _filtered_tokens(spark, sf).select(F.explode_outer("t").alias("term")).where(F.col("term").isNotNull())
-    return normalize_terms(t)
+    return normalize_terms(t).select("term", "norm")
+
+
+def nb_predict_stemmed(spark: SparkSession, sf: str) -> DataFrame:
+    """Fit and predict over Porter stems."""
+    model = NB.fit(T.train_docs(spark, sf), T.label_sets(spark, sf), T.CLASSES, stem=True)
+    return NB.predict(model, T.test_docs(spark, sf))
+
+
+def nb_predict_file(spark: SparkSession, sf: str) -> DataFrame:
+    """One prediction a line, in document order, written and read back with line numbers."""
+    path = scratch_path(spark, "predictions")
+    write_lines(nb_predict(spark, sf).select("label", "doc_id"), path, "doc_id")
+    return read_lines_indexed(spark, path)
 
 
 QUERIES = {
@@ -186,6 +201,8 @@ QUERIES = {
     "nb_model": nb_model,
     "nb_scores": nb_scores,
     "nb_predict": nb_predict,
+    "nb_predict_stemmed": nb_predict_stemmed,
+    "nb_predict_file": nb_predict_file,
     "multilabel_accuracy": multilabel_accuracy,
 }
 
@@ -239,6 +256,7 @@ def sql() -> dict[str, str]:
         "nb_model": nb + "SELECT term, class, round(logp, 6) AS logp FROM model",
         "nb_scores": nb + "SELECT doc_id, class, round(score, 6) AS score FROM scores",
         "nb_predict": nb + "SELECT doc_id, label FROM pred",
+        "nb_predict_file": nb + "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no, label AS value FROM pred",
         "multilabel_accuracy": nb + ", hits AS (SELECT p.doc_id, CASE WHEN list_contains(l.classes, p.label) "
                                "THEN 1 ELSE 0 END AS hit FROM pred p JOIN labsets l ON p.doc_id = l.doc_id) "
                                "SELECT count(*) AS n, sum(hit)::BIGINT AS correct, round(avg(hit), 6) AS accuracy FROM hits",

@@ -131,3 +131,30 @@ def test_fit_on_an_empty_corpus(spark):
     assert model.n_docs == 0 and model.terms.count() == 0
     got = {r["class"]: (r["class_docs"], r["prior"]) for r in NB.class_statistics(docs, labels, ["A", "B"]).collect()}
     assert got == {"A": (0, None), "B": (0, None)}
+
+
+def test_registered_stemmed_job_matches_brute_force(spark, monkeypatch):
+    import sys
+
+    from bayesmill.functions.stem import porter_stem
+    from bayesmill.functions.stopwords import default_stop_words
+    from bayesmill.plans import registry
+    from bayesmill.sources import tables as T
+    from conftest import SF_SMALL
+
+    stop = set(default_stop_words())
+
+    def stemmed_bag(text):
+        t = [w.lower() for w in re.sub("[^a-zA-Z ]", "", re.sub("[\r\n]", " ", text)).split(" ") if w]
+        t = [porter_stem(w) for w in t if w not in stop]
+        return t + [a + b for a, b in zip(t, t[1:])]
+
+    monkeypatch.setattr(sys.modules[__name__], "_bag", stemmed_bag)
+    labels = {r["doc_id"]: r["classes"] for r in T.label_sets(spark, SF_SMALL).collect()}
+    train = [(r["doc_id"], r["text"], labels.get(r["doc_id"], [])) for r in T.train_docs(spark, SF_SMALL).collect()]
+    test = [(r["doc_id"], r["text"]) for r in T.test_docs(spark, SF_SMALL).collect()]
+    scores, _ = brute(train, test, list(T.CLASSES))
+    got = {r["doc_id"]: r["label"] for r in registry.queries()["nb_predict_stemmed"](spark, SF_SMALL).collect()}
+    assert got.keys() == scores.keys() and got
+    for d, label in got.items():
+        assert scores[d][label] == pytest.approx(max(scores[d].values()), abs=1e-6)
