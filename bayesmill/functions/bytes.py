@@ -17,6 +17,8 @@ def _col(c: Column | str) -> Column:
 
 
 WHITESPACE = "\\s+"
+# whitespace, and whole tokens of one or of three and more characters
+NOT_CODES = "\\s+|(?<!\\S)(?:\\S{3,}+|\\S(?!\\S))"
 
 
 def byte_tokens(content: Column | str) -> Column:
@@ -29,8 +31,11 @@ def byte_tokens(content: Column | str) -> Column:
 
 
 def byte_string(content: Column | str) -> Column:
-    """The two-character tokens concatenated: token i is ``substring(s, 2i+1, 2)``."""
-    return F.array_join(byte_tokens(content), "")
+    """The two-character tokens concatenated: token i is ``substring(s, 2i+1, 2)``.
+
+    All else is deleted in one pass over the text; a large file never becomes an array of tokens.
+    """
+    return F.regexp_replace(_col(content), NOT_CODES, "")
 
 
 def file_id(path: Column | str) -> Column:

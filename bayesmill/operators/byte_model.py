@@ -22,9 +22,10 @@ ALL_GRAMS = CODES + CODES ** 2
 
 
 def feature_frame(files: DataFrame, labels: DataFrame) -> DataFrame:
-    f = files.select("doc_id", file_id("path").alias("file_id"), byte_tokens("content").alias("t"))
-    f = f.select("doc_id", "file_id", F.concat(F.col("t"), ngrams(F.col("t"), 2)).alias("grams"))
-    return f.join(labels.select("file_id", "label"), "file_id")
+    f = files.select("doc_id", file_id("path").alias("file_id"), "content")
+    f = f.join(labels.select("file_id", "label"), "file_id")
+    f = f.select("doc_id", "file_id", "label", byte_tokens("content").alias("t"))
+    return f.select("doc_id", "file_id", "label", F.concat(F.col("t"), ngrams(F.col("t"), 2)).alias("grams"))
 
 
 def fit_predict(files: DataFrame, labels: DataFrame, train_where: Column, model: str = "logistic",

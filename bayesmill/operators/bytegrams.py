@@ -6,9 +6,10 @@ Files ``(path, content)`` -> tokens (2-char codes) -> n-grams for each n in
 Long form ``(file_id, gram, freq)`` throughout; a ``map<string,long>`` per file
 only at the edge (``as_map``).
 
-Like the text jobs, files are hash-partitioned by id once so the per-(file,
-gram) count needs no second exchange; a hot gram never concentrates because
-the count key is (file, gram).
+A file's codes are cut into pieces that overlap by a gram less one code, and the
+pieces, not the files, are spread over the tasks: a file of any size is counted
+by many tasks, and no array of all its grams is ever made. Counts are partial per
+task, then final by (file, gram), so neither a hot gram nor a large file piles up.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from bayesmill.functions.bytes import TOKEN_LENGTH, byte_string, byte_tokens, fi
 from bayesmill.operators import tfidf as TF
 
 
+PIECE_CODES = 1 << 16    # codes in a piece: how finely files are spread, not a limit
+
+
 def tokenized(files: DataFrame, path_col: str = "path", content_col: str = "content",
               partition: bool = False) -> DataFrame:
     """``(file_id, tokens array<string>)``.
@@ -46,17 +50,24 @@ def gram_rows(files: DataFrame, grams: Sequence[int] = (1, 2), sep: str = "",
               path_col: str = "path", content_col: str = "content") -> DataFrame:
     """One row per gram occurrence ``(file_id, gram)``.
 
-    Codes are fixed width, so the file's codes are joined into one string and
-    each gram size is a single ``regexp_extract_all`` over it (JVM regex, no
-    per-element lambda). Only the gram arrays feed the explode; the file's
-    string is not carried into the exploded rows.
+    Codes are fixed width, so the file's codes are joined into one string, cut
+    into pieces of ``PIECE_CODES`` codes and what the longest gram needs beyond,
+    and each gram size is a single ``regexp_extract_all`` over a piece, as far as
+    grams start in it (JVM regex, no per-element lambda). Only the gram arrays
+    feed the explode; the string is not carried into the exploded rows.
     """
-    f = files.select(file_id(path_col).alias("file_id"), F.col(content_col).alias("_content"))
-    f = f.repartition("file_id")   # raw text shuffled once; per-file counts then need no exchange
-    s = f.select("file_id", byte_string("_content").alias("_s"))
+    sizes = sorted(set(grams))
+    own, more = PIECE_CODES * TOKEN_LENGTH, (sizes[-1] - 1) * TOKEN_LENGTH
+    f = files.select(file_id(path_col).alias("file_id"), byte_string(content_col).alias("_codes"))
+    cut = F.regexp_extract_all(F.col("_codes"), F.lit(f"(?s)(?=(.{{1,{own + more}}})).{{1,{own}}}"), 1)
+    s = f.select("file_id", F.posexplode_outer(cut).alias("_no", "_s")).where(F.col("_s").isNotNull())
+    # with a number given (the session's), small pieces aren't merged again: their grams are many times larger
+    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = s.repartition(parts, "file_id", "_no")
     parts = []
-    for k in sorted(set(grams)):
-        g = F.regexp_extract_all(F.col("_s"), F.lit(_grams_regex(k)), 1)
+    for k in sizes:
+        starts = F.substring("_s", 1, own + (k - 1) * TOKEN_LENGTH)
+        g = F.regexp_extract_all(starts, F.lit(_grams_regex(k)), 1)
         if sep and k > 1:
             g = F.transform(g, lambda x: F.regexp_replace(x, "(..)(?!$)", "$1" + sep.replace("$", "\\$")))
         parts.append(g)
@@ -76,10 +87,13 @@ def ngram_freq(files: DataFrame, grams: Sequence[int] = (1, 2), min_freq: int =
 def byte_features(files: DataFrame, labels: DataFrame, grams: Sequence[int] = (1, 2),
                   min_freq: int = 200, sep: str = "", id_col: str = "file_id",
                   label_col: str = "label") -> DataFrame:
-    """``(file_id, gram, freq, label)``: thresholded counts joined with labels (inner)."""
-    f = ngram_freq(files, grams, min_freq, sep)
+    """``(file_id, gram, freq, label)``: thresholded counts joined with labels (inner).
+
+    Files without a label are left out before their grams are made.
+    """
     lab = labels.select(F.col(id_col).alias("file_id"), F.col(label_col).alias("label"))
-    return f.join(lab, "file_id")
+    labelled = files.withColumn("file_id", file_id("path")).join(lab.select("file_id"), "file_id", "left_semi")
+    return ngram_freq(labelled, grams, min_freq, sep).join(lab, "file_id")
 
 
 def as_map(features: DataFrame) -> DataFrame:

@@ -29,6 +29,11 @@ def top1_pred(df: DataFrame, id_col: str = "id") -> DataFrame:
     return df.select(id_col, "target", top1("scores").alias("pred"))
 
 
+def save_predictions(df: DataFrame, path: str, id_col: str = "id") -> None:
+    """One table of targets and predictions, ``(id, target, pred)``."""
+    top1_pred(df, id_col).write.mode("overwrite").parquet(path)
+
+
 def topk_error(df: DataFrame, k: int = 5) -> DataFrame:
     """``(n, top1_err, topk_err)`` in percent; k is capped at the number of classes."""
     r = df.select(target_rank("scores", "target").alias("rank"),

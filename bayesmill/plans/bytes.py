@@ -11,6 +11,7 @@ from bayesmill.operators import bytegrams as BG
 from bayesmill.operators import order as O
 from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
+from bayesmill.sources.files import read_whole_files, write_whole_files
 from bayesmill.sources.lines import read_csv_first_column, read_lines_indexed, write_lines
 
 R = 6
@@ -74,13 +75,23 @@ def src_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_whole_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole-file source: one byte-dump file per document, read back whole."""
+    """Whole-file source: one byte-dump file per document, read back whole, its id from its real path."""
+    r = _files_on_disk(spark, sf)
+    return r.select(file_id_expr("path").alias("file_id"), F.col("path").alias("file_path"),
+                    F.length("content").cast("long").alias("n_chars"))
+
+
+def _files_on_disk(spark, sf):
+    """The byte files written under their own names and read from the folder."""
     path = scratch_path(spark, "bytes")
-    f = T.byte_files(spark, sf).select(file_id_expr("path").alias("file_id"), F.col("content").alias("value"))
-    f.write.mode("overwrite").partitionBy("file_id").text(path)
-    r = spark.read.text(path, wholetext=True)
-    return r.select("file_id", F.col("_metadata.file_path").alias("file_path"),
-                    F.length("value").cast("long").alias("n_chars"))
+    f = T.byte_files(spark, sf).select(F.substring_index("path", "/", -1).alias("name"), "content")
+    write_whole_files(f, path, "name", "content").write.format("noop").mode("overwrite").save()
+    return read_whole_files(spark, path, "*.bytes")
+
+
+def byte_features_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte features from a folder of files: path -> id -> grams -> labels."""
+    return BG.byte_features(_files_on_disk(spark, sf), _zipped_labels(spark, sf), GRAMS, MIN_FREQ)
 
 
 def byte_classifier(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,6 +108,7 @@ QUERIES = {
     "ngram_freq": ngram_freq,
     "positional_zip": positional_zip,
     "byte_features": byte_features,
+    "byte_features_files": byte_features_files,
     "byte_tfidf": byte_tfidf,
     "row_index": row_index,
     "src_lines": src_lines,
@@ -149,6 +161,8 @@ SQL = {
                   "dfq AS (SELECT gram, count(*) AS df FROM tf GROUP BY gram) "
                   "SELECT tf.file_id, tf.gram, tf.tf, round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
                   "FROM tf JOIN dfq ON tf.gram = dfq.gram CROSS JOIN n",
+    "byte_features_files": _FREQ + f", {_ZIP} SELECT freq.file_id, freq.gram, freq.freq, z.label FROM freq "
+                           "JOIN z ON freq.file_id = z.file_id",
     "row_index": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents",
     "src_lines": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line_no, "
                  "regexp_replace(text, '[\\r\\n]', ' ', 'g') AS value FROM documents",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bayesmill.functions.draws import sql_uniform
 from bayesmill.operators import evaluate as EV
 from bayesmill.operators import order as O
+from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
 
 R = 6
@@ -22,6 +23,12 @@ def top1_pred(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("id", F.col("target").cast("long").alias("target"), F.col("pred").cast("long").alias("pred"))
 
 
+def saved_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "predictions")
+    EV.save_predictions(T.class_scores(spark, sf), path)
+    return spark.read.parquet(path).select("id", F.col("target").cast("long").alias("target"), F.col("pred").cast("long").alias("pred"))
+
+
 def topk_error(spark: SparkSession, sf: str) -> DataFrame:
     e = EV.topk_error(T.class_scores(spark, sf), 5)
     return e.select("n", F.round("top1_err", R).alias("top1_err"), F.round("top5_err", R).alias("top5_err"))
@@ -62,6 +69,7 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "top1_pred": top1_pred,
+    "saved_predictions": saved_predictions,
     "topk_error": topk_error,
     "crop_sum": crop_sum,
     "shuffle_batches": shuffle_batches,
@@ -98,10 +106,13 @@ def _perm_sql(seed: int, src: str) -> str:
             f"FROM {src})")
 
 
+_TOP1 = (f"WITH {_SC} SELECT p.id, CAST(t.target AS BIGINT) AS target, CAST(p.k AS BIGINT) AS pred FROM "
+         "(SELECT id, k, row_number() OVER (PARTITION BY id ORDER BY s DESC, k) AS rn FROM sc) p "
+         "JOIN tgt t ON p.id = t.id WHERE rn = 1")
+
 SQL = {
-    "top1_pred": f"WITH {_SC} SELECT p.id, CAST(t.target AS BIGINT) AS target, CAST(p.k AS BIGINT) AS pred FROM "
-                 "(SELECT id, k, row_number() OVER (PARTITION BY id ORDER BY s DESC, k) AS rn FROM sc) p "
-                 "JOIN tgt t ON p.id = t.id WHERE rn = 1",
+    "top1_pred": _TOP1,
+    "saved_predictions": _TOP1,
     "topk_error": f"WITH {_SC}, {_rank_sql('sc')} SELECT count(*) AS n, "
                   "round(100.0 * (1.0 - avg(CASE WHEN rank <= 1 THEN 1.0 ELSE 0.0 END)), 6) AS top1_err, "
                   "round(100.0 * (1.0 - avg(CASE WHEN rank <= least(5, (SELECT nk FROM nk)) THEN 1.0 ELSE 0.0 END)), 6) "

@@ -120,8 +120,8 @@ def pixel_text_clean(spark, sf):
 
 def materialize_once(spark, sf):
     path = scratch_path(spark, "materialized")
-    PX.materialize_once(T.rgb_images(spark, sf), path)
-    again = PX.materialize_once(T.rgb_images(spark, sf), path)  # found: read back, not rewritten
+    PX.materialize_once(T.rgb_images(spark, sf), path, sf)
+    again = PX.materialize_once(T.rgb_images(spark, sf), path, sf)  # found: read back, not rewritten
     return _px_text(again)
 
 
@@ -158,8 +158,10 @@ QUERIES = {
 # ---------------------------------------------------------------- oracle SQL
 
 def _pix(n: int) -> str:
-    return (f"list_transform(embedding[1:{n}], lambda x: CAST(least(255.0, greatest(0.0, "
-            f"round((CAST(x AS DOUBLE) + {T.PIXEL_OFFSET!r}) * {T.PIXEL_SCALE!r}))) AS INTEGER))")
+    values = (f"list_transform(embedding, lambda x: CAST(least(255.0, greatest(0.0, "
+              f"round((CAST(x AS DOUBLE) + {T.PIXEL_OFFSET!r}) * {T.PIXEL_SCALE!r}))) AS INTEGER))")
+    fill = n - T.EMBEDDING_SIZE
+    return f"list_concat({values}, {_ilist([0] * fill)}::INTEGER[])" if fill else values
 
 
 def _img(shape) -> str:
@@ -350,7 +352,7 @@ def _clean_sql(v: str) -> str:
 
 
 def _pixel_sql() -> dict[str, str]:
-    px = f"(SELECT vec_id AS image_id, label, {_pix(48)} AS px FROM embeddings)"
+    px = f"(SELECT vec_id AS image_id, label, {_pix(math.prod(RGB))} AS px FROM embeddings)"
     txt = f"SELECT image_id, label, array_to_string(px, ',') AS pixels FROM {px}"
     vals = f"array_to_string(list_concat([CAST(label AS VARCHAR)], list_transform(px, lambda v: CAST(v AS VARCHAR))), {_sq(PX.DUMP_SEP)})"
     dump = f"{_sq(PX.DUMP_OPEN)} || {vals} || {_sq(PX.DUMP_CLOSE)}"

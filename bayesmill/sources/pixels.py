@@ -12,16 +12,17 @@ write-once materialisation.
 
 from __future__ import annotations
 
-import os
 import struct
 import sys
 import zlib
 
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayesmill.operators.images import int_array
+from bayesmill.sources.files import write_whole_files
 
 # The PNG writer runs in Python workers; ship this module's code with the
 # task instead of requiring the package to be installed on every executor.
@@ -95,32 +96,34 @@ def write_text(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").text(path)
 
 
-def materialize_once(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` unless a finished table is there; read it back.
+def materialize_once(df: DataFrame, path: str, source: str) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` unless a finished table of the same ``source`` is there; read it back.
 
-    A table counts as finished when its ``_SUCCESS`` marker exists, so a job
-    that died half-way is written again rather than read.
+    ``source`` names the input (its folder, a version). A note beside the table
+    keeps it: cleared before the table is written and set after it, so a table
+    of another source, or of a job that died half-way, is written again.
     """
     spark = df.sparkSession
-    if not _exists(spark, os.path.join(path, "_SUCCESS")):
+    note = path.rstrip("/") + ".source"
+    if _noted(spark, note) != [f"done {source}"]:
+        _note(spark, note, "pending")
         df.write.mode("overwrite").parquet(path)
+        _note(spark, note, f"done {source}")
     return spark.read.parquet(path)
 
 
-def _fs_uri(path: str) -> str:
-    """A URI that ``pyarrow.fs`` resolves the same way Hadoop does (``file:/x`` -> ``file:///x``)."""
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    if "://" not in path:
-        return "file://" + os.path.abspath(path)
-    return path
+def _note(spark: SparkSession, path: str, text: str) -> None:
+    spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+def _noted(spark: SparkSession, path: str) -> list[str]:
+    """The one line of a note; nothing when it was never written."""
+    try:
+        return [r["value"] for r in spark.read.text(path).limit(2).collect()]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
 
 
 # ---------------------------------------------------------------- PNG files
@@ -147,16 +150,11 @@ def write_pngs(df: DataFrame, path: str, shape: tuple[int, int, int], id_col: st
     if c != 3:
         raise ValueError("PNG writer expects 3 channels")
 
-    uri = _fs_uri(path)
-
     def encode(batches):
         import pandas as pd
-        from pyarrow import fs as pafs
 
-        filesystem, base = pafs.FileSystem.from_uri(uri)
-        filesystem.create_dir(base, recursive=True)
         for pdf in batches:
-            names, sizes = [], []
+            names, images = [], []
             for rid, px in zip(pdf[id_col], pdf[col]):
                 vals = [int(v) for v in px]
                 hw = h * w
@@ -167,15 +165,12 @@ def write_pngs(df: DataFrame, path: str, shape: tuple[int, int, int], id_col: st
                         k = y * w + x
                         row += bytes((vals[k], vals[hw + k], vals[2 * hw + k]))
                     rows.append(bytes(row))
-                data = _png_bytes(w, h, rows)
-                name = f"{int(rid):0{width}d}.png"
-                with filesystem.open_output_stream(f"{base}/{name}") as f:
-                    f.write(data)
-                names.append(name)
-                sizes.append(len(data))
-            yield pd.DataFrame({"file": names, "bytes": sizes})
-
-    return df.select(id_col, col).mapInPandas(encode, "file string, bytes long")
+                names.append(f"{int(rid):0{width}d}.png")
+                images.append(_png_bytes(w, h, rows))
+            yield pd.DataFrame({"file": names, "data": images})
+
+    images = df.select(id_col, col).mapInPandas(encode, "file string, data binary")
+    return write_whole_files(images, path, "file", "data")
 
 
 def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int], labels: DataFrame | None = None,

@@ -12,6 +12,7 @@ The driver tables stand in for the reference's inputs:
 
 from __future__ import annotations
 
+import math
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,10 +94,11 @@ def byte_label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- images and scores
 
-# Fixed values of the image fixture: the first 48 embedding values form a
-# 3 x 4 x 4 colour image, all 64 values a 1 x 8 x 8 grey image; values are
+# Fixed values of the image fixture: the 64 embedding values and 11 zeros form
+# a 3 x 5 x 5 colour image, the 64 values a 1 x 8 x 8 grey image; values are
 # mapped to 0..255 by round((x + 0.6) * 212) clipped.
-RGB_SHAPE = (3, 4, 4)
+EMBEDDING_SIZE = 64
+RGB_SHAPE = (3, 5, 5)
 GREY_SHAPE = (1, 8, 8)
 PIXEL_OFFSET = 0.6
 PIXEL_SCALE = 212.0
@@ -110,9 +112,9 @@ def _to_pixel(x: Column) -> Column:
 def rgb_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(image_id, label, pixels array<int>)``, shape ``RGB_SHAPE``."""
     e = read_table(spark, sf_dir, "embeddings")
-    n = RGB_SHAPE[0] * RGB_SHAPE[1] * RGB_SHAPE[2]
+    fill = F.array_repeat(F.lit(0), math.prod(RGB_SHAPE) - EMBEDDING_SIZE)
     return e.select(F.col("vec_id").alias("image_id"), "label",
-                    F.transform(F.slice("embedding", 1, n), _to_pixel).alias("pixels"))
+                    F.concat(F.transform("embedding", _to_pixel), fill).alias("pixels"))
 
 
 def grey_images(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,8 @@ Runs each job at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``{"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}``.
 
 Each job is executed in full with the ``noop`` sink (every row computed,
-nothing collected to the driver). Untimed warm-up jobs run first on the
-smallest data set so JVM start-up and JIT are not charged to the first query.
+nothing collected to the driver). Each job first runs untimed on the smallest
+data set, so JVM start-up and compilation are not charged to any job.
 """
 
 from __future__ import annotations
@@ -47,11 +47,9 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.driver.memory": "16g"})
     qs = registry.queries()
-    # warm-up (not timed): JIT and class loading on the smallest data set next
-    # to the benchmarked one, so the first timed job is not charged for it
     small = os.path.join(os.path.dirname(os.path.normpath(sf_dir)), "sf0.001")
     warm_dir = small if os.path.isdir(small) else sf_dir
-    for k in ("term_bag", "nb_predict", "ngram_freq"):
+    for k in keys:
         qs[k](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for k in keys:

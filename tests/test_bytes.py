@@ -1,7 +1,10 @@
+from collections import Counter
+
 from pyspark.sql import functions as F
 
-from bayesmill.functions.bytes import byte_tokens, file_id
+from bayesmill.functions.bytes import byte_string, byte_tokens, file_id
 from bayesmill.operators import bytegrams as BG
+from bayesmill.sources.files import read_whole_files, write_whole_files
 
 
 def test_tokens_keep_unknown_and_drop_address(spark):
@@ -40,3 +43,48 @@ def test_features_join_labels(spark):
 def test_file_id_ignores_dots_of_host_and_folder(spark):
     df = spark.createDataFrame([("hdfs://nn1.example.org/b.d/one.bytes",), ("hdfs://nn1.example.org/b.d/two.bytes",)], "path string")
     assert [r[0] for r in df.select(file_id("path")).collect()] == ["one", "two"]
+
+
+def test_codes_of_odd_tokens(spark):
+    texts = ["", "A", "AB", "ABC", "ABCD EF G ?? \r\n00401000 12  34\tXYZ\n5", " AB ", "AB\u00a0CD \u00e9\u00e9 \U0001f600x \u2028y"]
+    df = spark.createDataFrame([(t,) for t in texts], "content string")
+    got = df.select(F.array_join(byte_tokens("content"), "").alias("a"), byte_string("content").alias("b")).collect()
+    assert [r["a"] for r in got] == [r["b"] for r in got]
+
+
+def test_grams_do_not_depend_on_the_pieces(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    rows = [(f"/d/f{n}.bytes", " ".join(rng.choice(["AA", "0B", "??"]) for _ in range(n))) for n in (0, 1, 2, 3, 4, 5, 8, 9, 41)]
+    files = spark.createDataFrame(rows, "path string, content string")
+
+    def counts():
+        got = BG.ngram_freq(files, grams=(1, 2, 3), min_freq=1).collect()
+        return sorted((r["file_id"], r["gram"], r["freq"]) for r in got)
+
+    want = []
+    for path, content in rows:
+        t = content.split()
+        for k in (1, 2, 3):
+            c = Counter("".join(t[i:i + k]) for i in range(len(t) - k + 1))
+            want += [(path[3:-6], g, n) for g, n in c.items()]
+    assert counts() == sorted(want)
+    monkeypatch.setattr(BG, "PIECE_CODES", 4)
+    assert counts() == sorted(want)
+
+
+def test_one_large_file_runs_on_several_tasks(spark):
+    files = spark.range(1).select(F.lit("/d/big.bytes").alias("path"), F.repeat(F.lit("0A 1B 2C "), 400_000).alias("content"))
+    rows = BG.gram_rows(files, (1, 2)).withColumn("task", F.spark_partition_id())
+    n, tasks = rows.agg(F.count(F.lit(1)), F.count_distinct("task")).first()
+    assert n == 1_200_000 + 1_199_999 and tasks > 1
+
+
+def test_whole_files_keep_name_and_content(spark, tmp_path):
+    rows = [("a.b.bytes", "00401000 AA\r\n00401010 BB"), ("empty.bytes", "")]
+    df = spark.createDataFrame(rows, "name string, content string")
+    written = write_whole_files(df, str(tmp_path / "x.y"), "name", "content").collect()
+    assert sorted(tuple(r) for r in written) == [("a.b.bytes", 24), ("empty.bytes", 0)]
+    got = read_whole_files(spark, str(tmp_path / "x.y")).select(file_id("path"), "content").collect()
+    assert ("a", rows[0][1]) in [tuple(r) for r in got]

@@ -167,3 +167,16 @@ def test_png_size_and_pixel_order(spark, imgs):
         assert turned[i] == np.array(v).reshape(SHAPE).transpose(0, 2, 1).reshape(-1).tolist()
     with pytest.raises(Exception, match="another size"):
         PX.read_image_rows(spark, path, (3, 3, 4)).collect()
+
+
+def test_materialize_once_follows_its_source(spark, tmp_path):
+    path = str(tmp_path / "table")
+
+    def table(n, source):
+        return PX.materialize_once(spark.range(n), path, source).count()
+
+    assert table(3, "a") == 3
+    assert table(5, "a") == 3            # same source: not written again
+    assert table(5, "b") == 5            # another source
+    PX._note(spark, path + ".source", "pending")
+    assert table(7, "b") == 7            # a job died while writing
