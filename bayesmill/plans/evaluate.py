@@ -10,6 +10,7 @@ from bayesmill.operators import evaluate as EV
 from bayesmill.operators import order as O
 from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
+from bayesmill.sources.lines import read_int_lines, read_lines_indexed, write_lines, write_manifest
 
 R = 6
 BATCH = 32
@@ -67,6 +68,16 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return O.manifest(ids, "image_id", MANIFEST_PREFIX, ".png", 5)
 
 
+def manifest_file(spark: SparkSession, sf: str) -> DataFrame:
+    """An id file in request order, its manifest written in that order, and read back with line numbers."""
+    base = scratch_path(spark, "manifest")
+    ids = T.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"))
+    request = O.shuffle_batches(ids, "id", BATCH, 1, REQUEST_SEED, EPOCH)
+    write_lines(request.select(F.lpad(F.col("id").cast("string"), 12, "0").alias("v"), "perm_index"), f"{base}/ids", "perm_index")
+    write_manifest(read_int_lines(spark, f"{base}/ids", "pos", "id"), f"{base}/urls", "id", MANIFEST_PREFIX)
+    return read_lines_indexed(spark, f"{base}/urls")
+
+
 QUERIES = {
     "top1_pred": top1_pred,
     "saved_predictions": saved_predictions,
@@ -76,6 +87,7 @@ QUERIES = {
     "weighted_mean": weighted_mean,
     "reorder_predictions": reorder_predictions,
     "manifest": manifest,
+    "manifest_file": manifest_file,
 }
 
 
@@ -137,6 +149,9 @@ SQL = {
                            f"{_perm_sql(REQUEST_SEED, 'ids')} "
                            "SELECT p.perm_index AS pos, p.id, CAST(l.pred AS BIGINT) AS pred FROM perm p "
                            "LEFT JOIN last l ON p.id = l.id",
+    "manifest_file": f"WITH ids AS (SELECT vec_id AS id FROM embeddings), {_perm_sql(REQUEST_SEED, 'ids')} "
+                     f"SELECT perm_index AS line_no, '{MANIFEST_PREFIX}' || CASE WHEN length(CAST(id AS VARCHAR)) < 5 "
+                     "THEN lpad(CAST(id AS VARCHAR), 5, '0') ELSE CAST(id AS VARCHAR) END || '.png' AS value FROM perm",
     "manifest": f"SELECT vec_id AS image_id, '{MANIFEST_PREFIX}' || CASE WHEN length(CAST(vec_id AS VARCHAR)) < 5 THEN lpad(CAST(vec_id AS VARCHAR), 5, '0') ELSE CAST(vec_id AS VARCHAR) END || '.png' "
                 "AS url FROM embeddings",
 }

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.operators.order import running_offsets
+from bayesmill.operators.order import manifest, running_offsets
 from bayesmill.session import ensure_checkpoint_dir
 
 
@@ -57,6 +57,12 @@ def write_lines(df: DataFrame, path: str, order_by: str | None = None) -> None:
     out.select(first).write.mode("overwrite").text(path)
 
 
+def write_manifest(ids: DataFrame, path: str, id_col: str, prefix: str, suffix: str = ".png", width: int | None = 5,
+                   pos_col: str = "pos") -> None:
+    """One URL a line, in the order of the id file (``pos_col``)."""
+    write_lines(manifest(ids, id_col, prefix, suffix, width).select("url", pos_col), path, pos_col)
+
+
 def read_int_lines(spark: SparkSession, path: str, name: str = "pos", col: str = "value") -> DataFrame:
     """``(pos, value long)``: one integer per line in file order; leading zeros
     drop (``00983`` -> 983); a line that is not a number gives null."""

@@ -98,3 +98,12 @@ def test_running_offsets_of_a_million_units(spark):
     week, day = F.floor(F.col("k") / 7), F.col("k") % 7
     wrong = off.where(F.col("_off") != 21 * week + day * (day - 1) / 2)
     assert off.count() == 1_000_000 and wrong.count() == 0
+
+
+def test_manifest_is_written_in_id_file_order(spark, tmp_path):
+    from bayesmill.sources.lines import read_int_lines, read_lines_indexed, write_manifest
+
+    (tmp_path / "ids.txt").write_text("00983\n7\n123456\n7\n")
+    write_manifest(read_int_lines(spark, str(tmp_path / "ids.txt"), "pos", "id"), str(tmp_path / "urls"), "id", "p/")
+    got = read_lines_indexed(spark, str(tmp_path / "urls")).orderBy("line_no").collect()
+    assert [r["value"] for r in got] == ["p/00983.png", "p/00007.png", "p/123456.png", "p/00007.png"]
