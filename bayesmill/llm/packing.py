@@ -2,14 +2,18 @@
 
 Texts are tokenized once into a saved table (a word's ids are looked up, as white space always parts tokens; ids take
 two bytes). Document frequencies of tokens are then counted over all documents: a table that the vocabulary bounds.
-A shard is the next run of documents, up to SHARD_TOKENS ids, of a task that reads the saved table: so nothing is
-shuffled, a shard's index has a bounded size, and a rerun task makes the same shards. In a shard, a seed's rarest
-tokens query the inverted index; the best unused documents follow the seed in its window. The one that no longer fits
-is cut, and its rest is the next seed; so every window but the shard's last is full. What is left at the end is cut at
-powers of two, which are not padded.
+A document's key is KEYS of its tokens, each chosen as the least of hashes that weigh tokens by idf (weighted min-hash):
+two documents choose the same one as often as they share tokens by weight. The table is shuffled into ranges of the key,
+so a shard (about SHARD_TOKENS ids) holds documents of like words from all over the table, whatever the files' order and
+splits; a table of up to SHARD_TOKENS ids is one shard. In a shard, all tokens of a seed query the inverted index; the
+best unused documents follow the seed in its window. The one that no longer fits is cut, and its rest is the next seed;
+so every window but the shard's last is full. What is left at the end is cut at powers of two, which are not padded.
+
+Limit: a seed is compared with its own shard only, so a neighbour whose key lies in another range is not found (README
+has the measured share).
 
 Defined results: a null or empty text is only its end token, repeated rows are packed each, an empty table gives no
-rows, documents longer than a window are cut, documents that share no token with a seed follow in the table's order.
+rows, documents longer than a window are cut, documents that share no token with a seed follow in the key's order.
 """
 
 from __future__ import annotations
@@ -32,9 +36,9 @@ from bayesmill.llm.common import saved, worker_memory
 WINDOW = 4096
 END = 2
 K1, B = 1.2, 0.75
-QUERY_TERMS = 32
 NEIGHBOURS = 24  # of a retrieval; a window that needs more retrieves again
 SHARD_TOKENS = 1_500_000
+KEYS = 4  # 16-bit ids that fill a long
 REMEMBERED_WORDS = 1_000_000
 PIECES = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -134,22 +138,23 @@ class Index:
         for d, ids in enumerate(docs):
             terms, tf = np.unique(ids, return_counts=True)
             self.terms.append(terms)
-            owners.append(np.full(len(terms), d, np.int32))
-            weights.append((tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean_length))).astype(np.float32))
+            owners.append(np.full(len(terms), d, np.int64))
+            weights.append(tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean_length)))
         flat = np.concatenate(self.terms)
         order = np.argsort(flat, kind="stable")
         self.owner, self.weight = np.concatenate(owners)[order], np.concatenate(weights)[order] * idf[flat[order]]
         self.start = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=1 << 16))))
 
-    def query(self, d: int) -> np.ndarray:
-        """The document's QUERY_TERMS rarest tokens that some other document of the shard has."""
-        t = self.terms[d].astype(np.int64)
-        t = t[self.start[t + 1] - self.start[t] > 1]
-        return t if len(t) <= QUERY_TERMS else t[np.argpartition(-self.idf[t], QUERY_TERMS)[:QUERY_TERMS]]
+    def drop_used(self, unused: np.ndarray) -> None:
+        """Takes used documents out of the posting lists; no query returns them anyway."""
+        kept = unused[self.owner]
+        self.start = np.concatenate(([0], np.cumsum(kept)))[self.start]
+        self.owner, self.weight = self.owner[kept], self.weight[kept]
 
     def neighbours(self, d: int, unused: np.ndarray) -> list[int]:
-        """Unused documents by falling score (ties: in the table's order), at most NEIGHBOURS of a positive score."""
-        lists = [slice(self.start[t], self.start[t + 1]) for t in self.query(d).tolist()]
+        """Unused documents by falling score (ties: in the shard's order), at most NEIGHBOURS of a positive score."""
+        t = self.terms[d].astype(np.int64)
+        lists = [slice(a, b) for a, b in zip(self.start[t].tolist(), self.start[t + 1].tolist(), strict=True) if a < b]
         if not lists:
             return []
         score = np.bincount(np.concatenate([self.owner[s] for s in lists]), np.concatenate([self.weight[s] for s in lists]), len(self.docs))
@@ -164,6 +169,7 @@ def pack(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: in
     index, unused = Index(docs, idf, mean_length), np.ones(len(docs), bool)
     pieces, later = [], iter(range(len(docs)))
     sequence = offset = 0
+    listed = len(docs)
 
     def place(d: int, start: int) -> int:
         """Puts as much of the document as fits; returns where its rest starts."""
@@ -176,6 +182,10 @@ def pack(docs: list[np.ndarray], idf: np.ndarray, mean_length: float, window: in
     seed, start = 0, 0
     unused[0] = False
     while True:
+        n_unused = np.count_nonzero(unused)
+        if 4 * n_unused <= 3 * listed:
+            index.drop_used(unused)
+            listed = n_unused
         start = place(seed, start)
         while start == len(docs[seed]) and offset < window:  # the seed is whole: its neighbours follow
             near = index.neighbours(seed, unused)
@@ -216,6 +226,24 @@ def _cut_tail(pieces: list[tuple[int, int, int, int, int]], last: int) -> list[t
     return out
 
 
+def _hashes(idf: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """KEYS rows of an exponential draw a token at the rate of its idf; a token of one document alone comes last."""
+    draws = np.random.Generator(np.random.PCG64(7)).exponential(size=(KEYS, len(idf))).astype(np.float32)
+    return draws / np.maximum(idf, 1e-6) + np.where(df < 2, np.float32(1e12), np.float32(0))
+
+
+def _keyer(hashes: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = np.empty((b.num_rows, KEYS), np.uint16)
+            for i, ids in enumerate(_ids(b)):
+                terms = np.unique(ids)
+                keys[i] = terms[hashes[:, terms].argmin(axis=1)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(keys.astype(">u2").view(">i8").ravel().astype(np.int64))], names=["doc_id", "ids", "key"])
+
+    return run
+
+
 def _packer(idf: np.ndarray, mean_length: float, window: int, shard_tokens: int):
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
         names, docs, held = [], [], 0
@@ -256,7 +284,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, s
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
     mean = tokens / n if n else 1.0
     kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInArrow(_packer(idf, mean, window, shard_tokens), PIECES.format(kind))
+    keyed = ids.mapInArrow(_keyer(_hashes(idf, df)), f"doc_id {kind}, ids binary, key long")
+    # doc_id parts the documents of a frequent key; ranges come from a sample, so a shard may be up to twice the mean
+    ranges = keyed.repartitionByRange(max(1, -(-tokens // shard_tokens)), "key", "doc_id").sortWithinPartitions("key", "doc_id", "ids")
+    return ranges.select("doc_id", "ids").mapInArrow(_packer(idf, mean, window, 2 * shard_tokens), PIECES.format(kind))
 
 
 def padding(pieces: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -79,6 +79,30 @@ def test_packing_covers_every_id(docs, empty):
     assert packing.pack_documents(empty, word_tokenizer()).count() == 0
 
 
+def test_packing_neighbours_by_all_tokens():
+    seed, rare = np.arange(100, dtype=np.uint16), np.arange(32, dtype=np.uint16)
+    docs = [seed, rare, np.array([200], np.uint16), np.array([99, 201], np.uint16)]
+    idf = np.linspace(9, 1, 1 << 16).astype(np.float32)
+    unused = np.array([False, True, True, True])
+    assert packing.Index(docs, idf, 30.0).neighbours(0, unused) == [1, 3]
+    index = packing.Index(docs, idf, 30.0)
+    index.drop_used(np.array([False, False, True, True]))
+    assert index.neighbours(0, np.array([False, False, True, True])) == [3]
+
+
+def test_packing_brings_near_copies_together(spark):
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(5)
+    known = sorted(w[:-4] for w in Tokenizer.from_file(word_tokenizer()).get_vocab() if re.fullmatch("[a-z]{4,}</w>", w))[:3000]
+    words = [" ".join(known[x] for x in rng.integers(0, len(known), 60)) for _ in range(150)]
+    rows = [(i, w) for i, w in enumerate(words)] + [(1000 + i, w + " other") for i, w in enumerate(words)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    place = {r["doc_id"]: r["sequence_id"] >> 32 for r in packing.pack_documents(table, word_tokenizer(), shard_tokens=2000).collect()}
+    assert len(set(place.values())) > 4
+    assert sum(place[i] == place[1000 + i] for i in range(150)) >= 135
+
+
 def test_chunk_dedup_finds_the_shared_passage(docs, empty):
     got = {r["doc_id"] for r in chunk_dedup.shared_spans(docs).collect()}
     assert {3, 4} <= got and not got & {5, 6, 7, 8, 9, 10}
