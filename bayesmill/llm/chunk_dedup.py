@@ -5,6 +5,8 @@ within RADIUS bytes to both sides (the first of equals), and at LONGEST bytes wh
 looks at no earlier cut, so an insertion moves only the cuts near to it, and a passage is cut alike wherever it stands.
 
 A chunk (128-bit digest) that stands in two or more documents is shared; the document with the least doc_id keeps it.
+With ``within``, a chunk that stands at two or more places of one document is shared too; its first place in the document
+with the least doc_id keeps it, and all its other places count as removed.
 Shared chunks that follow one another in a document are one span; spans of LEAST_SPAN bytes or more are the result.
 Texts are read once; what is shuffled is one fixed-size row a chunk, summed before the shuffle, and chunks of very many
 documents are kept apart in the join back.
@@ -120,19 +122,26 @@ def chunk_table(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_chunker, _CHUNKS)
 
 
-def shared_spans(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
-    """``doc_id, start, end`` (bytes), ``n_chunks``, ``n_removed`` (chunks that an earlier document keeps), ``keepers``
-    (sorted ids of the documents that keep the span's chunks)."""
+def shared_spans(docs: DataFrame, least_span: int = LEAST_SPAN, within: bool = False) -> DataFrame:
+    """``doc_id, start, end`` (bytes), ``n_chunks``, ``n_removed`` (chunks that an earlier document keeps, or with
+    ``within`` an earlier place), ``keepers`` (sorted ids of the documents that keep the span's chunks)."""
     chunks = saved(chunk_table(docs), "chunks")
     key = F.struct("hi", "lo")
-    groups = chunks.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
-    shared = saved(groups.where(F.col("keeper") < F.col("last")).select(key.alias("digest"), "n", "keeper"), "shared_chunks")
+    groups = chunks.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"),
+                                             F.min("start").alias("first_start"), F.max("start").alias("last_start"))
+    # rows of one doc_id and start are one place, so repeated rows share nothing
+    places = (F.col("keeper") < F.col("last")) | (F.lit(within) & (F.col("first_start") < F.col("last_start")))
+    shared = saved(groups.where(places).select(key.alias("digest"), "n", "keeper"), "shared_chunks")
     held = join_counted(chunks.select(key.alias("digest"), "doc_id", "start", "size"), shared, "digest", "n").where(F.col("keeper").isNotNull())
     by_place = Window.partitionBy("doc_id").orderBy("start")
-    once = held.select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), "keeper").distinct()
+    once = held.select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), "keeper", "digest").distinct()
+    removed = F.col("keeper") < F.col("doc_id")
+    if within:
+        removed = removed | (F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("start")) > 1)
+    once = once.withColumn("removed", removed).drop("digest")
     opens = F.coalesce(F.lag("end").over(by_place) < F.col("start"), F.lit(True)).cast("long")
     runs = once.withColumn("opens", opens).withColumn("run", F.sum("opens").over(by_place.rowsBetween(Window.unboundedPreceding, 0)))
     spans = runs.groupBy("doc_id", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("n_chunks"),
-        F.sum((F.col("keeper") < F.col("doc_id")).cast("long")).alias("n_removed"), F.sort_array(F.collect_set("keeper")).alias("keepers"))
+        F.sum(F.col("removed").cast("long")).alias("n_removed"), F.sort_array(F.collect_set("keeper")).alias("keepers"))
     return spans.where(F.col("end") - F.col("start") >= least_span).drop("run")

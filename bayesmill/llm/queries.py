@@ -31,7 +31,7 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_chunk_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return chunk_dedup.shared_spans(read_table(spark, sf, "documents"))
+    return chunk_dedup.shared_spans(read_table(spark, sf, "documents"), within=True)
 
 
 def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:

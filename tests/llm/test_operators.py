@@ -109,6 +109,25 @@ def test_chunk_dedup_finds_the_shared_passage(docs, empty):
     assert chunk_dedup.shared_spans(empty).count() == 0
 
 
+def test_chunk_dedup_within_a_document(spark):
+    rng = np.random.default_rng(2)
+    mixed = lambda n: " ".join(f"{x:x}" for x in rng.integers(0, 1 << 30, n))
+    line, other = mixed(60), mixed(60)
+    rows = [(1, " ".join(f"{mixed(20)} {line} {mixed(20)}" for _ in range(5))), (2, mixed(300)), (3, other), (3, other), (4, f"{line} {mixed(9)} {line}")]
+    places = collections.defaultdict(set)
+    for i, t in rows:
+        ends = chunk_dedup.cuts(t.encode(), chunk_dedup.gear_table()).tolist()
+        for k, e in zip([0, *ends], ends):
+            places[t.encode()[k:e]].add((i, k))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = chunk_dedup.shared_spans(table, least_span=0, within=True).collect()
+    assert sum(r["n_removed"] for r in got) == sum(len(v) - 1 for v in places.values()) > 6
+    assert sum(r["n_chunks"] for r in got) == sum(len(v) for v in places.values() if len(v) > 1)
+    alone = chunk_dedup.shared_spans(table.where("doc_id < 4"), within=True).orderBy("start").collect()
+    assert [r["doc_id"] for r in alone] == [1] * 5 and alone[0]["n_removed"] == 0 and all(r["n_removed"] > 0 and r["keepers"] == [1] for r in alone[1:])
+    assert chunk_dedup.shared_spans(table.where("doc_id < 4")).count() == 0
+
+
 @pytest.mark.parametrize("block", [500_000, 40])
 def test_decontaminate(spark, docs, empty, block):
     items = spark.createDataFrame([("i1", " ".join(PASSAGE.split()[20:45])), ("i2", "Lazy, dog"), ("i3", ""), ("i4", None)], "item_id string, text string")
