@@ -11,6 +11,9 @@ Shared chunks that follow one another in a document are one span; spans of LEAST
 Texts are read once; what is shuffled is one fixed-size row a chunk, summed before the shuffle, and chunks of very many
 documents are kept apart in the join back.
 
+Limit: text that repeats with a period of up to RADIUS bytes (one word over and over) has no cut but those of LONGEST, so
+a passage of it alone is found only by chance.
+
 Defined results: null and empty texts have no chunks, rows with a null doc_id share nothing, repeated rows (the same
 doc_id) share nothing with each other, an empty table gives no rows, other columns are not returned.
 """
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 from bayesmill.llm.common import join_counted, saved
 
 GEAR = 16
-RADIUS = 28
+RADIUS = 13
 LONGEST = 1024
 LEAST_SPAN = 96
 SEGMENT = 1 << 20
@@ -134,7 +137,8 @@ def shared_spans(docs: DataFrame, least_span: int = LEAST_SPAN, within: bool = F
     shared = saved(groups.where(places).select(key.alias("digest"), "n", "keeper"), "shared_chunks")
     held = join_counted(chunks.select(key.alias("digest"), "doc_id", "start", "size"), shared, "digest", "n").where(F.col("keeper").isNotNull())
     by_place = Window.partitionBy("doc_id").orderBy("start")
-    once = held.select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), "keeper", "digest").distinct()
+    # one shuffle: all that follows is by document
+    once = held.select("doc_id", "start", (F.col("start") + F.col("size")).alias("end"), "keeper", "digest").repartition("doc_id").distinct()
     removed = F.col("keeper") < F.col("doc_id")
     if within:
         removed = removed | (F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("start")) > 1)

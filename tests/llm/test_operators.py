@@ -128,6 +128,17 @@ def test_chunk_dedup_within_a_document(spark):
     assert chunk_dedup.shared_spans(table.where("doc_id < 4")).count() == 0
 
 
+def test_chunk_dedup_misses_no_short_passage(spark):
+    rng = np.random.default_rng(4)
+    some = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 5))) for _ in range(n))
+    rows = []
+    for i in range(300):
+        passage = some(51)
+        rows += [(2 * i, f"{some(30)} {passage} {some(30)}"), (2 * i + 1, f"{some(30)} {passage} {some(30)}")]
+    got = {r["doc_id"] for r in chunk_dedup.shared_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(range(600))
+
+
 @pytest.mark.parametrize("block", [500_000, 40])
 def test_decontaminate(spark, docs, empty, block):
     items = spark.createDataFrame([("i1", " ".join(PASSAGE.split()[20:45])), ("i2", "Lazy, dog"), ("i3", ""), ("i4", None)], "item_id string, text string")
