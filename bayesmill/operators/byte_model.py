@@ -1,9 +1,10 @@
 """Classifier on byte n-gram TF-IDF vectors with Spark ML.
 
-``CountVectorizer`` (unigrams + bigrams of the 2-char codes) -> ``IDF`` ->
+``CountVectorizer`` (grams of 1, 2 and 3 of the 2-char codes) -> ``IDF`` ->
 ``LogisticRegression`` or ``DecisionTreeClassifier``, fitted on the training
 files and applied to the rest. Vectors are sparse; the vocabulary holds every
-gram there can be (256 byte codes and ``??``, alone and in pairs).
+gram found in the training files, so the driver and the model grow with the
+distinct grams (codes 00 to FF and ``??`` alone: up to 257 + 257^2 + 257^3).
 """
 
 from __future__ import annotations
@@ -17,19 +18,19 @@ from pyspark.sql import functions as F
 from bayesmill.functions.bytes import byte_tokens, file_id
 from bayesmill.functions.text import ngrams
 
-CODES = 256 + 1
-ALL_GRAMS = CODES + CODES ** 2
+GRAMS = (1, 2, 3)
+ALL_FOUND = (1 << 31) - 1  # CountVectorizer takes as many as there are, if fewer
 
 
 def feature_frame(files: DataFrame, labels: DataFrame) -> DataFrame:
     f = files.select("doc_id", file_id("path").alias("file_id"), "content")
     f = f.join(labels.select("file_id", "label"), "file_id")
     f = f.select("doc_id", "file_id", "label", byte_tokens("content").alias("t"))
-    return f.select("doc_id", "file_id", "label", F.concat(F.col("t"), ngrams(F.col("t"), 2)).alias("grams"))
+    return f.select("doc_id", "file_id", "label", F.concat(*[ngrams(F.col("t"), n) for n in GRAMS]).alias("grams"))
 
 
 def fit_predict(files: DataFrame, labels: DataFrame, train_where: Column, model: str = "logistic",
-                vocab_size: int = ALL_GRAMS, max_iter: int = 20) -> DataFrame:
+                vocab_size: int = ALL_FOUND, max_iter: int = 20) -> DataFrame:
     data = feature_frame(files, labels)
     train = data.where(train_where)
     test = data.where(~train_where)

@@ -88,3 +88,18 @@ def test_whole_files_keep_name_and_content(spark, tmp_path):
     assert sorted(tuple(r) for r in written) == [("a.b.bytes", 24), ("empty.bytes", 0)]
     got = read_whole_files(spark, str(tmp_path / "x.y")).select(file_id("path"), "content").collect()
     assert ("a", rows[0][1]) in [tuple(r) for r in got]
+
+
+def test_classifier_grams_are_those_of_tfidf(spark):
+    from collections import Counter
+
+    from bayesmill.operators import byte_model, bytegrams
+
+    files = spark.createDataFrame([(1, "/x/one.bytes", "00401000 0A 0B 0C ab 0A 0B 0C ??\r\n00401010 FF 0A"), (2, "/x/two.bytes", "00401000 01")],
+                                  "doc_id long, path string, content string")
+    labels = spark.createDataFrame([("one", "1"), ("two", "2")], "file_id string, label string")
+    got = {r["file_id"]: Counter(r["grams"]) for r in byte_model.feature_frame(files, labels).collect()}
+    want = {"one": Counter(), "two": Counter()}
+    for r in bytegrams.gram_rows(files, (1, 2, 3)).collect():
+        want[r["file_id"]][r["gram"]] += 1
+    assert got == want and got["one"]["0A0B0C"] == 2
