@@ -57,6 +57,13 @@ def test_personal_data(docs, empty):
     assert pii_boost.personal_data(empty).count() == 0
 
 
+@pytest.mark.parametrize("labels", [5_000, 300_000])
+def test_long_address_is_whole(spark, labels):
+    text = "a@b" + ".c" * labels
+    got = spark.createDataFrame([(text + " end",)], "text string").select(pii_boost.base_spans(pii_boost.F.col("text")).alias("s")).first()["s"]
+    assert [tuple(x) for x in got] == [(0, 0, len(text))]
+
+
 def test_packing_covers_every_id(docs, empty):
     from tokenizers import Tokenizer
 
