@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.llm import chat_format, chunk_dedup, decontaminate, host_quality, lpt_shards, ngram_join, packing, pii_boost, secret_ledger, toxicity
+from bayesmill.llm import chat_format, chunk_dedup, decontaminate, divergence, host_quality, lpt_shards, ngram_join, packing, pii_boost, secret_ledger, toxicity
 from bayesmill.sources.tables import read_table
 
 
@@ -71,6 +71,10 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                          (F.size("spans") / 2).cast("long").alias("n_spans"))
 
 
+def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_host_quality": op1_host_quality,
     "op2_pii": op2_pii,
@@ -82,6 +86,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_secret_ledger": op9_secret_ledger,
     "op10_toxicity": op10_toxicity,
+    "op12_divergence": op12_divergence,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_divergence": divergence.SQL}
