@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayesmill.llm.common import saved
+from bayesmill.llm.common import join_counted, saved
 
 FOREST_NODES = 200_000  # of a task that contracts edges
 
@@ -74,8 +74,9 @@ def components(edges: DataFrame) -> DataFrame:
     at = saved(up.mapInArrow(_contract, "u long, v long").distinct(), "edges")
     while not _stars_only(at):
         both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = saved(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
+        # a large component's least node has most of its edges: it is joined apart
+        large = saved(join_counted(both.where(F.col("v") > F.col("u")), least, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         at = saved(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "stars")

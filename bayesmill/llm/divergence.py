@@ -54,11 +54,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
     def told() -> pa.RecordBatch:
-        rows = [(lang, source, t, n, docs[t]) for (lang, source), (seen, docs) in groups.items() for t, n in [*seen.items(), (None, 0)]]
+        terms, n, n_docs, sizes = [], [], [], []
+        for seen, docs in groups.values():
+            terms += [*seen, None]
+            n += [*seen.values(), 0]
+            n_docs += [*map(docs.__getitem__, seen), 0]
+            sizes.append(len(seen) + 1)
+        of = pa.array(np.repeat(np.arange(len(sizes)), np.array(sizes, np.int64)))
+        names = [pa.array([g[k] for g in groups], pa.string()).take(of) for k in (0, 1)]
         groups.clear()
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
-        return pa.RecordBatch.from_arrays([*cols[:2], cols[2].cast(pa.string()), *cols[3:]], names=["lang", "source", "term", "n", "docs"])
+        return pa.RecordBatch.from_arrays([*names, pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(n_docs, pa.int64())], names=["lang", "source", "term", "n", "docs"])
 
     held = 0
     for b in batches:

@@ -25,55 +25,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.llm.common import join_counted, saved
 from bayesmill.llm.components import FOREST_NODES, Forest, components
+from bayesmill.llm.ngrams import WordHashes, linked, mix, parts, shingles
 
 N = 4
 PERCENT = 85
 TILE = 256
 SLACK = 1.2  # parts above the least number, so that weak parts are rarely needed
 GROWTH = 1.6  # from one number of parts to the next
-REMEMBERED_WORDS = 200_000
 HOT_SHARE = 2000  # an n-gram is hot that more than one in HOT_SHARE documents of some batch have (and HOT_LEAST or more)
 HOT_LEAST = 8
 LEADERS = 16
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit words that spreads every bit (multiply and shift)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def shingles(text: str | bytes | None, hashes: WordHashes, n: int = N) -> np.ndarray:
-    """The distinct n-gram hashes of a text, sorted; a shorter text is one n-gram, a wordless one has none.
-
-    ``bytes.split`` parts at ASCII white space and ``bytes.lower`` maps A-Z alone, as the contract has it.
-    """
-    words = [] if text is None else (text.encode() if isinstance(text, str) else text).lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    k = min(n, len(w))
-    x = np.full(len(w) - k + 1, k, np.uint64)
-    for j in range(k):
-        x = mix(x + w[j:len(w) - k + 1 + j])
-    return np.unique(x)
-
-
 class Signer:
     """Signatures of sets such that any two sets of at least ``percent`` similarity share one."""
 
@@ -127,17 +95,10 @@ def _batch(kind: int, a, b, digest=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=["kind", "a", "b", "digest"])
 
 
-def _parts(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
-    """Batches in parts, which bounds what a task holds of its n-grams."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
-
-
 def _hot_finder(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in _parts(batches):
+        for b in parts(batches):
             sets = [shingles(t, hashes, n) for t in b.column("text").cast(pa.binary()).to_pylist()]
             if not sets:
                 continue
@@ -170,7 +131,7 @@ def _among(u: np.ndarray, table: np.ndarray) -> np.ndarray:
 def _signer(percent: int, n: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = WordHashes(), Signer(percent)
-        for b in _parts(batches):
+        for b in parts(batches):
             ids = b.column("doc_id").to_pylist()
             sizes, digests, edges, signs, owners, met = [], [], set(), [], [], {}
             for i, t in zip(ids, b.column("text").cast(pa.binary()).to_pylist(), strict=True):
@@ -227,45 +188,6 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _batch(EDGE, *forest.stars())
 
 
-def linked(sets: list[np.ndarray], side: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning forest of the links between ``sets``: across the two sides, or among all if there is one side.
-
-    The sparse product, row by row: a row's n-grams add up their posting lists, which gives its overlap with every
-    other row of the block.
-    """
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(column, kind="stable")
-    posting, starts = row[order], np.concatenate(([0], np.cumsum(np.bincount(column))))
-    offsets, across, root = np.concatenate(([0], np.cumsum(sizes))), bool(side.any()), list(range(len(sets)))
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    forest = []
-    for i in range(len(sets)):
-        if across and side[i]:
-            continue
-        cols = column[offsets[i]:offsets[i + 1]]
-        counts = starts[cols + 1] - starts[cols]
-        at = np.repeat(starts[cols] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-        overlap = np.bincount(posting[at], minlength=len(sets))
-        enough = (100 + percent) * overlap >= percent * (sizes[i] + sizes)  # the bound that the sizes give
-        enough[:i + 1] &= across
-        if across:
-            enough &= side > 0
-        for j in np.flatnonzero(enough).tolist():
-            a, b = top(i), top(j)
-            if a != b:
-                root[b] = a
-                forest.append((i, j))
-    return forest
-
-
 def _product(percent: int, n: int):
     def run(block: pa.Table) -> pa.Table:
         hashes = WordHashes()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.llm import chat_format, chunk_dedup, decontaminate, divergence, host_quality, lpt_shards, ngram_join, packing, pii_boost, secret_ledger, toxicity
+from bayesmill.llm import alignment, chat_format, chunk_dedup, decontaminate, divergence, host_quality, lpt_shards, minhash, ngram_join, packing, pii_boost, secret_ledger, toxicity
 from bayesmill.sources.tables import read_table
 
 
@@ -71,10 +71,20 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                          (F.size("spans") / 2).cast("long").alias("n_spans"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf, "documents"))
 
 
+def op13_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.minhash_components(read_table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_host_quality": op1_host_quality,
     "op2_pii": op2_pii,
@@ -86,7 +96,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_secret_ledger": op9_secret_ledger,
     "op10_toxicity": op10_toxicity,
+    "op11_alignment": op11_alignment,
     "op12_divergence": op12_divergence,
+    "op13_minhash": op13_minhash,
 }
 
 SQL: dict[str, str] = {"op12_divergence": divergence.SQL}
