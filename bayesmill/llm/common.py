@@ -52,7 +52,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.saved_path = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes ``saved`` tables that nothing reads any more: all that came from them must be saved itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.saved_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def join_counted(left: DataFrame, right: DataFrame, key: str, count: str) -> DataFrame:
@@ -66,9 +75,10 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, count: str) -> Dat
     extra = [c for c in right.columns if c not in (key, count)]
     total = right.agg(F.sum(count)).first()[0] or 0
     is_hot = F.col(count) * HOT_PARTS > F.lit(total)
-    hot = right.where(is_hot).select(key, *extra, F.lit(True).alias("_hot"))
+    mark = free_name(left, "_hot")
+    hot = right.where(is_hot).select(key, *extra, F.lit(True).alias(mark))
     cold = right.where(~is_hot).select(key, *extra)
     tagged = left.join(F.broadcast(hot), key, "left")
-    done = tagged.where(F.col("_hot") | F.col(key).isNull()).drop("_hot")
-    rest = tagged.where(F.col("_hot").isNull() & F.col(key).isNotNull()).drop("_hot", *extra)
+    done = tagged.where(F.col(mark) | F.col(key).isNull()).drop(mark)
+    rest = tagged.where(F.col(mark).isNull() & F.col(key).isNotNull()).drop(mark, *extra)
     return done.unionByName(rest.join(cold, key, "left"))

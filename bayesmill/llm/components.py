@@ -8,9 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayesmill.llm.common import join_counted, saved
+from bayesmill.llm.common import forget, join_counted, saved
 
 FOREST_NODES = 200_000  # of a task that contracts edges
+TASK_EDGES = FOREST_NODES // 2
 
 
 class Forest:
@@ -66,19 +67,22 @@ def _stars_only(at: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges (a, b)``; self loops alone give no row.
 
-    Tasks contract their own edges first. Then each round hangs every node's larger neighbours, and its smaller
-    ones, on its least neighbour, until only stars are left; the rounds grow with the logarithm of the longest path.
+    Tasks contract their own edges first, up to TASK_EDGES each; where one task holds all, that is the result. Else each
+    round hangs every node's larger neighbours, and its smaller ones, on its least neighbour, until only stars are left;
+    the rounds grow with the logarithm of the longest path.
     Nothing but the answer to "only stars?" comes to the driver.
     """
     up = edges.where(F.col("a") != F.col("b")).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    at = saved(up.mapInArrow(_contract, "u long, v long").distinct(), "edges")
-    while not _stars_only(at):
+    tasks = max(1, -(-up.count() // TASK_EDGES))
+    at = saved(up.coalesce(tasks).mapInArrow(_contract, "u long, v long").distinct(), "edges")
+    while tasks > 1 and not _stars_only(at):
         both = at.unionByName(at.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = saved(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n"), "least")
         # a large component's least node has most of its edges: it is joined apart
         large = saved(join_counted(both.where(F.col("v") > F.col("u")), least, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        at = saved(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        before, at = at, saved(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "stars")
+        forget(before, least, large)
     tops = at.select(F.col("v").alias("node")).distinct()
     return at.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(tops.withColumn("component", F.col("node")))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bayesmill.llm import decontaminate, ngram_join, packing, secret_ledger, toxicity
-from bayesmill.llm.common import saved
+from bayesmill.llm.common import forget, saved
 from bayesmill.llm.queries import word_tokenizer
 from bayesmill.sources.tables import read_table
 
@@ -47,14 +47,17 @@ STAGES = [
     ("packing", pack),
 ]
 
-# No stage's scores or retrieval can be told in SQL; the tests hold run() against the stages' brute-force versions.
+# No stage's scores or retrieval can be told in SQL; the tests hold run() against plain versions of the stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"stage_{name}")
+        if before is not None:
+            forget(before)
+        before = docs
     return docs
 
 
