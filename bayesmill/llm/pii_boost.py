@@ -1,15 +1,21 @@
 """Personal data by candidate boosting: loose generators propose spans, boosted trees judge format and context, thresholds decide.
 
-DataFrame functions only. Strict rules (fixed values below) give the base spans. Two loose generators propose whatever
-looks like an address or a number, once for each kind that it could be, so proposals overlap. A proposal's features are
-binned format (digits, signs, dots) and context (neighbouring characters, hint words before it). Since bins are few,
-all proposals of the whole table sum up in one small table of features, by whether a base span of the kind overlaps.
-On that table regression trees are boosted (logistic loss); on its calibration fold, each kind's threshold is the least
-score from which on PRECISION of the proposals are right. Proposals above it that overlap no base span are added. The
-trees become one column expression, so scoring is a projection and texts are never shuffled.
+DataFrame functions only. Strict rules (fixed values below) give the base spans. Three loose generators propose whatever
+looks like an address, a number or a phone inside a longer run, once for each kind that it could be, so proposals
+overlap. A proposal's features are binned format (digits, brackets, dots, gaps) and context (neighbouring characters,
+hint words before it); the marks that make a base span, "@" and "+", are masked, so a span in another guise looks the
+same. Some proposals tell what is right: those that overlap a base span of their kind. Those whose plain form (guises
+undone) fails the kind's rule are wrong. The rest, right in plain form but no base span, is what has to be judged: it is
+left out of training. A few labelled examples (SEEDS) count as proposals of every table, for kinds that it has too few of.
+
+Since bins are few, all proposals of the whole table sum up in one small table of features. On that table regression
+trees are boosted (logistic loss); on its calibration fold, each kind's threshold is the least score from which on
+PRECISION of the proposals are right. Proposals above it whose plain form is right and that overlap no base span are
+added, the best first where they overlap each other. The trees become one column expression, so scoring is a projection
+and texts are never shuffled.
 
 Defined results: null texts count as empty, repeated rows are judged alike, an empty table gives no rows, other columns
-are not returned, a kind without enough proposals gets no additions.
+are not returned.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayesmill.llm.common import let, saved
@@ -34,17 +40,34 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 IP_PARTS = rf"^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$"
 
-# The generators, and the words that hint at a kind when they stand before a proposal.
-MAIL_LIKE = r"(?<![^\s<>(),;:\"'])[^\s<>(),;:\"'@]{1,64}\s?(?:@|[(\[]at[)\]])\s?[^\s<>(),;:\"'@]{1,255}"
-NUMBER_LIKE = r"(?<![0-9A-Za-z])[+(]{0,2}[0-9][0-9\x20().-]{5,40}[0-9]"
+# The generators, and the words that hint at a kind when they stand before a proposal. Runs are of any length.
+MAIL_LIKE = r"(?<![^\s<>(),;:\"'])[^\s<>(),;:\"'@\[\]]++\s?(?:@|[(\[]at[)\]])\s?[^\s<>(),;:\"'@]*[A-Za-z0-9]"
+NUMBER_LIKE = r"(?<![0-9A-Za-z])[+(]{0,2}[0-9]++(?:[\x20().-]++[0-9]++)*+"
+PHONE_LIKE = r"(?<![0-9A-Za-z])(?<![0-9][.-])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)[\x20.-]?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,5}(?![0-9])(?![.-][0-9])"
+AT = r"\s?[(\[]at[)\]]\s?"
+COUNTRY = r"^\+[0-9]{1,3}(?=[\x20(.-])"
 HINTS = (("email", "mail|contact|write to"), ("phone", "phone|tel|call|mobile|fax"), ("card", "card|visa|credit|account"), ("ip", "ip|host|server|address"))
 BEFORE = 24
 
+# Labelled examples: text before, span, text after, kind, whether it is right.
+SEEDS = tuple((*x, kind, True) for kind, rows in (
+    ("email", (("mail ", "jane.doe@example.org", "."), ("", "info@mail.example.com", " "), ("of ", "r2d2@example.net", " and"))),
+    ("ip", (("host ", "192.0.2.17", ","), ("", "198.51.100.4", " "))),
+    ("card", (("card ", "4111 1111 1111 1111", " "), ("", "5500000000000004", "."), ("no. ", "3400-0000-0000-009", " "))),
+    ("phone", (("call ", "+1 (555) 010-9999", "."), ("", "(555) 010-9999", " "), ("", "+44 20 7946 0958", " "), ("", "+1 555-010-9999", " "), ("tel ", "+49 555 010 9999", ","), ("fax ", "+1 555.010.9999", " "))),
+) for x in rows) + tuple((*x, kind, False) for kind, rows in (
+    ("email", (("see ", "user@host", " "), ("by ", "@name", " "), ("", "a(at)b", " "))),
+    ("ip", (("v", "1.2.3", " "), ("", "999.1.1.300", " "), ("section ", "4.1.2", " "))),
+    ("card", (("", "1234567890123456", " "), ("id ", "20240506", " "), ("", "1000000000000001", " "))),
+    ("phone", (("on ", "2024-05-06", " "), ("", "12345678", " "), ("", "1234567890123456", " "), ("pages ", "10-12", " "), ("", "3.14159", " "), ("", "1 000 000", " "), ("id ", "1234567890", " "), ("", "10.0.0.1", " "))),
+) for x in rows)
+SEED_WEIGHT = 8
+
 ROUNDS, DEPTH, RATE, RIDGE = 24, 3, 0.3, 1.0
 PRECISION = 0.98
 LEAST_PROPOSALS = 20  # of a kind in the calibration fold
 FOLDS = 5
-FEATURES = ("kind", "digits", "plus", "paren", "dots", "gaps", "at", "touch", "hint")
+FEATURES = ("kind", "digits", "paren", "dots", "gaps", "touch", "hint")
 
 _SPAN = "array<struct<start:int,end:int,text:string,before:string,after:string>>"
 
@@ -110,31 +133,55 @@ def _count(c: Column, chars: str) -> Column:
     return F.length(c) - F.length(F.translate(c, chars, ""))
 
 
+def plain(t: Column, k: int) -> Column:
+    """Whether a proposal, its guise undone, is right by the kind's rule."""
+    digits = _digits(t)
+    if k == 0:
+        return F.regexp_replace(t, AT, "@").rlike("^(?:" + EMAIL.split("))", 1)[1] + ")$")
+    if k == 1:
+        return t.rlike(IP_PARTS)
+    if k == 2:
+        return F.length(digits).between(12, 19) & luhn(digits)
+    return F.length(digits).between(9, 15) & t.rlike(r"^\(?\+?\(?[0-9]")
+
+
 def _features(s: Column, k: int) -> Column:
-    t, before = s["text"], F.lower(s["before"])
+    before = F.lower(s["before"])
+    t = F.regexp_replace(s["text"], COUNTRY if k == 3 else AT, "") if k in (0, 3) else s["text"]  # masks the marks of base spans
     hint = reduce(lambda other, h: F.when(before.rlike(rf"(?:{h[1][1]})[^a-z]*$"), h[0] + 1).otherwise(other), list(enumerate(HINTS))[::-1], F.lit(0))
     touch = F.right(s["before"], F.lit(1)).rlike("[A-Za-z0-9_]").cast("int") + 2 * s["after"].rlike("[A-Za-z0-9_]").cast("int")
+    inner = F.trim(t)
     values = {
-        "kind": F.lit(k), "digits": _bin(F.length(_digits(t)), 1, 7, 9, 10, 12, 13, 16, 17, 20), "plus": t.startswith("+").cast("int"),
-        "paren": F.contains(t, F.lit("(")).cast("int"), "dots": _bin(_count(t, "."), 1, 2, 3, 4), "gaps": _bin(_count(t, " -"), 1, 3, 4, 6),
-        "at": F.contains(t, F.lit("@")).cast("int"), "touch": touch, "hint": hint,
+        "kind": F.lit(k), "digits": _bin(F.length(_digits(inner)), 1, 7, 9, 10, 12, 13, 16, 17, 20),
+        "paren": F.contains(inner, F.lit("(")).cast("int"), "dots": _bin(_count(inner, "."), 1, 2, 3, 4), "gaps": _bin(_count(inner, " -"), 1, 2, 3, 4, 6),
+        "touch": touch, "hint": hint,
     }
-    return F.struct(s["start"].alias("start"), F.lit(k).alias("k"), s["end"].alias("end"), *[values[f].cast("int").alias(f) for f in FEATURES])
+    return F.struct(s["start"].alias("start"), F.lit(k).alias("k"), s["end"].alias("end"), plain(s["text"], k).alias("plain"), *[values[f].cast("int").alias(f) for f in FEATURES])
 
 
 def proposals(text: Column) -> Column:
-    """array<struct<start, k, end, features>>: each loose find once for every kind that it could be."""
+    """array<struct<start, k, end, plain, features>>: each loose find once for every kind that it could be."""
     mail = F.when(F.contains(text, F.lit("@")) | text.rlike(r"[(\[]at[)\]]"), found(text, MAIL_LIKE)).otherwise(F.array().cast(_SPAN))
-    numbers = found(text, NUMBER_LIKE)
+    numbers = F.filter(found(text, NUMBER_LIKE), lambda s: F.length(s["text"]) >= 7)
     as_mail = F.transform(mail, lambda s: _features(s, 0))
     as_number = let(numbers, lambda a: F.concat(*[_proposed(a, k) for k in (1, 2, 3)]))
-    return F.concat(as_mail, as_number)
+    return F.array_distinct(F.concat(as_mail, as_number, _proposed(found(text, PHONE_LIKE), 3)))
 
 
 def _proposed(a: Column, k: int) -> Column:
     return F.transform(a, lambda s: _features(s, k))
 
 
+def seeds(spark: SparkSession) -> DataFrame:
+    """The labelled examples by features, ``right`` and ``wrong``."""
+    each = F.array(*[F.struct(F.lit(b).alias("before"), F.lit(t).alias("text"), F.lit(a).alias("after"), F.lit(KINDS.index(k)).alias("k"), F.lit(right).alias("is_right"))
+                     for b, t, a, k, right in SEEDS])
+    rows = spark.range(1).select(F.inline(each))
+    s = rows.withColumn("s", F.struct(F.lit(0).alias("start"), F.length("text").alias("end"), "text", "before", "after"))
+    told = s.select("is_right", reduce(lambda other, k: F.when(F.col("k") == k, _features(F.col("s"), k)).otherwise(other), range(len(KINDS)), F.lit(None)).alias("s"))
+    return told.select(*[F.col(f"s.{f}").alias(f) for f in FEATURES], "is_right")
+
+
 @dataclass
 class Node:
     """A leaf (``feature`` empty) or a test ``feature <= edge``."""
@@ -182,9 +229,11 @@ def _grow(rows: list[dict], depth: int) -> Node:
 
 
 def boost(rows: list[dict], rounds: int = ROUNDS, depth: int = DEPTH) -> list[Node]:
-    """Trees from rows of features with ``right`` and ``wrong`` counts."""
+    """Trees from rows of features with ``right`` and ``wrong`` counts; rows weigh by the root of their counts, so that a
+    frequent form doesn't drown a rare one."""
     trees: list[Node] = []
-    rows = [dict(r, score=0.0) for r in rows]
+    roots = [max(1, r["right"] + r["wrong"]) ** 0.5 for r in rows]
+    rows = [dict(r, score=0.0, right=r["right"] / root, wrong=r["wrong"] / root) for r, root in zip(rows, roots, strict=True)]
     for _ in range(rounds if rows else 0):
         for r in rows:
             p, n = 1 / (1 + math.exp(-r["score"])), r["right"] + r["wrong"]
@@ -214,28 +263,40 @@ def _overlaps(s: Column, base: Column) -> Column:
     return F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
 
+def _sums(scanned: DataFrame) -> list[dict]:
+    """Right and wrong proposals by fold and features: as few rows as bins allow, whatever the number of proposals."""
+    each = scanned.where(F.size("proposed") > 0).select(
+        (F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0).alias("calibrates"), "base", F.explode("proposed").alias("s"))
+    is_right = F.exists("base", lambda b: (b["k"] == F.col("s.k")) & (b["start"] < F.col("s.end")) & (F.col("s.start") < b["end"]))
+    told = each.select("calibrates", *[F.col(f"s.{f}").alias(f) for f in FEATURES], is_right.alias("r"), F.col("s.plain").alias("plain")).where(F.col("r") | ~F.col("plain"))
+    sums = told.groupBy("calibrates", *FEATURES).agg(F.sum(F.col("r").cast("long")).alias("right"), F.sum((~F.col("r")).cast("long")).alias("wrong"))
+    rows = [r.asDict() for r in sums.collect()]
+    for r in seeds(scanned.sparkSession).collect():
+        marks = {f: r[f] for f in FEATURES}
+        rows += [{"calibrates": c, **marks, "right": SEED_WEIGHT * r["is_right"], "wrong": SEED_WEIGHT * (not r["is_right"])} for c in (False, True)]
+    return sorted(rows, key=lambda r: [r[f] for f in FEATURES])
+
+
 def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, base, spans``: arrays of ``struct<start, k, end>`` by start and kind, k being the place in KINDS."""
     t = F.coalesce(F.col("text"), F.lit(""))
     scanned = saved(docs.select("doc_id", base_spans(t).alias("base"), proposals(t).alias("proposed")), "pii_scan")
-    each = scanned.where(F.size("proposed") > 0).select(
-        (F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0).alias("calibrates"), "base", F.explode("proposed").alias("s"))
-    is_right = F.exists("base", lambda b: (b["k"] == F.col("s.k")) & (b["start"] < F.col("s.end")) & (F.col("s.start") < b["end"]))
-    # bins are few: this table has a fixed bound, whatever the number of proposals
-    sums = each.select("calibrates", *[F.col(f"s.{f}").alias(f) for f in FEATURES], is_right.alias("r")).groupBy("calibrates", *FEATURES).agg(
-        F.sum(F.col("r").cast("long")).alias("right"), F.sum((~F.col("r")).cast("long")).alias("wrong")).collect()
-    rows = sorted((r.asDict() for r in sums), key=lambda r: [r[f] for f in FEATURES])
+    rows = _sums(scanned)
     trees = boost([r for r in rows if not r["calibrates"]])
     least = thresholds([r for r in rows if r["calibrates"]], trees)
 
-    def accepted(s: Column) -> Column:
+    def scored(s: Column) -> Column:
         score = reduce(lambda a, b: a + b, [tree.column(s) for tree in trees], F.lit(0.0))
-        limit = reduce(lambda other, k: F.when(s["k"] == k, F.lit(least[k])).otherwise(other), range(len(KINDS)), F.lit(math.inf))
-        return (score >= limit - 1e-9) & ~_overlaps(s, F.col("base"))
-
-    added = F.array() if not trees else F.transform(F.filter("proposed", accepted), lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end")))
-    spans = F.sort_array(F.array_distinct(F.concat("base", added))) if trees else F.col("base")
-    return scanned.select("doc_id", "base", spans.alias("spans"))
+        return F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"), score.alias("score"))
+
+    limit = lambda s: reduce(lambda other, k: F.when(s["k"] == k, F.lit(least[k])).otherwise(other), range(len(KINDS)), F.lit(math.inf))
+    free = F.filter("proposed", lambda s: s["plain"] & ~_overlaps(s, F.col("base")))
+    judged = scanned.withColumn("judged", F.transform(free, scored))
+    chosen = judged.withColumn("judged", F.filter("judged", lambda s: s["score"] >= limit(s) - 1e-9))
+    before = lambda x, s: (x["score"] > s["score"]) | ((x["score"] == s["score"]) & ((x["start"] < s["start"]) | ((x["start"] == s["start"]) & ((x["end"] > s["end"]) | ((x["end"] == s["end"]) & (x["k"] < s["k"]))))))
+    best = F.filter("judged", lambda s: ~F.exists("judged", lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]) & before(x, s)))
+    added = F.transform(best, lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end")))
+    return chosen.select("doc_id", "base", F.sort_array(F.concat("base", added)).alias("spans"))
 
 
 def joined(spans: Column) -> Column:
