@@ -60,8 +60,7 @@ def op8_chat_format(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_secret_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    found, _ = secret_ledger.scan_paths(read_table(spark, sf, "documents"))
-    return secret_ledger.digest(found)
+    return secret_ledger.digest(secret_ledger.scan_paths(read_table(spark, sf, "documents")))
 
 
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,29 +1,37 @@
 """Secret scans with an incremental blob ledger: contents are scanned once per version of the rules, findings join back to all paths.
 
-A blob is a content, named by its SHA-256. A scan task hashes each text it reads and scans it unless this task has
-met the blob before; the findings of several tasks for one blob are the same and become one ledger row
-(blob, rule_version, spans). With a ledger from earlier scans, texts whose blob it already holds for this rule version
-are left out before any scan. Findings of old and new blobs are then joined back to every path by blob; a blob with
+A blob is a content, named by its SHA-256. Every row is hashed; rows whose blob the ledger holds for this version of the
+rules are left out, of the others each task passes a blob on once, and a shuffle by blob brings its copies together, so
+each unseen blob is scanned once over all tasks. New rows (blob, rule_version, spans) are appended to the ledger, a
+Parquet table in a shared folder; findings are then read from the ledger and joined to every path by blob. A blob with
 very many paths is kept apart in that join.
 
+``without_secrets`` masks texts in place: a bit table of the blobs with findings (at most WORDS longs, broadcast) tells
+which texts can need it, only those meet the findings, and all other texts stay where they are.
+
 Defined results: null texts count as empty, repeated rows each get their findings, empty tables give no rows, other
-columns are not returned by ``scan_paths`` and pass unchanged through ``without_secrets``.
+columns are not returned by ``scan_paths`` and pass unchanged through ``without_secrets``; rows of a ledger that two
+jobs appended for one blob count as one.
 """
 
 from __future__ import annotations
 
-import hashlib
+import os
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayesmill.llm.common import free_name, join_counted, saved
+from bayesmill.session import ensure_checkpoint_dir
 
 RULE_VERSION = "2"
-REMEMBERED_BLOBS = 200_000  # of a scan task; a blob forgotten is only scanned again
+REMEMBERED_BLOBS = 200_000  # of a task; a blob forgotten is only shuffled again
+WORDS = 1 << 18  # longs of the bit table; with many findings more texts meet them in vain
 
 # The base rules, their least lengths, and in which order kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -61,55 +69,93 @@ def joined(found: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in found)
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     met: set[bytes] = set()
+    for b in batches:
+        kept = []
+        for i, blob in enumerate(b.column("blob").to_pylist()):
+            if blob not in met:
+                kept.append(i)
+                if len(met) >= REMEMBERED_BLOBS:
+                    met.clear()
+                met.add(blob)
+        yield b.take(pa.array(kept, pa.int64()))
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by blob, the first of each blob is scanned."""
+    last = None
     for b in batches:
         blobs, spans = [], []
-        for t in b.column("text").to_pylist():
-            blob = hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).digest()
-            blobs.append(blob)
-            spans.append(None if blob in met else joined(find_secrets(t or "")))
-            if len(met) >= REMEMBERED_BLOBS:
-                met.clear()
-            met.add(blob)
-        yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(blobs, pa.binary()), pa.array(spans, pa.string())], names=["path", "blob", "spans"])
+        texts = b.column("text")
+        for i, blob in enumerate(b.column("blob").to_pylist()):
+            if blob != last:
+                last = blob
+                blobs.append(blob)
+                spans.append(joined(find_secrets(texts[i].as_py())))
+        yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(spans, pa.string())], names=["blob", "spans"])
+
+
+def hashed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` (null: empty) and its ``blob``."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return rows.withColumn("text", text).withColumn("blob", F.unhex(F.sha2("text", 256)))
+
+
+def scanned_once(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``blob, spans``: a row for each scan, of which every blob of ``rows (blob, text)`` that ``known (blob)`` lacks gets one."""
+    unseen = rows.select("blob", "text")
+    if known is not None:
+        unseen = unseen.join(known.select("blob"), "blob", "left_anti")
+    once = unseen.mapInArrow(_first_of_task, "blob binary, text string")
+    return once.repartition("blob").sortWithinPartitions("blob").mapInArrow(_scan, "blob binary, spans string")
 
 
 def _known(ledger: DataFrame) -> DataFrame:
-    return ledger.where(F.col("rule_version") == RULE_VERSION).select("blob", "spans")
+    """One row for each blob of this version of the rules."""
+    return ledger.where(F.col("rule_version") == RULE_VERSION).groupBy("blob").agg(F.min("spans").alias("spans"))
+
+
+LEDGER = "blob binary, rule_version string, spans string"
 
 
-def _scanned(rows: DataFrame, ledger: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """All rows as ``path, blob``, and the newly scanned ``blob, spans``; ``rows`` has ``path, text``."""
-    kind = rows.schema["path"].dataType.simpleString()
-    old = None
-    if ledger is not None:
-        known = _known(ledger).select("blob")
-        rows = rows.withColumn("blob", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-        old = rows.join(known, "blob", "left_semi").select("path", "blob")
-        rows = rows.join(known, "blob", "left_anti").select("path", "text")
-    scanned = saved(rows.mapInArrow(_scan, f"path {kind}, blob binary, spans string"), "scanned")
-    fresh = scanned.where(F.col("spans").isNotNull()).groupBy("blob").agg(F.min("spans").alias("spans"))
-    paths = scanned.select("path", "blob")
-    return paths if old is None else saved(paths.unionByName(old), "paths"), fresh
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at ``path``; empty if there is none yet."""
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
 
 
-def _findings(fresh: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """``blob, spans`` of all blobs with findings, newly scanned or known."""
-    return (fresh if ledger is None else fresh.unionByName(_known(ledger))).where(F.col("spans") != "")
+def scan_to_ledger(rows: DataFrame, path: str) -> DataFrame:
+    """Scans the unseen blobs of ``rows (blob, text)``, appends them to the ledger at ``path``, and returns its rows for
+    this version of the rules as ``blob, spans``."""
+    spark = rows.sparkSession
+    fresh = scanned_once(rows, _known(read_ledger(spark, path)))
+    fresh.select("blob", F.lit(RULE_VERSION).alias("rule_version"), "spans").write.mode("append").parquet(path)
+    return _known(read_ledger(spark, path))
 
 
-def scan_paths(versions: DataFrame, ledger: DataFrame | None = None, path: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(path, spans)`` of every row of ``versions``, and the new ledger rows ``(blob, rule_version, spans)``.
+def new_ledger(spark: SparkSession) -> str:
+    """A fresh place in the shared folder."""
+    return os.path.join(ensure_checkpoint_dir(spark).rstrip("/"), "llm", f"ledger-{uuid.uuid4().hex}")
 
-    ``ledger``: rows of earlier scans. Only blobs that it lacks for RULE_VERSION are scanned; append the new rows to it.
+
+def scan_paths(versions: DataFrame, ledger: str | None = None, path: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(path, spans)`` of every row of ``versions``; ``ledger``: the ledger's place, by default a new one.
+
+    Only blobs that it lacks for RULE_VERSION are scanned.
     """
-    paths, fresh = _scanned(versions.select(F.col(path).alias("path"), F.col(text).alias("text")), ledger)
+    spark = versions.sparkSession
+    rows = hashed(versions.select(F.col(path).alias("path"), F.col(text).alias("text")))
+    known = scan_to_ledger(rows, ledger or new_ledger(spark))
+    paths = saved(rows.select("path", "blob"), "paths")
     used = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n"))
-    told = saved(_findings(fresh, ledger).join(used, "blob"), "findings")
+    told = saved(known.where(F.col("spans") != "").join(used, "blob"), "findings")
     out = join_counted(paths, told, "blob", "n")
-    new = fresh.select("blob", F.lit(RULE_VERSION).alias("rule_version"), "spans")
-    return out.select(F.col("path").alias(path), F.coalesce("spans", F.lit("")).alias("spans")), new
+    return out.select(F.col("path").alias(path), F.coalesce("spans", F.lit("")).alias("spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -135,18 +181,29 @@ def _masked(text: Column, spans: Column) -> Column:
     return F.aggregate(parts, zero, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
 
 
-def without_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+def _place(blob: str) -> tuple[Column, Column]:
+    """A blob's long in the bit table, and its bit there."""
+    place = F.pmod(F.xxhash64(blob), F.lit(64 * WORDS))
+    return F.floor(place / 64).cast("int"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+
+
+def without_secrets(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     """``docs`` with every finding masked in ``text`` and, if there is one, ``n_chars`` counted anew for these rows.
 
-    The scan's findings come back to the texts by blob, so that all copies of a content are masked alike.
+    The ledger's findings come back to the texts by blob, so that all copies of a content are masked alike.
     """
-    blob, spans = free_name(docs, "blob"), free_name(docs, "spans")
-    _, fresh = _scanned(docs.select(F.lit(None).cast("long").alias("path"), "text"), ledger)
-    named = _findings(fresh, ledger).select(F.col("blob").alias(blob), F.col("spans").alias(spans))
-    out = docs.withColumn(blob, F.unhex(F.sha2("text", 256))).join(named, blob, "left")
+    spark = docs.sparkSession
+    known = scan_to_ledger(hashed(docs.select("text")), ledger or new_ledger(spark))
+    blob, spans, word, bits = (free_name(docs, c) for c in ("blob", "spans", "word", "bits"))
+    found = saved(known.where(F.col("spans") != "").select(F.col("blob").alias(blob), F.col("spans").alias(spans)), "findings")
+    at, bit = _place(blob)
+    table = found.select(at.alias(word), bit.alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))  # at most WORDS rows
+    tagged = docs.withColumn(blob, F.unhex(F.sha2("text", 256))).withColumn(word, at).join(F.broadcast(table), word, "left")
+    maybe = F.coalesce(F.col(bits).bitwiseAND(bit) != 0, F.lit(False))
+    out = tagged.where(maybe).drop(word, bits).join(found, blob, "left")
     hit = F.col(spans).isNotNull()
     out = out.withColumn("text", F.when(hit, _masked(F.col("text"), F.col(spans))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return tagged.where(~maybe).select(*docs.columns).unionByName(out.select(*docs.columns))
