@@ -9,9 +9,10 @@ hot ones) as long as stronger ones must agree as well. Repeats inside a batch me
 
 Then each block's incidence rows are multiplied: overlap counts accumulate over the posting lists, pairs below the
 bound that their sizes give are dropped, and what remains are links. A block of more than TILE documents is first cut
-in parts that share a few leaders, which joins a group of near copies with work in proportion to it; then only what is
-outside the largest group meets the rest, tile by tile, as far as sizes allow. Copies with the same set are one class
-from the start.  The result is each document's component, so a task returns a spanning forest of its links.
+in parts that share a few leaders, which joins a group of near copies with work in proportion to it; what is not linked
+then meets on its rarest n-grams in the component alone (``prefix.py``), so pages of one template, which have own words,
+meet nowhere. Copies with the same set are one class from the start. The result is each document's component, so a task
+returns a spanning forest of its links.
 
 Defined results: null and wordless texts have an empty set and link with nothing, a null doc_id stays alone (component
 null), repeated rows link as copies, an empty table gives no rows, other columns are not returned.
@@ -28,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bayesmill.llm.common import join_counted, saved
+from bayesmill.llm.common import forget, join_counted, saved
 from bayesmill.llm.components import FOREST_NODES, Forest, components
 from bayesmill.llm.ngrams import WordHashes, linked, mix, parts, shingles
+from bayesmill.llm.prefix import prefix_rows
 
 N = 4
 PERCENT = 85
@@ -219,28 +221,14 @@ def leader_blocks(large: DataFrame, tile: int) -> DataFrame:
         "doc_id", F.concat_ws(":", "component", F.lit("part"), "part").alias("block"), F.lit(0).alias("side"))
 
 
-def rest_blocks(large: DataFrame, found: DataFrame, percent: int, tile: int) -> DataFrame:
-    """What leader blocks leave open: documents outside the largest linked group of their component, in tiles, against
-    each other and against that group. Tiles meet if their sizes can link: in one size class or neighbouring ones."""
-    step = math.log(100 / percent) * 1.0001
+def rest_blocks(large: DataFrame, found: DataFrame, texts: DataFrame, percent: int, n: int, tile: int) -> DataFrame:
+    """What leader blocks leave open: documents of a component that are not linked yet meet on their rarest n-grams in it."""
     named = large.join(found.withColumnRenamed("component", "group"), F.col("doc_id") == F.col("node"), "left")
-    placed = named.select("doc_id", "component", F.floor(F.log("size") / step).alias("c"), F.coalesce("group", "doc_id").alias("group"))
-    groups = placed.groupBy("component", "group").agg(F.count(F.lit(1)).alias("n"))
-    largest = groups.groupBy("component").agg(F.max_by("group", F.struct("n", "group")).alias("largest"), F.count(F.lit(1)).alias("groups"))
-    open_ = placed.join(largest.where(F.col("groups") > 1), "component").withColumn("out", F.col("group") != F.col("largest"))
-    tiles = open_.groupBy("component", "c", "out").agg(F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("t"))
-    put = saved(open_.join(tiles, ["component", "c", "out"]).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("t")))
-                .select("doc_id", "component", "c", "out", "mine"), "ngram_open")
-    met = tiles.select("component", F.col("c").alias("c2"), F.col("out").alias("out2"), "t")
-    near = put.withColumn("c2", F.explode(F.array(F.col("c") - 1, F.col("c"), F.col("c") + 1)))
-    # each document of one population, once for every tile of the other population that its sizes can link to
-    seen = near.join(met, ["component", "c2"]).where(F.col("out") | F.col("out2"))
-    seen = seen.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("t") - 1)))
-    own = F.struct(F.col("out").alias("o"), F.col("c").alias("c"), F.col("mine").alias("i"))
-    its = F.struct(F.col("out2").alias("o"), F.col("c2").alias("c"), F.col("other").alias("i"))
-    low, high = F.least(own, its), F.greatest(own, its)
-    key = F.concat_ws(":", "component", F.lit("rest"), *[x[f].cast("string") for x in (low, high) for f in ("o", "c", "i")])
-    return seen.select("doc_id", key.alias("block"), F.when(own > low, 1).otherwise(0).alias("side"))
+    placed = named.select("doc_id", "component", F.coalesce("group", "doc_id").alias("side"))
+    several = placed.groupBy("component").agg(F.min("side").alias("low"), F.max("side").alias("high")).where(F.col("low") < F.col("high")).select("component")
+    members = placed.join(several, "component").select(F.col("doc_id").alias("doc"), F.col("component").alias("scope"), "side")
+    rows = prefix_rows(saved(members, "ngram_open"), texts, percent, n, tile)
+    return rows.select(F.col("doc").alias("doc_id"), F.concat_ws(":", F.lit("rest"), "key").alias("block"), F.lit(0).alias("side"))
 
 
 def ngram_components(docs: DataFrame, percent: int = PERCENT, n: int = N, tile: int = TILE) -> DataFrame:
@@ -271,10 +259,11 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, n: int = N, tile:
 
     held = links(small_blocks(sized, tile).unionByName(leader_blocks(large, tile)))
     if large.limit(1).count():
-        held = held.unionByName(links(rest_blocks(large, components(held), percent, tile)))
+        held = held.unionByName(links(rest_blocks(large, components(held), theirs, percent, n, tile)))
     found = components(held.unionByName(same))
-    named = classes.join(found, F.col("rep") == F.col("node"), "left").select("digest", "copies", F.coalesce("component", "rep").alias("component_id"))
-    out = join_counted(sets, saved(named, "ngram_named"), "digest", "copies")
+    named = saved(classes.join(found, F.col("rep") == F.col("node"), "left").select("digest", "copies", F.coalesce("component", "rep").alias("component_id")), "ngram_named")
+    forget(classes, member, sized, theirs)  # all that is read from here on is in stream and named
+    out = join_counted(sets, named, "digest", "copies")
     return out.select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -52,9 +52,11 @@ def prefix_rows(members: DataFrame, texts: DataFrame, percent: int, n: int, most
     alone, prefix = F.col("size") - F.size("told"), F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     first = F.slice("told", F.lit(1), F.greatest(F.lit(0), prefix - alone).cast("int"))
     met = saved(ranked.select("doc", "scope", "side", F.explode(first).alias("g")).select("doc", "scope", "side", "g.gram"), "prefix_postings")
-    sides = met.groupBy("scope", "gram", "side").agg(F.count(F.lit(1)).alias("docs"))
-    lists = sides.groupBy("scope", "gram").agg(F.sum("docs").alias("docs"), F.max("docs").alias("major"), F.max_by("side", F.struct("docs", "side")).alias("major_side"))
-    mixed = lists.where(F.col("major") < F.col("docs"))
+    sides = met.groupBy("scope", "gram", "side").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("y"))
+    lists = sides.groupBy("scope", "gram").agg(F.sum("docs").alias("docs"), F.max("docs").alias("major"), F.max_by("side", F.struct("docs", "side")).alias("major_side"),
+                                               F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    # one n-gram for each set of documents that meet
+    mixed = lists.where(F.col("major") < F.col("docs")).groupBy("scope", "x", "y").agg(F.min_by(F.struct("gram", "docs", "major", "major_side"), "gram").alias("g")).select("scope", "g.*")
     rows = met.join(mixed, ["scope", "gram"])
     small = rows.where(F.col("docs") <= most).select(F.xxhash64("scope", "gram").alias("key"), "doc", "side")
 
