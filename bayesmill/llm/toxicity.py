@@ -207,7 +207,8 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def held_out(doc_id: str = "doc_id"):
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % HELD_OUT == 0
+    """Whether a document is held out; one without id is not."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % HELD_OUT == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field | None:
@@ -275,8 +276,9 @@ def _scorer(field: Field | None, added: tuple[str, ...]):
 
 
 def score(docs: DataFrame, field: Field | None, added: tuple[str, str, str] = ("score", "expected", "spans")) -> DataFrame:
-    """``docs`` (which has ``text``) with three more columns: score, expected toxic tokens, and spans (start, end, ...; code points)."""
-    score, expected, spans = added
+    """``docs`` (which has ``text``) with three more columns: score, expected toxic tokens, and spans (start, end, ...; code points).
+    Columns of these names are replaced."""
+    docs, (score, expected, spans) = docs.drop(*added), added
     return docs.mapInArrow(_scorer(field, added), f"{schema_of(docs)}, `{score}` double, `{expected}` double, `{spans}` array<int>")
 
 

@@ -59,8 +59,9 @@ def corpus(seed=1):
     return [*rows, (9000, None), (9001, ""), (9002, " \t\n"), (9003, "x"), (9004, "X"), (9005, rows[40][1]), (9005, "x")]
 
 
-@pytest.mark.parametrize("most", [256, 5])
-def test_components(spark, most):
+@pytest.mark.parametrize("most, rounds", [(256, 2), (5, 0)])
+def test_components(spark, monkeypatch, most, rounds):
+    monkeypatch.setattr(minhash, "BEST_ROUNDS", rounds)
     rows = corpus()
     table = spark.createDataFrame([(i, t, 3, "k") for i, t in rows], TABLE).repartition(5)
     assert told(minhash.minhash_components(table, most=most)) == brute(rows)
@@ -87,15 +88,24 @@ def test_survivors_are_all_similar_pairs():
     base = rng.integers(0, 1 << 63, 300, np.uint64)
     sets = [np.unique(np.concatenate([rng.permutation(base)[:300 - 6 * k], rng.integers(0, 1 << 63, 6 * k, np.uint64)])) for k in range(40)]
     signs = np.array([minhash.signature(s) for s in sets])
-    i, j = minhash.survivors(signs, np.array([len(s) for s in sets]), np.arange(40) // 2, 80, minhash.least_matches(80, 1e-5))
+    i, j, matches = minhash.survivors(signs, np.array([len(s) for s in sets]), np.arange(40) // 2, 80, minhash.least_matches(80, 1e-5))
     got = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist())}
     similarity = {(a, b): len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a in range(40) for b in range(a) if a // 2 != b // 2}
     assert {(b, a) for (a, b), s in similarity.items() if s >= 0.8} <= got
+    assert [int((signs[a] == signs[b]).sum()) for a, b in zip(i, j)] == matches.tolist()
     assert len(got) == len(i) and not any(similarity[b, a] < 0.5 for a, b in got)
     for a in range(5):
         assert abs(np.mean(signs[a] == signs[39]) - len(np.intersect1d(sets[a], sets[39])) / len(np.union1d(sets[a], sets[39]))) < 0.15
 
 
+def test_pairs_are_told_where_they_meet_first():
+    keys = [np.array(k, np.int64) for k in ([5, 1, 9], [9, 5], [9, 1], [-3, 9], [9, -3, 5], [9])]
+    i, j = np.triu_indices(6, 1)
+    for key in (-3, 1, 5, 9):
+        want = [any(k < key for k in set(keys[a].tolist()) & set(keys[b].tolist())) for a, b in zip(i, j)]
+        assert minhash.met_before(key, keys, i, j).tolist() == want
+
+
 def test_prefix_rows_hold_every_link_and_no_template(spark):
     rows = corpus(3)
     ids = sorted({i for i, _ in rows if i < 9000})

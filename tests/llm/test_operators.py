@@ -198,7 +198,9 @@ def test_signatures_miss_no_pair():
                 assert len(np.intersect1d(a, b))
 
 
-def test_components_of_a_path(spark):
+@pytest.mark.parametrize("task_edges", [100_000, 4])
+def test_components_of_a_path(spark, monkeypatch, task_edges):
+    monkeypatch.setattr("bayesmill.llm.components.TASK_EDGES", task_edges)
     edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(90, 91), (95, 95)], "a long, b long").repartition(7)
     got = {r["node"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(51)}, 90: 90, 91: 90}
@@ -227,16 +229,57 @@ def test_chat_round_trip(spark):
     assert got[2]["bad_turn"] == 0 and not got[2]["valid"] and got[3]["n_turns"] == 2 and got[None]["n_turns"] == 1
 
 
-def test_secret_ledger(docs, empty):
-    found, new = secret_ledger.scan_paths(docs)
-    got = {r["doc_id"]: r["spans"] for r in found.collect()}
-    assert [x.split(":")[0] for x in got[8].split(",")] == ["assign", "access", "hex"] and got[1] == ""
-    again, newer = secret_ledger.scan_paths(docs, new)
-    assert newer.count() == 0 and {r["doc_id"]: r["spans"] for r in again.collect()} == got
+def secrets_by_hand(text):
+    """The base spans, told kind by kind."""
+    rules = (("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 12),
+             ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16))
+    found = [(m.start(), k, name, m.end()) for k, (name, rule, holds) in enumerate(rules) for m in re.finditer(rule, text) if holds(m)]
+    return ",".join(f"{name}:{s}:{e}" for s, _, name, e in sorted(found))
+
+
+def secret_texts():
+    rng = np.random.default_rng(12)
+    parts = ["password", "PassWD", "api_key", "apikey", "token", "secret", "=", ":", " ", '"', "abcdef123456", "AKIA", "ABCDEFGHIJKLMNOP", "deadbeef", "0123456789abcdef", "é", "x", "\n", "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a1" * 18]
+    return ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(300)] + [None, "", "password: " + "a" * 70000]
+
+
+def test_secret_ledger(spark, docs, empty, tmp_path, monkeypatch):
+    texts = secret_texts()
+    rows = spark.createDataFrame([(i % 290 if i % 290 else None, t, "x", 1) for i, t in enumerate(texts * 2)], "doc_id long, text string, blob string, n int").repartition(6)
+    place = str(tmp_path / "ledger")
+    got = sorted((r["doc_id"] or -1, r["spans"]) for r in secret_ledger.scan_paths(rows, place).collect())
+    base = lambda spans: ",".join(x for x in spans.split(",") if x.split(":")[0] in secret_ledger.BASE_KINDS)
+    assert sorted((i, base(s)) for i, s in got) == sorted((i % 290 or -1, secrets_by_hand(t or "")) for i, t in enumerate(texts * 2))
+    distinct = len({t or "" for t in texts})
+    ledger = secret_ledger.read_ledger(spark, place)
+    assert ledger.count() == distinct == secret_ledger.scanned_once(secret_ledger.hashed(rows)).count()
+
+    # a second run scans nothing and finds the same; a new text is scanned alone; new rules scan all again
+    assert sorted((r["doc_id"] or -1, r["spans"]) for r in secret_ledger.scan_paths(rows, place).collect()) == got
+    assert secret_ledger.read_ledger(spark, place).count() == distinct
+    secret_ledger.scan_paths(rows.union(spark.createDataFrame([(5, "token=abcdef123456 new", "x", 1)], rows.schema)), place)
+    assert secret_ledger.read_ledger(spark, place).count() == distinct + 1
+    monkeypatch.setattr(secret_ledger, "RULE_VERSION", "next")
+    assert sorted((r["doc_id"] or -1, r["spans"]) for r in secret_ledger.scan_paths(rows, place).collect()) == got
+    assert secret_ledger.read_ledger(spark, place).where("rule_version = 'next'").count() == distinct
+    assert secret_ledger.scan_paths(empty).count() == 0
+
+
+@pytest.mark.parametrize("words", [1 << 18, 1])
+def test_masks_leave_other_texts_where_they_are(spark, docs, empty, monkeypatch, words):
+    monkeypatch.setattr(secret_ledger, "WORDS", words)
     masked = secret_ledger.without_secrets(docs)
     assert masked.columns == docs.columns
-    assert {r["doc_id"]: r["text"] for r in masked.collect()}[8] == "[assign] [access] [hex] TOKEN: short"
-    assert secret_ledger.scan_paths(empty)[0].count() == 0
+    assert {r["doc_id"]: r["text"] for r in masked.collect()} == {**{i: t for i, t, _ in TEXTS}, 8: "[assign] [access] [hex] TOKEN: short"}
+    assert masked.count() == len(TEXTS) and secret_ledger.without_secrets(empty).count() == 0
+    texts = [t for t in secret_texts() if t]
+    rows = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars int")
+    for r in secret_ledger.without_secrets(rows).collect():
+        at, out = 0, ""
+        for s, e, kind in secret_ledger.find_secrets(texts[r["doc_id"]]):
+            out += texts[r["doc_id"]][at:s] + f"[{kind}]" if s >= at else ""
+            at = max(at, e)
+        assert r["text"] == out + texts[r["doc_id"]][at:] and r["n_chars"] == len(r["text"])
 
 
 def test_marginals_are_exact():
@@ -271,3 +314,62 @@ def test_toxicity_learns_words(spark, empty):
     assert np.mean(right) > 0.95 and got[900] < 0.5 and got[901] < 0.5
     assert toxicity.score(d.limit(0), field).count() == 0
     assert {r["score"] for r in toxicity.score(d, toxicity.train(d, lab.limit(0))).collect()} == {0.0}
+
+
+def base_by_hand(text):
+    """(start, kind, end) of the strict rules, one kind after the other."""
+    luhn = lambda d: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    rules = (
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", lambda s: True),
+        (r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+        (r"[0-9](?:[\x20-]?[0-9])+", lambda s: 12 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 9 <= len(digits(s)) <= 15),
+    )
+    return sorted((m.start(), k, m.end()) for k, (rule, holds) in enumerate(rules) for m in re.finditer(rule, text) if holds(m[0]))
+
+
+def test_base_spans_by_hand(spark):
+    rng = np.random.default_rng(11)
+    parts = ["a.b@c.de", "x@y", "10.0.0.1", "300.1.2.3", "1.2.3.4.5", "4111 1111 1111 1111", "4111111111111112", "+1 (555) 010-9999", "+12", "word", "été", "5500-0000-0000-0004", "+49 30 1234567 10.1.1.1", "@", "+", "\n", "7" * 30]
+    texts = ["".join(x + str(rng.choice(["", " ", ", ", "-"])) for x in rng.choice(parts, rng.integers(0, 12))) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii_boost.personal_data(rows).collect()}
+    assert len(got) == 400
+    for i, t in enumerate(texts):
+        assert [tuple(x) for x in got[i]["base"]] == base_by_hand(t), t
+        assert set(map(tuple, got[i]["base"])) <= set(map(tuple, got[i]["spans"]))
+
+
+def planted(based):
+    """Rows of words with spans in other guises; with ``based``, also rows of base spans and of numbers that are none."""
+    rng = np.random.default_rng(9)
+    d = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    words = lambda: " ".join(rng.choice(["the", "of", "norten", "whing", "ati", "was"], 8))
+    rows, want = [], {}
+
+    def put(span, kind=None, after=""):
+        text, i = f"{words()} ", len(rows)
+        if kind is not None:
+            want[i] = (len(text), kind, len(text) + len(span))
+        rows.append((i, text + span + after + " " + words()))
+
+    for _ in range(200):
+        put(f"({d(3)}) {d(3)}-{d(4)}", 3)
+        put(f"user{d(2)}(at)mail{d(1)}.example.com", 0)
+        put(f"+1 ({d(3)}) {d(3)}-{d(4)}", 3, f" 1{d(2)}.{int(d(2))}.1.{int(d(2))}")
+        if based:
+            for span in (f"+1 ({d(3)}) {d(3)}-{d(4)}", f"user{d(2)}@mail{d(1)}.example.com", f"10.{int(d(2))}.7.{int(d(2))}", d(16), d(8), f"2024-0{int(d(1)) + 1}-1{d(1)}", f"{d(2)}(at){d(2)}"):
+                put(span)
+    return rows, want
+
+
+@pytest.mark.parametrize("based", [True, False])
+def test_boosting_adds_spans_in_other_guises(spark, based):
+    rows, want = planted(based)
+    got = {r["doc_id"]: r for r in pii_boost.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    added = {i: [tuple(x) for x in r["spans"] if x not in r["base"]] for i, r in got.items()}
+    found = sum(want[i] in added[i] for i in want)
+    wrong = sum(len([x for x in a if want.get(i) != x]) for i, a in added.items())
+    assert found >= 0.97 * len(want) and wrong <= 0.02 * found
+    assert all([tuple(x) for x in got[i]["base"]] == base_by_hand(t) for i, t in rows)
