@@ -106,6 +106,16 @@ def test_pairs_are_told_where_they_meet_first():
         assert minhash.met_before(key, keys, i, j).tolist() == want
 
 
+def test_blocks_hold_the_pairs():
+    docs, tile = np.array([10, 11, 12, 13, 14]), np.array([7, 7, -3, 9, 7])
+    i, j = np.array([0, 0, 4, 1]), np.array([1, 2, 2, 3])
+    rows = list(zip(*(x.tolist() for x in minhash._members(docs, tile, i, j))))
+    blocks = {}
+    for k, d, s in rows:
+        blocks.setdefault(k, set()).add((d, s))
+    assert sorted(map(sorted, blocks.values())) == [[(10, 0), (11, 0)], [(10, 1), (12, 0), (14, 1)], [(11, 0), (13, 1)]] and len(rows) == 7
+
+
 def test_prefix_rows_hold_every_link_and_no_template(spark):
     rows = corpus(3)
     ids = sorted({i for i, _ in rows if i < 9000})
