@@ -1,29 +1,41 @@
 """Byte n-gram features for byte-dump files.
 
-Files ``(path, content)`` -> tokens (2-char codes) -> n-grams for each n in
-``grams`` (each n counted once) -> per-file counts, thresholded
-(``freq >= min_freq``) before any join -> joined with labels on file id.
-Long form ``(file_id, gram, freq)`` throughout; a ``map<string,long>`` per file
-only at the edge (``as_map``).
-
-A file's codes are cut into pieces that overlap by a gram less one code, and the
-pieces, not the files, are spread over the tasks: a file of any size is counted
-by many tasks, and no array of all its grams is ever made. Counts are partial per
-task, then final by (file, gram), so neither a hot gram nor a large file piles up.
+Files -> codes (2-char tokens) -> n-grams for each n in ``grams`` (each n
+counted once) -> per-file counts, thresholded (``freq >= min_freq``) before any
+join -> joined with labels on file id. Long form ``(file_id, gram, freq)``
+throughout; a ``map<string,long>`` per file only at the edge (``as_map``).
+
+Grams are counted where they are read (``functions/codes.py``), so only a row
+per distinct gram of a file leaves a scan task; a final sum by (file, gram)
+joins what several tasks have of one file. Two sources:
+
+* ``(path, content)`` rows: a file is one row;
+* a folder of files (``ngram_freq_splits``): lines are read by file splits, so
+  one file is counted by as many tasks as it has splits. A split also tells its
+  first and last codes, and the grams that cross a border come from the codes
+  before it, by split order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bayesmill.functions.bytes import TOKEN_LENGTH, byte_string, byte_tokens, file_id
+from bayesmill.functions.bytes import TOKEN_LENGTH, byte_tokens, file_id
+from bayesmill.functions.codes import codes, count_grams, joined
 from bayesmill.operators import tfidf as TF
+from bayesmill.sources.files import read_file_lines
 
+CHUNK_CODES = 1 << 20    # counted at once in a task
 
-PIECE_CODES = 1 << 16    # codes in a piece: how finely files are spread, not a limit
+# The code travels with its tasks: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def tokenized(files: DataFrame, path_col: str = "path", content_col: str = "content",
@@ -39,49 +51,126 @@ def tokenized(files: DataFrame, path_col: str = "path", content_col: str = "cont
     return f.select("file_id", byte_tokens("_content").alias("tokens"))
 
 
-def _grams_regex(k: int) -> str:
-    """All overlapping k-grams of the joined two-character codes: a lookahead
-    captures 2k characters and the match consumes one code, so consecutive
-    matches start at consecutive codes."""
-    return f"(?=(.{{{k * TOKEN_LENGTH}}})).{{{TOKEN_LENGTH}}}"
+def _counted(names: Sequence[str], parts: Sequence[np.ndarray], grams: Sequence[int], sep: str) -> Iterator[pa.RecordBatch]:
+    for k in grams:
+        for g in count_grams(parts, k):
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(g.owner)), g.names(g.key, sep), pa.array(g.n, pa.int64())], names=["file_id", "gram", "n"])
 
 
-def gram_rows(files: DataFrame, grams: Sequence[int] = (1, 2), sep: str = "",
-              path_col: str = "path", content_col: str = "content") -> DataFrame:
-    """One row per gram occurrence ``(file_id, gram)``.
+def _row_counter(grams: Sequence[int], sep: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, parts, held = [], [], 0
+            for i, (name, text) in enumerate(zip(b.column("file_id").to_pylist(), b.column("content").to_pylist(), strict=True), 1):
+                names.append(name)
+                parts.append(codes(text or ""))
+                held += len(parts[-1])
+                if held >= CHUNK_CODES or i == b.num_rows:
+                    yield from _counted(names, parts, grams, sep)
+                    names, parts, held = [], [], 0
 
-    Codes are fixed width, so the file's codes are joined into one string, cut
-    into pieces of ``PIECE_CODES`` codes and what the longest gram needs beyond,
-    and each gram size is a single ``regexp_extract_all`` over a piece, as far as
-    grams start in it (JVM regex, no per-element lambda). Only the gram arrays
-    feed the explode; the string is not carried into the exploded rows.
-    """
-    sizes = sorted(set(grams))
-    own, more = PIECE_CODES * TOKEN_LENGTH, (sizes[-1] - 1) * TOKEN_LENGTH
-    f = files.select(file_id(path_col).alias("file_id"), byte_string(content_col).alias("_codes"))
-    cut = F.regexp_extract_all(F.col("_codes"), F.lit(f"(?s)(?=(.{{1,{own + more}}})).{{1,{own}}}"), 1)
-    s = f.select("file_id", F.posexplode_outer(cut).alias("_no", "_s")).where(F.col("_s").isNotNull())
-    # with a number given (the session's), small pieces aren't merged again: their grams are many times larger
-    parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = s.repartition(parts, "file_id", "_no")
-    parts = []
-    for k in sizes:
-        starts = F.substring("_s", 1, own + (k - 1) * TOKEN_LENGTH)
-        g = F.regexp_extract_all(starts, F.lit(_grams_regex(k)), 1)
-        if sep and k > 1:
-            g = F.transform(g, lambda x: F.regexp_replace(x, "(..)(?!$)", "$1" + sep.replace("$", "\\$")))
-        parts.append(g)
-    bag = parts[0] if len(parts) == 1 else F.concat(*parts)
-    staged = s.select("file_id", bag.alias("_g"))
-    return staged.select("file_id", F.explode_outer("_g").alias("gram")).where(F.col("gram").isNotNull())
+    return run
+
+
+def gram_counts(files: DataFrame, grams: Sequence[int] = (1, 2), sep: str = "",
+                path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """``(file_id, gram, freq)``: each distinct gram of a file with its count."""
+    f = files.select(file_id(path_col).alias("file_id"), F.col(content_col).alias("content"))
+    part = f.mapInArrow(_row_counter(sorted(set(grams)), sep), "file_id string, gram string, n long")
+    return part.groupBy("file_id", "gram").agg(F.sum("n").alias("freq"))
 
 
 def ngram_freq(files: DataFrame, grams: Sequence[int] = (1, 2), min_freq: int = 200, sep: str = "",
                path_col: str = "path", content_col: str = "content") -> DataFrame:
     """``(file_id, gram, freq)`` with per-file count ``freq >= min_freq``."""
-    rows = gram_rows(files, grams, sep, path_col, content_col)
-    counts = rows.groupBy("file_id", "gram").agg(F.count(F.lit(1)).alias("freq"))
-    return counts.where(F.col("freq") >= min_freq)
+    return gram_counts(files, grams, sep, path_col, content_col).where(F.col("freq") >= min_freq)
+
+
+_SPLIT = "path string, gram string, n long, start long, head string, tail string"
+
+
+def _split_counter(grams: Sequence[int], sep: str):
+    """Counts of the lines of each split, read front to back, and one row a split with its first and last codes."""
+    edge = grams[-1] - 1
+
+    def told(counted: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in counted:
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())], names=["path", "gram", "n", "start", "head", "tail"])
+
+    def count(path: str, before: np.ndarray, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in grams:  # a gram belongs to the chunk that it ends in
+            part = np.concatenate([before[len(before) - min(k - 1, len(before)):], found])
+            yield from told(_counted([path], [part], [k], sep))
+
+    def last(path: str, start: int, head: np.ndarray, tail: np.ndarray) -> pa.RecordBatch:
+        row = [[path], [None], [None], [start], [joined(head)], [joined(tail)]]
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(row, kinds, strict=True)], names=["path", "gram", "n", "start", "head", "tail"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, none = None, np.empty(0, np.int64)
+        head = tail = none
+        for b in batches:
+            paths, starts = b.column("path").dictionary_encode(), b.column("start").to_numpy()
+            of = paths.indices.to_numpy()
+            cuts = [0, *(np.flatnonzero((of[1:] != of[:-1]) | (starts[1:] != starts[:-1])) + 1).tolist(), b.num_rows]
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if s == e:
+                    continue
+                this = (paths.dictionary[int(of[s])].as_py(), int(starts[s]))
+                if this != split:
+                    if split is not None:
+                        yield last(*split, head, tail)
+                    split, head, tail = this, none, none
+                found = codes("\n".join(x or "" for x in b.column("value").slice(s, e - s).to_pylist()))
+                for at in range(0, len(found), CHUNK_CODES):
+                    chunk = found[at:at + CHUNK_CODES]
+                    yield from count(split[0], tail, chunk)
+                    head = head if len(head) >= edge else np.concatenate([head, chunk])[:edge]
+                    tail = np.concatenate([tail, chunk])[-edge:] if edge else none
+        if split is not None:
+            yield last(*split, head, tail)
+
+    return run
+
+
+def _grams_regex(k: int) -> str:
+    """All overlapping k-grams of joined two-character codes: a lookahead
+    captures 2k characters and the match consumes one code, so consecutive
+    matches start at consecutive codes."""
+    return f"(?s)(?=(.{{{k * TOKEN_LENGTH}}})).{{{TOKEN_LENGTH}}}"
+
+
+def _border_grams(edges: DataFrame, grams: Sequence[int], sep: str) -> DataFrame:
+    """``(path, gram, n)`` of the grams that start in one split of a file and end in a later one.
+
+    Splits without codes are left out, so the last k - 1 codes before a split
+    lie in at most k - 1 splits.
+    """
+    order, width = Window.partitionBy("path").orderBy("start"), grams[-1] - 1
+    held = edges.where(F.length("head") > 0)
+    before = F.right(F.concat(*[F.coalesce(F.lag("tail", k).over(order), F.lit("")) for k in range(width, 0, -1)]), F.lit(width * TOKEN_LENGTH))
+    placed = held.select("path", "head", before.alias("before"))
+    found = []
+    for k in [k for k in grams if k > 1]:
+        reach = F.lit((k - 1) * TOKEN_LENGTH)
+        g = F.regexp_extract_all(F.concat(F.right("before", reach), F.left("head", reach)), F.lit(_grams_regex(k)), 1)
+        if sep:
+            g = F.transform(g, lambda x: F.regexp_replace(x, "(?s)(..)(?!$)", "$1" + sep.replace("$", "\\$")))
+        found.append(g)
+    return placed.select("path", F.explode(F.concat(*found)).alias("gram")).select("path", "gram", F.lit(1).cast("long").alias("n"))
+
+
+def ngram_freq_splits(spark: SparkSession, path: str, grams: Sequence[int] = (1, 2), min_freq: int = 200, sep: str = "", glob: str = "*") -> DataFrame:
+    """``(file_id, gram, freq)`` of the files below ``path``, read by splits: the lines are never shuffled, and a file of
+    any size is counted by many tasks (a single line must fit one)."""
+    sizes = sorted(set(grams))
+    told = TF.materialize(read_file_lines(spark, path, glob).mapInArrow(_split_counter(sizes, sep), _SPLIT))
+    counts = told.where(F.col("gram").isNotNull()).select("path", "gram", "n")
+    if sizes[-1] > 1:
+        counts = counts.unionByName(_border_grams(told.where(F.col("head").isNotNull()).select("path", "start", "head", "tail"), sizes, sep))
+    return counts.groupBy(file_id("path").alias("file_id"), "gram").agg(F.sum("n").alias("freq")).where(F.col("freq") >= min_freq)
 
 
 def byte_features(files: DataFrame, labels: DataFrame, grams: Sequence[int] = (1, 2),
@@ -96,6 +185,12 @@ def byte_features(files: DataFrame, labels: DataFrame, grams: Sequence[int] = (1
     return ngram_freq(labelled, grams, min_freq, sep).join(lab, "file_id")
 
 
+def byte_features_splits(spark: SparkSession, path: str, labels: DataFrame, grams: Sequence[int] = (1, 2),
+                         min_freq: int = 200, sep: str = "", glob: str = "*") -> DataFrame:
+    """``byte_features`` of a folder of files, read by splits; ``labels`` has ``file_id, label``."""
+    return ngram_freq_splits(spark, path, grams, min_freq, sep, glob).join(labels.select("file_id", "label"), "file_id")
+
+
 def as_map(features: DataFrame) -> DataFrame:
     """``(file_id, grams map<string,long>, label)``: the per-file dictionary form."""
     return features.groupBy("file_id", "label").agg(
@@ -105,8 +200,7 @@ def as_map(features: DataFrame) -> DataFrame:
 def byte_tfidf(files: DataFrame, grams: Sequence[int] = (1, 2, 3), sep: str = "",
                sqrt: bool = False, checkpoint: bool = True) -> DataFrame:
     """``(file_id, gram, tf, idf, tfidf)`` over all files, N = number of files."""
-    rows = gram_rows(files, grams, sep)
-    tf = rows.groupBy("file_id", F.col("gram").alias("term")).agg(F.count(F.lit(1)).alias("tf"))
+    tf = gram_counts(files, grams, sep).select("file_id", F.col("gram").alias("term"), F.col("freq").alias("tf"))
     if checkpoint:
         tf = TF.materialize(tf)   # tokenised once for both the DF aggregate and the join
     n = files.select(F.count(F.lit(1))).scalar()

@@ -280,23 +280,18 @@ def preprocess(df: DataFrame, shape: tuple[int, int, int], split: str, crop_size
 def channel_stats(df: DataFrame, shape: tuple[int, int, int], col: str = "pixels") -> DataFrame:
     """Per-channel mean and population std over all pixels of all images.
 
-    Each row contributes (sum, sum of squares) per channel; one partial +
-    final aggregate combines them. Output ``(channel, mean, std)``.
+    Moments are merged, never taken as a difference of large sums: each row has
+    its channel's mean and the sum of squares around it, and the variance of all
+    pixels is the mean variance inside the rows and the variance of the rows'
+    means (Spark merges those pairwise). Output ``(channel, mean, std)``.
     """
     c, h, w = shape
     hw = h * w
-    per_row = []
-    for ch in range(c):
-        sl = F.slice(F.col(col), ch * hw + 1, hw)
-        per_row.append(F.aggregate(sl, F.lit(0.0), lambda a, x: a + x.cast("double")).alias(f"_s{ch}"))
-        per_row.append(F.aggregate(sl, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-                       .alias(f"_q{ch}"))
-    r = df.select(*per_row)
-    tot = r.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(f"_s{ch}").alias(f"_s{ch}") for ch in range(c)],
-                *[F.sum(f"_q{ch}").alias(f"_q{ch}") for ch in range(c)])
-    rows = F.array(*[F.struct(F.lit(ch).alias("channel"), F.col(f"_s{ch}").alias("s"), F.col(f"_q{ch}").alias("q"))
-                     for ch in range(c)])
-    e = tot.select((F.col("_n") * hw).alias("n"), F.explode(rows).alias("r"))
-    mean = F.col("r.s") / F.col("n")
-    var = F.greatest(F.col("r.q") / F.col("n") - mean * mean, F.lit(0.0))
-    return e.select(F.col("r.channel").cast("long").alias("channel"), mean.alias("mean"), F.sqrt(var).alias("std"))
+    total = lambda a, f: F.aggregate(a, F.lit(0.0), lambda s, x: s + f(x.cast("double")))
+    part = [F.slice(F.col(col), ch * hw + 1, hw) for ch in range(c)]
+    means = df.select(col, F.array(*[total(p, lambda x: x) / hw for p in part]).alias("_m"))
+    rows = means.select("_m", F.array(*[total(p, lambda x, ch=ch: (x - F.get("_m", F.lit(ch))) * (x - F.get("_m", F.lit(ch)))) / hw for ch, p in enumerate(part)]).alias("_v"))
+    at = lambda a, ch: F.get(a, F.lit(ch))
+    told = rows.agg(*[F.struct(F.lit(ch).cast("long").alias("channel"), F.avg(at("_m", ch)).alias("mean"),
+                               F.sqrt(F.avg(at("_v", ch)) + F.var_pop(at("_m", ch))).alias("std")).alias(f"_c{ch}") for ch in range(c)])
+    return told.select(F.inline(F.array(*[f"_c{ch}" for ch in range(c)])))

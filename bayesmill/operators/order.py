@@ -10,6 +10,7 @@ data in one task; the partition count is the session's.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -82,6 +83,65 @@ def shuffle_batches(df: DataFrame, id_col: str, batch_size: int, n_crops: int =
     return idx.withColumn("batch", F.floor(F.col("perm_index") / b).cast("long")).drop("_draw")
 
 
+ROUNDS = 6
+WALKS = 64
+
+
+def _mixed(seed, epoch, step: int, value: Column) -> Column:
+    """32 bits of the draw of (seed, epoch, value, step)."""
+    key = F.concat_ws(":", *[c if isinstance(c, Column) else F.lit(str(c)) for c in (seed, epoch)], value.cast("string"), F.lit(str(step)))
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+
+
+def permuted(index: Column, n: int, seed, epoch) -> Column:
+    """The place of ``index`` (0 to n - 1) in a keyed permutation of these numbers: a column of the row alone.
+
+    Numbers are pairs (left, right) below (a, b) with a b just above n; rounds
+    add a draw of one half to the other, which can be undone, so they permute the
+    pairs. A place at n or above walks on through the permutation until it is
+    below n (fewer than a pairs are above; a walk of more than WALKS steps is
+    possible only by a chance of a^-WALKS, and raises an error).
+    """
+    if n < 2:
+        return index
+    a = math.isqrt(n - 1) + 1
+    b = -(-n // a)
+
+    def rounds(x: Column) -> Column:
+        left, right = F.floor(x / b).cast("long"), x % b
+        for r in range(ROUNDS):
+            if r % 2 == 0:
+                left = (left + _mixed(seed, epoch, r, right)) % a
+            else:
+                right = (right + _mixed(seed, epoch, r, left)) % b
+        return left * b + right
+
+    walks = min(a * b - n, WALKS)
+    place = rounds(index.cast("long"))
+    if not walks:
+        return place
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(walks)), place, lambda x, _: F.when(x >= n, rounds(x)).otherwise(x))
+    return F.aggregate(F.array(walked), F.lit(0).cast("long"), lambda _, x: F.when(x < n, x).otherwise(F.raise_error(F.lit("permutation walked too far")).cast("long")))
+
+
+def epoch_batches(indexed: DataFrame, n: int, batch_size: int, n_crops: int = 1, seed=0, epoch=1, index_col: str = "row_index") -> DataFrame:
+    """Adds ``perm_index`` and ``batch`` of an epoch to rows with a dense index.
+
+    The index is made once; each epoch's order is a column, so no epoch sorts,
+    shuffles or checkpoints the rows. ``seed`` and ``epoch`` may be columns.
+    """
+    b = batch_size // n_crops
+    if b < 1:
+        raise ValueError("batch_size must be >= n_crops")
+    placed = indexed.withColumn("perm_index", permuted(F.col(index_col), n, seed, epoch))
+    return placed.withColumn("batch", F.floor(F.col("perm_index") / b).cast("long"))
+
+
+def rows_at(indexed: DataFrame, wanted: DataFrame, index_col: str = "row_index") -> DataFrame:
+    """The rows at the indexes of ``wanted (index_col)``; an index asked for twice gives its row twice, one beyond the rows none."""
+    return indexed.join(wanted.select(index_col), index_col)
+
+
 def reorder_predictions(pred: DataFrame, request: DataFrame, id_col: str = "id",
                         pred_col: str = "pred", pos_col: str = "pos") -> DataFrame:
     """Predictions in request order.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions.bytes import byte_tokens as byte_tokens_expr
 from bayesmill.functions.bytes import file_id as file_id_expr
+from bayesmill.operators import byte_model
 from bayesmill.operators import bytegrams as BG
 from bayesmill.operators import order as O
 from bayesmill.session import scratch_path
@@ -55,6 +56,13 @@ def byte_features(spark: SparkSession, sf: str) -> DataFrame:
     return BG.byte_features(T.byte_files(spark, sf), _zipped_labels(spark, sf), GRAMS, MIN_FREQ)
 
 
+def byte_features_map(spark: SparkSession, sf: str) -> DataFrame:
+    """The per-file map form, written out in the order of its grams."""
+    m = BG.as_map(byte_features(spark, sf))
+    pairs = F.transform(F.sort_array(F.map_entries("grams")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return m.select("file_id", "label", F.array_join(pairs, ",").alias("grams"))
+
+
 def byte_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     t = BG.byte_tfidf(T.byte_files(spark, sf), (1, 2, 3))
     return t.select("file_id", "gram", "tf", F.round("tfidf", R).alias("tfidf"))
@@ -75,31 +83,46 @@ def src_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_whole_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole-file source: one byte-dump file per document, read back whole, its id from its real path."""
-    r = _files_on_disk(spark, sf)
-    return r.select(file_id_expr("path").alias("file_id"), F.col("path").alias("file_path"),
+    """Whole-file source: one byte-dump file per document, read back whole, its name and id from its real path."""
+    r = read_whole_files(spark, _files_on_disk(spark, sf), "*.bytes")
+    return r.select(file_id_expr("path").alias("file_id"), F.substring_index("path", "/", -1).alias("file_name"),
                     F.length("content").cast("long").alias("n_chars"))
 
 
-def _files_on_disk(spark, sf):
-    """The byte files written under their own names and read from the folder."""
+def _files_on_disk(spark, sf) -> str:
+    """A folder of the byte files under their own names."""
     path = scratch_path(spark, "bytes")
     f = T.byte_files(spark, sf).select(F.substring_index("path", "/", -1).alias("name"), "content")
     write_whole_files(f, path, "name", "content").write.format("noop").mode("overwrite").save()
-    return read_whole_files(spark, path, "*.bytes")
+    return path
 
 
 def byte_features_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Byte features from a folder of files: path -> id -> grams -> labels."""
-    return BG.byte_features(_files_on_disk(spark, sf), _zipped_labels(spark, sf), GRAMS, MIN_FREQ)
+    """Byte features from a folder of files, read by splits: path -> id -> grams -> labels."""
+    return BG.byte_features_splits(spark, _files_on_disk(spark, sf), _zipped_labels(spark, sf), GRAMS, MIN_FREQ, glob="*.bytes")
+
+
+def _labelled_files(spark, sf) -> DataFrame:
+    """``doc_id, file_id, label, content`` of the labelled files: their text is joined and saved, not its longer byte dump."""
+    files = T.byte_paths(spark, sf).withColumn("file_id", file_id_expr("path"))
+    path = scratch_path(spark, "labelled")
+    files.join(_zipped_labels(spark, sf), "file_id").select("doc_id", "file_id", "label", "text").write.parquet(path)
+    return T.with_byte_content(spark.read.parquet(path))
+
+
+def _classified(spark, sf, model: str) -> DataFrame:
+    files = _labelled_files(spark, sf)
+    return byte_model.fit_predict(files.where(~T.is_test_doc()), files.where(T.is_test_doc()), model)
 
 
 def byte_classifier(spark: SparkSession, sf: str) -> DataFrame:
-    from bayesmill.operators.byte_model import fit_predict
+    """Multinomial logistic regression on byte n-gram TF-IDF."""
+    return _classified(spark, sf, "logistic")
+
 
-    files = T.byte_files(spark, sf)
-    labels = _zipped_labels(spark, sf)
-    return fit_predict(files, labels, train_where=~T.is_test_doc())
+def byte_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Decision tree on byte n-gram TF-IDF."""
+    return _classified(spark, sf, "tree")
 
 
 QUERIES = {
@@ -109,11 +132,13 @@ QUERIES = {
     "positional_zip": positional_zip,
     "byte_features": byte_features,
     "byte_features_files": byte_features_files,
+    "byte_features_map": byte_features_map,
     "byte_tfidf": byte_tfidf,
     "row_index": row_index,
     "src_lines": src_lines,
     "src_whole_files": src_whole_files,
     "byte_classifier": byte_classifier,
+    "byte_tree": byte_tree,
 }
 
 
@@ -152,6 +177,8 @@ SQL = {
     "byte_tokens": f"WITH {_BF}, {_TOKS} SELECT file_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens, "
                    "len(list_filter(t, lambda x: x = '??'))::BIGINT AS n_unknown FROM bt",
     "file_id": f"WITH {_BF} SELECT path, right(split_part(path, '.', 1), 20) AS file_id FROM bf",
+    "src_whole_files": f"WITH {_BF} SELECT right(split_part(path, '.', 1), 20) AS file_id, split_part(path, '/', -1) AS file_name, "
+                       "CAST(length(content) AS BIGINT) AS n_chars FROM bf",
     "ngram_freq": _FREQ + " SELECT file_id, gram, freq FROM freq",
     "positional_zip": f"WITH {_ZIP} SELECT pos, file_id, label FROM z",
     "byte_features": _FREQ + f", {_ZIP} SELECT freq.file_id, freq.gram, freq.freq, z.label FROM freq "
@@ -161,6 +188,8 @@ SQL = {
                   "dfq AS (SELECT gram, count(*) AS df FROM tf GROUP BY gram) "
                   "SELECT tf.file_id, tf.gram, tf.tf, round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
                   "FROM tf JOIN dfq ON tf.gram = dfq.gram CROSS JOIN n",
+    "byte_features_map": _FREQ + f", {_ZIP} SELECT freq.file_id, z.label, string_agg(freq.gram || '=' || freq.freq, ',' ORDER BY freq.gram) AS grams "
+                         "FROM freq JOIN z ON freq.file_id = z.file_id GROUP BY freq.file_id, z.label",
     "byte_features_files": _FREQ + f", {_ZIP} SELECT freq.file_id, freq.gram, freq.freq, z.label FROM freq "
                            "JOIN z ON freq.file_id = z.file_id",
     "row_index": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents",

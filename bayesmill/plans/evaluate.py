@@ -46,6 +46,26 @@ def shuffle_batches(spark: SparkSession, sf: str) -> DataFrame:
     return O.shuffle_batches(ids, "id", BATCH, 1, SEED, EPOCH)
 
 
+EPOCHS = 3
+
+
+def epoch_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The order of several epochs over one dense index."""
+    ids = T.read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"))
+    indexed = O.with_row_index(ids, ["id"])
+    epochs = indexed.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(EPOCHS).cast("long"))))
+    out = O.epoch_batches(epochs, ids.count(), BATCH, 1, SEED, F.col("epoch").cast("string"))
+    return out.select("id", "epoch", "perm_index", "batch")
+
+
+def row_by_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the corpus by their index (the ids of the labels serve as indexes), with the number of rows."""
+    docs = O.with_row_index(T.read_table(spark, sf, "documents").select("doc_id"), ["doc_id"])
+    wanted = T.read_table(spark, sf, "labels").select(F.col("doc_id").alias("row_index"))
+    size = T.read_table(spark, sf, "documents").select(F.count(F.lit(1))).scalar()
+    return O.rows_at(docs, wanted).select("row_index", "doc_id", size.alias("n_rows"))
+
+
 def weighted_mean(spark: SparkSession, sf: str) -> DataFrame:
     summed = EV.crop_sum(T.crop_scores(spark, sf))
     b = O.shuffle_batches(summed, "id", BATCH, 1, SEED, EPOCH)
@@ -84,6 +104,8 @@ QUERIES = {
     "topk_error": topk_error,
     "crop_sum": crop_sum,
     "shuffle_batches": shuffle_batches,
+    "epoch_batches": epoch_batches,
+    "row_by_index": row_by_index,
     "weighted_mean": weighted_mean,
     "reorder_predictions": reorder_predictions,
     "manifest": manifest,
@@ -122,7 +144,25 @@ _TOP1 = (f"WITH {_SC} SELECT p.id, CAST(t.target AS BIGINT) AS target, CAST(p.k
          "(SELECT id, k, row_number() OVER (PARTITION BY id ORDER BY s DESC, k) AS rn FROM sc) p "
          "JOIN tgt t ON p.id = t.id WHERE rn = 1")
 
+def _rounds_sql(x: str) -> str:
+    """One pass of the keyed permutation over ``x`` with ``a``, ``b`` and ``epoch`` at hand, round by round in nested selects."""
+    draw = lambda value, step: f"CAST(('0x' || substr(md5(concat_ws(':', '{SEED}', CAST(epoch AS VARCHAR), CAST({value} AS VARCHAR), '{step}')), 1, 8)) AS BIGINT)"
+    sql = f"SELECT * EXCLUDE (x), x // b AS l, x % b AS r FROM ({x})"
+    for step in range(O.ROUNDS):
+        sql = (f"SELECT * REPLACE ((l + {draw('r', step)}) % a AS l) FROM ({sql})" if step % 2 == 0
+               else f"SELECT * REPLACE ((r + {draw('l', step)}) % b AS r) FROM ({sql})")
+    return f"SELECT * EXCLUDE (l, r), l * b + r AS x FROM ({sql})"
+
+
+_EPOCHS = ("WITH RECURSIVE n AS (SELECT count(*) AS n FROM embeddings), d AS (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM n), "
+           "i AS (SELECT vec_id AS id, n, a, (n + a - 1) // a AS b, unnest(range(1, 4)) AS epoch, row_number() OVER (ORDER BY vec_id) - 1 AS x FROM embeddings, d), "
+           f"w AS ({_rounds_sql('SELECT * FROM i')} UNION ALL {_rounds_sql('SELECT * FROM w WHERE x >= n')}) "
+           f"SELECT id, epoch, x AS perm_index, x // {BATCH} AS batch FROM w WHERE x < n")
+
 SQL = {
+    "epoch_batches": _EPOCHS,
+    "row_by_index": "WITH i AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_index, count(*) OVER () AS n_rows FROM documents) "
+                    "SELECT i.row_index, i.doc_id, i.n_rows FROM i JOIN labels ON labels.doc_id = i.row_index",
     "top1_pred": _TOP1,
     "saved_predictions": _TOP1,
     "topk_error": f"WITH {_SC}, {_rank_sql('sc')} SELECT count(*) AS n, "

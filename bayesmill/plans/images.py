@@ -125,12 +125,36 @@ def materialize_once(spark, sf):
     return _px_text(again)
 
 
+def _image_source(spark, sf) -> DataFrame:
+    """The images as Spark's image source gives them: file name, size and rows of B, G, R bytes."""
+    c, h, w = RGB
+    at = IM.int_array([ch * h * w + y * w + x for y in range(h) for x in range(w) for ch in (2, 1, 0)])
+    img = T.rgb_images(spark, sf)
+    data = F.unhex(F.array_join(F.transform(at, lambda i: F.lpad(F.hex(F.element_at("pixels", i + 1)), 2, "0")), ""))
+    name = F.concat(F.lit("file:/images/"), F.lpad(F.col("image_id").cast("string"), 12, "0"), F.lit(".png"))
+    return img.select(name.alias("origin"), F.lit(h).alias("height"), F.lit(w).alias("width"), F.lit(c).alias("nChannels"), data.alias("data"))
+
+
 def image_rows(spark, sf):
-    path = scratch_path(spark, "png")
+    labels = T.rgb_images(spark, sf).select("image_id", "label")
+    return _px_text(PX.image_rows(_image_source(spark, sf), RGB, labels))
+
+
+def img_preprocess_val(spark, sf):
+    return _long(IM.preprocess(T.rgb_images(spark, sf), RGB, "val"))
+
+
+def pixel_text_numbers(spark, sf):
+    """Pixel text whose numbers stand in several forms: decimals, exponents, blanks around them, and pieces that are none."""
     img = T.rgb_images(spark, sf)
-    PX.write_pngs(img, path, RGB).count()
-    labels = img.select("image_id", "label")
-    return _px_text(PX.read_image_rows(spark, path, RGB, labels))
+    form = lambda v, i: F.concat(F.when(i % 4 == 0, F.concat(v.cast("string"), F.lit(".0"))).when(i % 4 == 1, F.concat(F.lit(" "), v.cast("string"), F.lit("e0 "))).when(
+        i % 4 == 2, F.concat(v.cast("string"), F.lit(",,x"))).otherwise(F.concat(F.lit("0x"), F.hex(v))))
+    lines = img.select(F.concat_ws(",", F.concat(F.col("label").cast("string"), F.lit(".0")), F.array_join(F.transform("pixels", form), ",")).alias("value"))
+    path = scratch_path(spark, "pixel-text")
+    PX.write_text(lines, path)
+    p = PX.parse_pixel_text(spark.read.text(path))
+    return p.select(F.col("label").cast("long").alias("label"), F.size("pixels").cast("long").alias("n_pixels"),
+                    F.array_join(F.col("pixels").cast("array<string>"), ",").alias("pixels"))
 
 
 QUERIES = {
@@ -138,7 +162,9 @@ QUERIES = {
     "pixel_text_parse": pixel_text_parse,
     "pixel_text_clean": pixel_text_clean,
     "materialize_once": materialize_once,
+    "pixel_text_numbers": pixel_text_numbers,
     "image_rows": image_rows,
+    "img_preprocess_val": img_preprocess_val,
     "img_normalize": img_normalize,
     "img_hflip": img_hflip,
     "img_random_crop": img_random_crop,
@@ -335,6 +361,7 @@ def _sql() -> dict[str, str]:
         "img_color_jitter": _jitter_sql(),
         "img_lighting": _lighting_sql(),
         "img_preprocess": _preprocess_sql(),
+        "img_preprocess_val": _out(f"SELECT image_id, {_normalize('px', RGB)} AS o FROM ({_img(RGB)})"),
         "channel_stats": f"SELECT CAST(i // {hw3} AS BIGINT) AS channel, round(avg(CAST(v AS DOUBLE)), 6) AS mean, "
                          f"round(stddev_pop(CAST(v AS DOUBLE)), 6) AS std FROM (SELECT unnest(range(0, len(px))) AS i, "
                          f"unnest(px) AS v FROM ({_img(RGB)})) GROUP BY 1",
@@ -360,6 +387,8 @@ def _pixel_sql() -> dict[str, str]:
         "pixel_text_write": f"SELECT CAST(label AS VARCHAR) || ',' || array_to_string(px, ',') AS value FROM {px}",
         "pixel_text_parse": f"SELECT CAST(label AS BIGINT) AS label, CAST(len(px) AS BIGINT) AS n_pixels, "
                             f"array_to_string(px, ',') AS pixels FROM {px}",
+        "pixel_text_numbers": f"SELECT CAST(label AS BIGINT) AS label, CAST(len(px) AS BIGINT) AS n_pixels, "
+                              f"array_to_string(px, ',') AS pixels FROM {px}",
         "pixel_text_clean": f"SELECT {_clean_sql('d')} AS value FROM (SELECT {dump} AS d FROM {px})",
         "materialize_once": txt,
         "image_rows": txt,

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayesmill.functions import text as TX
+from bayesmill.functions.stopwords import default_stop_words
 from bayesmill.operators import naive_bayes as NB
 from bayesmill.operators import tfidf as TF
+from bayesmill.operators.stoplist import without_listed
 from bayesmill.plans import sqlfrag as S
 from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
@@ -38,6 +40,14 @@ def stopword_filter(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("doc_id", _joined("t").alias("tokens"), F.size("t").cast("long").alias("n_tokens"))
 
 
+def stopword_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same filter with the list as a table."""
+    d = T.corpus(spark, sf).select("doc_id", TX.tokenize("text").alias("tokens"))
+    listed = spark.createDataFrame([(w,) for w in default_stop_words()], "word string")
+    t = without_listed(d, listed)
+    return t.select("doc_id", _joined("tokens").alias("tokens"), F.size("tokens").cast("long").alias("n_tokens"))
+
+
 def _filtered_tokens(spark, sf):
     d = T.corpus(spark, sf)
     return d.select("doc_id", TX.remove_stop_words(TX.tokenize("text")).alias("t"))
@@ -98,6 +108,12 @@ def tfidf(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("doc_id", "term", "tf", F.round("tfidf", R).alias("tfidf"))
 
 
+def tfidf_sqrt(spark: SparkSession, sf: str) -> DataFrame:
+    """The square-root damped variant."""
+    t = TF.tfidf_table(T.corpus(spark, sf), sqrt=True)
+    return t.select("doc_id", "term", "tf", F.round("tfidf", R).alias("tfidf"))
+
+
 def tfidf_labeled(spark: SparkSession, sf: str) -> DataFrame:
     """Only labelled documents' terms meet the IDF table; N and df are of all documents."""
     docs = T.corpus(spark, sf)
@@ -183,6 +199,7 @@ QUERIES = {
     "term_normalize": term_normalize,
     "clean_tokens": clean_tokens,
     "stopword_filter": stopword_filter,
+    "stopword_table": stopword_table,
     "bigrams": bigrams,
     "ngrams": ngrams,
     "term_bag": term_bag,
@@ -193,6 +210,7 @@ QUERIES = {
     "idf": idf,
     "vocabulary": vocabulary,
     "tfidf": tfidf,
+    "tfidf_sqrt": tfidf_sqrt,
     "tfidf_labeled": tfidf_labeled,
     "class_counts": class_counts,
     "class_prior": class_prior,
@@ -229,6 +247,8 @@ def sql() -> dict[str, str]:
                         f"FROM (SELECT doc_id, {tok} AS t FROM documents)",
         "stopword_filter": f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens "
                            f"FROM (SELECT doc_id, {filtered} AS t FROM documents)",
+        "stopword_table": f"SELECT doc_id, array_to_string(t, ' ') AS tokens, len(t)::BIGINT AS n_tokens "
+                          f"FROM (SELECT doc_id, {filtered} AS t FROM documents)",
         "bigrams": f"SELECT doc_id, array_to_string(g, ' ') AS bigrams, len(g)::BIGINT AS n_bigrams FROM "
                    f"(SELECT doc_id, {S.ngrams('t', 2)} AS g FROM (SELECT doc_id, {filtered} AS t FROM documents))",
         "ngrams": _ngram_sql(filtered),
@@ -245,6 +265,9 @@ def sql() -> dict[str, str]:
         "tfidf": whole + ", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term) "
                           "SELECT tf.doc_id, tf.term, tf.tf, round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "
                           "FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n",
+        "tfidf_sqrt": whole + ", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term) "
+                               "SELECT tf.doc_id, tf.term, tf.tf, round(sqrt(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0))), 6) AS tfidf "
+                               "FROM tf JOIN dfq ON tf.term = dfq.term CROSS JOIN n",
         "tfidf_labeled": whole + f", n AS (SELECT count(*) AS n FROM docs), dfq AS (SELECT term, count(*) AS df FROM tf GROUP BY term), "
                          f"labs AS ({S.LABEL_SETS}) SELECT tf.doc_id, tf.term, unnest(labs.classes) AS class, "
                          "round(tf.tf * ln((n.n + 1.0) / (dfq.df + 1.0)), 6) AS tfidf "

@@ -1,31 +1,32 @@
-"""Pixel tables as files: text lines, cleaned list dumps, PNG directories, and
+"""Pixel tables as files: text lines, cleaned list dumps, image directories, and
 write-once materialisation.
 
 * ``to_pixel_text`` / ``parse_pixel_text``: ``label,p1,...,pn`` lines.
 * ``clean_list_text``: turns list-repr dumps into comma text with the fixed
   chain of deletions the reference applies.
-* ``write_pngs`` / ``read_image_rows``: a directory of PNG files <-> one row
-  per image ``(image_id, label, pixels)``. Decoding is Spark's image source
-  (JVM); its ``data`` is row-major BGR and is reordered to channel-major RGB.
+* ``read_image_rows``: a directory of image files -> one row per image
+  ``(image_id, label, pixels)``. Decoding is Spark's image source (JVM); its
+  ``data`` is row-major BGR, and a batch of images becomes channel-major RGB by
+  one turn of its bytes (``decode_images``), whatever the images' size.
 * ``materialize_once``: write a table the first time, read it afterwards.
 """
 
 from __future__ import annotations
 
-import struct
+import hashlib
 import sys
-import zlib
+import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bayesmill.operators.images import int_array
-from bayesmill.sources.files import write_whole_files
-
-# The PNG writer runs in Python workers; ship this module's code with the
-# task instead of requiring the package to be installed on every executor.
+# Batches of images are turned in Python workers; this module's code travels
+# with the task instead of requiring the package on every executor.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Fixed values of the list-dump cleaner, applied in this order: the opening
@@ -47,16 +48,28 @@ def to_pixel_text(df: DataFrame, label_col: str = "label", col: str = "pixels")
                                  F.array_join(F.col(col).cast("array<string>"), ",")).alias("value"))
 
 
+# What a number reader takes for a number, decimal or hexadecimal.
+DECIMAL = r"^[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?$"
+HEXADECIMAL = r"^[-+]?0[xX][0-9a-fA-F]+$"
+
+
+def number(text: Column) -> Column:
+    """The whole part of a decimal, exponent or hexadecimal number (blanks around it don't count); null for anything else."""
+    t = F.regexp_replace(text, r"^\s+|\s+$", "")
+    sign = F.when(t.startswith("-"), -1).otherwise(1)
+    from_hex = F.conv(F.regexp_extract(t, "0[xX]([0-9a-fA-F]+)$", 1), 16, 10).try_cast("int") * sign
+    return F.when(t.rlike(DECIMAL), t.try_cast("double").try_cast("int")).when(t.rlike(HEXADECIMAL), from_hex)
+
+
 def parse_pixel_text(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """``(label int, pixels array<int>)``: comma split, first value the label.
 
-    Values that are not numbers (empty pieces) are dropped, as a number reader
-    skipping non-numbers would.
+    Values are read as numbers (``12.0``, ``1e2``, ``0x1F``); what is none, and
+    empty pieces, are dropped, as a number reader skipping them would.
     """
-    nums = F.filter(F.transform(F.split(F.col(value_col), ","), lambda x: F.trim(x).try_cast("int")),
-                    lambda v: v.isNotNull())
+    nums = F.filter(F.transform(F.split(F.col(value_col), ","), number), lambda v: v.isNotNull())
     staged = lines.select(nums.alias("_v"))
-    return staged.select(F.element_at("_v", 1).alias("label"),
+    return staged.select(F.get("_v", F.lit(0)).alias("label"),
                          F.slice("_v", 2, F.greatest(F.size("_v") - 1, F.lit(0))).alias("pixels"))
 
 
@@ -97,85 +110,98 @@ def write_text(df: DataFrame, path: str) -> None:
 
 
 def materialize_once(df: DataFrame, path: str, source: str) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` unless a finished table of the same ``source`` is there; read it back.
-
-    ``source`` names the input (its folder, a version). A note beside the table
-    keeps it: cleared before the table is written and set after it, so a table
-    of another source, or of a job that died half-way, is written again.
+    """Write ``df`` as Parquet below ``path`` unless a finished table of the same ``source`` is there; read it back.
+
+    ``source`` names the input (its folder, a version). A writer fills a folder
+    of its own and then renames it to the table's name, which the file system
+    does for one writer alone: a table is whole from the moment it has its name,
+    two jobs never mix their files, and a job that dies leaves only its own
+    folder. The writer that comes second drops its files and reads the first's.
+    The store must rename folders in one step, as HDFS and local disks do.
     """
     spark = df.sparkSession
-    note = path.rstrip("/") + ".source"
-    if _noted(spark, note) != [f"done {source}"]:
-        _note(spark, note, "pending")
-        df.write.mode("overwrite").parquet(path)
-        _note(spark, note, f"done {source}")
-    return spark.read.parquet(path)
-
+    store = _Store(spark, path)
+    table = f"{path.rstrip('/')}/table-{hashlib.sha256(source.encode()).hexdigest()[:32]}"
+    if not store.exists(table):
+        own = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+        df.write.parquet(own)
+        if not store.claim(own, table):
+            store.drop(own)
+    return spark.read.parquet(table)
+
+
+class _Store:
+    """The file system of a path: existence, a rename that fails where the target is, and removal."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.path = self.jvm.org.apache.hadoop.fs.Path
+        self.system = self.path(path).getFileSystem(conf)
+        self.context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.system.getUri(), conf)
+        kind = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        self.options = spark.sparkContext._gateway.new_array(kind, 1)
+        self.options[0] = getattr(kind, "NONE")
+
+    def exists(self, path: str) -> bool:
+        return self.system.exists(self.path(path))
+
+    def claim(self, own: str, table: str) -> bool:
+        qualified = lambda p: self.system.makeQualified(self.path(p))
+        try:
+            self.context.rename(qualified(own), qualified(table), self.options)
+        except Py4JJavaError:
+            if self.exists(table):
+                return False
+            raise
+        return True
 
-def _note(spark: SparkSession, path: str, text: str) -> None:
-    spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(path)
+    def drop(self, path: str) -> None:
+        self.system.delete(self.path(path), True)
 
 
-def _noted(spark: SparkSession, path: str) -> list[str]:
-    """The one line of a note; nothing when it was never written."""
-    try:
-        return [r["value"] for r in spark.read.text(path).limit(2).collect()]
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
+# ---------------------------------------------------------------- image files
 
+def _turned(shape: tuple[int, int, int], order: str):
+    """Batches of image bytes (rows of B, G, R) as channel-major pixels."""
+    c, h, w = shape
 
-# ---------------------------------------------------------------- PNG files
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if _differs(b.column("height"), h) or _differs(b.column("width"), w):
+                raise ValueError("image of another size than the shape")
+            channels = b.column("nChannels").to_numpy()
+            out = np.empty((b.num_rows, c, h, w), np.int32)
+            data = b.column("data").to_pylist()
+            for n in np.unique(channels).tolist():  # grey, three channels, or four: three of them are kept
+                mine = np.flatnonzero(channels == n)
+                px = np.frombuffer(b"".join([data[i] for i in mine.tolist()]), np.uint8).reshape(len(mine), h, w, n)
+                out[mine] = (px[..., 2::-1] if n >= 3 else px[..., :1]).transpose(0, 3, 1, 2)
+            flat = (out if order == "yx" else out.transpose(0, 1, 3, 2)).reshape(-1)
+            ends = np.arange(b.num_rows + 1, dtype=np.int32) * (c * h * w)
+            yield pa.RecordBatch.from_arrays([b.column("origin"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["origin", "pixels"])
 
-def _png_bytes(width: int, height: int, rgb_rows: list[bytes]) -> bytes:
-    """Minimal 8-bit RGB PNG (filter type 0 on every scanline)."""
-    def chunk(kind: bytes, data: bytes) -> bytes:
-        body = kind + data
-        return struct.pack(">I", len(data)) + body + struct.pack(">I", zlib.crc32(body) & 0xFFFFFFFF)
+    return run
 
-    raw = b"".join(b"\x00" + r for r in rgb_rows)
-    header = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", header) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
 
+def _differs(column: pa.Array, value: int) -> bool:
+    return bool((column.to_numpy(zero_copy_only=False) != value).any())
 
-def write_pngs(df: DataFrame, path: str, shape: tuple[int, int, int], id_col: str = "image_id",
-               col: str = "pixels", width: int = 5) -> DataFrame:
-    """Write one PNG per row, named ``<zero-padded id>.png``; returns ``(file, bytes)`` per image.
 
-    Runs inside the tasks (each writes its own rows; a retried task rewrites
-    the same files). ``path`` must be a folder every executor can reach.
-    """
-    c, h, w = shape
-    if c != 3:
-        raise ValueError("PNG writer expects 3 channels")
-
-    def encode(batches):
-        import pandas as pd
-
-        for pdf in batches:
-            names, images = [], []
-            for rid, px in zip(pdf[id_col], pdf[col]):
-                vals = [int(v) for v in px]
-                hw = h * w
-                rows = []
-                for y in range(h):
-                    row = bytearray()
-                    for x in range(w):
-                        k = y * w + x
-                        row += bytes((vals[k], vals[hw + k], vals[2 * hw + k]))
-                    rows.append(bytes(row))
-                names.append(f"{int(rid):0{width}d}.png")
-                images.append(_png_bytes(w, h, rows))
-            yield pd.DataFrame({"file": names, "data": images})
-
-    images = df.select(id_col, col).mapInPandas(encode, "file string, data binary")
-    return write_whole_files(images, path, "file", "data")
+def decode_images(images: DataFrame, shape: tuple[int, int, int], order: str = "yx") -> DataFrame:
+    """``(origin, pixels array<int>)`` of ``(origin, height, width, nChannels, data)``, as Spark's image source has them."""
+    if order not in ("yx", "xy"):
+        raise ValueError(f"invalid pixel order: {order}")
+    if shape[0] != 3:
+        raise ValueError("images become three channels")
+    cols = images.select("origin", "height", "width", "nChannels", "data")
+    return cols.mapInArrow(_turned(shape, order), "origin string, pixels array<int>")
 
 
-def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int], labels: DataFrame | None = None,
-                    id_col: str = "image_id", order: str = "yx") -> DataFrame:
-    """``(image_id, label, pixels array<int>)`` from a PNG folder, channel order R, G, B.
+def image_rows(images: DataFrame, shape: tuple[int, int, int], labels: DataFrame | None = None,
+               id_col: str = "image_id", order: str = "yx") -> DataFrame:
+    """``(image_id, label, pixels array<int>)`` of decoded images, channel order R, G, B.
 
     Pixels go row by row, or column by column with ``order='xy'``. An image of
     another height or width than ``shape`` fails the job. The id is the file
@@ -183,30 +209,9 @@ def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int],
     ``labels`` (``image_id, label``) every image must find its label (the job
     fails otherwise).
     """
-    c, h, w = shape
-    img = (spark.read.format("image").option("pathGlobFilter", "*.png").option("recursiveFileLookup", "true")
-           .load(path))
-    name = F.element_at(F.split("image.origin", "/"), -1)
+    name = F.element_at(F.split("origin", "/"), -1)
     rid = F.split_part(name, F.lit("."), F.lit(1)).cast("long")
-    # image.data: row-major, channels B, G, R (grey or 4-channel modes mapped to three)
-    if order not in ("yx", "xy"):
-        raise ValueError(f"invalid pixel order: {order}")
-    if order == "yx":
-        spots = [(ch, y, x) for ch in range(3) for y in range(h) for x in range(w)]
-    else:
-        spots = [(ch, y, x) for ch in range(3) for x in range(w) for y in range(h)]
-    axes = zip(("c", "y", "x"), zip(*spots, strict=True), strict=True)
-    nch = F.col("image.nChannels")
-    coords = F.arrays_zip(*[int_array(v).alias(a) for a, v in axes])
-
-    def pick(s):
-        bgr = F.when(nch == 1, F.lit(0)).otherwise(F.lit(2) - s["c"])
-        off = (s["y"] * F.col("image.width") + s["x"]) * nch + bgr
-        byte = F.substring(F.col("image.data"), off + 1, 1)
-        return F.conv(F.hex(byte), 16, 10).cast("int")
-
-    fits = F.assert_true((F.col("image.height") == h) & (F.col("image.width") == w), F.lit("image of another size than the shape"))
-    rows = img.select(rid.alias(id_col), F.when(fits.isNull(), F.transform(coords, pick)).alias("pixels"))
+    rows = decode_images(images, shape, order).select(rid.alias(id_col), "pixels")
     if labels is None:
         return rows
     lab = labels.select(id_col, "label")
@@ -214,3 +219,10 @@ def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int],
     # the check is part of the output value, so column pruning cannot drop it
     ok = F.assert_true(F.col("label").isNotNull(), F.lit("image without a label"))
     return joined.select(id_col, F.when(ok.isNull(), F.col("label")).alias("label"), "pixels")
+
+
+def read_image_rows(spark: SparkSession, path: str, shape: tuple[int, int, int], labels: DataFrame | None = None,
+                    id_col: str = "image_id", order: str = "yx", glob: str = "*.png") -> DataFrame:
+    """``image_rows`` of a folder of image files."""
+    img = spark.read.format("image").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    return image_rows(img.select("image.*"), shape, labels, id_col, order)

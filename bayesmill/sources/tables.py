@@ -69,15 +69,23 @@ BYTES_PER_LINE = 16
 BYTE_PATH_PREFIX = "/data/bytes/"
 
 
-def byte_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, path, content)``: ``hex(text)`` laid out as a byte dump, one file per document."""
-    d = corpus(spark, sf_dir)
+def byte_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, path, text)``: the text that becomes a file's content (``with_byte_content``)."""
+    path = F.concat(F.lit(BYTE_PATH_PREFIX), F.md5(F.col("doc_id").cast("string")), F.lit(".bytes"))
+    return corpus(spark, sf_dir).select("doc_id", path.alias("path"), "text")
+
+
+def with_byte_content(files: DataFrame) -> DataFrame:
+    """``text`` replaced by ``content``: ``hex(text)`` laid out as a byte dump."""
     spaced = F.regexp_replace(F.hex("text"), "(..)", "$1 ")
     unknown = F.replace(spaced, F.lit("0A "), F.lit("?? "))
     lines = F.regexp_replace(unknown, "((?:\\S\\S ){%d})" % BYTES_PER_LINE, "$1\r\n" + BYTE_ADDRESS + " ")
-    content = F.concat(F.lit(BYTE_ADDRESS + " "), lines)
-    path = F.concat(F.lit(BYTE_PATH_PREFIX), F.md5(F.col("doc_id").cast("string")), F.lit(".bytes"))
-    return d.select("doc_id", path.alias("path"), content.alias("content"))
+    return files.withColumn("content", F.concat(F.lit(BYTE_ADDRESS + " "), lines)).drop("text")
+
+
+def byte_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, path, content)``: one file per document."""
+    return with_byte_content(byte_paths(spark, sf_dir))
 
 
 def byte_id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,13 @@
+import os
+import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from bayesmill.functions.bytes import byte_string, byte_tokens, file_id
 from bayesmill.operators import bytegrams as BG
-from bayesmill.sources.files import read_whole_files, write_whole_files
+from bayesmill.sources.files import read_file_lines, read_whole_files, write_whole_files
 
 
 def test_tokens_keep_unknown_and_drop_address(spark):
@@ -52,9 +55,7 @@ def test_codes_of_odd_tokens(spark):
     assert [r["a"] for r in got] == [r["b"] for r in got]
 
 
-def test_grams_do_not_depend_on_the_pieces(spark, monkeypatch):
-    import random
-
+def test_grams_do_not_depend_on_the_chunks(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(f"/d/f{n}.bytes", " ".join(rng.choice(["AA", "0B", "??"]) for _ in range(n))) for n in (0, 1, 2, 3, 4, 5, 8, 9, 41)]
     files = spark.createDataFrame(rows, "path string, content string")
@@ -70,15 +71,58 @@ def test_grams_do_not_depend_on_the_pieces(spark, monkeypatch):
             c = Counter("".join(t[i:i + k]) for i in range(len(t) - k + 1))
             want += [(path[3:-6], g, n) for g, n in c.items()]
     assert counts() == sorted(want)
-    monkeypatch.setattr(BG, "PIECE_CODES", 4)
+    monkeypatch.setattr(BG, "CHUNK_CODES", 4)
     assert counts() == sorted(want)
 
 
-def test_one_large_file_runs_on_several_tasks(spark):
-    files = spark.range(1).select(F.lit("/d/big.bytes").alias("path"), F.repeat(F.lit("0A 1B 2C "), 400_000).alias("content"))
-    rows = BG.gram_rows(files, (1, 2)).withColumn("task", F.spark_partition_id())
-    n, tasks = rows.agg(F.count(F.lit(1)), F.count_distinct("task")).first()
-    assert n == 1_200_000 + 1_199_999 and tasks > 1
+def dumps(folder, seed=5):
+    """Byte files with lines of odd forms; returns the codes of each."""
+    rng = random.Random(seed)
+    os.makedirs(folder)
+    told = {}
+    for n in (0, 1, 2, 3, 7, 40, 900):
+        codes = [rng.choice(["AA", "0B", "??", "é1"]) for _ in range(n)]
+        lines, at = [], 0
+        while at < n:
+            k = rng.choice([0, 1, 2, 3, 16])
+            lines.append("00401000 " + " ".join(codes[at:at + k]) + rng.choice(["", " X", "\t12345"]))
+            at += k
+        told[f"f{n}"] = codes
+        with open(os.path.join(folder, f"f{n}.bytes"), "w", newline="") as f:
+            f.write(rng.choice(["\n", "\r\n"]).join(lines))
+    return told
+
+
+@pytest.mark.parametrize("split", [None, 200, 20])
+@pytest.mark.parametrize("sep", ["", "-"])
+def test_grams_across_the_borders_of_splits(spark, tmp_path, monkeypatch, split, sep):
+    told = dumps(str(tmp_path / "x"))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+            monkeypatch.setattr(BG, "CHUNK_CODES", 5)
+        splits = read_file_lines(spark, str(tmp_path / "x")).select("path", "start").distinct().count()
+        got = BG.ngram_freq_splits(spark, str(tmp_path / "x"), (1, 2, 3, 4), 1, sep).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert splits == 6 if split is None else splits > 20
+    want = {(f, g): n for f, t in told.items() for k in (1, 2, 3, 4) for g, n in Counter(sep.join(t[i:i + k]) for i in range(len(t) - k + 1)).items()}
+    assert {(r["file_id"], r["gram"]): r["freq"] for r in got} == want and len(got) == len(want)
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    line = "00401000 " + " ".join(f"{k:02X}" for k in range(16)) + "\r\n"
+    (tmp_path / "big.bytes").write_text(line * 300_000)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+        tasks = read_file_lines(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count()
+        got = {r["gram"]: r["freq"] for r in BG.ngram_freq_splits(spark, str(tmp_path), (1, 2), 1).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert tasks >= 17
+    assert got == {**{f"{k:02X}": 300_000 for k in range(16)}, **{f"{k:02X}{k + 1:02X}": 300_000 for k in range(15)}, "0F00": 299_999}
 
 
 def test_whole_files_keep_name_and_content(spark, tmp_path):
@@ -88,18 +132,3 @@ def test_whole_files_keep_name_and_content(spark, tmp_path):
     assert sorted(tuple(r) for r in written) == [("a.b.bytes", 24), ("empty.bytes", 0)]
     got = read_whole_files(spark, str(tmp_path / "x.y")).select(file_id("path"), "content").collect()
     assert ("a", rows[0][1]) in [tuple(r) for r in got]
-
-
-def test_classifier_grams_are_those_of_tfidf(spark):
-    from collections import Counter
-
-    from bayesmill.operators import byte_model, bytegrams
-
-    files = spark.createDataFrame([(1, "/x/one.bytes", "00401000 0A 0B 0C ab 0A 0B 0C ??\r\n00401010 FF 0A"), (2, "/x/two.bytes", "00401000 01")],
-                                  "doc_id long, path string, content string")
-    labels = spark.createDataFrame([("one", "1"), ("two", "2")], "file_id string, label string")
-    got = {r["file_id"]: Counter(r["grams"]) for r in byte_model.feature_frame(files, labels).collect()}
-    want = {"one": Counter(), "two": Counter()}
-    for r in bytegrams.gram_rows(files, (1, 2, 3)).collect():
-        want[r["file_id"]][r["gram"]] += 1
-    assert got == want and got["one"]["0A0B0C"] == 2

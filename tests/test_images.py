@@ -1,6 +1,6 @@
 import os
-import tempfile
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from bayesmill.operators import evaluate as EV
 from bayesmill.operators import images as IM
 from bayesmill.sources import pixels as PX
+from tests.png import write_pngs
 
 SHAPE = (3, 4, 4)
 
@@ -86,12 +87,37 @@ def test_channel_stats_match_numpy(spark, imgs):
         assert got[ch][1] == pytest.approx(a[:, ch].std())
 
 
-def test_png_round_trip(spark, imgs):
+def test_png_round_trip(spark, imgs, tmp_path):
     df, rows = imgs
-    path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    PX.write_pngs(df, os.path.join(path, "png"), SHAPE).count()
-    back = PX.read_image_rows(spark, os.path.join(path, "png"), SHAPE, df.select("image_id", "label"))
+    write_pngs(str(tmp_path / "png"), {i: np.array(px).reshape(SHAPE) for i, _, px in rows})
+    back = PX.read_image_rows(spark, str(tmp_path / "png"), SHAPE, df.select("image_id", "label"))
     assert {r["image_id"]: (r["label"], r["pixels"]) for r in back.collect()} == {r[0]: (r[1], r[2]) for r in rows}
+    with pytest.raises(Exception, match="without a label"):
+        PX.read_image_rows(spark, str(tmp_path / "png"), SHAPE, df.where("image_id > 3").select("image_id", "label")).collect()
+
+
+def test_grey_and_four_channels_become_three(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    a, g = rng.integers(0, 256, (4, 3, 2)), rng.integers(0, 256, (1, 3, 2))
+    a[3] = 255
+    write_pngs(str(tmp_path / "png"), {1: a, 2: g})
+    got = {r["image_id"]: np.array(r["pixels"]).reshape(3, 3, 2).tolist() for r in PX.read_image_rows(spark, str(tmp_path / "png"), (3, 3, 2)).collect()}
+    assert got == {1: a[:3].tolist(), 2: np.repeat(g, 3, axis=0).tolist()}
+
+
+def test_ten_thousand_images_of_real_size(spark):
+    n, shape = 10_000, (3, 32, 32)
+    data = F.unhex(F.concat(F.lpad(F.hex("id"), 6144, "0")))
+    img = spark.range(n).select(F.concat(F.lit("/x/"), "id", F.lit(".png")).alias("origin"), F.lit(32).alias("height"), F.lit(32).alias("width"), F.lit(3).alias("nChannels"), data.alias("data"))
+    out = PX.image_rows(img, shape)
+    plan = out._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and len(plan) < 20_000
+    t = time.time()
+    r = out.select(F.size("pixels").alias("n"), F.element_at("pixels", 1024).alias("red"), F.element_at("pixels", 3072).alias("blue"), "image_id").agg(
+        F.min("n"), F.max("n"), F.sum("red"), F.sum("blue"), F.sum("image_id")).first()
+    assert time.time() - t < 20
+    ids = np.arange(n)
+    assert tuple(r) == (3072, 3072, int((ids & 255).sum()), int((ids >> 16 & 255).sum()), int(ids.sum()))
 
 
 def test_pixel_text_and_clean(spark):
@@ -158,10 +184,10 @@ def test_grayscale_leaves_the_fourth_channel(spark):
     assert len(px) == 16 and px[12:] == [12.0, 13.0, 14.0, 15.0] and px[:4] == px[4:8] == px[8:12]
 
 
-def test_png_size_and_pixel_order(spark, imgs):
+def test_png_size_and_pixel_order(spark, imgs, tmp_path):
     df, rows = imgs
-    path = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), "png")
-    PX.write_pngs(df, path, SHAPE).count()
+    path = str(tmp_path / "png")
+    write_pngs(path, {i: np.array(px).reshape(SHAPE) for i, _, px in rows})
     turned = {r["image_id"]: r["pixels"] for r in PX.read_image_rows(spark, path, SHAPE, order="xy").collect()}
     for i, _, v in rows:
         assert turned[i] == np.array(v).reshape(SHAPE).transpose(0, 2, 1).reshape(-1).tolist()
@@ -178,5 +204,40 @@ def test_materialize_once_follows_its_source(spark, tmp_path):
     assert table(3, "a") == 3
     assert table(5, "a") == 3            # same source: not written again
     assert table(5, "b") == 5            # another source
-    PX._note(spark, path + ".source", "pending")
-    assert table(7, "b") == 7            # a job died while writing
+    assert table(9, "a") == 3
+
+
+def test_a_writer_that_dies_leaves_no_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    broken = spark.range(100, numPartitions=4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        PX.materialize_once(broken, path, "a")
+    assert not [f for f in os.listdir(path) if f.startswith("table")]
+    assert PX.materialize_once(spark.range(7), path, "a").count() == 7
+
+
+def test_two_writers_never_mix(spark, tmp_path):
+    path = str(tmp_path / "table")
+
+    def write(k):
+        return PX.materialize_once(spark.range(400, numPartitions=8).select(F.lit(k).alias("writer"), "id"), path, "a").select("writer").distinct().count()
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(write, range(4))) == [1] * 4
+    assert spark.read.parquet(*[os.path.join(path, f) for f in os.listdir(path)]).count() == 400
+    assert [f[:6] for f in os.listdir(path)] == ["table-"]
+
+
+def test_channel_stats_without_cancellation(spark):
+    px = [100_000_000 + k % 2 for k in range(12)]
+    got = IM.channel_stats(spark.createDataFrame([(px,)] * 5, "pixels array<int>"), (3, 2, 2)).collect()
+    assert [r["std"] for r in got] == [pytest.approx(0.5, abs=1e-9)] * 3
+    far = [[1e8] * 4 + [1e8 + 1] * 4 + [0.0] * 4, [1e8 + 1] * 4 + [1e8] * 4 + [2.0] * 4]
+    got = IM.channel_stats(spark.createDataFrame([(p,) for p in far], "pixels array<double>"), (3, 2, 2)).collect()
+    assert [r["std"] for r in got] == [pytest.approx(x, abs=1e-9) for x in (0.5, 0.5, 1.0)]
+
+
+def test_pixel_numbers(spark):
+    lines = spark.createDataFrame([("7,12.0,3,,x,300",), ("7.0,1e2, 5 ,0x1F,-3,1d,NaN,.5,1e400,+4",), ("x,y",), ("",)], "value string")
+    got = [(r["label"], r["pixels"]) for r in PX.parse_pixel_text(lines).collect()]
+    assert got == [(7, [12, 3, 300]), (7, [100, 5, 31, -3, 0, 4]), (None, []), (None, [])]

@@ -107,3 +107,30 @@ def test_manifest_is_written_in_id_file_order(spark, tmp_path):
     write_manifest(read_int_lines(spark, str(tmp_path / "ids.txt"), "pos", "id"), str(tmp_path / "urls"), "id", "p/")
     got = read_lines_indexed(spark, str(tmp_path / "urls")).orderBy("line_no").collect()
     assert [r["value"] for r in got] == ["p/00983.png", "p/00007.png", "p/123456.png", "p/00007.png"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 17, 50, 1000, 4097])
+def test_every_epoch_is_a_permutation(spark, n):
+    epochs = spark.range(n).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    out = O.epoch_batches(epochs, n, 7, 1, 5, F.col("epoch").cast("string"), "id")
+    told = out.groupBy("epoch").agg(F.count_distinct("perm_index").alias("d"), F.min("perm_index").alias("low"), F.max("perm_index").alias("high"),
+                                    F.sum((F.col("perm_index") == F.col("id")).cast("int")).alias("fixed"), F.count_distinct("batch").alias("b")).collect()
+    assert all((r["d"], r["low"], r["high"], r["b"]) == (n, 0, n - 1, -(-n // 7)) for r in told) and len(told) == (50 if n else 0)
+    if n >= 1000:
+        assert max(r["fixed"] for r in told) < 20
+
+
+def test_epochs_differ_and_need_no_exchange(spark):
+    rows = spark.range(1000)
+    one, two = (O.epoch_batches(rows, 1000, 10, 1, 0, e, "id") for e in (1, 2))
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    a, b = ({r["id"]: r["perm_index"] for r in x.collect()} for x in (one, two))
+    assert sum(a[i] == b[i] for i in a) < 20 and sum(abs(a[i] - a[i + 1]) < 10 for i in range(999)) < 60
+    with pytest.raises(ValueError):
+        O.epoch_batches(rows, 1000, 1, 2)
+
+
+def test_rows_at(spark):
+    rows = O.with_row_index(spark.createDataFrame([("b",), ("a",), ("c",)], "v string"), ["v"])
+    wanted = spark.createDataFrame([(2,), (0,), (0,), (9,)], "row_index long")
+    assert sorted((r["row_index"], r["v"]) for r in O.rows_at(rows, wanted).collect()) == [(0, "a"), (0, "a"), (2, "c")]
