@@ -1,8 +1,8 @@
 """Secret scans with an incremental blob ledger: contents are scanned once per version of the rules, findings join back to all paths.
 
-A blob is a content, named by its SHA-256. Every row is hashed; rows whose blob the ledger holds for this version of the
-rules are left out, of the others each task passes a blob on once, and a shuffle by blob brings its copies together, so
-each unseen blob is scanned once over all tasks. New rows (blob, rule_version, spans) are appended to the ledger, a
+A blob is a content, named by its SHA-256. Every row is hashed; the blobs that the ledger lacks for this version of the
+rules bring their texts, each task passes a blob on once, and a shuffle by blob brings its copies together, so each
+unseen blob is scanned once over all tasks. New rows (blob, rule_version, spans) are appended to the ledger, a
 Parquet table in a shared folder; findings are then read from the ledger and joined to every path by blob. A blob with
 very many paths is kept apart in that join.
 
@@ -30,7 +30,6 @@ from bayesmill.llm.common import free_name, join_counted, saved
 from bayesmill.session import ensure_checkpoint_dir
 
 RULE_VERSION = "2"
-REMEMBERED_BLOBS = 200_000  # of a task; a blob forgotten is only shuffled again
 WORDS = 1 << 18  # longs of the bit table; with many findings more texts meet them in vain
 
 # The base rules, their least lengths, and in which order kinds are listed.
@@ -69,31 +68,10 @@ def joined(found: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in found)
 
 
-def _first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    met: set[bytes] = set()
-    for b in batches:
-        kept = []
-        for i, blob in enumerate(b.column("blob").to_pylist()):
-            if blob not in met:
-                kept.append(i)
-                if len(met) >= REMEMBERED_BLOBS:
-                    met.clear()
-                met.add(blob)
-        yield b.take(pa.array(kept, pa.int64()))
-
-
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by blob, the first of each blob is scanned."""
-    last = None
     for b in batches:
-        blobs, spans = [], []
-        texts = b.column("text")
-        for i, blob in enumerate(b.column("blob").to_pylist()):
-            if blob != last:
-                last = blob
-                blobs.append(blob)
-                spans.append(joined(find_secrets(texts[i].as_py())))
-        yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(spans, pa.string())], names=["blob", "spans"])
+        spans = [joined(find_secrets(t)) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("blob"), pa.array(spans, pa.string())], names=["blob", "spans"])
 
 
 def hashed(rows: DataFrame) -> DataFrame:
@@ -104,11 +82,11 @@ def hashed(rows: DataFrame) -> DataFrame:
 
 def scanned_once(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """``blob, spans``: a row for each scan, of which every blob of ``rows (blob, text)`` that ``known (blob)`` lacks gets one."""
-    unseen = rows.select("blob", "text")
+    texts = rows.select("blob", "text")
     if known is not None:
-        unseen = unseen.join(known.select("blob"), "blob", "left_anti")
-    once = unseen.mapInArrow(_first_of_task, "blob binary, text string")
-    return once.repartition("blob").sortWithinPartitions("blob").mapInArrow(_scan, "blob binary, spans string")
+        unseen = saved(rows.select("blob").distinct().join(known.select("blob"), "blob", "left_anti"), "unseen")
+        texts = texts.join(unseen, "blob", "left_semi")  # few new blobs are broadcast by Spark's size check
+    return texts.groupBy("blob").agg(F.first("text").alias("text")).mapInArrow(_scan, "blob binary, spans string")
 
 
 def _known(ledger: DataFrame) -> DataFrame:
@@ -119,21 +97,22 @@ def _known(ledger: DataFrame) -> DataFrame:
 LEDGER = "blob binary, rule_version string, spans string"
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger at ``path``; empty if there is none yet."""
+def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger at ``path``, if there is one."""
     try:
         return spark.read.schema(LEDGER).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], LEDGER)
+        return None
 
 
 def scan_to_ledger(rows: DataFrame, path: str) -> DataFrame:
     """Scans the unseen blobs of ``rows (blob, text)``, appends them to the ledger at ``path``, and returns its rows for
     this version of the rules as ``blob, spans``."""
     spark = rows.sparkSession
-    fresh = scanned_once(rows, _known(read_ledger(spark, path)))
+    old = read_ledger(spark, path)
+    fresh = scanned_once(rows, None if old is None else _known(old))
     fresh.select("blob", F.lit(RULE_VERSION).alias("rule_version"), "spans").write.mode("append").parquet(path)
     return _known(read_ledger(spark, path))
 
