@@ -45,9 +45,10 @@ def prefix_rows(members: DataFrame, texts: DataFrame, percent: int, n: int, most
     ``members``: ``doc, scope, side``, one row a document; ``texts``: ``doc_id, text``.
     """
     held = saved(members.join(texts.hint("merge"), F.col("doc") == F.col("doc_id")).select("doc", "scope", "side", "text"), "prefix_texts")
+    # n-grams are many times larger than what the texts' compressed files let Spark expect: these joins are shuffled
     grams = held.mapInArrow(_grams(n), _GRAMS)
     shared = grams.groupBy("scope", "gram").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") > 1)
-    ranked = grams.join(shared, ["scope", "gram"]).groupBy("doc", "scope", "side", "size").agg(F.sort_array(F.collect_list(F.struct("docs", "gram"))).alias("told"))
+    ranked = grams.join(shared.hint("merge"), ["scope", "gram"]).groupBy("doc", "scope", "side", "size").agg(F.sort_array(F.collect_list(F.struct("docs", "gram"))).alias("told"))
     # n-grams of this document alone come first and meet nothing
     alone, prefix = F.col("size") - F.size("told"), F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
     first = F.slice("told", F.lit(1), F.greatest(F.lit(0), prefix - alone).cast("int"))
@@ -57,7 +58,7 @@ def prefix_rows(members: DataFrame, texts: DataFrame, percent: int, n: int, most
                                                F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
     # one n-gram for each set of documents that meet
     mixed = lists.where(F.col("major") < F.col("docs")).groupBy("scope", "x", "y").agg(F.min_by(F.struct("gram", "docs", "major", "major_side"), "gram").alias("g")).select("scope", "g.*")
-    rows = met.join(mixed, ["scope", "gram"])
+    rows = met.join(mixed.hint("merge"), ["scope", "gram"])
     small = rows.where(F.col("docs") <= most).select(F.xxhash64("scope", "gram").alias("key"), "doc", "side")
 
     large = rows.where(F.col("docs") > most)
