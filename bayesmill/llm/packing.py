@@ -1,7 +1,7 @@
 """Lexical retrieval packing: a sharded BM25 index returns unused neighbours for each seed document, which fill its window.
 
 Texts are tokenized once into a saved table (a word's ids are looked up, as white space always parts tokens; ids take
-two bytes). Document frequencies of tokens are then counted over all documents: a table that the vocabulary bounds.
+two bytes). The same tasks count the documents of each token: a table that the vocabulary bounds.
 A document's key is KEYS of its tokens, each chosen as the least of hashes that weigh tokens by idf (weighted min-hash):
 two documents choose the same one as often as they share tokens by weight. The table is shuffled into ranges of the key,
 so a shard (about SHARD_TOKENS ids) holds documents of like words from all over the table, whatever the files' order and
@@ -19,6 +19,7 @@ rows, documents longer than a window are cut, documents that share no token with
 from __future__ import annotations
 
 import gc
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,9 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
 
-from bayesmill.llm.common import saved, worker_memory
+from bayesmill.llm.alignment import byte_letters
+from bayesmill.llm.common import forget, saved, worker_memory
 
 WINDOW = 4096
 END = 2
@@ -44,35 +45,53 @@ PIECES = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, s
 
 # Bytes of Latin-1 for which parting at white space and lower-casing agree everywhere: no control characters but tab
 # and line breaks, no non-breaking space.
-_STOPS = ".,;:!?"
 _PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 
 
-class WordIds(dict):
-    """Lower-case word -> its ids as bytes."""
+# How the tokenizer parts a lower-case word of these bytes (letters, single digits, and marks in a row).
+_LETTERS, _DIGITS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
+_WORD_END = b"\xff"  # in no text: stands for the mark of a word's end
 
-    def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
-        self.tokenizer, self.model = tokenizer, tokenizer.model
-        # characters as the byte-level model has them; a word of letters alone goes to the model without further steps
-        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x100)}
-        self.direct = all(self._letters(w) == self._any(w) for w in ("the", "internationalizing", "straße", "naïvetéñ"))
 
-    def _letters(self, word: str) -> bytes:
-        return array("H", [t.id for t in self.model.tokenize(word.translate(self.letters))]).tobytes()
+class WordIds:
+    """Lower-case word -> its ids as bytes.
+
+    A word is parted as the tokenizer parts it. A piece goes through the same merges in a faster library (its bytes and
+    a last one for the word's end), as long as it agrees on a few words and on every entry that ends a word.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        import tiktoken
+
+        self.tokenizer, self.kept, letters = tokenizer, {}, byte_letters()
+        special = set(tokenizer.get_added_tokens_decoder())
+        ranks = {}
+        for token, i in tokenizer.get_vocab().items():
+            if i not in special:
+                body = token.removesuffix("</w>")
+                ranks[bytes(letters[c] for c in body) + (_WORD_END if body != token else b"")] = i
+        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        words = ("the", "internationalizing", "straße", "naïvetéñ", "qzxjkv", "ÿþð", "!?")
+        self.direct = all(self._merged(w) == self._any(w) for w in words) and all(self.merge(b) == [i] for b, i in ranks.items() if b.endswith(_WORD_END) and len(b) > 1)
+
+    def _merged(self, piece: str) -> bytes:
+        return array("H", self.merge(piece.encode() + _WORD_END)).tobytes()
 
     def _any(self, word: str) -> bytes:
         return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        stem = word.rstrip(_STOPS)
-        if stem != word and stem and stem[-1].isalnum():  # the tokenizer parts a word from the marks after it
-            v = self[stem] + self[word[len(stem):]]
+    def word(self, word: str) -> bytes:
+        v = self.kept.get(word)
+        if v is not None:
+            return v
+        pieces = [word] if self.direct and word.isalpha() else _PIECE.findall(word) if self.direct else []
+        if len(pieces) > 1:
+            v = b"".join(map(self.word, pieces))
         else:
-            v = self._letters(word) if self.direct and word.isalpha() else self._any(word)
-        if len(self) < REMEMBERED_WORDS:  # frequent words come early, so what is kept stays
-            self[word] = v
+            v = self._merged(word) if pieces else self._any(word)
+        if len(self.kept) < REMEMBERED_WORDS:  # frequent words come early, so what is kept stays
+            self.kept[word] = v
         return v
 
     def of(self, text: str) -> bytes:
@@ -82,7 +101,11 @@ class WordIds(dict):
         except UnicodeEncodeError:
             plain = False
         if plain:
-            return b"".join(map(self.__getitem__, text.lower().split()))
+            words = text.lower().split()
+            ids = list(map(self.kept.get, words))
+            if None in ids:
+                ids = [self.word(w) if v is None else v for w, v in zip(words, ids, strict=True)]
+            return b"".join(ids)
         return self._any(text)
 
 
@@ -92,42 +115,46 @@ def _tokenizer(model: str, by_word: bool, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_memory(f"word ids {zlib.crc32(model.encode())}", lambda: WordIds(Tokenizer.from_str(model)))
         one = words.of if by_word else words._any
+        df, docs, tokens, kind = np.zeros(1 << 16, np.int64), 0, 0, None
         for b in batches:
             gc.disable()  # the collector would walk the kept words again and again; nothing here is cyclic
             try:
                 ids = [one(t or "") + tail for t in b.column("text").to_pylist()]
             finally:
                 gc.enable()
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for x in ids:
+                df[np.unique(np.frombuffer(x, np.uint16))] += 1
+            docs, tokens, kind = docs + len(ids), tokens + sum(map(len, ids)) // 2, b.column("doc_id").type
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=["doc_id", "ids", "term", "n"])
+        if docs:
+            held = np.flatnonzero(df)
+            terms, n = [*held.tolist(), -1, -2], [*df[held].tolist(), docs, tokens]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), kind), pa.nulls(len(n), pa.binary()), pa.array(terms, pa.int32()), pa.array(n, pa.int64())], names=["doc_id", "ids", "term", "n"])
 
     return run
 
 
-def tokenized(docs: DataFrame, tokenizer_path: str, by_word: bool = True, end: int = END) -> DataFrame:
-    """``doc_id, ids`` (16-bit ids in the executors' byte order, the end id last), saved. ``by_word``: for tokenizers that lower-case and
-    part every text at white space, as word_bpe_49k does."""
+def tokenized(docs: DataFrame, tokenizer_path: str, by_word: bool = True, end: int = END) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, ids`` (16-bit ids in the executors' byte order, the end id last), saved, and ``term, n``: how many documents
+    hold each id, as tasks counted it (-1: documents, -2: ids). ``by_word``: for tokenizers that lower-case and part every
+    text at white space, as word_bpe_49k does."""
     with open(tokenizer_path, encoding="utf-8") as f:
         model = f.read()  # travels to the tasks: executors need no copy of the file
     if Tokenizer.from_str(model).get_vocab_size() > 1 << 16:
         raise ValueError("ids must fit 16 bits")
     texts = docs.select("doc_id", "text")
-    return saved(texts.mapInArrow(_tokenizer(model, by_word, end), f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, ids binary"), "packing_ids")
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    told = saved(texts.mapInArrow(_tokenizer(model, by_word, end), f"doc_id {kind}, ids binary, term int, n long"), "packing_ids")
+    ids = told.where(F.col("term").isNull()).select("doc_id", "ids")
+    ids.saved_path = told.saved_path
+    return ids, told.where(F.col("term").isNotNull()).select("term", "n")
 
 
 def _ids(b: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint16) for x in b.column("ids").to_pylist()]
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    df, docs, tokens = np.zeros(1 << 16, np.int64), 0, 0
-    for b in batches:
-        for ids in _ids(b):
-            df[np.unique(ids)] += 1
-            docs, tokens = docs + 1, tokens + len(ids)
-    held = np.flatnonzero(df)
-    yield pa.RecordBatch.from_arrays([pa.array([*held.tolist(), -1, -2], pa.int32()), pa.array([*df[held].tolist(), docs, tokens], pa.int64())], names=["term", "n"])
-
-
 class Index:
     """BM25 over one shard: posting lists by token, with each document's weight for the token."""
 
@@ -237,8 +264,7 @@ def _keyer(hashes: np.ndarray):
         for b in batches:
             keys = np.empty((b.num_rows, KEYS), np.uint16)
             for i, ids in enumerate(_ids(b)):
-                terms = np.unique(ids)
-                keys[i] = terms[hashes[:, terms].argmin(axis=1)]
+                keys[i] = ids[hashes.take(ids, axis=1).argmin(axis=1)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(keys.astype(">u2").view(">i8").ravel().astype(np.int64))], names=["doc_id", "ids", "key"])
 
     return run
@@ -275,8 +301,8 @@ def _packer(idf: np.ndarray, mean_length: float, window: int, shard_tokens: int)
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
-    ids = tokenized(docs, tokenizer_path)
-    counted = ids.select("ids").mapInArrow(_frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    ids, told = tokenized(docs, tokenizer_path)
+    counted = told.groupBy("term").agg(F.sum("n").alias("n"))
     table = {r["term"]: r["n"] for r in counted.collect()}  # the vocabulary's size at most
     n, tokens = table.pop(-1, 0), table.pop(-2, 0)
     df = np.zeros(1 << 16)
@@ -284,7 +310,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, s
     idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
     mean = tokens / n if n else 1.0
     kind = ids.schema["doc_id"].dataType.simpleString()
-    keyed = ids.mapInArrow(_keyer(_hashes(idf, df)), f"doc_id {kind}, ids binary, key long")
+    # saved, as ranges sample the keys before rows are dealt out
+    keyed = saved(ids.mapInArrow(_keyer(_hashes(idf, df)), f"doc_id {kind}, ids binary, key long"), "packing_keys")
+    forget(ids)
     # doc_id parts the documents of a frequent key; ranges come from a sample, so a shard may be up to twice the mean
     ranges = keyed.repartitionByRange(max(1, -(-tokens // shard_tokens)), "key", "doc_id").sortWithinPartitions("key", "doc_id", "ids")
     return ranges.select("doc_id", "ids").mapInArrow(_packer(idf, mean, window, 2 * shard_tokens), PIECES.format(kind))
