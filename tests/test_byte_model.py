@@ -59,7 +59,7 @@ def test_logistic_is_spark_mls(spark, split, monkeypatch):
     want = {r["file_id"]: names[int(r["prediction"])] for r in fitted.transform(b.drop("label")).collect()}
     assert got == want
     objective = fitted.stages[-1].summary.objectiveHistory[-1]
-    assert model.losses[-1] == pytest.approx(objective, rel=2e-2) and all(x >= y for x, y in itertools.pairwise(model.losses))
+    assert model.losses[-1] == pytest.approx(objective, abs=1e-3) and all(x >= y for x, y in itertools.pairwise(model.losses))
 
 
 def dumps(n, seed=1):
