@@ -44,7 +44,7 @@ def test_key_matches_oracle(spark, con, key):
 
 
 def test_every_key_registered():
-    assert len(registry.queries()) == 62
+    assert len(registry.queries()) == 70 and len(registry.oracle_sql()) == 66
     assert set(registry.queries()) <= set(E.queries())
     assert set(E.oracle_sql()) <= set(E.queries())
 
