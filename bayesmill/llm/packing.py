@@ -40,7 +40,7 @@ K1, B = 1.2, 0.75
 NEIGHBOURS = 24  # of a retrieval; a window that needs more retrieves again
 SHARD_TOKENS = 1_500_000
 KEYS = 4  # 16-bit ids that fill a long
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 400_000
 PIECES = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 # Bytes of Latin-1 for which parting at white space and lower-casing agree everywhere: no control characters but tab
@@ -114,6 +114,7 @@ def _tokenizer(model: str, by_word: bool, end: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_memory(f"word ids {zlib.crc32(model.encode())}", lambda: WordIds(Tokenizer.from_str(model)))
+        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker have left
         one = words.of if by_word else words._any
         df, docs, tokens, kind = np.zeros(1 << 16, np.int64), 0, 0, None
         for b in batches:
