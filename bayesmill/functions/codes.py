@@ -38,7 +38,15 @@ def written(code: np.ndarray) -> list[str]:
 
 
 def joined(code: np.ndarray) -> str:
-    return "".join(written(code))
+    pairs = np.stack([code >> HALF, code & (1 << HALF) - 1], axis=1)
+    return pairs.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def parted(text: str) -> np.ndarray:
+    """The codes of ``joined`` text."""
+    ascii_only = text.isascii()
+    raw = np.frombuffer(text.encode("ascii"), np.uint8) if ascii_only else np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return raw[::2].astype(np.int64) << HALF | raw[1::2].astype(np.int64)
 
 
 def _alphabet(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -23,16 +23,21 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bayesmill.functions.bytes import TOKEN_LENGTH, byte_tokens, file_id
-from bayesmill.functions.codes import codes, count_grams, joined
+from bayesmill.functions.codes import codes, count_grams, joined, parted
 from bayesmill.operators import tfidf as TF
+from bayesmill.session import scratch_path
 from bayesmill.sources.files import read_file_lines
 
 CHUNK_CODES = 1 << 20    # counted at once in a task
+BLOCK_CHUNKS = 16        # of a block of files
+BLOCK_GRAMS = 1 << 21    # a block ends that has told as many, chunk by chunk
+OUT_ROWS = 100_000       # of a batch
 
 # The code travels with its tasks: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -197,12 +202,136 @@ def as_map(features: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("gram", "freq"))).alias("grams"))
 
 
+_BLOCKS = "block long, names array<string>, owners array<int>, lengths array<int>, size long, codes binary, gram string, n long"
+_BLOCK_TYPES = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.binary(), pa.string(), pa.int64())
+_BLOCK_NAMES = ["block", "names", "owners", "lengths", "size", "codes", "gram", "n"]
+
+
+def _chunk_grams(parts: Sequence[np.ndarray], owners: Sequence[int], k: int, sep: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]]:
+    """``owner, place, n, grams`` of a chunk: each distinct (owner, gram) pair once, ``place`` being its gram's place in ``grams``."""
+    counted = list(count_grams(parts, k, owners))
+    if len(counted) == 1 and len(set(owners)) == len(owners):
+        g = counted[0]
+        keys, place = np.unique(g.key, return_inverse=True)
+        yield g.owner, place, g.n, g.names(keys, sep)
+    elif counted:  # a pair is in several counts or parts: their sums
+        t = pa.concat_tables([pa.table({"owner": g.owner, "gram": g.names(g.key, sep), "n": g.n}) for g in counted])
+        t = t.group_by(["owner", "gram"]).aggregate([("n", "sum")]).combine_chunks()
+        gram = t.column("gram").combine_chunks().dictionary_encode()
+        yield t.column("owner").to_numpy(), gram.indices.to_numpy(), t.column("n_sum").to_numpy(), gram.dictionary
+
+
+def _blocks(grams: Sequence[int], sep: str):
+    """Files in blocks: rows with the codes of whole files (a chunk each), and one row a distinct gram of the block with
+    the number of its files that have it. Rows of one file must follow each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, found = TaskContext.get().partitionId() << 33, []
+        names, owners, parts, held, chunks, most = [], [], [], 0, 0, 0
+
+        def told(**columns) -> pa.RecordBatch:
+            n = len(next(iter(columns.values())))
+            cols = {"block": [block] * n, **columns}
+            return pa.RecordBatch.from_arrays([pa.array(cols[c], t) if c in cols else pa.nulls(n, t) for c, t in zip(_BLOCK_NAMES, _BLOCK_TYPES, strict=True)], names=_BLOCK_NAMES)
+
+        def chunk() -> Iterator[pa.RecordBatch]:
+            nonlocal names, owners, parts, held, chunks, most
+            if held:
+                for k in grams:
+                    for _, place, _, gram in _chunk_grams(parts, owners, k, sep):
+                        found.append(pa.table({"gram": gram, "n": np.bincount(place, minlength=len(gram)).astype(np.int64)}))
+                        most += len(gram)
+                data = joined(np.concatenate(parts)).encode()
+                yield told(names=[names], owners=[owners], lengths=[[len(p) for p in parts]], size=[len(data)], codes=[pa.compress(data, codec="zstd", asbytes=True)])
+                chunks += 1
+            names, owners, parts, held = [], [], [], 0
+
+        def whole() -> Iterator[pa.RecordBatch]:
+            nonlocal block, found, chunks, most
+            if found:
+                t = pa.concat_tables(found).group_by("gram").aggregate([("n", "sum")]).combine_chunks()
+                for b in t.to_batches(max_chunksize=100_000):
+                    yield told(gram=b.column("gram"), n=b.column("n_sum"))
+            block, found, chunks, most = block + 1, [], 0, 0
+
+        for b in batches:
+            for name, text in zip(b.column("file_id").to_pylist(), b.column("content").to_pylist(), strict=True):
+                part = codes(text or "")
+                if not len(part):
+                    continue
+                if not names or name != names[-1]:
+                    if held >= CHUNK_CODES:
+                        yield from chunk()
+                        if chunks >= BLOCK_CHUNKS or most >= BLOCK_GRAMS:
+                            yield from whole()
+                    names.append(name)
+                owners.append(len(names) - 1)
+                parts.append(part)
+                held += len(part)
+        yield from chunk()
+        yield from whole()
+
+    return run
+
+
+def _weigher(grams: Sequence[int], sep: str):
+    """Rows ``file_id, term, tf, idf`` of the chunks of each block; the weights of its grams come before them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, gram, idf = None, [], None, None
+        for b in batches:
+            blocks, is_chunk = b.column("block").to_numpy(), b.column("codes").is_valid().to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero((blocks[1:] != blocks[:-1]) | (is_chunk[1:] != is_chunk[:-1])) + 1).tolist(), b.num_rows]
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if s == e:
+                    continue
+                if blocks[s] != block:
+                    block, held, gram = blocks[s], [], None
+                if not is_chunk[s]:
+                    held.append(pa.table({"gram": b.column("gram").slice(s, e - s), "idf": b.column("idf").slice(s, e - s)}))
+                    continue
+                if gram is None:
+                    weights = pa.concat_tables(held)
+                    gram, idf, held = weights.column("gram").combine_chunks(), weights.column("idf").to_numpy(), []
+                for row in b.slice(s, e - s).select(["names", "owners", "lengths", "size", "codes"]).to_pylist():
+                    flat = parted(pa.decompress(row["codes"], row["size"], codec="zstd", asbytes=True).decode())
+                    parts, names = np.split(flat, np.cumsum(row["lengths"])[:-1]), pa.array(row["names"], pa.string())
+                    for k in grams:
+                        for owner, place, n, distinct in _chunk_grams(parts, row["owners"], k, sep):
+                            at = pc.index_in(distinct, value_set=gram).to_numpy(zero_copy_only=False)
+                            for i in range(0, len(n), OUT_ROWS):
+                                to = slice(i, i + OUT_ROWS)
+                                yield pa.RecordBatch.from_arrays([names.take(pa.array(owner[to])), distinct.take(pa.array(place[to])), pa.array(n[to], pa.int64()), pa.array(idf[at[place[to]]], pa.float64())], names=["file_id", "term", "tf", "idf"])
+
+    return run
+
+
 def byte_tfidf(files: DataFrame, grams: Sequence[int] = (1, 2, 3), sep: str = "",
-               sqrt: bool = False, checkpoint: bool = True) -> DataFrame:
-    """``(file_id, gram, tf, idf, tfidf)`` over all files, N = number of files."""
-    tf = gram_counts(files, grams, sep).select("file_id", F.col("gram").alias("term"), F.col("freq").alias("tf"))
-    if checkpoint:
-        tf = TF.materialize(tf)   # tokenised once for both the DF aggregate and the join
+               sqrt: bool = False) -> DataFrame:
+    """``(file_id, gram, tf, idf, tfidf)`` over all files, N = number of files.
+
+    Rows of files and grams are never shuffled or saved. Files are saved in
+    blocks of at most BLOCK_CHUNKS chunks of about CHUNK_CODES codes, with the
+    distinct grams of each block; the weights come back to the blocks by gram
+    and the grams are counted again there. Rows of one file id, if
+    an id repeats, are brought together first (they must fit a task).
+    """
+    spark, sizes = files.sparkSession, sorted(set(grams))
+    f = files.select(file_id("path").alias("file_id"), F.col("content"))
+    if f.groupBy("file_id").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1).limit(1).count():
+        f = f.repartition("file_id").sortWithinPartitions("file_id")
+    path = scratch_path(spark, "blocks")
+    f.mapInArrow(_blocks(sizes, sep), _BLOCKS).write.option("compression", "zstd").parquet(path)
+    saved = spark.read.schema(_BLOCKS).parquet(path)
+    chunks = saved.where(F.col("codes").isNotNull())
+    held = saved.where(F.col("gram").isNotNull()).select("block", "gram", "n")
+    tasks = max(1, chunks.select("block").distinct().count())
+    # a gram has one row a block, so none is hot
+    per_gram = held.repartition(tasks, "gram").withColumn("df", F.sum("n").over(Window.partitionBy("gram")))
     n = files.select(F.count(F.lit(1))).scalar()
-    t = TF.tfidf(tf, TF.idf(TF.doc_freq(tf), n), "file_id", sqrt)
-    return t.withColumnRenamed("term", "gram")
+    weights = TF.idf(per_gram.select(F.col("gram").alias("term"), "df", "block"), n, "block").select("block", F.col("term").alias("gram"), "idf")
+    told = weights.unionByName(chunks.drop("gram", "n"), allowMissingColumns=True)
+    dealt = told.repartition(tasks, "block").sortWithinPartitions("block", F.col("codes").isNotNull())
+    t = dealt.mapInArrow(_weigher(sizes, sep), "file_id string, term string, tf long, idf double")
+    w = F.col("tf") * F.col("idf")
+    return t.select("file_id", F.col("term").alias("gram"), "tf", "idf", (F.pow(w, 0.5) if sqrt else w).alias("tfidf"))

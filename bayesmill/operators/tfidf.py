@@ -91,11 +91,11 @@ def corpus_doc_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return doc_freq(rows)
 
 
-def idf(df_table: DataFrame, n_docs) -> DataFrame:
+def idf(df_table: DataFrame, n_docs, *keep: str) -> DataFrame:
     """``idf = ln((N + 1) / (df + 1))`` with N the number of documents (a scalar column or int)."""
     n = n_docs if not isinstance(n_docs, int) else F.lit(n_docs)
     return df_table.select(
-        "term", "df",
+        *keep, "term", "df",
         F.ln((n.cast("double") + 1.0) / (F.col("df").cast("double") + 1.0)).alias("idf"),
     )
 

@@ -1,3 +1,4 @@
+import math
 import os
 import random
 from collections import Counter
@@ -132,3 +133,31 @@ def test_whole_files_keep_name_and_content(spark, tmp_path):
     assert sorted(tuple(r) for r in written) == [("a.b.bytes", 24), ("empty.bytes", 0)]
     got = read_whole_files(spark, str(tmp_path / "x.y")).select(file_id("path"), "content").collect()
     assert ("a", rows[0][1]) in [tuple(r) for r in got]
+
+
+@pytest.mark.parametrize(("chunk", "blocks"), [(1 << 20, 16), (7, 2), (1, 1)])
+@pytest.mark.parametrize("sep", ["", "-"])
+def test_tfidf_saves_blocks_of_files_and_no_rows_of_file_and_gram(spark, tmp_path, monkeypatch, chunk, blocks, sep):
+    rng = random.Random(3)
+    texts = [(f"/d/f{n % 37}.bytes" if n else None, " ".join(rng.choice(["AA", "0B", "é1", "XYZ"]) for _ in range(rng.choice([0, 1, 2, 5, 30])))) for n in range(40)]
+    texts += [("/d/f50.bytes", None), ("/d/f51.bytes", "")]
+    files = spark.createDataFrame(texts, "path string, content string").repartition(3)
+    monkeypatch.setattr(BG, "CHUNK_CODES", chunk)
+    monkeypatch.setattr(BG, "BLOCK_CHUNKS", blocks)
+    monkeypatch.setattr(BG, "OUT_ROWS", 4)
+    monkeypatch.setattr(BG, "scratch_path", lambda *_: str(tmp_path / "kept"))
+    got = BG.byte_tfidf(files, (1, 2, 3), sep).collect()
+    tf = Counter()
+    for path, text in texts:
+        t = [x for x in (text or "").split() if len(x) == 2]
+        for k in (1, 2, 3):
+            tf.update((path and path[3:-6], sep.join(t[i:i + k])) for i in range(len(t) - k + 1))
+    df = Counter(g for _, g in tf)
+    idf = {g: math.log((len(texts) + 1) / (n + 1)) for g, n in df.items()}
+    assert {(r["file_id"], r["gram"]): r["tf"] for r in got} == tf and len(got) == len(tf)
+    for r in got:
+        assert r["idf"] == pytest.approx(idf[r["gram"]]) and r["tfidf"] == pytest.approx(r["tf"] * idf[r["gram"]])
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    assert {"codes", "gram"} <= set(kept.columns) and "file_id" not in kept.columns
+    if chunk > 1000:
+        assert kept.count() < len(got) / 2
