@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bayesmill.operators.skew import salted_lookup_join
-from bayesmill.operators.tfidf import term_freq
+from bayesmill.operators.tfidf import by_document, term_freq
 from bayesmill.session import ensure_checkpoint_dir
 
 
@@ -119,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, classes: Sequence[str], id_col: str
     flag_cols = [f"_f{i}" for i in range(C)]
 
     # one shuffle of the raw text by id; labels joined on id keep that partitioning
-    texts = docs.select(id_col, text_col).repartition(id_col)
+    texts = by_document(docs.select(id_col, text_col), id_col, text_col)
     joined = texts.join(lab, id_col, "left").select(id_col, text_col, *class_flags(F.col(label_col), classes))
     tf = term_freq(joined, id_col, text_col, sw, grams, sep, keep=flag_cols, prepartitioned=True, stem=stem,
                    lemmas=lemmas)

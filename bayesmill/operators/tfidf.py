@@ -3,8 +3,9 @@
 Plan shape (documents ``(doc_id, text)``):
 
 * documents are hash-partitioned by ``doc_id`` once (a shuffle of the raw
-  text, far smaller than the exploded term rows); the per-(doc, term) count
-  then runs inside that partitioning with no further exchange,
+  text, far smaller than the exploded term rows), into tasks of a bounded
+  number of characters; the per-(doc, term) count then runs inside that
+  partitioning with no further exchange,
 * document frequency is a partial + final aggregate by ``term`` (hot terms are
   pre-combined map side, so a term in every document costs one row per task),
 * TF-IDF joins TF with IDF on ``term``; the heaviest terms are salted over
@@ -25,6 +26,8 @@ from bayesmill.functions.text import filtered_tokens, with_terms
 from bayesmill.operators.skew import salted_lookup_join
 from bayesmill.session import ensure_checkpoint_dir
 
+TASK_CHARS = 4 << 20     # of text that a task counts by document and term
+
 
 def explode_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
@@ -64,6 +67,18 @@ def stemmed_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return runs.select(id_col, *keep, F.explode(F.array(*terms)).alias("term")).where(F.col("term").isNotNull())
 
 
+def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` hash-partitioned by id into tasks of about TASK_CHARS characters each, however large the table is.
+
+    A term count holds some thirty bytes a character of its task, so the number
+    of tasks has to grow with the text; a fixed number of shuffle partitions
+    (or partitions coalesced to a size for plain shuffles) would let it grow.
+    """
+    chars = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(max(tasks, -(-chars // TASK_CHARS)), id_col)
+
+
 def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
               sep: str = "", keep: Sequence[str] = (), prepartitioned: bool = False,
@@ -72,7 +87,7 @@ def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``keep`` columns must be functionally dependent on the id (e.g. its labels).
     """
-    src = docs if prepartitioned else docs.repartition(id_col)
+    src = docs if prepartitioned else by_document(docs, id_col, text_col)
     rows = explode_terms(src, id_col, text_col, stop_words, grams, sep, keep, stem, lemmas)
     return rows.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 

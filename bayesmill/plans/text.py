@@ -119,7 +119,8 @@ def tfidf_labeled(spark: SparkSession, sf: str) -> DataFrame:
     docs = T.corpus(spark, sf)
     lab = T.label_sets(spark, sf).where(F.size("classes") > 0)
     weights = TF.idf(TF.corpus_doc_freq(docs), TF.count_docs(docs))
-    j = TF.tfidf(TF.term_freq(docs.join(lab, "doc_id"), keep=["classes"]), weights, keep=["classes"])
+    tf = TF.term_freq(TF.by_document(docs).join(lab, "doc_id"), keep=["classes"], prepartitioned=True)
+    j = TF.tfidf(tf, weights, keep=["classes"])
     return j.select("doc_id", "term", F.explode("classes").alias("class"), F.round("tfidf", R).alias("tfidf"))
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions import text as TX
 from bayesmill.functions.labels import label_set
+from bayesmill.operators import naive_bayes as NB
 from bayesmill.operators import tfidf as TF
 
 
@@ -71,3 +72,25 @@ def test_document_frequencies_shuffle_no_text(spark, key):
     plan = P.QUERIES[key](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION" not in plan and "hashpartitioning(doc_id" not in plan
     assert "hashpartitioning(term" in plan
+
+
+@pytest.mark.parametrize("partitions", ["2", "8"])
+def test_tasks_of_term_counts_hold_a_bounded_number_of_characters(spark, monkeypatch, partitions):
+    """However few shuffle partitions there are: a task's counts take memory in proportion to its text."""
+    rows = [(i, f"word{'abcdefghij'[i % 10]} common {'klmnopqrst'[i % 7]}x", ["A"]) for i in range(2000)] + [(3, "common again", None), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, classes array<string>")
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(TF, "TASK_CHARS", 1000)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        chars = F.sum(F.length("text")).alias("chars")
+        dealt = TF.by_document(docs).groupBy(F.spark_partition_id()).agg(chars, F.count_distinct("doc_id").alias("ids")).collect()
+        assert len(dealt) > 30 and max(r["chars"] or 0 for r in dealt) < 3000
+        tf = TF.term_freq(docs)
+        assert tf.select(F.spark_partition_id()).distinct().count() > 30
+        assert [r["tf"] for r in tf.where("doc_id = 3 and term = 'common'").collect()] == [2]
+        assert TF.by_document(docs.limit(0)).count() == 0
+        told = NB.fit(docs.where("doc_id is not null and classes is not null"), docs.where("classes is not null").select("doc_id", "classes"), ["A"])
+        assert (told.n_docs, told.class_docs, told.terms.where("term = 'common'").first()["df"]) == (2000, (2000,), 2000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
