@@ -38,6 +38,7 @@ CHUNK_CODES = 1 << 20    # counted at once in a task
 BLOCK_CHUNKS = 16        # of a block of files
 BLOCK_GRAMS = 1 << 21    # a block ends that has told as many, chunk by chunk
 OUT_ROWS = 100_000       # of a batch
+SLICE_ROWS = 1000        # whose texts a task turns into strings at a time
 
 # The code travels with its tasks: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -62,9 +63,17 @@ def _counted(names: Sequence[str], parts: Sequence[np.ndarray], grams: Sequence[
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(g.owner)), g.names(g.key, sep), pa.array(g.n, pa.int64())], names=["file_id", "gram", "n"])
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of SLICE_ROWS rows, so that few texts are Python strings at a time."""
+    pa.default_memory_pool().release_unused()  # what earlier tasks of this worker have left
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+
+
 def _row_counter(grams: Sequence[int], sep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             names, parts, held = [], [], 0
             for i, (name, text) in enumerate(zip(b.column("file_id").to_pylist(), b.column("content").to_pylist(), strict=True), 1):
                 names.append(name)
@@ -254,7 +263,7 @@ def _blocks(grams: Sequence[int], sep: str):
                     yield told(gram=b.column("gram"), n=b.column("n_sum"))
             block, found, chunks, most = block + 1, [], 0, 0
 
-        for b in batches:
+        for b in _slices(batches):
             for name, text in zip(b.column("file_id").to_pylist(), b.column("content").to_pylist(), strict=True):
                 part = codes(text or "")
                 if not len(part):

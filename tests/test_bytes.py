@@ -3,6 +3,7 @@ import os
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,3 +162,12 @@ def test_tfidf_saves_blocks_of_files_and_no_rows_of_file_and_gram(spark, tmp_pat
     assert {"codes", "gram"} <= set(kept.columns) and "file_id" not in kept.columns
     if chunk > 1000:
         assert kept.count() < len(got) / 2
+
+
+def test_texts_become_strings_a_slice_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(BG, "SLICE_ROWS", 3)
+    b = pa.RecordBatch.from_pydict({"file_id": list("abcdefgh"), "content": ["AA AA BB"] * 8})
+    assert [x.num_rows for x in BG._slices(iter([b, b.slice(0, 0), b.slice(0, 2)]))] == [3, 3, 2, 2]
+    files = spark.createDataFrame([(f"/d/{x}.bytes", "AA AA BB") for x in "abcdefgh"], "path string, content string").coalesce(1)
+    got = BG.ngram_freq(files, grams=(1, 2), min_freq=1).collect()
+    assert sorted(map(tuple, got)) == sorted((x, g, n) for x in "abcdefgh" for g, n in (("AA", 2), ("BB", 1), ("AAAA", 1), ("AABB", 1)))
