@@ -67,6 +67,12 @@ def stemmed_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return runs.select(id_col, *keep, F.explode(F.array(*terms)).alias("term")).where(F.col("term").isNotNull())
 
 
+def text_tasks(docs: DataFrame, text_col: str = "text") -> int:
+    """Tasks of about TASK_CHARS characters each, and not fewer than shuffle partitions."""
+    chars = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // TASK_CHARS))
+
+
 def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` hash-partitioned by id into tasks of about TASK_CHARS characters each, however large the table is.
 
@@ -74,9 +80,7 @@ def by_document(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     of tasks has to grow with the text; a fixed number of shuffle partitions
     (or partitions coalesced to a size for plain shuffles) would let it grow.
     """
-    chars = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(max(tasks, -(-chars // TASK_CHARS)), id_col)
+    return docs.repartition(text_tasks(docs, text_col), id_col)
 
 
 def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -100,10 +104,18 @@ def doc_freq(tf: DataFrame) -> DataFrame:
 def corpus_doc_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2), sep: str = "") -> DataFrame:
     """``(term, df long)`` straight from the documents (one row each): a document's distinct terms are found in its
-    own row, so no text is shuffled and no (document, term) count is made."""
-    bags = with_terms(docs.select(id_col, text_col), text_col, "_bag", stop_words, grams, sep)
-    rows = bags.select(F.explode_outer(F.array_distinct("_bag")).alias("term")).where(F.col("term").isNotNull())
-    return doc_freq(rows)
+    own row, so no (document, term) count is made.
+
+    The documents are dealt over tasks of about TASK_CHARS characters, each
+    counts its own terms, and as many tasks sum them up: what a task holds
+    does not grow with the table.
+    """
+    tasks = text_tasks(docs, text_col)
+    dealt = docs.select(id_col, text_col, F.pmod(F.xxhash64(id_col, text_col), F.lit(tasks)).cast("int").alias("_block")).repartitionById(tasks, "_block")
+    bags = with_terms(dealt, text_col, "_bag", stop_words, grams, sep)
+    rows = bags.select("_block", F.explode_outer(F.array_distinct("_bag")).alias("term")).where(F.col("term").isNotNull())
+    part = rows.groupBy("_block", "term").agg(F.count(F.lit(1)).alias("_n"))
+    return part.repartition(tasks, "term").groupBy("term").agg(F.sum("_n").alias("df"))
 
 
 def idf(df_table: DataFrame, n_docs, *keep: str) -> DataFrame:
