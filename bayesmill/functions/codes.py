@@ -103,6 +103,12 @@ def count_grams(parts: Sequence[np.ndarray], size: int, owners: Sequence[int] |
     part = np.repeat(np.arange(len(parts)), lengths)
     whole = part[:last] == part[size - 1:]
     span = len(letters) ** size
-    found, n = np.unique(part[:last][whole] * span + key[whole], return_counts=True)
+    pair = part[:last][whole] * span + key[whole]
+    if span * len(parts) <= 4 * len(pair):  # as many counters cost less than a sort
+        n = np.bincount(pair)
+        found = np.flatnonzero(n)
+        n = n[found]
+    else:
+        found, n = np.unique(pair, return_counts=True)
     part, key = np.divmod(found, span)
     yield Grams(letters, size, np.array(owners, np.int64)[part], key, n)

@@ -57,10 +57,18 @@ def tokenized(files: DataFrame, path_col: str = "path", content_col: str = "cont
     return f.select("file_id", byte_tokens("_content").alias("tokens"))
 
 
-def _counted(names: Sequence[str], parts: Sequence[np.ndarray], grams: Sequence[int], sep: str) -> Iterator[pa.RecordBatch]:
+def _counted(names: Sequence[str], parts: Sequence[np.ndarray], grams: Sequence[int], sep: str,
+             least: int = 1, many: Sequence[bool] | None = None) -> Iterator[pa.RecordBatch]:
+    """Counts of each part, those below ``least`` left out where a part is all that its name has (``many`` is not set)."""
     for k in grams:
-        for g in count_grams(parts, k):
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(g.owner)), g.names(g.key, sep), pa.array(g.n, pa.int64())], names=["file_id", "gram", "n"])
+        counted = list(count_grams(parts, k))
+        for g in counted:
+            owner, key, n = g.owner, g.key, g.n
+            if many is not None and len(counted) == 1:  # else a pair may be in several counts
+                kept = np.flatnonzero((n >= least) | np.array(many, bool)[owner])
+                owner, key, n = owner[kept], key[kept], n[kept]
+            if len(n):
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(owner)), g.names(key, sep), pa.array(n, pa.int64())], names=["file_id", "gram", "n"])
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,35 +79,57 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(at, SLICE_ROWS)
 
 
-def _row_counter(grams: Sequence[int], sep: str):
+def _row_counter(grams: Sequence[int], sep: str, least: int = 1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            names, parts, held = [], [], 0
-            for i, (name, text) in enumerate(zip(b.column("file_id").to_pylist(), b.column("content").to_pylist(), strict=True), 1):
+            names, parts, many, held = [], [], [], 0
+            for i, (name, text, again) in enumerate(zip(b.column("file_id").to_pylist(), b.column("content").to_pylist(), b.column("many").to_pylist(), strict=True), 1):
                 names.append(name)
                 parts.append(codes(text or ""))
+                many.append(again)
                 held += len(parts[-1])
                 if held >= CHUNK_CODES or i == b.num_rows:
-                    yield from _counted(names, parts, grams, sep)
-                    names, parts, held = [], [], 0
+                    yield from _counted(names, parts, grams, sep, least, many)
+                    names, parts, many, held = [], [], [], 0
 
     return run
 
 
+def _repeated(ids: DataFrame) -> DataFrame | None:
+    """``(_id, _many)``: the values of ``file_id`` that come more than once, null being one like others; None if there are none."""
+    spark, path = ids.sparkSession, scratch_path(ids.sparkSession, "repeated")
+    ids.groupBy("file_id").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select(F.col("file_id").alias("_id")).write.parquet(path)
+    found = spark.read.schema("_id string").parquet(path)
+    return None if found.isEmpty() else found.withColumn("_many", F.lit(True))
+
+
+def _with_many(files: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """Adds ``many``: whether ``repeated`` has the ``file_id``."""
+    if repeated is None:
+        return files.withColumn("many", F.lit(False))
+    return files.join(repeated, F.col("file_id").eqNullSafe(F.col("_id")), "left").withColumn("many", F.coalesce("_many", F.lit(False))).drop("_id", "_many")
+
+
 def gram_counts(files: DataFrame, grams: Sequence[int] = (1, 2), sep: str = "",
-                path_col: str = "path", content_col: str = "content") -> DataFrame:
-    """``(file_id, gram, freq)``: each distinct gram of a file with its count."""
+                path_col: str = "path", content_col: str = "content", least: int = 1) -> DataFrame:
+    """``(file_id, gram, freq)``: each distinct gram of a file with its count, if that is ``least`` at least.
+
+    With ``least`` above 1, grams that a file's only row has more rarely leave
+    no task; ids with several rows are counted in full and summed up.
+    """
     f = files.select(file_id(path_col).alias("file_id"), F.col(content_col).alias("content"))
-    part = f.mapInArrow(_row_counter(sorted(set(grams)), sep), "file_id string, gram string, n long")
-    return part.groupBy("file_id", "gram").agg(F.sum("n").alias("freq"))
+    f = _with_many(f, _repeated(f) if least > 1 else None)
+    part = f.mapInArrow(_row_counter(sorted(set(grams)), sep, least), _COUNTS)
+    return part.groupBy("file_id", "gram").agg(F.sum("n").alias("freq")).where(F.col("freq") >= least)
 
 
 def ngram_freq(files: DataFrame, grams: Sequence[int] = (1, 2), min_freq: int = 200, sep: str = "",
                path_col: str = "path", content_col: str = "content") -> DataFrame:
     """``(file_id, gram, freq)`` with per-file count ``freq >= min_freq``."""
-    return gram_counts(files, grams, sep, path_col, content_col).where(F.col("freq") >= min_freq)
+    return gram_counts(files, grams, sep, path_col, content_col, min_freq)
 
 
+_COUNTS = "file_id string, gram string, n long"
 _SPLIT = "path string, gram string, n long, start long, head string, tail string"
 
 

@@ -76,11 +76,17 @@ def byte_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_byte_content(files: DataFrame) -> DataFrame:
-    """``text`` replaced by ``content``: ``hex(text)`` laid out as a byte dump."""
-    spaced = F.regexp_replace(F.hex("text"), "(..)", "$1 ")
-    unknown = F.replace(spaced, F.lit("0A "), F.lit("?? "))
-    lines = F.regexp_replace(unknown, "((?:\\S\\S ){%d})" % BYTES_PER_LINE, "$1\r\n" + BYTE_ADDRESS + " ")
-    return files.withColumn("content", F.concat(F.lit(BYTE_ADDRESS + " "), lines)).drop("text")
+    """``text`` replaced by ``content``: ``hex(text)`` laid out as a byte dump.
+
+    Whole lines are laid out by one match each, the rest of the last line code by code.
+    """
+    codes, width = F.col("_hex"), 2 * BYTES_PER_LINE
+    rest = F.length(codes) % width
+    line = " ".join(f"${k}" for k in range(1, BYTES_PER_LINE + 1))
+    whole = F.regexp_replace(F.substring(codes, F.lit(1), F.length(codes) - rest), "(..)" * BYTES_PER_LINE, line + " \r\n" + BYTE_ADDRESS + " ")
+    last = F.regexp_replace(F.right(codes, rest), "(..)", "$1 ")
+    content = F.replace(F.concat(F.lit(BYTE_ADDRESS + " "), whole, last), F.lit("0A "), F.lit("?? "))
+    return files.withColumn("_hex", F.hex("text")).withColumn("content", content).drop("text", "_hex")
 
 
 def byte_files(spark: SparkSession, sf_dir: str) -> DataFrame:

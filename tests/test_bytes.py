@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions.bytes import byte_string, byte_tokens, file_id
 from bayesmill.operators import bytegrams as BG
+from bayesmill.sources import tables as T
 from bayesmill.sources.files import read_file_lines, read_whole_files, write_whole_files
 
 
@@ -171,3 +172,23 @@ def test_texts_become_strings_a_slice_at_a_time(spark, monkeypatch):
     files = spark.createDataFrame([(f"/d/{x}.bytes", "AA AA BB") for x in "abcdefgh"], "path string, content string").coalesce(1)
     got = BG.ngram_freq(files, grams=(1, 2), min_freq=1).collect()
     assert sorted(map(tuple, got)) == sorted((x, g, n) for x in "abcdefgh" for g, n in (("AA", 2), ("BB", 1), ("AAAA", 1), ("AABB", 1)))
+
+
+def test_rare_grams_leave_no_task_and_repeated_ids_are_summed(spark):
+    b = pa.RecordBatch.from_pydict({"file_id": ["a", "b"], "content": ["AA AA BB", "AA BB BB"], "many": [False, True]})
+    told = [tuple(r.values()) for x in BG._row_counter([1], "", 2)(iter([b])) for r in x.to_pylist()]
+    assert sorted(told) == [("a", "AA", 2), ("b", "AA", 1), ("b", "BB", 2)]
+    rows = [("/d/a.bytes", "AA AA BB"), ("/d/b.bytes", "AA"), ("/e/b.bytes", "AA BB"), (None, "CC"), (None, "CC DD"), ("/d/c.bytes", None)]
+    files = spark.createDataFrame(rows, "path string, content string").repartition(4)
+    assert {tuple(r) for r in BG.ngram_freq(files, (1,), 2).collect()} == {("a", "AA", 2), ("b", "AA", 2), (None, "CC", 2)}
+
+
+def test_byte_content_is_laid_out_by_lines(spark):
+    texts = ["", "a", "x" * 15, "y" * 16, "z" * 17, "a\nb\n" * 9, "é€" * 40, None]
+    df = T.with_byte_content(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+
+    def want(text):
+        code = [f"{x:02X} ".replace("0A ", "?? ") for x in text.encode()]
+        return "00401000 " + "".join(c + ("\r\n00401000 " if i % 16 == 15 else "") for i, c in enumerate(code))
+
+    assert {r["doc_id"]: r["content"] for r in df.collect()} == {i: None if t is None else want(t) for i, t in enumerate(texts)}
