@@ -32,13 +32,14 @@ from bayesmill.functions.bytes import TOKEN_LENGTH, byte_tokens, file_id
 from bayesmill.functions.codes import codes, count_grams, joined, parted
 from bayesmill.operators import tfidf as TF
 from bayesmill.session import scratch_path
-from bayesmill.sources.files import read_file_lines
+from bayesmill.sources.files import as_stored, read_file_lines, read_whole_files
 
 CHUNK_CODES = 1 << 20    # counted at once in a task
 BLOCK_CHUNKS = 16        # of a block of files
 BLOCK_GRAMS = 1 << 21    # a block ends that has told as many, chunk by chunk
 OUT_ROWS = 100_000       # of a batch
 SLICE_ROWS = 1000        # whose texts a task turns into strings at a time
+WHOLE_BYTES = 1 << 16    # of a file that is read as one split
 
 # The code travels with its tasks: executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -206,15 +207,37 @@ def _border_grams(edges: DataFrame, grams: Sequence[int], sep: str) -> DataFrame
     return placed.select("path", F.explode(F.concat(*found)).alias("gram")).select("path", "gram", F.lit(1).cast("long").alias("n"))
 
 
-def ngram_freq_splits(spark: SparkSession, path: str, grams: Sequence[int] = (1, 2), min_freq: int = 200, sep: str = "", glob: str = "*") -> DataFrame:
+def ngram_freq_splits(spark: SparkSession, path: str | Sequence[str], grams: Sequence[int] = (1, 2), min_freq: int = 200, sep: str = "", glob: str = "*") -> DataFrame:
     """``(file_id, gram, freq)`` of the files below ``path``, read by splits: the lines are never shuffled, and a file of
-    any size is counted by many tasks (a single line must fit one)."""
-    sizes = sorted(set(grams))
-    told = TF.materialize(read_file_lines(spark, path, glob).mapInArrow(_split_counter(sizes, sep), _SPLIT))
+    any size is counted by many tasks (a single line must fit one).
+
+    Several folders are read one after another. If ``glob`` names a plain
+    ending, a file of at most WHOLE_BYTES is one split and read whole; grams
+    that it has more rarely than ``min_freq`` leave no task if no other file has
+    its id.
+    """
+    sizes, folders, plain = sorted(set(grams)), [path] if isinstance(path, str) else list(path), as_stored(glob)
+    split, whole, ids = (scratch_path(spark, x) for x in ("split_grams", "file_grams", "file_ids"))
+    many = plain and min_freq > 1
+    for folder in folders if many else ():
+        names = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").format("binaryFile").load(folder)
+        names.select(file_id(F.col("_metadata.file_path")).alias("file_id")).coalesce(4 * spark.sparkContext.defaultParallelism).write.mode("append").parquet(ids)
+    repeated = _repeated(spark.read.schema("file_id string").parquet(ids)) if many else None
+    for folder in folders:
+        lines = read_file_lines(spark, folder, glob, WHOLE_BYTES if plain else None)
+        lines.mapInArrow(_split_counter(sizes, sep), _SPLIT).write.mode("append").parquet(split)
+        if plain:
+            mark, text = F.lit("\ufeff"), F.col("content")  # lines come without a mark of the byte order too
+            files = read_whole_files(spark, folder, glob, WHOLE_BYTES).select(file_id("path").alias("file_id"), F.when(text.startswith(mark), F.ltrim(text, mark)).otherwise(text).alias("content"))
+            _with_many(files, repeated).mapInArrow(_row_counter(sizes, sep, min_freq), _COUNTS).write.mode("append").parquet(whole)
+    told = spark.read.schema(_SPLIT).parquet(split)
     counts = told.where(F.col("gram").isNotNull()).select("path", "gram", "n")
     if sizes[-1] > 1:
         counts = counts.unionByName(_border_grams(told.where(F.col("head").isNotNull()).select("path", "start", "head", "tail"), sizes, sep))
-    return counts.groupBy(file_id("path").alias("file_id"), "gram").agg(F.sum("n").alias("freq")).where(F.col("freq") >= min_freq)
+    counts = counts.select(file_id("path").alias("file_id"), "gram", "n")
+    if plain:
+        counts = counts.unionByName(spark.read.schema(_COUNTS).parquet(whole))
+    return counts.groupBy("file_id", "gram").agg(F.sum("n").alias("freq")).where(F.col("freq") >= min_freq)
 
 
 def byte_features(files: DataFrame, labels: DataFrame, grams: Sequence[int] = (1, 2),
@@ -229,7 +252,7 @@ def byte_features(files: DataFrame, labels: DataFrame, grams: Sequence[int] = (1
     return ngram_freq(labelled, grams, min_freq, sep).join(lab, "file_id")
 
 
-def byte_features_splits(spark: SparkSession, path: str, labels: DataFrame, grams: Sequence[int] = (1, 2),
+def byte_features_splits(spark: SparkSession, path: str | Sequence[str], labels: DataFrame, grams: Sequence[int] = (1, 2),
                          min_freq: int = 200, sep: str = "", glob: str = "*") -> DataFrame:
     """``byte_features`` of a folder of files, read by splits; ``labels`` has ``file_id, label``."""
     return ngram_freq_splits(spark, path, grams, min_freq, sep, glob).join(labels.select("file_id", "label"), "file_id")

@@ -12,7 +12,7 @@ from bayesmill.operators import bytegrams as BG
 from bayesmill.operators import order as O
 from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
-from bayesmill.sources.files import read_whole_files, write_whole_files
+from bayesmill.sources.files import FOLDER_FILES, folder_batches, read_whole_files, write_whole_files
 from bayesmill.sources.lines import read_csv_first_column, read_lines_indexed, write_lines
 
 R = 6
@@ -84,21 +84,25 @@ def src_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def src_whole_files(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-file source: one byte-dump file per document, read back whole, its name and id from its real path."""
-    r = read_whole_files(spark, _files_on_disk(spark, sf), "*.bytes")
-    return r.select(file_id_expr("path").alias("file_id"), F.substring_index("path", "/", -1).alias("file_name"),
-                    F.length("content").cast("long").alias("n_chars"))
+    path = scratch_path(spark, "whole_files")
+    for folder in _files_on_disk(spark, sf):
+        r = read_whole_files(spark, folder, "*.bytes")
+        named = r.select(file_id_expr("path").alias("file_id"), F.substring_index("path", "/", -1).alias("file_name"), F.length("content").cast("long").alias("n_chars"))
+        named.write.mode("append").parquet(path)
+    return spark.read.schema("file_id string, file_name string, n_chars long").parquet(path)
 
 
-def _files_on_disk(spark, sf) -> str:
-    """A folder of the byte files under their own names."""
+def _files_on_disk(spark, sf) -> list[str]:
+    """Folders of the byte files under their own names."""
     path = scratch_path(spark, "bytes")
     f = T.byte_files(spark, sf).select(F.substring_index("path", "/", -1).alias("name"), "content")
-    write_whole_files(f, path, "name", "content").write.format("noop").mode("overwrite").save()
-    return path
+    folders = max(1, -(-f.count() // FOLDER_FILES))
+    write_whole_files(f, path, "name", "content", folders).write.format("noop").mode("overwrite").save()
+    return folder_batches(path, folders)
 
 
 def byte_features_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Byte features from a folder of files, read by splits: path -> id -> grams -> labels."""
+    """Byte features from folders of files, read by splits: path -> id -> grams -> labels."""
     return BG.byte_features_splits(spark, _files_on_disk(spark, sf), _zipped_labels(spark, sf), GRAMS, MIN_FREQ, glob="*.bytes")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions.bytes import byte_string, byte_tokens, file_id
 from bayesmill.operators import bytegrams as BG
+from bayesmill.sources import files as files_source
 from bayesmill.sources import tables as T
 from bayesmill.sources.files import read_file_lines, read_whole_files, write_whole_files
 
@@ -192,3 +193,22 @@ def test_byte_content_is_laid_out_by_lines(spark):
         return "00401000 " + "".join(c + ("\r\n00401000 " if i % 16 == 15 else "") for i, c in enumerate(code))
 
     assert {r["doc_id"]: r["content"] for r in df.collect()} == {i: None if t is None else want(t) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("whole", [0, 120, 1 << 16])
+def test_folders_of_files_are_read_one_after_another(spark, tmp_path, monkeypatch, whole):
+    told, made = {}, []
+    for n in range(3):
+        made.append(str(tmp_path / f"x{n}"))
+        for name, codes in dumps(made[-1]).items():
+            told.setdefault(name, []).append(codes)
+    (tmp_path / "x0" / "mark.bytes").write_bytes("﻿AA AA AA".encode())
+    told["mark"] = [["AA"] * 3]
+    monkeypatch.setattr(BG, "WHOLE_BYTES", whole)
+    monkeypatch.setattr(BG, "scratch_path", lambda _, name: str(tmp_path / name))
+    got = BG.ngram_freq_splits(spark, made, (1, 2, 3), 3, glob="*.bytes").collect()
+    want = Counter((f, "".join(t[i:i + k])) for f, ts in told.items() for t in ts for k in (1, 2, 3) for i in range(len(t) - k + 1))
+    assert {(r["file_id"], r["gram"]): r["freq"] for r in got} == {x: n for x, n in want.items() if n >= 3} and len(got) == len({(r["file_id"], r["gram"]) for r in got})
+    if whole > 1000:
+        kept = {(r["file_id"], r["gram"]) for r in spark.read.parquet(str(tmp_path / "file_grams")).collect()}
+        assert ("mark", "AA") in kept and ("mark", "AAAA") not in kept
