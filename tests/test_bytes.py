@@ -212,3 +212,21 @@ def test_folders_of_files_are_read_one_after_another(spark, tmp_path, monkeypatc
     if whole > 1000:
         kept = {(r["file_id"], r["gram"]) for r in spark.read.parquet(str(tmp_path / "file_grams")).collect()}
         assert ("mark", "AA") in kept and ("mark", "AAAA") not in kept
+
+
+def test_many_files_make_few_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files_source, "BATCH_FOLDERS", 3)
+    rows = [(f"n{i}.bytes", f"00401000 {i:02X}") for i in range(200)]
+    df = spark.createDataFrame(rows, "name string, content string").repartition(4)
+    write_whole_files(df, str(tmp_path / "x"), "name", "content", 7).write.format("noop").mode("overwrite").save()
+    batches = files_source.folder_batches(str(tmp_path / "x"), 7)
+    assert len(batches) == 3 and sum(len(x) > 0 for _, _, x in os.walk(tmp_path / "x")) == 7
+    kept = spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task a file
+        read = [read_whole_files(spark, b, "*.bytes") for b in batches]
+        assert all(r.rdd.getNumPartitions() <= 16 for r in read)
+        got = [(r["path"].rsplit("/", 1)[1], r["content"]) for x in read for r in x.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", kept)
+    assert sorted(got) == sorted(rows)
