@@ -18,6 +18,7 @@ joins what several tasks have of one file. Two sources:
 
 from __future__ import annotations
 
+import functools
 import sys
 from collections.abc import Iterator, Sequence
 
@@ -217,7 +218,8 @@ def ngram_freq_splits(spark: SparkSession, path: str | Sequence[str], grams: Seq
     its id.
     """
     sizes, folders, plain = sorted(set(grams)), [path] if isinstance(path, str) else list(path), as_stored(glob)
-    split, whole, ids = (scratch_path(spark, x) for x in ("split_grams", "file_grams", "file_ids"))
+    whole, ids = (scratch_path(spark, x) for x in ("file_grams", "file_ids"))
+    splits = []
     many = plain and min_freq > 1
     for folder in folders if many else ():
         names = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").format("binaryFile").load(folder)
@@ -225,12 +227,12 @@ def ngram_freq_splits(spark: SparkSession, path: str | Sequence[str], grams: Seq
     repeated = _repeated(spark.read.schema("file_id string").parquet(ids)) if many else None
     for folder in folders:
         lines = read_file_lines(spark, folder, glob, WHOLE_BYTES if plain else None)
-        lines.mapInArrow(_split_counter(sizes, sep), _SPLIT).write.mode("append").parquet(split)
+        splits.append(TF.materialize(lines.mapInArrow(_split_counter(sizes, sep), _SPLIT)))
         if plain:
             mark, text = F.lit("\ufeff"), F.col("content")  # lines come without a mark of the byte order too
             files = read_whole_files(spark, folder, glob, WHOLE_BYTES).select(file_id("path").alias("file_id"), F.when(text.startswith(mark), F.ltrim(text, mark)).otherwise(text).alias("content"))
             _with_many(files, repeated).mapInArrow(_row_counter(sizes, sep, min_freq), _COUNTS).write.mode("append").parquet(whole)
-    told = spark.read.schema(_SPLIT).parquet(split)
+    told = functools.reduce(DataFrame.unionByName, splits)
     counts = told.where(F.col("gram").isNotNull()).select("path", "gram", "n")
     if sizes[-1] > 1:
         counts = counts.unionByName(_border_grams(told.where(F.col("head").isNotNull()).select("path", "start", "head", "tail"), sizes, sep))
