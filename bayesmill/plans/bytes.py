@@ -12,7 +12,7 @@ from bayesmill.operators import bytegrams as BG
 from bayesmill.operators import order as O
 from bayesmill.session import scratch_path
 from bayesmill.sources import tables as T
-from bayesmill.sources.files import FOLDER_FILES, folder_batches, read_whole_files, write_whole_files
+from bayesmill.sources.files import FOLDER_FILES, each_folder, folder_batches, read_whole_files, write_whole_files
 from bayesmill.sources.lines import read_csv_first_column, read_lines_indexed, write_lines
 
 R = 6
@@ -85,19 +85,23 @@ def src_lines(spark: SparkSession, sf: str) -> DataFrame:
 def src_whole_files(spark: SparkSession, sf: str) -> DataFrame:
     """Whole-file source: one byte-dump file per document, read back whole, its name and id from its real path."""
     path = scratch_path(spark, "whole_files")
-    for folder in _files_on_disk(spark, sf):
+    folders = _files_on_disk(spark, sf)
+
+    def read(k: int, folder: str) -> None:
         r = read_whole_files(spark, folder, "*.bytes")
         named = r.select(file_id_expr("path").alias("file_id"), F.substring_index("path", "/", -1).alias("file_name"), F.length("content").cast("long").alias("n_chars"))
-        named.write.mode("append").parquet(path)
-    return spark.read.schema("file_id string, file_name string, n_chars long").parquet(path)
+        named.write.parquet(f"{path}/{k:05d}")
+
+    each_folder(spark, folders, read)
+    return spark.read.schema("file_id string, file_name string, n_chars long").parquet(*[f"{path}/{k:05d}" for k in range(len(folders))])
 
 
 def _files_on_disk(spark, sf) -> list[str]:
     """Folders of the byte files under their own names."""
     path = scratch_path(spark, "bytes")
-    f = T.byte_files(spark, sf).select(F.substring_index("path", "/", -1).alias("name"), "content")
+    f = T.byte_paths(spark, sf).select(F.substring_index("path", "/", -1).alias("name"), F.col("text").cast("binary").alias("text"))
     folders = max(1, -(-f.count() // FOLDER_FILES))
-    write_whole_files(f, path, "name", "content", folders).write.format("noop").mode("overwrite").save()
+    write_whole_files(f, path, "name", "text", folders, T.byte_dump).write.format("noop").mode("overwrite").save()
     return folder_batches(path, folders)
 
 

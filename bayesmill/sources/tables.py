@@ -14,12 +14,17 @@ from __future__ import annotations
 
 import math
 import os
+import sys
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bayesmill.functions.labels import label_set
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the test fixture: the three classes derived from `labels`.
 CLASSES = ("HIQ", "LOQ", "TOX")
 TEST_MODULUS = 5
@@ -89,6 +94,20 @@ def with_byte_content(files: DataFrame) -> DataFrame:
     return files.withColumn("_hex", F.hex("text")).withColumn("content", content).drop("text", "_hex")
 
 
+_CODES = np.array([list(f"{b:02X} ".replace("0A ", "?? ").encode()) for b in range(256)], np.uint8)
+_NEXT_LINE = np.frombuffer(f"\r\n{BYTE_ADDRESS} ".encode(), np.uint8)
+
+
+def byte_dump(text: bytes) -> bytes:
+    """The ``content`` that ``with_byte_content`` gives a text, for tasks that write it: far quicker than by matches."""
+    codes = np.take(_CODES, np.frombuffer(text, np.uint8), axis=0)
+    n = len(codes) // BYTES_PER_LINE
+    lines = np.empty((n, 3 * BYTES_PER_LINE + len(_NEXT_LINE)), np.uint8)
+    lines[:, :3 * BYTES_PER_LINE] = codes[:n * BYTES_PER_LINE].reshape(n, 3 * BYTES_PER_LINE)
+    lines[:, 3 * BYTES_PER_LINE:] = _NEXT_LINE
+    return BYTE_ADDRESS.encode() + b" " + lines.tobytes() + codes[n * BYTES_PER_LINE:].tobytes()
+
+
 def byte_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, path, content)``: one file per document."""
     return with_byte_content(byte_paths(spark, sf_dir))

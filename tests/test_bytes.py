@@ -1,6 +1,8 @@
+import hashlib
 import math
 import os
 import random
+import threading
 from collections import Counter
 
 import pyarrow as pa
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions.bytes import byte_string, byte_tokens, file_id
 from bayesmill.operators import bytegrams as BG
+from bayesmill.plans import bytes as P
 from bayesmill.sources import files as files_source
 from bayesmill.sources import tables as T
 from bayesmill.sources.files import read_file_lines, read_whole_files, write_whole_files
@@ -230,3 +233,44 @@ def test_many_files_make_few_tasks(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", kept)
     assert sorted(got) == sorted(rows)
+
+
+def test_dumps_written_by_tasks_are_those_of_the_columns(spark):
+    texts = [b"", b"a", b"x" * 15, b"y" * 16, b"z" * 17, b"a\nb\n" * 9, "é€\U0001f600".encode() * 40, bytes(range(256)), b"\n" * 32]
+    df = spark.createDataFrame([(i, bytearray(t)) for i, t in enumerate(texts)], "doc_id long, text binary")
+    want = T.with_byte_content(df.withColumn("text", F.col("text").cast("string")))
+    assert {r["doc_id"]: r["content"] for r in want.collect()} == {i: T.byte_dump(t).decode() for i, t in enumerate(texts)}
+
+
+def test_whole_files_are_laid_out_by_their_tasks_and_folders_read_beside_each_other(spark, tmp_path, monkeypatch):
+    texts = ["", "a", "x" * 16, "a\nb" * 30, "é€" * 40, "z" * 500, "q r", "\n"]
+    rows = [(i, t, "en", "web", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(P, "FOLDER_FILES", 1)
+    monkeypatch.setattr(files_source, "BATCH_FOLDERS", 1)
+    monkeypatch.setattr(P, "scratch_path", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(T, "with_byte_content", None)  # no matches in columns
+    both, read = threading.Barrier(2), P.read_whole_files
+
+    def met(*args):
+        both.wait(60)
+        return read(*args)
+
+    monkeypatch.setattr(P, "read_whole_files", met)
+    got = sorted(tuple(r) for r in P.src_whole_files(spark, str(tmp_path)).collect())
+    names = [hashlib.md5(str(i).encode()).hexdigest() for i in range(len(texts))]
+    assert got == sorted((n[-20:], f"{n}.bytes", 9 + 3 * len(t.encode()) + 11 * (len(t.encode()) // 16)) for n, t in zip(names, texts, strict=True))
+    assert any(not files for path, made, files in os.walk(tmp_path / "bytes") if not made)  # also from empty folders
+
+
+def test_a_folder_that_fails_ends_the_read(spark):
+    begun = []
+
+    def job(k, folder):
+        begun.append(folder)
+        raise ValueError(folder)
+
+    with pytest.raises(ValueError, match="f0"):
+        files_source.each_folder(spark, [f"f{k}" for k in range(50)], job)
+    files_source.each_folder(spark, [], job)
+    assert "f0" in begun
