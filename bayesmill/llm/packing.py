@@ -1,7 +1,7 @@
 """Lexical retrieval packing: a sharded BM25 index returns unused neighbours for each seed document, which fill its window.
 
-Texts are tokenized once into a saved table (a word's ids are looked up, as white space always parts tokens; ids take
-two bytes). The same tasks count the documents of each token: a table that the vocabulary bounds.
+Texts are tokenized once into a saved table (by the distinct words of many texts, as white space always parts tokens;
+ids take two bytes). The same tasks count the documents of each token: a table that the vocabulary bounds.
 A document's key is KEYS of its tokens, each chosen as the least of hashes that weigh tokens by idf (weighted min-hash):
 two documents choose the same one as often as they share tokens by weight. The table is shuffled into ranges of the key,
 so a shard (about SHARD_TOKENS ids) holds documents of like words from all over the table, whatever the files' order and
@@ -18,14 +18,14 @@ rows, documents longer than a window are cut, documents that share no token with
 
 from __future__ import annotations
 
-import gc
-import re
+import itertools
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,94 +40,112 @@ K1, B = 1.2, 0.75
 NEIGHBOURS = 24  # of a retrieval; a window that needs more retrieves again
 SHARD_TOKENS = 1_500_000
 KEYS = 4  # 16-bit ids that fill a long
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 400_000  # where the tokenizer gets each word
+SLICE_BYTES = 1 << 25  # of text whose distinct words are told apart at once
 PIECES = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-# Bytes of Latin-1 for which parting at white space and lower-casing agree everywhere: no control characters but tab
-# and line breaks, no non-breaking space.
-_PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
+# Latin-1 for which parting at white space and lower-casing agree everywhere: no control characters but tab and line
+# breaks, no non-breaking space.
+_PLAIN = "\t\n\r -~\xa1-\xff"
+_BEYOND = rf"<\||[^{_PLAIN}]"  # a text with a match goes to the tokenizer whole: "<|" may begin a special token
 
-
-# How the tokenizer parts a lower-case word of these bytes (letters, single digits, and marks in a row).
+# How the tokenizer parts a lower-case word of these characters (letters, single digits, and marks in a row).
 _LETTERS, _DIGITS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+")
-_WORD_END = b"\xff"  # in no text: stands for the mark of a word's end
+_PIECE = f"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}]+)"
+_PIECE_END = "\x01"  # in no plain text: stands for the mark of a piece's end
 
 
 class WordIds:
-    """Lower-case word -> its ids as bytes.
+    """Texts -> their ids as bytes, by way of the distinct words of many texts.
 
-    A word is parted as the tokenizer parts it. A piece goes through the same merges in a faster library (its bytes and
-    a last one for the word's end), as long as it agrees on a few words and on every entry that ends a word.
+    A word is parted as the tokenizer parts it. All pieces of all new words go through the same merges in a faster library
+    with one call (their characters and a last one for the piece's end), as long as it agrees on a few words, on every
+    plain character and on every entry that ends a piece; otherwise the tokenizer gets each word.
     """
 
     def __init__(self, tokenizer: Tokenizer):
         import tiktoken
 
-        self.tokenizer, self.kept, letters = tokenizer, {}, byte_letters()
+        self.tokenizer, self.kept, letters, end = tokenizer, {}, byte_letters(), _PIECE_END.encode()
         special = set(tokenizer.get_added_tokens_decoder())
-        ranks = {}
-        for token, i in tokenizer.get_vocab().items():
-            if i not in special:
-                body = token.removesuffix("</w>")
-                ranks[bytes(letters[c] for c in body) + (_WORD_END if body != token else b"")] = i
-        self.merge = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-        words = ("the", "internationalizing", "straße", "naïvetéñ", "qzxjkv", "ÿþð", "!?")
-        self.direct = all(self._merged(w) == self._any(w) for w in words) and all(self.merge(b) == [i] for b, i in ranks.items() if b.endswith(_WORD_END) and len(b) > 1)
-
-    def _merged(self, piece: str) -> bytes:
-        return array("H", self.merge(piece.encode() + _WORD_END)).tobytes()
-
-    def _any(self, word: str) -> bytes:
-        return array("H", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-
-    def word(self, word: str) -> bytes:
+        ranks, entries = {}, [(t, i) for t, i in tokenizer.get_vocab().items() if i not in special]
+        for token, i in entries:
+            body = token.removesuffix("</w>")
+            ranks[bytes(letters[c] for c in body) + (end if body != token else b"")] = i
+        last = {b: i for b, i in ranks.items() if len(b) > 1 and b.endswith(end)}
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[list(last.values())] = True
+        self.merge = tiktoken.Encoding("pieces", pat_str=f"[^{_PIECE_END}]+{_PIECE_END}", mergeable_ranks=ranks, special_tokens={})
+        plain = [chr(c) for c in range(0x21, 0x100) if not 0x7F <= c <= 0xA0]
+        # a piece's last byte meets the end before any other merge, so that each piece has one entry that ends it
+        ending = [last.get(bytes([b]) + end, 1 << 16) for b in set("".join(plain).encode())]
+        longer = [i for b, i in ranks.items() if len(b) > 1 and not (len(b) == 2 and b in last)]
+        self.direct = len(ranks) == len(entries) and max(ending) < min(longer, default=1 << 16)
+        if self.direct:
+            words = ["the", "internationalizing", "straße", "naïvetéñ", "qzxjkv", "ÿþð", "!?", "Isn't", "A1-b22...", *plain]
+            self.direct = self._merged(pa.array(words)).to_pylist() == [self._any(w) for w in words] and all(
+                self.merge._encode_single_piece(b) == [i] for b, i in last.items())
+
+    def _any(self, text: str) -> bytes:
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _remembered(self, word: str) -> bytes:
         v = self.kept.get(word)
-        if v is not None:
-            return v
-        pieces = [word] if self.direct and word.isalpha() else _PIECE.findall(word) if self.direct else []
-        if len(pieces) > 1:
-            v = b"".join(map(self.word, pieces))
-        else:
-            v = self._merged(word) if pieces else self._any(word)
-        if len(self.kept) < REMEMBERED_WORDS:  # frequent words come early, so what is kept stays
-            self.kept[word] = v
+        if v is None:
+            v = self._any(word)
+            if len(self.kept) < REMEMBERED_WORDS:  # frequent words come early, so what is kept stays
+                self.kept[word] = v
         return v
 
-    def of(self, text: str) -> bytes:
-        """Ids of a whole text. Texts beyond plain Latin-1, and texts with marks of special tokens, go to the tokenizer whole."""
-        try:
-            plain = "<|" not in text and not text.encode("latin-1").translate(None, _PLAIN)
-        except UnicodeEncodeError:
-            plain = False
-        if plain:
-            words = text.lower().split()
-            ids = list(map(self.kept.get, words))
-            if None in ids:
-                ids = [self.word(w) if v is None else v for w, v in zip(words, ids, strict=True)]
-            return b"".join(ids)
-        return self._any(text)
+    def _merged(self, words: pa.Array) -> pa.Array:
+        marked = pc.replace_substring_regex(pc.utf8_lower(words), _PIECE, rf"\1{_PIECE_END}")
+        pieces = pc.count_substring(marked, _PIECE_END).to_numpy()
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), marked), "")[0].as_py()
+        ids = self.merge.encode_to_numpy(text, disallowed_special=()).astype(np.uint16)
+        ends = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
+        starts = 2 * ends[np.concatenate(([0], np.cumsum(pieces)))]
+        return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(ids)])
+
+    def of(self, texts: pa.Array) -> pa.Array:
+        """Ids of whole texts. Texts beyond plain Latin-1, and texts with marks of special tokens, go to the tokenizer whole."""
+        beyond = pc.match_substring_regex(texts, _BEYOND)
+        words = pc.ascii_split_whitespace(pc.if_else(beyond, "", texts))
+        found = words.flatten().dictionary_encode()
+        new = found.dictionary
+        ids = self._merged(new) if self.direct else pa.array([self._remembered(w.lower()) for w in new.to_pylist()], pa.binary())
+        out = pc.binary_join(pa.ListArray.from_arrays(words.offsets, ids.take(found.indices)), b"")
+        if beyond.true_count:
+            out = pc.replace_with_mask(out, beyond, pa.array([self._any(t) for t in texts.filter(beyond).to_pylist()], pa.binary()))
+        return out
+
+    def whole(self, texts: pa.Array) -> pa.Array:
+        """Ids of texts for tokenizers that do not part them at white space."""
+        return pa.array([self._any(t) for t in texts.to_pylist()], pa.binary())
+
+
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about SLICE_BYTES of text."""
+    part = np.cumsum(pc.binary_length(b.column("text")).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+    return (b.slice(s, e - s) for s, e in itertools.pairwise(cuts))
 
 
 def _tokenizer(model: str, by_word: bool, end: int):
-    tail = array("H", [end]).tobytes()
+    tail = pa.scalar(array("H", [end]).tobytes(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = worker_memory(f"word ids {zlib.crc32(model.encode())}", lambda: WordIds(Tokenizer.from_str(model)))
         pa.default_memory_pool().release_unused()  # what earlier tasks of this worker have left
-        one = words.of if by_word else words._any
+        of = words.of if by_word else words.whole
         df, docs, tokens, kind = np.zeros(1 << 16, np.int64), 0, 0, None
-        for b in batches:
-            gc.disable()  # the collector would walk the kept words again and again; nothing here is cyclic
-            try:
-                ids = [one(t or "") + tail for t in b.column("text").to_pylist()]
-            finally:
-                gc.enable()
-            for x in ids:
-                df[np.unique(np.frombuffer(x, np.uint16))] += 1
-            docs, tokens, kind = docs + len(ids), tokens + sum(map(len, ids)) // 2, b.column("doc_id").type
+        for b in itertools.chain.from_iterable(map(_slices, batches)):
+            texts = b.column("text").cast(pa.string()).fill_null("")
+            ids = pc.binary_join_element_wise(of(texts), tail, pa.scalar(b"", pa.binary()))
+            for x in ids.to_pylist():
+                df[np.frombuffer(x, np.uint16)] += 1  # once a document, however often it holds the id
             n = b.num_rows
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=["doc_id", "ids", "term", "n"])
+            docs, tokens, kind = docs + n, tokens + (pc.sum(pc.binary_length(ids)).as_py() or 0) // 2, b.column("doc_id").type
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=["doc_id", "ids", "term", "n"])
         if docs:
             held = np.flatnonzero(df)
             terms, n = [*held.tolist(), -1, -2], [*df[held].tolist(), docs, tokens]

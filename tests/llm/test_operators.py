@@ -86,6 +86,44 @@ def test_packing_covers_every_id(docs, empty):
     assert packing.pack_documents(empty, word_tokenizer()).count() == 0
 
 
+def test_packing_tokenizes_without_python_work_by_word():
+    import sys
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    with open(word_tokenizer(), encoding="utf-8") as f:
+        model = f.read()
+    rng = np.random.default_rng(11)
+    letters = np.array([*"abcdefghijklmnoprstuvwxyzäéñßµTHE'9²-.,!?#"])
+    new_words = [" ".join("".join(rng.choice(letters, n)) for n in rng.integers(3, 14, 200)) for _ in range(100)]
+    odd = ["", " \n", "\tIt's 'sd  A1-b²,\r\nend ", "a<|endoftext|>b <|", "a\x85b c\xa0d\x0be", "\x01 x\x01", "中文 ÿ", "Ünter</w> x"]
+    texts = [*new_words, *odd, None]
+    table = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    run = packing._tokenizer(model, True, 2)
+    list(run(iter([table.slice(0, 0), table.slice(len(texts) - 1)])))
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        *told, counts = run(iter([table.slice(0, 50), table.slice(50)]))
+    finally:
+        sys.setprofile(None)
+    assert calls < 5_000  # 20,000 words, nearly all new
+    tokenizer = Tokenizer.from_file(word_tokenizer())
+    want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert [np.frombuffer(x, np.uint16).tolist() for b in told for x in b.column("ids").to_pylist()] == want
+    held = collections.Counter(i for ids in want for i in set(ids))
+    assert dict(zip(counts.column("term").to_pylist(), counts.column("n").to_pylist(), strict=True)) == {**held, -1: len(texts), -2: sum(map(len, want))}
+    slow = packing.WordIds(tokenizer)
+    slow.direct = False
+    assert [np.frombuffer(x, np.uint16).tolist() + [2] for x in slow.of(pa.array([t or "" for t in texts])).to_pylist()] == want
+
+
 def test_packing_neighbours_by_all_tokens():
     seed, rare = np.arange(100, dtype=np.uint16), np.arange(32, dtype=np.uint16)
     docs = [seed, rare, np.array([200], np.uint16), np.array([99, 201], np.uint16)]
