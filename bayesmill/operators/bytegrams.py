@@ -33,7 +33,7 @@ from bayesmill.functions.bytes import TOKEN_LENGTH, byte_tokens, file_id
 from bayesmill.functions.codes import codes, count_grams, joined, parted
 from bayesmill.operators import tfidf as TF
 from bayesmill.session import scratch_path
-from bayesmill.sources.files import as_stored, read_file_lines, read_whole_files
+from bayesmill.sources.files import as_stored, each_folder, read_file_lines, read_whole_files
 
 CHUNK_CODES = 1 << 20    # counted at once in a task
 BLOCK_CHUNKS = 16        # of a block of files
@@ -212,33 +212,41 @@ def ngram_freq_splits(spark: SparkSession, path: str | Sequence[str], grams: Seq
     """``(file_id, gram, freq)`` of the files below ``path``, read by splits: the lines are never shuffled, and a file of
     any size is counted by many tasks (a single line must fit one).
 
-    Several folders are read one after another. If ``glob`` names a plain
+    Several folders are read a few at a time, so that the driver holds the names of those alone. If ``glob`` names a plain
     ending, a file of at most WHOLE_BYTES is one split and read whole; grams
     that it has more rarely than ``min_freq`` leave no task if no other file has
     its id.
     """
     sizes, folders, plain = sorted(set(grams)), [path] if isinstance(path, str) else list(path), as_stored(glob)
     whole, ids = (scratch_path(spark, x) for x in ("file_grams", "file_ids"))
-    splits = []
+    splits: dict[int, DataFrame] = {}
     many = plain and min_freq > 1
-    for folder in folders if many else ():
+    tasks = 4 * spark.sparkContext.defaultParallelism
+
+    def name(k: int, folder: str) -> None:
         names = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").format("binaryFile").load(folder)
-        names.select(file_id(F.col("_metadata.file_path")).alias("file_id")).coalesce(4 * spark.sparkContext.defaultParallelism).write.mode("append").parquet(ids)
-    repeated = _repeated(spark.read.schema("file_id string").parquet(ids)) if many else None
-    for folder in folders:
+        names.select(file_id(F.col("_metadata.file_path")).alias("file_id")).coalesce(tasks).write.parquet(f"{ids}/folder={k}")
+
+    def count(k: int, folder: str) -> None:
         lines = read_file_lines(spark, folder, glob, WHOLE_BYTES if plain else None)
-        splits.append(TF.materialize(lines.mapInArrow(_split_counter(sizes, sep), _SPLIT)))
+        if len(folders) > 1:
+            lines = lines.coalesce(tasks)  # else the tasks that read them again grow with the folders
+        splits[k] = TF.materialize(lines.mapInArrow(_split_counter(sizes, sep), _SPLIT))
         if plain:
             mark, text = F.lit("\ufeff"), F.col("content")  # lines come without a mark of the byte order too
             files = read_whole_files(spark, folder, glob, WHOLE_BYTES).select(file_id("path").alias("file_id"), F.when(text.startswith(mark), F.ltrim(text, mark)).otherwise(text).alias("content"))
-            _with_many(files, repeated).mapInArrow(_row_counter(sizes, sep, min_freq), _COUNTS).write.mode("append").parquet(whole)
-    told = functools.reduce(DataFrame.unionByName, splits)
+            _with_many(files, repeated).mapInArrow(_row_counter(sizes, sep, min_freq), _COUNTS).write.parquet(f"{whole}/folder={k}")
+
+    each_folder(spark, folders if many else (), name)
+    repeated = _repeated(spark.read.schema("file_id string").parquet(ids)) if many else None
+    each_folder(spark, folders, count)
+    told = functools.reduce(DataFrame.unionByName, [splits[k] for k in sorted(splits)])
     counts = told.where(F.col("gram").isNotNull()).select("path", "gram", "n")
     if sizes[-1] > 1:
         counts = counts.unionByName(_border_grams(told.where(F.col("head").isNotNull()).select("path", "start", "head", "tail"), sizes, sep))
     counts = counts.select(file_id("path").alias("file_id"), "gram", "n")
     if plain:
-        counts = counts.unionByName(spark.read.schema(_COUNTS).parquet(whole))
+        counts = counts.unionByName(spark.read.schema(_COUNTS).parquet(whole).drop("folder"))
     return counts.groupBy("file_id", "gram").agg(F.sum("n").alias("freq")).where(F.col("freq") >= min_freq)
 
 

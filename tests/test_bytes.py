@@ -274,3 +274,30 @@ def test_a_folder_that_fails_ends_the_read(spark):
         files_source.each_folder(spark, [f"f{k}" for k in range(50)], job)
     files_source.each_folder(spark, [], job)
     assert "f0" in begun
+
+
+def test_the_driver_keeps_no_listing_of_folders_that_were_read(spark, tmp_path, monkeypatch):
+    """Spark would keep up to 250 MB of them; and a folder holds a bounded number of files, whatever the table is."""
+    key, kept = "spark.sql.hive.filesourcePartitionFileCacheSize", []
+    df = spark.createDataFrame([(f"n{i}.bytes", "00401000 AA AA BB") for i in range(12)], "name string, content string")
+    monkeypatch.setattr(files_source, "BATCH_FOLDERS", 2)
+    write_whole_files(df, str(tmp_path / "x"), "name", "content", 6).write.format("noop").mode("overwrite").save()
+    read = BG.read_whole_files
+
+    def seen(spark, path, *args):
+        kept.append(spark.conf.get(key))
+        return read(spark, path, *args)
+
+    monkeypatch.setattr(BG, "read_whole_files", seen)
+    got = BG.ngram_freq_splits(spark, files_source.folder_batches(str(tmp_path / "x"), 6), (1,), 2, glob="*.bytes").collect()
+    assert sorted(map(tuple, got)) == sorted((f"n{i}", "AA", 2) for i in range(12))
+    assert kept == ["0"] * 3 and spark.conf.get(key, None) is None
+    spark.conf.set(key, "1000")
+    try:
+        with pytest.raises(ValueError), files_source.listed_once(spark):
+            raise ValueError
+        assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.unset(key)
+    monkeypatch.undo()
+    assert files_source.FOLDER_FILES * files_source.BATCH_FOLDERS <= 20_000
