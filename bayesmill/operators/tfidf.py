@@ -8,10 +8,13 @@ Plan shape (documents ``(doc_id, text)``):
   partitioning with no further exchange,
 * document frequency is a partial + final aggregate by ``term`` (hot terms are
   pre-combined map side, so a term in every document costs one row per task),
-* TF-IDF joins TF with IDF on ``term``; the heaviest terms are salted over
+* ``tfidf`` joins TF with IDF on ``term``; the heaviest terms are salted over
   several tasks (``operators/skew.py``); the join strategy is Spark's: the IDF
   side is broadcast only when its measured size is under the threshold,
-  otherwise sort-merge, with AQE splitting what stays skewed.
+  otherwise sort-merge, with AQE splitting what stays skewed,
+* the whole chain, ``tfidf_table``, saves blocks of documents and brings the
+  document frequencies back to them (``operators/term_blocks.py``); its (doc,
+  term) rows are neither shuffled nor saved.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from bayesmill.functions.stem import normalize_terms
 from bayesmill.functions.text import filtered_tokens, with_terms
+from bayesmill.operators import term_blocks
 from bayesmill.operators.skew import salted_lookup_join
 from bayesmill.session import ensure_checkpoint_dir
 
@@ -128,10 +132,14 @@ def tfidf(tf: DataFrame, idf_table: DataFrame, id_col: str = "doc_id", sqrt: boo
     found in most documents are spread over tasks by its share of all rows.
     """
     j = salted_lookup_join(tf, idf_table.select("term", "df", "idf"), "term", "df", id_col).drop("df")
+    return _weighted(j, id_col, *keep, sqrt=sqrt)
+
+
+def _weighted(rows: DataFrame, *keys: str, sqrt: bool) -> DataFrame:
     w = F.col("tf") * F.col("idf")
     if sqrt:
         w = F.pow(w, 0.5)
-    return j.select(id_col, *keep, "term", "tf", "idf", w.alias("tfidf"))
+    return rows.select(*keys, "term", "tf", "idf", w.alias("tfidf"))
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -147,8 +155,10 @@ def materialize(df: DataFrame) -> DataFrame:
 def tfidf_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2),
                 sep: str = "", sqrt: bool = False, checkpoint: bool = True) -> DataFrame:
-    """Whole chain: documents -> TF -> DF -> IDF -> TF-IDF."""
-    tf = term_freq(docs, id_col, text_col, stop_words, grams, sep)
-    if checkpoint:
-        tf = materialize(tf)
-    return tfidf(tf, idf(doc_freq(tf), count_docs(docs)), id_col, sqrt)
+    """Whole chain: documents -> TF -> DF -> IDF -> TF-IDF. Documents are saved in blocks of words (``term_blocks``); with
+    ``checkpoint=False`` nothing is saved, and the (doc, term) rows are counted twice and shuffled by term."""
+    if not checkpoint:
+        tf = term_freq(docs, id_col, text_col, stop_words, grams, sep)
+        return tfidf(tf, idf(doc_freq(tf), count_docs(docs)), id_col, sqrt)
+    rows = term_blocks.counted(docs, id_col, text_col, stop_words, grams, sep)
+    return _weighted(idf(rows, count_docs(docs), id_col, "tf"), id_col, sqrt=sqrt)
