@@ -6,6 +6,9 @@ have them, dealt over buckets by a hash of the term; a task adds up a bucket of
 all blocks and gives each block the document frequencies of its terms, in the
 order it told them. There they meet the saved documents, whose terms are counted
 again. Rows of one id must lie in one block, and fit a task.
+
+``stemmed_counts`` saves the same blocks with their words; each distinct word is
+normalised once, as a table, and its norm comes back to the blocks that have it.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
+from bayesmill.functions.stem import normalize_terms
 from bayesmill.functions.stopwords import default_stop_words
 from bayesmill.session import scratch_path
 
@@ -159,53 +163,63 @@ def _words(text: pa.StringArray, stop_words: pa.StringArray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), flat.take(pa.array(at)))
 
 
+def _numbered(lists: list[pa.Array]) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """``codes, lengths, words`` of rows of words: their places in the sorted ``words``, row after row."""
+    rows = pa.concat_arrays(lists)
+    flat = rows.flatten().dictionary_encode()
+    order = pc.sort_indices(flat.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank[flat.indices.to_numpy()], pc.list_value_length(rows).to_numpy().astype(np.int64), flat.dictionary.take(pa.array(order))
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch], stop_words: Sequence[str], told) -> Iterator[pa.RecordBatch]:
+    """What ``told`` makes of each block's number, ids and words, from rows ``id, text``."""
+    pa.default_memory_pool().release_unused()  # what earlier tasks of this worker have left
+    block, ids, lists, held, last = TaskContext.get().partitionId() << 33, [], [], 0, None
+    listed = pa.array(["", *stop_words], pa.string())
+    for b in (x.slice(at, SLICE_ROWS) for x in batches for at in range(0, x.num_rows, SLICE_ROWS)):
+        names, words, begun = b.column("id"), _words(_cleaned(b.column("text")), listed), 0
+        for i, (name, n) in enumerate(zip(names.to_pylist(), pc.list_value_length(words).to_pylist(), strict=True)):
+            if held >= BLOCK_WORDS and name != last:
+                yield from told(block, [*ids, names.slice(begun, i - begun)], [*lists, words.slice(begun, i - begun)])
+                block, ids, lists, held, begun = block + 1, [], [], 0, i
+                pa.default_memory_pool().release_unused()
+            held, last = held + n, name
+        ids.append(names.slice(begun))
+        lists.append(words.slice(begun))
+    if held:
+        yield from told(block, ids, lists)
+
+
+def _rows(names: Sequence[str], kinds: Sequence[pa.DataType], n: int, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names)
+
+
+def _as_list(ids: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+
+
 def _blocks(grams: Sequence[int], sep: str, buckets: int, stop_words: Sequence[str]):
     """Rows ``id, text`` as blocks: a row with the documents of each, and a row with its distinct terms in a bucket."""
 
     def told(block: int, ids: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
         own = pa.concat_arrays(ids).dictionary_encode(null_encoding="encode")
-        words = pa.concat_arrays(lists)
-        flat, lengths = words.flatten().dictionary_encode(), pc.list_value_length(words).to_numpy().astype(np.int64)
-        order = pc.sort_indices(flat.dictionary).to_numpy()  # so that terms follow each other about as sorted
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        words, codes, owners = flat.dictionary.take(pa.array(order)), rank[flat.indices.to_numpy()], own.indices.to_numpy().astype(np.int64)
-        del flat, order, rank
+        codes, lengths, words = _numbered(lists)
+        owners = own.indices.to_numpy().astype(np.int64)
         terms, place = _count(codes, lengths, owners, words, grams, sep)[::2]
         docs = np.bincount(place, minlength=len(terms))
         del place
         names = ["block", "ids", "owners", "lengths", "words", "codes", "bucket", "terms", "counts"]
         kinds = [pa.int64(), pa.list_(own.dictionary.type), *[pa.binary()] * 4, pa.int32(), pa.binary(), pa.binary()]
-
-        def rows(n: int, **columns) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names)
-
-        documents = pa.ListArray.from_arrays(pa.array([0, len(own.dictionary)], pa.int32()), own.dictionary)
-        yield rows(1, block=[block], ids=documents, owners=[_pack_numbers(owners)], lengths=[_pack_numbers(lengths)], words=[_pack_strings(words)], codes=[_pack_numbers(codes)])
+        yield _rows(names, kinds, 1, block=[block], ids=_as_list(own.dictionary), owners=[_pack_numbers(owners)], lengths=[_pack_numbers(lengths)], words=[_pack_strings(words)], codes=[_pack_numbers(codes)])
         by_bucket, sizes = _bucket_order(terms, buckets)
         ends = np.cumsum(sizes)
         for bucket in np.flatnonzero(sizes).tolist():
             at = by_bucket[ends[bucket] - sizes[bucket]:ends[bucket]]
-            yield rows(1, block=[block], bucket=[bucket], terms=[_pack_strings(terms.take(pa.array(at)))], counts=[_pack_numbers(docs[at])])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # what earlier tasks of this worker have left
-        block, ids, lists, held, last = TaskContext.get().partitionId() << 33, [], [], 0, None
-        listed = pa.array(["", *stop_words], pa.string())
-        for b in (x.slice(at, SLICE_ROWS) for x in batches for at in range(0, x.num_rows, SLICE_ROWS)):
-            names, words, begun = b.column("id"), _words(_cleaned(b.column("text")), listed), 0
-            for i, (name, n) in enumerate(zip(names.to_pylist(), pc.list_value_length(words).to_pylist(), strict=True)):
-                if held >= BLOCK_WORDS and name != last:
-                    yield from told(block, [*ids, names.slice(begun, i - begun)], [*lists, words.slice(begun, i - begun)])
-                    block, ids, lists, held, begun = block + 1, [], [], 0, i
-                    pa.default_memory_pool().release_unused()
-                held, last = held + n, name
-            ids.append(names.slice(begun))
-            lists.append(words.slice(begun))
-        if held:
-            yield from told(block, ids, lists)
+            yield _rows(names, kinds, 1, block=[block], bucket=[bucket], terms=[_pack_strings(terms.take(pa.array(at)))], counts=[_pack_numbers(docs[at])])
 
-    return run
+    return lambda batches: _in_blocks(batches, stop_words, told)
 
 
 def _summed(terms: pa.Table) -> pa.Table:
@@ -270,3 +284,64 @@ def _renamed(run, id_col: str):
             yield b.rename_columns([id_col, "term", "tf", "df"])
 
     return named
+
+
+def _word_blocks(stop_words: Sequence[str]):
+    """Rows ``id, text`` as blocks: a row with the documents of each, a row an id, and a row for each distinct word."""
+
+    def told(block: int, ids: list[pa.Array], lists: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        own = pa.concat_arrays(ids)
+        codes, lengths, words = _numbered(lists)
+        names, kinds = ["block", "ids", "lengths", "codes", "term"], [pa.int64(), pa.list_(own.type), pa.binary(), pa.binary(), pa.string()]
+        yield _rows(names, kinds, 1, block=[block], ids=_as_list(own), lengths=[_pack_numbers(lengths)], codes=[_pack_numbers(codes)])
+        for at in range(0, len(words), OUT_ROWS):
+            some = words.slice(at, OUT_ROWS)
+            yield _rows(names, kinds, len(some), block=[block] * len(some), term=some)
+
+    return lambda batches: _in_blocks(batches, stop_words, told)
+
+
+def _norm_counter(grams: Sequence[int], sep: str):
+    """Rows ``id, term, tf`` of each block; the norms of its words come before its documents, by word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
+        held: list[pa.Array] = []
+        for b in batches:
+            documents = np.flatnonzero(b.column("codes").is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for begun, i in zip([0, *(x + 1 for x in documents)], [*documents, b.num_rows], strict=True):
+                held.append(b.column("norm").slice(begun, i - begun))
+                if i == b.num_rows:
+                    break
+                norms, held = pa.concat_arrays(held).cast(pa.string()).dictionary_encode(), []
+                own = b.column("ids").slice(i, 1).flatten()
+                codes, lengths = (_unpack_numbers(b.column(c)[i].as_py()) for c in ("codes", "lengths"))
+                codes = norms.indices.to_numpy()[codes].astype(np.int64)
+                terms, owner, place, n = _count(codes, lengths, np.arange(len(lengths)), norms.dictionary, grams, sep)
+                for at in range(0, len(n), OUT_ROWS):
+                    to = slice(at, at + OUT_ROWS)
+                    yield pa.RecordBatch.from_arrays([own.take(pa.array(owner[to])), terms.take(pa.array(place[to])), pa.array(n[to], pa.int64())], names=["id", "term", "tf"])
+
+    return run
+
+
+def stemmed_counts(docs: DataFrame, id_col: str, text_col: str, stop_words: Iterable[str] | None, grams: Sequence[int], sep: str, keep: Sequence[str], lemmas) -> DataFrame:
+    """``(id, *keep, term, tf)`` over lemmas and stems: each distinct term of a row, with its count there (an id is one row)."""
+    spark = docs.sparkSession
+    listed = default_stop_words() if stop_words is None else tuple(stop_words)
+    told = docs.select(F.struct(id_col, *keep).alias("id"), F.col(text_col).alias("text"))
+    kind = told.schema["id"].dataType
+    schema = StructType([
+        StructField("block", LongType()), StructField("ids", ArrayType(kind)), StructField("lengths", BinaryType()), StructField("codes", BinaryType()), StructField("term", StringType()),
+    ])
+    path = scratch_path(spark, "word_blocks")
+    told.mapInArrow(_word_blocks(listed), schema).write.option("compression", "zstd").parquet(path)
+    saved = spark.read.schema(schema).parquet(path)
+    blocks = saved.where(F.col("codes").isNotNull()).select("block", "ids", "lengths", "codes")
+    words = saved.where(F.col("term").isNotNull()).select("block", "term")
+    tasks = max(1, blocks.select("block").count())
+    norms = normalize_terms(words, lemmas=lemmas).select("term", "norm")
+    # a word has one row a block, so none is hot
+    dealt = words.join(norms, "term").unionByName(blocks, allowMissingColumns=True).repartition(tasks, "block").sortWithinPartitions("block", F.col("codes").isNotNull(), "term")
+    result = StructType([StructField("id", kind), StructField("term", StringType()), StructField("tf", LongType())])
+    return dealt.mapInArrow(_norm_counter(sorted(set(grams)), sep), result).select("id.*", "term", "tf")

@@ -44,21 +44,36 @@ def explode_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     filter and push a second copy of the whole tokenizer below it.
     """
     if stem:
-        return stemmed_terms(docs, id_col, text_col, stop_words, grams, sep, keep, lemmas)
+        counts = stemmed_freq(docs, id_col, text_col, stop_words, grams, sep, keep, lemmas)
+        return counts.select(id_col, *keep, F.explode(F.array_repeat("term", F.col("tf").cast("int"))).alias("term"))
     bags = with_terms(docs.select(id_col, *keep, text_col), text_col, "_bag", stop_words, grams, sep)
     return (bags.select(F.col(id_col), *[F.col(k) for k in keep], F.explode_outer("_bag").alias("term"))
             .where(F.col("term").isNotNull()))
 
 
-def stemmed_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2), sep: str = "",
-                  keep: Sequence[str] = (), lemmas: DataFrame | dict[str, str] | None = None) -> DataFrame:
-    """``explode_terms`` over lemmas and stems (ids must be unique: a document is one row).
+def stemmed_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 stop_words: Iterable[str] | None = None, grams: Sequence[int] = (1, 2), sep: str = "",
+                 keep: Sequence[str] = (), lemmas: DataFrame | dict[str, str] | None = None) -> DataFrame:
+    """``term_freq`` over lemmas and stems.
 
     Words are normalised as a table: the distinct words are stemmed, each once,
-    and joined back to the word occurrences (frequent words salted). N-grams
-    are a word and its followers in the document, read by position.
+    and meet the documents again by blocks (``term_blocks``), so no row of a
+    word occurrence is shuffled. Rows of an id that comes more than once are
+    one text, its words by position; for them occurrences are shuffled.
     """
+    many = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select(F.col(id_col).alias("_id"))
+    if not many.limit(1).count():
+        return term_blocks.stemmed_counts(docs, id_col, text_col, stop_words, grams, sep, keep, lemmas)
+    many = materialize(many)
+    same = F.col(id_col).eqNullSafe(F.col("_id"))
+    once = term_blocks.stemmed_counts(docs.join(many, same, "left_anti"), id_col, text_col, stop_words, grams, sep, keep, lemmas)
+    rows = _stemmed_by_position(docs.join(many, same, "left_semi"), id_col, text_col, stop_words, grams, sep, keep, lemmas)
+    return once.unionByName(rows.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def _stemmed_by_position(docs: DataFrame, id_col: str, text_col: str, stop_words: Iterable[str] | None, grams: Sequence[int],
+                         sep: str, keep: Sequence[str], lemmas: DataFrame | dict[str, str] | None) -> DataFrame:
+    """One row per term occurrence: n-grams are a word and its followers in the document, read by position."""
     words = docs.select(id_col, *keep, filtered_tokens(text_col, stop_words).alias("_tokens"))
     rows = (words.select(id_col, *keep, F.posexplode_outer("_tokens").alias("_pos", "term"))
             .where(F.col("term").isNotNull()))
@@ -91,8 +106,10 @@ def term_freq(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``keep`` columns must be functionally dependent on the id (e.g. its labels).
     """
+    if stem:
+        return stemmed_freq(docs, id_col, text_col, stop_words, grams, sep, keep, lemmas)
     src = docs if prepartitioned else by_document(docs, id_col, text_col)
-    rows = explode_terms(src, id_col, text_col, stop_words, grams, sep, keep, stem, lemmas)
+    rows = explode_terms(src, id_col, text_col, stop_words, grams, sep, keep)
     return rows.groupBy(id_col, *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

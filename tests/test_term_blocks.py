@@ -70,3 +70,28 @@ def test_texts_are_cleaned_as_by_the_column(spark):
     want = [r["c"] or "" for r in df.select("doc_id", TX.clean_text("text").alias("c")).orderBy("doc_id").collect()]
     assert term_blocks._cleaned(pa.array(["skip", *texts]).slice(1)).to_pylist() == want
     assert term_blocks._cleaned(pa.array([], pa.string())).to_pylist() == []
+
+
+@pytest.mark.parametrize("words", [1 << 20, 20])
+@pytest.mark.parametrize("grams, sep, lemmas", [((1, 2), "", None), ((1, 3), " ", {"geese": "big goose", "cats": "", "the": "x"})])
+def test_stemmed_counts_of_blocks_are_those_by_position(spark, monkeypatch, words, grams, sep, lemmas):
+    monkeypatch.setattr(term_blocks, "BLOCK_WORDS", words)
+    monkeypatch.setattr(term_blocks, "OUT_ROWS", 9)
+    rng, pool = random.Random(8), ["geese", "cats", "cat", "running", "run", "runs", "The", "the", "x-y", "é", "relational"]
+    rows = [(i, i % 2, " ".join(rng.choice(pool) for _ in range(rng.choice([0, 1, 3, 20])))) for i in range(40)] + [(None, 1, "cats run"), (50, 0, None), (51, 1, "")]
+    docs = spark.createDataFrame(rows, "key long, flag int, body string").repartition(3)
+    args = ("key", "body", ("the",), grams, sep, ["flag"], lemmas)
+    want = Counter(map(tuple, TF._stemmed_by_position(docs, *args).select("key", "flag", "term").collect()))
+    got = TF.stemmed_freq(docs, "key", "body", ("the",), grams, sep, ["flag"], lemmas).collect()
+    assert Counter({tuple(r)[:3]: r["tf"] for r in got}) == want and len(got) == len(want) > 50
+    # a repeated id is one text, whose words are read by position
+    again = docs.unionByName(docs.where("key = 3 or key is null"))
+    want = Counter(map(tuple, TF._stemmed_by_position(again, *args).select("key", "flag", "term").collect()))
+    got = TF.stemmed_freq(again, "key", "body", ("the",), grams, sep, ["flag"], lemmas).collect()
+    assert Counter({tuple(r)[:3]: r["tf"] for r in got}) == want
+
+
+def test_no_row_of_a_word_occurrence_is_shuffled_to_be_stemmed(spark):
+    docs = spark.createDataFrame([(i, "running runs of geese") for i in range(9)], "doc_id long, text string")
+    plan = TF.term_freq(docs, stem=True)._jdf.queryExecution().toString()
+    assert "posexplode" not in plan and "Window" not in plan and "hashpartitioning(doc_id" not in plan
